@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_ROWS = F.lit(1)
+_ROWS = "*"
 
 
 def _zero(name: str) -> Column:

@@ -71,18 +71,18 @@ def keys_of(df: DataFrame, key: str = "id") -> DataFrame:
 class Field:
     """Where a sanitised column comes from and how it is cleaned.
 
-    ``rule`` is one of text, date_text, day, or value (typed, not cleaned).
-    ``parent`` reads from the enclosing payload instead of the exploded child.
+    ``rule`` is one of text, date_text, day, value (typed, not cleaned), or
+    column, which takes ``path`` as a column that stands beside the payload.
     """
 
     name: str
     path: str
     rule: str = "text"
     dtype: str = "string"
-    parent: bool = False
 
-    def column(self, child: Column, root: Column) -> Column:
-        v = root if self.parent else child
+    def column(self, v: Column) -> Column:
+        if self.rule == "column":
+            return F.col(self.path)
         if self.rule == "value":
             return P.get(v, self.path, self.dtype)
         text = P.cleaned_text(v, self.path)
@@ -98,17 +98,16 @@ class Field:
 def explode_path(df: DataFrame, v: str, steps: Sequence[str], name: str = "child") -> DataFrame:
     """One row per leaf of nested arrays reached through ``steps``.
 
-    Each step is the path of an array inside the element before it; the other
-    columns, the parent key among them, are kept.
+    Each step is the path of an array inside the element before it.  Column ``v``
+    gives way to ``name``; the others, the parent key among them, are kept.
     """
-    current = v
+    others = [c for c in df.columns if c != v]
+    df = df.withColumnRenamed(v, name)
     for step in steps:
-        others = [c for c in df.columns if c not in ("_item",)]
         df = df.select(
-            *others, F.explode(F.try_variant_get(current, step, "array<variant>")).alias("_next")
-        ).withColumnRenamed("_next", "_item")
-        current = "_item"
-    return df.withColumnRenamed("_item", name) if steps else df.withColumn(name, F.col(v))
+            *others, F.explode(F.try_variant_get(name, step, "array<variant>")).alias(name)
+        )
+    return df
 
 
 def sanitise(
@@ -124,5 +123,5 @@ def sanitise(
     """
     rows = explode_path(df.withColumn("_v", P.parse(F.col(payload))), "_v", child_steps, "_c")
     return rows.select(
-        *keep, *(f.column(F.col("_c"), F.col("_v")).alias(f.name) for f in fields)
+        *keep, *(f.column(F.col("_c")).alias(f.name) for f in fields)
     )
