@@ -1,0 +1,142 @@
+"""Reconciliation, lost records, batch state."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from catalog.registry import Tables, query
+from strata.operators import audit, relate
+from strata.operators.curated import request_counts as count_requests
+
+CHECKED = dt.datetime(2026, 5, 1, 15, 0, 0)
+
+
+@query(
+    """
+    SELECT '20260501150000_cv1' AS etl_batch_id, 'landing_to_sanitised' AS phase_name, 'documents' AS source_table,
+           'labels' AS target_table, s AS source_count, t AS target_count, s - t AS diff,
+           CASE WHEN s = t THEN 'PASS' ELSE 'FAIL' END AS status, TIMESTAMP '2026-05-01 15:00:00' AS checked_at
+    FROM (SELECT count(*) AS s FROM documents), (SELECT count(*) AS t FROM labels)
+    """
+)
+def recon_counts(t: Tables):
+    """Counts of two stages."""
+    return audit.reconcile(
+        t.documents, t.labels, "documents", "labels", "landing_to_sanitised", "20260501150000_cv1",
+        F.lit(CHECKED).cast("timestamp_ntz"),
+    )
+
+
+@query(
+    """
+    WITH s AS (SELECT o_custkey AS artist_id, count(*) AS n FROM orders GROUP BY 1),
+    t AS (SELECT o_custkey AS artist_id, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1)
+    SELECT s.artist_id, s.n AS source_count, coalesce(t.n, 0) AS target_count, s.n - coalesce(t.n, 0) AS diff,
+           CASE WHEN s.n = t.n THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM s LEFT JOIN t ON s.artist_id = t.artist_id
+    """
+)
+def recon_by_key(t: Tables):
+    """Counts of two stages per artist, the target having lost some orders."""
+    rows = t.orders.select(F.col("o_custkey").alias("artist_id"), "o_orderstatus")
+    return audit.reconcile_by(rows, rows.where(F.col("o_orderstatus") != "F"), ["artist_id"])
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def lost_records(t: Tables):
+    """Source keys that did not arrive."""
+    return relate.lost_records(t.documents, t.labels, ["doc_id"])
+
+
+@query(
+    """
+    SELECT o_custkey AS artist_id, count(*) AS n_rows FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY') GROUP BY 1
+    """
+)
+def orphans(t: Tables):
+    """Foreign keys without a parent, against a parent table with holes."""
+    parents = t.customer.where(F.col("c_mktsegment") != "MACHINERY")
+    children = t.orders.select(F.col("o_custkey").alias("artist_id"))
+    return relate.orphans(children, parents, "artist_id", "c_custkey")
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey AS artist_id FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY')
+    """
+)
+def orphan_rows(t: Tables):
+    """The child rows whose parent is missing."""
+    parents = t.customer.where(F.col("c_mktsegment") != "MACHINERY")
+    children = t.orders.select("o_orderkey", F.col("o_custkey").alias("artist_id"))
+    return relate.orphan_rows(children, parents, "artist_id", "c_custkey")
+
+
+def _log(t: Tables):
+    """Events as a batch log: a day is a batch, a user's share of it a phase."""
+    kind = F.col("event_type")
+    return t.events.select(
+        F.date_format("ts", "yyyyMMdd").alias("etl_batch_id"),
+        F.col("user_id").alias("phase_name"),
+        F.when(kind == "error", audit.FAILED)
+        .when(kind == "click", audit.STARTED)
+        .otherwise(audit.SUCCEEDED)
+        .alias("status"),
+        F.when(kind != "error", F.get_json_object("props", "$.k").try_cast("bigint")).alias("rows_processed"),
+        F.when(kind == "error", F.concat(F.lit("event "), "event_id")).alias("error_message"),
+        "event_id",
+    )
+
+
+_LOG = """log AS (
+    SELECT strftime(ts, '%Y%m%d') AS etl_batch_id, user_id AS phase_name,
+           CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'click' THEN 'STARTED' ELSE 'SUCCESS' END AS status,
+           CASE WHEN event_type <> 'error' THEN (props->>'k')::bigint END AS rows_processed,
+           CASE WHEN event_type = 'error' THEN 'event ' || event_id END AS error_message, event_id
+    FROM events)"""
+_PHASES = """phases AS (
+    SELECT etl_batch_id, phase_name, arg_max(status, event_id) AS status,
+           sum(rows_processed)::bigint AS rows_processed, arg_max(status, event_id) = 'SUCCESS' AS completed,
+           bool_or(status = 'FAILED') AS ever_failed, arg_max(error_message, event_id) AS last_error
+    FROM log GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_LOG}, {_PHASES} SELECT * FROM phases")
+def batch_rollup(t: Tables):
+    """State of every phase of every batch."""
+    return audit.batch_rollup(_log(t), ["event_id"])
+
+
+@query(
+    f"""
+    WITH {_LOG}, {_PHASES}
+    SELECT etl_batch_id, count(*) AS phases, count(*) FILTER (NOT completed) AS incomplete_phases,
+           sum(rows_processed)::bigint AS rows_processed, bool_and(completed) AS succeeded
+    FROM phases GROUP BY 1
+    """
+)
+def batch_outcome(t: Tables):
+    """One row per batch: phases, which are incomplete, rows, success."""
+    return audit.batch_outcome(audit.batch_rollup(_log(t), ["event_id"]))
+
+
+@query(
+    f"""
+    WITH {_LOG}
+    SELECT etl_batch_id, phase_name, status, event_id FROM log
+    QUALIFY row_number() OVER (PARTITION BY etl_batch_id, phase_name ORDER BY event_id DESC) = 1
+    """
+)
+def phase_status(t: Tables):
+    """Latest log row of every phase."""
+    return audit.phase_status(
+        _log(t).select("etl_batch_id", "phase_name", "status", "event_id"), "event_id"
+    )
+
+
+@query("SELECT user_id AS request_key, count(*) AS n_records FROM events GROUP BY 1")
+def request_counts(t: Tables):
+    """Records received per request."""
+    return count_requests(t.events.select(F.col("user_id").alias("request_key")))

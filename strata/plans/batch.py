@@ -26,12 +26,20 @@ class Batch:
 
     def log(self, phase: str, status: str, started: dt.datetime, rows: int | None = None, error: str | None = None) -> None:
         now = dt.datetime.now(dt.timezone.utc)
-        row = (
-            self.run.etl_batch_id, self.source_system, self.group_name, phase, status, rows, error,
-            started, None if status == audit.STARTED else now,
-        )
+        row = {
+            "etl_batch_id": self.run.etl_batch_id,
+            "source_system": self.source_system,
+            "group_name": self.group_name,
+            "phase_name": phase,
+            "status": status,
+            "rows_processed": rows,
+            "error_message": error,
+            "started_at": started,
+            "ended_at": None if status == audit.STARTED else now,
+        }
+        one = self.store.spark.range(0, 1, 1, 1)
         self.store.append(
-            BATCH_LOG, self.store.spark.createDataFrame([row], BATCH_LOG.columns).coalesce(1)
+            BATCH_LOG, one.select(*(F.lit(v).cast(BATCH_LOG.columns[c].dataType).alias(c) for c, v in row.items()))
         )
 
     def phase(self, name: str, work: Callable[[], Loaded | None]) -> Loaded | None:

@@ -13,8 +13,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _POINTER = "_current"
@@ -97,7 +97,9 @@ class Store:
         """Publish an empty version unless the table exists."""
         if self.current_version(table) is not None:
             return False
-        self.publish(table, self.spark.createDataFrame([], table.columns), "init")
+        nothing = self.spark.range(0, 0, 1, 1)
+        columns = (F.lit(None).cast(f.dataType).alias(f.name) for f in table.columns)
+        self.publish(table, nothing.select(*columns), "init")
         return True
 
     def _catalogue_name(self, table: TableDef, version: str) -> str:
