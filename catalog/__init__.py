@@ -3,6 +3,6 @@
 from catalog.registry import oracles, runners
 
 # Importing a module registers its queries.
-from catalog import audits, curated, joins, projections, scans, upserts  # noqa: E402,F401,I001
+from catalog import audits, curated, joins, layers, projections, scans, upserts  # noqa: E402,F401,I001
 
 __all__ = ["oracles", "runners"]

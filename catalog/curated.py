@@ -4,6 +4,7 @@ from catalog.joins import _BRIDGE, bridge_of_events
 from catalog.registry import Tables, query
 from strata.operators import curated as A
 from strata.operators.project import Field, sanitise, to_payload
+from strata.session import spread
 
 _ARTISTS = "artists AS (SELECT c_custkey AS artist_id, c_name AS name, c_nationkey AS country FROM customer)"
 _RELEASES = """releases AS (
@@ -73,7 +74,7 @@ def artists_by_country(t: Tables):
     """
 )
 def artist_metrics(t: Tables):
-    return A.artist_metrics(t.artists, t.releases, t.recordings)
+    return A.artist_metrics(t.artists, t.releases, A.songs_per_release(t.recordings))
 
 
 @query(
@@ -100,7 +101,8 @@ def release_metrics(t: Tables):
     """
 )
 def country_metrics(t: Tables):
-    return A.country_metrics(t.artists, t.releases, t.recordings)
+    songs = A.songs_per_release(t.recordings)
+    return A.country_metrics(A.artist_metrics(t.artists, t.releases, songs))
 
 
 @query(
@@ -130,7 +132,7 @@ def discography(t: Tables):
 @query(f"{_SONGS} ORDER BY total_songs DESC, a.name")
 def payload_songs_per_artist(t: Tables):
     """The flagship: releases arrive as JSON payloads, are typed, joined and ranked."""
-    payloads = to_payload(t.orders, keep=("o_orderkey",))
+    payloads = to_payload(spread(t.orders), keep=("o_orderkey",))
     fields = (
         Field("release_id", "$.o_orderkey", "value", "bigint"),
         Field("artist_id", "$.o_custkey", "value", "bigint"),

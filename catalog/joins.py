@@ -6,6 +6,7 @@ from catalog.registry import Tables, query
 from strata.functions import payload as P
 from strata.operators import expand, filters, relate
 from strata.operators.fold import top_n
+from strata.session import spread
 
 
 def _responses(t: Tables):
@@ -85,7 +86,7 @@ def _releases_of(t: Tables):
         F.col("o_orderstatus").alias("status"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
     )
-    return t.orders.select(
+    return spread(t.orders).select(
         F.col("o_custkey").alias("request_key"),
         F.to_json(F.struct(F.array(release).alias("releases"))).alias("body"),
     )

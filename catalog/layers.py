@@ -1,0 +1,166 @@
+"""Whole loads over files and layer tables, in the work folder of the session."""
+
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from catalog.curated import _BASE
+from catalog.registry import Tables, query
+from strata.functions import payload as P
+from strata.plans.config import CURATED, Run, catalogue_entities
+from strata.plans.curate import curate
+from strata.plans.load import load_landing, load_sanitised, set_up
+from strata.session import spread, work_dir
+from strata.sinks.snapshots import write_partitioned_snapshot, write_snapshot
+from strata.sinks.store import Store
+from strata.sources import snapshots, tables
+
+DAY1, DAY2 = dt.date(2026, 5, 1), dt.date(2026, 5, 2)
+
+
+def _folder(t: Tables, name: str) -> str:
+    return f"{work_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _release_objects(t: Tables, orders):
+    """Orders as the release objects a source would send."""
+    return spread(orders).select(
+        P.serialise(
+            F.col("o_orderkey").cast("string").alias("id"),
+            F.col("o_custkey").cast("string").alias("artist_id"),
+            F.concat_ws("-", "o_custkey", "o_orderpriority").alias("group_id"),
+            F.col("o_orderpriority").alias("title"),
+            F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "yyyy"))
+            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+            .alias("date"),
+            F.when(F.col("o_orderpriority") == "5-LOW", F.lit("None"))
+            .otherwise(F.col("o_orderpriority"))
+            .alias("country"),
+            F.col("o_orderstatus").alias("status"),
+        ).alias("element")
+    )
+
+
+def _loaded(t: Tables) -> tuple[Store, dict]:
+    """Two daily snapshots of the releases, the first without the open orders."""
+    root = _folder(t, "layers")
+    raw = f"{root}/raw"
+    entities = {"releases": catalogue_entities(buckets=8, layout="lines")["releases"]}
+    store = Store(t.spark, f"{root}/store")
+    set_up(store, entities)
+    for day, rows in ((DAY1, t.orders.where(F.col("o_orderstatus") != "O")), (DAY2, t.orders)):
+        write_snapshot(_release_objects(t, rows), f"{raw}/releases", "releases", day)
+        load_landing(store, entities["releases"], Run(f"{day:%Y%m%d}000000_mb", f"{day} 00:00:00", raw))
+    return store, entities
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'")
+def snapshot_write(t: Tables):
+    """Dated snapshots written and read back: the newest day, written twice."""
+    folder = _folder(t, "snapshots")
+    rows = t.orders.select(
+        "o_orderstatus", P.serialise("o_orderkey", "o_custkey", "o_orderpriority").alias("element")
+    )
+    write_snapshot(rows, folder, "orders", DAY1)
+    write_snapshot(rows, folder, "orders", DAY2)
+    write_snapshot(rows.where(F.col("o_orderstatus") != "F"), folder, "orders", DAY2)
+    newest = snapshots.latest_snapshot_path(t.spark, folder, "orders", "jsonl")
+    schema = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority").schema
+    return tables.parse_payload(snapshots.read_json_lines(t.spark, newest).select("element"), schema, "element")
+
+
+@query(
+    """
+    SELECT o_orderkey, DATE '2026-05-02' AS snapshot_date FROM orders WHERE o_orderstatus = 'F'
+    """
+)
+def snapshot_partitions(t: Tables):
+    """Snapshots as one folder partitioned by day; only the rewritten day changes."""
+    folder = _folder(t, "days")
+    rows = t.orders.select("o_orderstatus", P.serialise("o_orderkey").alias("element"))
+    write_partitioned_snapshot(rows, folder, DAY1)
+    write_partitioned_snapshot(rows, folder, DAY2)
+    write_partitioned_snapshot(rows.where(F.col("o_orderstatus") == "F"), folder, DAY2)
+    days = t.spark.read.schema("value string, snapshot_date date").text(folder)
+    newest = snapshots.latest_rows(days, "snapshot_date")
+    return tables.parse_payload(newest, t.orders.select("o_orderkey").schema, "value").select(
+        "o_orderkey", "snapshot_date"
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey::varchar AS id, o_orderstatus AS status,
+           CASE WHEN o_orderstatus <> 'O' THEN TIMESTAMP '2026-05-01' ELSE TIMESTAMP '2026-05-02' END AS created_at,
+           TIMESTAMP '2026-05-02' AS updated_at
+    FROM orders
+    """
+)
+def landing_load(t: Tables):
+    """Two snapshots through the generic landing load."""
+    store, entities = _loaded(t)
+    landed = store.read(entities["releases"].landing)
+    return P.parsed(landed).select(
+        "id",
+        P.get(F.col("v"), "$.status").alias("status"),
+        *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("created_at", "updated_at")),
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey::varchar AS release_id, o_custkey::varchar AS artist_id,
+           o_custkey || '-' || o_orderpriority AS group_id, o_orderpriority AS title,
+           CASE WHEN o_orderstatus = 'P' THEN date_trunc('year', o_orderdate)::date ELSE o_orderdate::date END AS release_date,
+           CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y-01-01')
+                ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_raw,
+           nullif(o_orderpriority, '5-LOW') AS country, o_orderstatus AS status,
+           TIMESTAMP '2026-05-02' AS ingestion_date
+    FROM orders
+    """
+)
+def sanitised_load(t: Tables):
+    """Landing payloads through the generic sanitise load."""
+    store, entities = _loaded(t)
+    load_sanitised(store, entities["releases"], Run("20260502000000_mb", f"{DAY2} 00:00:00", ""))
+    return store.read(entities["releases"].sanitised)
+
+
+@query(
+    """
+    SELECT o_orderkey::varchar AS id, TIMESTAMP '2026-05-01' AS updated_at FROM orders WHERE o_orderstatus <> 'O'
+    """
+)
+def archived_version(t: Tables):
+    """The superseded landing version, copied to the archive of its batch."""
+    store, entities = _loaded(t)
+    table = entities["releases"].landing
+    path = store.archive(table, "000002-20260501000000_mb", "20260502000000_mb")
+    return t.spark.read.schema(table.columns).parquet(path).select(
+        "id", F.col("updated_at").cast("timestamp_ntz").alias("updated_at")
+    )
+
+
+@query(
+    f"""
+    {_BASE}, s AS (SELECT release_id, count(recording_id) AS n FROM recordings GROUP BY 1)
+    SELECT a.artist_id::varchar AS artist_id, a.name, a.country::varchar AS country, count(r.release_id) AS release_count,
+           count(DISTINCT r.group_id) AS album_count, coalesce(sum(s.n), 0)::bigint AS recording_count,
+           min(release_date) AS first_release_date, max(release_date) AS last_release_date
+    FROM artists a LEFT JOIN releases r ON a.artist_id = r.artist_id LEFT JOIN s ON r.release_id = s.release_id
+    GROUP BY 1, 2, 3
+    """
+)
+def curation_stage(t: Tables):
+    """Sanitised tables through the curation stage; the artist metrics it publishes."""
+    store = Store(t.spark, _folder(t, "curation"))
+    entities = catalogue_entities()
+    set_up(store, entities)
+    frames = {"artists": t.artists, "releases": t.releases, "recordings": t.recordings, "urls": t.urls}
+    for name, rows in frames.items():
+        table = entities[name].sanitised
+        missing = [f.name for f in table.columns if f.name not in rows.columns]
+        store.refresh(table, rows.withColumns({c: F.lit(None) for c in missing}), "b1")
+    curate(store, entities, Run("b1", f"{DAY1} 00:00:00", ""))
+    return store.read(CURATED["artist_metrics"])

@@ -10,6 +10,7 @@ from strata.functions import payload as P
 from strata.functions import stamp
 from strata.operators import project as J
 from strata.schemas import columns
+from strata.session import spread
 
 AS_OF = dt.datetime(2026, 5, 1, 15, 0, 0)
 
@@ -22,7 +23,7 @@ AS_OF = dt.datetime(2026, 5, 1, 15, 0, 0)
 )
 def sanitise_events(t: Tables):
     """Payloads to typed columns: each payload is parsed once."""
-    payloads = t.events.select(
+    payloads = spread(t.events).select(
         "event_id",
         P.serialise(
             F.when(F.col("event_type") == "view", F.lit("None")).otherwise(F.col("event_type")).alias("kind"),
@@ -57,7 +58,7 @@ def nested_child_explode(t: Tables):
         F.array(item(F.lit("extra"), F.col("l_shipdate").cast("date").cast("string"))),
     )
     parts = F.array(F.struct(first.alias("items")), F.struct(second.alias("items")))
-    bodies = t.lineitem.select(
+    bodies = spread(t.lineitem).select(
         F.col("l_orderkey").alias("release_id"),
         F.col("l_linenumber").alias("line"),
         F.to_json(F.struct(parts.alias("parts"))).alias("payload"),
@@ -99,8 +100,7 @@ def key_alias(t: Tables):
         .otherwise(P.serialise(F.col("c_custkey").alias("id"), F.col("c_name").alias("artist_id")))
         .alias("payload"),
     )
-    rows = payloads.withColumn("v", P.parse(F.col("payload")))
-    return rows.select("c_name", J.key_alias(F.col("v")).alias("id"))
+    return P.parsed(payloads).select("c_name", J.key_alias(F.col("v")).alias("id"))
 
 
 @query(
@@ -303,8 +303,7 @@ def object_to_json(t: Tables):
     )
     stored = t.part.select("p_partkey", P.as_json(body).alias("payload"))
     v = F.col("v")
-    rows = tables_variant(stored)
-    return rows.select(
+    return P.parsed(stored).select(
         "p_partkey",
         P.get(v, "$.name").alias("name"),
         P.get(v, "$.brand").alias("brand"),
@@ -312,10 +311,6 @@ def object_to_json(t: Tables):
     )
 
 
-def tables_variant(df):
-    return df.withColumn("v", P.parse(F.col("payload")))
-
-
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' AS iso FROM events")
 def ts_to_iso(t: Tables):
     """Timestamps as ISO-8601 text in UTC."""
@@ -344,13 +339,11 @@ def type_dispatch(t: Tables):
         .otherwise(F.lit("null"))
     )
     payload = F.concat(F.lit('{"d": '), value, F.lit("}"))
-    rows = t.orders.select("o_orderkey", payload.alias("payload"))
+    rows = spread(t.orders).select("o_orderkey", payload.alias("payload"))
+    date_text = J.Field("date_text", "$.d", "date_text")
     v = F.col("v")
-    out = tables_variant(rows).select(
-        "o_orderkey",
-        P.kind(v, "$.d").alias("kind"),
-        J.Field("date_text", "$.d", "date_text").column(v).alias("date_text"),
-    )
+    raw = P.parsed(rows).select("o_orderkey", P.kind(v, "$.d").alias("kind"), *date_text.read(v))
+    out = raw.select("o_orderkey", "kind", date_text.clean())
     nested = F.col("kind").isin("list", "object")
     return out.withColumn("date_text", F.when(~nested, F.col("date_text")))
 

@@ -10,6 +10,7 @@ from strata.functions import stamp
 from strata.operators.filters import split_objects
 from strata.operators.fold import head_n
 from strata.operators.project import to_payload
+from strata.session import spread
 from strata.sources import responses, snapshots, tables
 
 
@@ -60,7 +61,7 @@ def json_array_scan(t: Tables):
         .when(F.col("l_returnflag") == "A", measure("price", "l_extendedprice"))
         .otherwise(F.lit('[{"m": "cut'))
     )
-    rows = snapshots.unwrap_arrays(t.lineitem.select("l_orderkey", "l_linenumber", body.alias("value")))
+    rows = snapshots.unwrap_arrays(spread(t.lineitem).select("l_orderkey", "l_linenumber", body.alias("value")))
     objects, _ = split_objects(rows)
     parsed = objects.withColumn("p", F.from_json("element", "m string, x double"))
     return parsed.select("l_orderkey", "l_linenumber", "pos", "p.m", F.round("p.x", 4).alias("x"))
@@ -81,9 +82,9 @@ def envelope_unwrap(t: Tables):
         F.to_json(F.struct(F.array(item("c_name"), item("c_mktsegment")).alias("artists"))),
     ).otherwise(F.lit('{"error": "not found"}'))
     bodies = t.customer.select(F.col("c_custkey").alias("request_key"), body.alias("body"))
-    v = P.parse(F.col("element"))
-    return responses.unwrap_envelope(bodies, "artists").select(
-        "request_key", "pos", P.get_or(v, "$.name", F.lit("?")).alias("name")
+    items = P.parsed(responses.unwrap_envelope(bodies, "artists"), "element")
+    return items.select(
+        "request_key", "pos", P.get_or(F.col("v"), "$.name", F.lit("?")).alias("name")
     )
 
 
@@ -110,7 +111,7 @@ def envelope_strict(t: Tables):
 )
 def payload_roundtrip(t: Tables):
     """Whole rows to JSON payloads and back through a fixed schema."""
-    rows = t.orders.withColumns(
+    rows = spread(t.orders).withColumns(
         {
             "o_orderdate": F.col("o_orderdate").cast("date"),
             "o_orderpriority": F.nullif("o_orderpriority", F.lit("5-LOW")),

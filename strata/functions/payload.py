@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.clean import null_if_sentinel
-
 
 def parse(c: Column) -> Column:
     """VARIANT of a JSON text, NULL when it is malformed."""
     return F.try_parse_json(c)
 
 
+def parsed(df: DataFrame, payload: str = "payload", name: str = "v") -> DataFrame:
+    """Replace the payload column by its VARIANT, parsed exactly once per row.
+
+    The parse stands in a generator, which filters are not pushed through: a
+    predicate or join key on a parsed field would otherwise parse the text again
+    below the projection.
+    """
+    others = [c for c in df.columns if c != payload]
+    return df.select(*others, F.explode(F.array(parse(F.col(payload)))).alias(name))
+
+
 def serialise(*cols: str | Column) -> Column:
     """JSON object text of the given columns; NULL fields are written out."""
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
@@ -65,13 +74,3 @@ def truthy_text(v: Column, path: str) -> Column:
         | text.isin("[]", "{}") & what.isin("list", "object")
     )
     return F.when(~empty, text)
-
-
-def cleaned_text(v: Column, path: str) -> Column:
-    """Text at ``path`` with null words removed; only JSON strings are cleaned."""
-    return null_if_sentinel(get(v, path))
-
-
-def elements(text: Column) -> Column:
-    """Array of the element texts of a JSON array, NULL when it is not an array."""
-    return F.from_json(text, "array<string>")

@@ -21,8 +21,13 @@ def _zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0).cast("long")).alias(name)
 
 
-def _per_release(recordings: DataFrame, value: str, name: str) -> DataFrame:
-    return recordings.groupBy("release_id").agg(F.count(value).alias(name))
+def _per_release(children: DataFrame, value: str, name: str) -> DataFrame:
+    return children.groupBy("release_id").agg(F.count(value).alias(name))
+
+
+def songs_per_release(recordings: DataFrame) -> DataFrame:
+    """(release_id, recording_count): what the larger aggregates are built from."""
+    return _per_release(recordings, "recording_id", "recording_count")
 
 
 def tag_counts(bridge: DataFrame) -> DataFrame:
@@ -37,12 +42,11 @@ def tag_counts(bridge: DataFrame) -> DataFrame:
 def songs_per_artist(artists: DataFrame, releases: DataFrame, recordings: DataFrame) -> DataFrame:
     """Recordings per artist name; a recording counts once per release it is on,
     and artists who share a name are counted together."""
-    songs = _per_release(recordings, "recording_id", "n")
     per_artist = (
         releases.select("release_id", "artist_id")
-        .join(songs, "release_id")
+        .join(songs_per_release(recordings), "release_id")
         .groupBy("artist_id")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("recording_count").alias("n"))
     )
     return (
         artists.select("artist_id", "name")
@@ -79,18 +83,17 @@ def artists_by_country(artists: DataFrame) -> DataFrame:
     return artists.groupBy("country").agg(F.count(_ROWS).alias("artist_count"))
 
 
-def artist_metrics(artists: DataFrame, releases: DataFrame, recordings: DataFrame) -> DataFrame:
-    """One row per artist."""
-    songs = _per_release(recordings, "recording_id", "n")
+def artist_metrics(artists: DataFrame, releases: DataFrame, songs: DataFrame) -> DataFrame:
+    """One row per artist; ``songs`` holds (release_id, recording_count)."""
     per_artist = (
         releases.select("release_id", "artist_id", "group_id", "release_date")
-        .join(songs, "release_id", "left")
+        .join(songs.select("release_id", "recording_count"), "release_id", "left")
         # Grouping by album first leaves one row per album, so the distinct count
         # below is a plain count of groups.
         .groupBy("artist_id", "group_id")
         .agg(
             F.count("release_id").alias("release_count"),
-            F.sum("n").alias("recording_count"),
+            F.sum("recording_count").alias("recording_count"),
             F.min("release_date").alias("first_release_date"),
             F.max("release_date").alias("last_release_date"),
         )
@@ -125,7 +128,7 @@ def release_metrics(releases: DataFrame, recordings: DataFrame, urls: DataFrame)
         releases.select(
             "release_id", "artist_id", F.year("release_date").alias("release_year"), "status"
         )
-        .join(_per_release(recordings, "recording_id", "recording_count"), "release_id", "left")
+        .join(songs_per_release(recordings), "release_id", "left")
         .join(_per_release(urls, "url_id", "url_count"), "release_id", "left")
         .select(
             "release_id",
@@ -138,24 +141,12 @@ def release_metrics(releases: DataFrame, recordings: DataFrame, urls: DataFrame)
     )
 
 
-def country_metrics(artists: DataFrame, releases: DataFrame, recordings: DataFrame) -> DataFrame:
-    """One row per country of origin."""
-    songs = _per_release(recordings, "recording_id", "n")
-    per_artist = (
-        releases.select("release_id", "artist_id")
-        .join(songs, "release_id", "left")
-        .groupBy("artist_id")
-        .agg(F.count(_ROWS).alias("release_count"), F.sum("n").alias("recording_count"))
-    )
-    return (
-        artists.select("artist_id", "country")
-        .join(per_artist, "artist_id", "left")
-        .groupBy("country")
-        .agg(
-            F.count(_ROWS).alias("artist_count"),
-            F.coalesce(F.sum("release_count"), F.lit(0).cast("long")).alias("release_count"),
-            F.coalesce(F.sum("recording_count"), F.lit(0).cast("long")).alias("recording_count"),
-        )
+def country_metrics(metrics: DataFrame) -> DataFrame:
+    """One row per country of origin, from the artist metrics."""
+    return metrics.groupBy("country").agg(
+        F.count(_ROWS).alias("artist_count"),
+        F.sum("release_count").alias("release_count"),
+        F.sum("recording_count").alias("recording_count"),
     )
 
 

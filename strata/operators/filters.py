@@ -28,8 +28,8 @@ def before_first_failure(
 ) -> DataFrame:
     """Rows of each run that precede its first failing response.
 
-    The first failure per run is a partial aggregate over the failing rows only;
-    no run is ever gathered into one task.
+    The first failure per run is a partial aggregate over the failing rows only,
+    and the rows of a hot run are spread; no run is gathered into one task.
     """
     failed = (F.col(status) >= 400) | F.col(status).isNull()
     first = responses.where(failed).groupBy(*run).agg(F.min(ord).alias("_first_failure"))
@@ -46,7 +46,7 @@ def normalised(c: Column) -> Column:
 
 def match_terms(entities: DataFrame, terms: DataFrame, name: str = "name", term: str = "term") -> DataFrame:
     """Entities whose name equals a search term, ignoring case and outer blanks."""
-    wanted = terms.select(normalised(F.col(term)).alias("_term")).distinct()
+    wanted = terms.select(normalised(F.col(term)).alias("_term"))
     return entities.join(wanted, normalised(F.col(name)) == F.col("_term"), "left_semi")
 
 

@@ -80,19 +80,27 @@ class Field:
     rule: str = "text"
     dtype: str = "string"
 
-    def column(self, v: Column) -> Column:
+    def read(self, v: Column) -> list[Column]:
+        """Raw columns taken out of the payload."""
         if self.rule == "column":
-            return F.col(self.path)
-        if self.rule == "value":
-            return P.get(v, self.path, self.dtype)
-        text = P.cleaned_text(v, self.path)
+            return [F.col(self.path).alias(f"_{self.name}")]
+        dtype = self.dtype if self.rule == "value" else "string"
+        raw = [P.get(v, self.path, dtype).alias(f"_{self.name}")]
+        if self.rule in ("day", "date_text"):
+            raw.append((P.kind(v, self.path) == "string").alias(f"_{self.name}_is_text"))
+        return raw
+
+    def clean(self) -> Column:
+        """Target column from the raw ones."""
+        raw = F.col(f"_{self.name}")
+        if self.rule in ("column", "value"):
+            return raw.alias(self.name)
+        text = C.null_if_sentinel(raw)
         if self.rule == "text":
-            return text
+            return text.alias(self.name)
         # Only a JSON string is a date text: the number 1989 is left alone.
-        completed = F.when(
-            P.kind(v, self.path) == "string", C.complete_partial_date(text)
-        ).otherwise(text)
-        return C.to_day(completed) if self.rule == "day" else completed
+        completed = F.when(F.col(f"_{self.name}_is_text"), C.complete_partial_date(text)).otherwise(text)
+        return (C.to_day(completed) if self.rule == "day" else completed).alias(self.name)
 
 
 def explode_path(df: DataFrame, v: str, steps: Sequence[str], name: str = "child") -> DataFrame:
@@ -119,9 +127,11 @@ def sanitise(
 ) -> DataFrame:
     """Payload text to cleaned, typed columns.
 
-    The payload is parsed once per row; each field then reads its own path.
+    The payload is parsed once per row and each path is read once: the raw values
+    are projected first, as a cleaning rule uses its input several times.
     """
-    rows = explode_path(df.withColumn("_v", P.parse(F.col(payload))), "_v", child_steps, "_c")
-    return rows.select(
-        *keep, *(f.column(F.col("_c")).alias(f.name) for f in fields)
-    )
+    columns = [c for c in df.columns if c != payload or c in keep]
+    rows = P.parsed(df.select(*columns, F.col(payload).alias("_text")), "_text", "_v")
+    rows = explode_path(rows, "_v", child_steps, "_c")
+    raw = rows.select(*keep, *(c for f in fields for c in f.read(F.col("_c"))))
+    return raw.select(*keep, *(f.clean() for f in fields))

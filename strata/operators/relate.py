@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.skew import lookup_join
+
 
 def artist_albums(artists: DataFrame, groups: DataFrame, releases: DataFrame) -> DataFrame:
     """Artist, album name and release date of every release of every album."""
@@ -44,8 +46,9 @@ def tag_bridge(artists: DataFrame, tags: str = "tags", tag: Column | None = None
 
 
 def tagged_artists(artists: DataFrame, bridge: DataFrame, tags: DataFrame) -> DataFrame:
-    """Artists with the tags they carry, through the bridge."""
-    return bridge.join(artists, "artist_id").join(tags, "tag_name")
+    """Artists with the tags they carry, through the bridge; one tag may be on most."""
+    carried = lookup_join(bridge, tags, ["tag_name"], "inner", ["artist_id"])
+    return carried.join(artists, "artist_id")
 
 
 def lost_records(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

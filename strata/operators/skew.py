@@ -1,13 +1,21 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins that stay balanced when one key holds a large share of the rows.
+
+A plain inner, semi or anti join of two unaggregated inputs needs nothing from
+here: hot partitions of its shuffles are split at run time.  That split does not
+apply where one side is an aggregate on the join key, or where the hot side of an
+outer join is the one that may be NULL.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
+HOT_ROWS = 10_000_000  # rows of one key that one task should not take alone
+SALTS = 64
 
 
 def lookup_join(
@@ -16,19 +24,34 @@ def lookup_join(
     keys: Sequence[str],
     how: str,
     spread_by: Sequence[str | Column],
+    hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join rows to a lookup that has at most one row per key.
 
-    The run-time skew split does not apply where one side is an aggregate, so the
-    rows of a key are spread over ``salts`` tasks by a hash of ``spread_by``
-    (columns that tell the rows of one key apart) and the lookup is repeated once
-    per salt.  The result does not depend on the salt, so a retried task cannot
-    change it.  A small lookup is still broadcast by the planner.
+    Keys with ``hot_rows`` rows or more are found by a partial aggregate over the
+    key columns; there are at most ``rows / hot_rows`` of them, which bounds what
+    is broadcast.  Only their rows are spread over ``salts`` tasks, by a hash of
+    ``spread_by`` (columns that tell the rows of one key apart), and only their
+    lookup rows are repeated.  Rows without a key match nothing and are spread as
+    well.  The result does not depend on the salt, so a retried task is harmless.
     """
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_rows.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
+    hot = F.broadcast(
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") >= hot_rows)
+        .select(*keys, F.lit(True).alias("_hot"))
+    )
+    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    salted_rows = rows.join(hot, list(keys), "left").withColumn(
+        "_salt", F.when(is_hot | no_key, salt).otherwise(0)
+    )
+    repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_lookup = lookup.join(hot, list(keys), "left").withColumn("_salt", F.explode(repeats))
+    joined = salted_rows.drop("_hot").join(salted_lookup.drop("_hot"), [*keys, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def left_join_many(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str) -> DataFrame:

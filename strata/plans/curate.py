@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+
 from strata.operators import curated as A
 from strata.plans.config import CURATED, Entity, Run
 from strata.sinks.store import Store
 
 
 def curate(store: Store, entities: dict[str, Entity], run: Run) -> dict[str, str]:
-    """Rebuild every curated table; returns the published versions."""
+    """Rebuild every curated table; returns the published versions.
+
+    Recordings, the largest input, are counted per release once: the artist
+    metrics read the counts out of the published release metrics, and the country
+    metrics are a roll-up of the published artist metrics.
+    """
     artists, releases, recordings, urls = (
         store.read(entities[n].sanitised) for n in ("artists", "releases", "recordings", "urls")
     )
-    frames = {
-        "artist_metrics": A.artist_metrics(artists, releases, recordings),
-        "release_metrics": A.release_metrics(releases, recordings, urls),
-        "country_metrics": A.country_metrics(artists, releases, recordings),
-        "recording_metrics": A.recording_metrics(releases, recordings),
-        "artist_discography": A.discography(artists, releases),
-    }
-    return {n: store.refresh(CURATED[n], df, run.etl_batch_id) for n, df in frames.items()}
+    versions: dict[str, str] = {}
+
+    def publish(name: str, rows: DataFrame) -> DataFrame:
+        versions[name] = store.refresh(CURATED[name], rows, run.etl_batch_id)
+        return store.read(CURATED[name])
+
+    per_release = publish("release_metrics", A.release_metrics(releases, recordings, urls))
+    per_artist = publish("artist_metrics", A.artist_metrics(artists, releases, per_release))
+    publish("country_metrics", A.country_metrics(per_artist))
+    publish("recording_metrics", A.recording_metrics(releases, recordings))
+    publish("artist_discography", A.discography(artists, releases))
+    return versions

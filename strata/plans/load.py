@@ -16,7 +16,7 @@ from strata.operators.numbering import add_surrogate_id
 from strata.operators.project import key_alias, sanitise
 from strata.operators.upsert import upsert_overwrite, upsert_preserve
 from strata.plans.config import AUDIT, CURATED, QUARANTINE, QUARANTINE_TABLE, Entity, Run
-from strata.session import settle
+from strata.session import settle, spread
 from strata.sinks.store import Store, TableDef
 from strata.sources import snapshots
 from strata.sources.tables import changed_since
@@ -43,12 +43,13 @@ def set_up(store: Store, entities: dict[str, Entity]) -> None:
 
 def snapshot_rows(store: Store, entity: Entity, run: Run) -> DataFrame:
     """Rows of the newest snapshot, or of the run's day."""
-    folder = f"{run.raw_root}/{entity.source_name}"
+    folder, source = f"{run.raw_root}/{entity.source_name}", entity.source_name
+    suffix = snapshots.SUFFIX[entity.layout]
     if run.day is None:
-        path = snapshots.latest_snapshot_path(store.spark, folder, entity.source_name)
+        path = snapshots.latest_snapshot_path(store.spark, folder, source, suffix)
     else:
-        path = snapshots.dated_snapshot_path(folder, entity.source_name, run.day)
-    return snapshots.READERS[entity.layout](store.spark, path)
+        path = snapshots.dated_snapshot_path(folder, source, run.day, suffix)
+    return spread(snapshots.READERS[entity.layout](store.spark, path))
 
 
 def _castable(raw: Column, dtype: T.DataType) -> Column:
@@ -59,9 +60,9 @@ def landing_rows(rows: DataFrame, entity: Entity, run: Run) -> DataFrame:
     """Landing columns of each source object, with the reason where it is rejected."""
     name = entity.landing.key[0]
     v = F.col("_v")
-    rows = rows.withColumn("_v", P.parse(F.col("element")))
+    rows = P.parsed(rows.withColumn("payload", F.col("element")), "element", "_v")
     rows = rows.select(
-        F.col("element").alias("payload"),
+        "payload",
         "src_file",
         "_ord",
         P.kind(v).alias("_kind"),

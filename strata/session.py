@@ -47,6 +47,15 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work over a scan with few splits.
+
+    A large scan has more splits than the cluster has cores and is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the work folder and read it back.
 

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.sources.snapshots import dated_snapshot_path
+
 
 def write_snapshot(
     elements: DataFrame, folder: str, source: str, day: dt.date, element: str = "element"
@@ -15,7 +17,7 @@ def write_snapshot(
 
     Lines split across readers.  A second run on the same day replaces the first.
     """
-    path = f"{folder}/{source}_{day:%Y_%m_%d}.jsonl"
+    path = dated_snapshot_path(folder, source, day, "jsonl")
     elements.select(F.col(element).alias("value")).write.mode("overwrite").text(path)
     return path
 

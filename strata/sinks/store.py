@@ -14,7 +14,6 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _POINTER = "_current"
@@ -94,12 +93,16 @@ class Store:
     # -- tables --------------------------------------------------------------
 
     def create_if_absent(self, table: TableDef) -> bool:
-        """Publish an empty version unless the table exists."""
+        """Publish an empty version unless the table exists.
+
+        The declared columns are given on every read, so an empty folder will do.
+        """
         if self.current_version(table) is not None:
             return False
-        nothing = self.spark.range(0, 0, 1, 1)
-        columns = (F.lit(None).cast(f.dataType).alias(f.name) for f in table.columns)
-        self.publish(table, nothing.select(*columns), "init")
+        version = self._next_version(None, "init")
+        path = self.version_path(table, version)
+        self._files(path).mkdirs(self._path(path))
+        self._point_to(table, version)
         return True
 
     def _catalogue_name(self, table: TableDef, version: str) -> str:

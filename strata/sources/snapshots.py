@@ -8,33 +8,31 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ORDINAL = "struct<src_file:string,block:bigint,pos:bigint>"
 
 
-def latest_snapshot_path(spark: SparkSession, folder: str, source: str) -> str:
-    """Newest ``<source>_*.json`` in ``folder``; dates are zero padded, so the
-    greatest path is the newest.  Only paths are read, never file contents."""
-    try:
-        newest = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", f"{source}_*.json*")
-            .load(folder)
-            .agg(F.max("path"))
-            .first()[0]
-        )
-    except AnalysisException:
-        newest = None
-    if newest is None:
+SUFFIX = {"array": "json", "indented": "json", "lines": "jsonl"}
+
+
+def latest_snapshot_path(spark: SparkSession, folder: str, source: str, suffix: str = "json") -> str:
+    """Newest ``<source>_<date>.<suffix>``, a file or a folder of part files.
+
+    Dates are zero padded, so the greatest name is the newest.  Only the folder is
+    listed, one entry per day.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{source}_*.{suffix}")
+    files = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = files.globStatus(pattern)
+    if not found:
         raise FileNotFoundError(f"no {source} snapshot in {folder}")
-    return newest
+    return max(status.getPath().toString() for status in found)
 
 
-def dated_snapshot_path(folder: str, source: str, day: dt.date) -> str:
-    return f"{folder}/{source}_{day:%Y_%m_%d}.json"
+def dated_snapshot_path(folder: str, source: str, day: dt.date, suffix: str = "json") -> str:
+    return f"{folder}/{source}_{day:%Y_%m_%d}.{suffix}"
 
 
 def latest_rows(df: DataFrame, day: str) -> DataFrame:
@@ -60,11 +58,14 @@ def dated_rows(df: DataFrame, ts: str, day: dt.date) -> DataFrame:
 
 
 def array_elements(body: Column) -> Column:
-    """Element texts of a snapshot body: array, single value, or NULL if invalid."""
+    """Element texts of a snapshot body: those of an array, one single value, or
+    none at all when the text is not JSON."""
     whole = F.get_json_object(body, "$")
-    return F.coalesce(
-        F.from_json(body, "array<string>"), F.when(whole.isNotNull(), F.array(whole))
-    )
+    return F.coalesce(F.from_json(body, "array<string>"), F.array_compact(F.array(whole)))
+
+
+def is_json(body: Column) -> Column:
+    return F.get_json_object(body, "$").isNotNull()
 
 
 def unwrap_arrays(bodies: DataFrame, body: str = "value") -> DataFrame:
@@ -97,7 +98,7 @@ def read_array_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def invalid_array_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Paths of the files ``read_array_files`` has to pass over."""
-    return _bodies(spark, path).where(array_elements(F.col("value")).isNull()).select("src_file")
+    return _bodies(spark, path).where(~is_json(F.col("value"))).select("src_file")
 
 
 def _lines(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions import payload as P
-
 
 def target_schema(spark: SparkSession, table: str, registry: dict[str, T.StructType]) -> T.StructType:
     """Columns of a target in declared order, from the registry or the catalogue."""
@@ -19,13 +17,12 @@ def target_schema(spark: SparkSession, table: str, registry: dict[str, T.StructT
 
 
 def parse_payload(df: DataFrame, schema: T.StructType, payload: str = "payload") -> DataFrame:
-    """Payload text to typed columns of a fixed schema; the other columns stay."""
-    others = [c for c in df.columns if c != payload]
-    return df.select(*others, F.from_json(payload, schema).alias("_p")).select(*others, "_p.*")
+    """Payload text to typed columns of a fixed schema; the other columns stay.
 
-
-def payload_variant(df: DataFrame, payload: str = "payload", name: str = "v") -> DataFrame:
-    return df.withColumn(name, P.parse(F.col(payload)))
+    Parsed in a generator, so that later filters do not parse the text again.
+    """
+    others = [c for c in df.columns if c != payload]
+    return df.select(*others, F.inline(F.array(F.from_json(payload, schema))))
 
 
 def changed_since(df: DataFrame, mark: Column, updated: str = "updated_at") -> DataFrame:
