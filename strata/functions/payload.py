@@ -34,8 +34,8 @@ def as_json(c: Column) -> Column:
 
 def field(name: str) -> str:
     """Path of a top-level field; safe for names with hyphens or dots."""
-    escaped = name.replace("'", "\\'")
-    return f"$['{escaped}']"
+    quote = '"' if "'" in name else "'"
+    return f"$[{quote}{name}{quote}]"
 
 
 def get(v: Column, path: str, dtype: str = "string") -> Column:

@@ -132,8 +132,8 @@ def refresh_landing(store: Store, entity: Entity, run: Run, serial: TableDef) ->
     """Older landing form: truncate, then number every payload in arrival order."""
     rows = snapshot_rows(store, entity, run)
     numbered = add_surrogate_id(
-        rows.select(F.col("element").alias("payload"), "src_file", "_ord.block", "_ord.pos"),
-        ["src_file", "block", "pos"],
+        rows.select(F.col("element").alias("payload"), "_ord.*"),
+        ["src_file", "block", "pos", "part"],
     ).withColumn("ingestion_date", stamp.moment(run.as_of).cast("timestamp_ntz"))
     version = store.refresh(serial, numbered, run.etl_batch_id)
     n = store.read(serial).count()

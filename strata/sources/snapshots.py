@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ORDINAL = "struct<src_file:string,block:bigint,pos:bigint>"
+ORDINAL = "struct<src_file:string,block:bigint,pos:bigint,part:int>"
 
 
 SUFFIX = {"array": "json", "indented": "json", "lines": "jsonl"}
@@ -75,11 +75,11 @@ def unwrap_arrays(bodies: DataFrame, body: str = "value") -> DataFrame:
 
 
 def _with_ordinal(rows: DataFrame) -> DataFrame:
+    part = F.col("part") if "part" in rows.columns else F.lit(0)
     return rows.select(
         "element",
         "src_file",
-        F.struct("src_file", F.col("block").cast("bigint"), F.col("pos").cast("bigint"))
-        .cast(ORDINAL)
+        F.struct("src_file", "block", "pos", part).cast(ORDINAL)
         .alias("_ord"),
     )
 
@@ -120,21 +120,32 @@ def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_indented_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Array files pretty-printed with an indent of four, read in parallel.
 
-    A line break never stands inside a JSON string, so the only place where a
-    closing brace at depth one is followed by a comma is between two elements.
-    Splitting there cuts one large file over many tasks and keeps the element
-    text as it was received.
+    A line break never stands inside a JSON string, so a closing brace after a
+    line break and four blanks always ends an element.  Splitting there cuts one
+    large file over many tasks and keeps the element text as it was received.
+    Elements written on one line (scalars, {}) stay in front of the next object
+    and are taken apart as an array.
     """
     rows = _lines(spark, path, lineSep="\n    },\n")
-    body = F.regexp_replace(F.col("value"), r"\A\s*\[\s*", "")
-    body = F.regexp_replace(body, r"\s*\]\s*\z", "")
+    text = F.col("value")
+    last = text.rlike(r"\n\]\s*\z") | text.rlike(r"\A\[\s*\]\s*\z")
+    body = F.regexp_replace(text, r"\A\[\s*|\A\s+|\n\]\s*\z", "")
     # The separator took the closing brace of every element but the last of a file.
-    closed = F.col("value").rlike(r"\n    \}\s*\]\s*\z")
-    rows = rows.withColumn(
-        "element",
-        F.when(closed, body).otherwise(F.concat(body, F.lit("\n    }"))),
-    ).where(F.length(F.trim(body)) > 0)
-    return _with_ordinal(rows)
+    rows = rows.select(
+        "src_file",
+        "block",
+        "pos",
+        F.when(text.rlike(r"\A\[\s*\]\s*\z"), F.lit(""))
+        .when(last, body)
+        .otherwise(F.concat(body, F.lit("\n    }")))
+        .alias("_text"),
+    ).where(F.col("_text") != "")
+    several = F.col("_text").rlike(r"\A[^{]|\A\{\}|\n    [^ }]")
+    listed = F.from_json(F.concat(F.lit("["), "_text", F.lit("]")), "array<string>")
+    parts = F.when(several, F.coalesce(listed, F.array("_text"))).otherwise(F.array("_text"))
+    return _with_ordinal(
+        rows.select("src_file", "block", "pos", F.posexplode(parts).alias("part", "element"))
+    )
 
 
 READERS = {
