@@ -27,6 +27,16 @@ def serialise(*cols: str | Column) -> Column:
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
 
+def with_field(element: Column, name: str, value: Column) -> Column:
+    """JSON object text with a field put in front.
+
+    A field of that name inside the object comes later and so still wins.
+    """
+    head = F.regexp_replace(F.to_json(F.struct(value.alias(name))), r"\}\z", "")
+    body = F.regexp_replace(element, r"\A\s*\{\s*", "")
+    return F.concat(head, F.when(body.startswith("}"), F.lit("")).otherwise(F.lit(",")), body)
+
+
 def as_json(c: Column) -> Column:
     """JSON text of an array, map or struct column."""
     return F.to_json(c, {"ignoreNullFields": "false"})

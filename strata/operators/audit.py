@@ -23,7 +23,6 @@ def reconcile(
     checked_at: Column,
 ) -> DataFrame:
     """Row counts of two stages side by side, as one reconciliation row."""
-    batch = F.lit(batch) if isinstance(batch, str) else batch
     counts = (
         source.agg(F.count(F.lit(1)).alias("s"))
         .select("s", F.lit(0).cast("long").alias("t"))
@@ -32,6 +31,34 @@ def reconcile(
         )
         .agg(F.sum("s").alias("source_count"), F.sum("t").alias("target_count"))
     )
+    return _verdict(counts, source_name, target_name, phase, batch, checked_at)
+
+
+def reconcile_count(
+    source_count: int,
+    target: DataFrame,
+    source_name: str,
+    target_name: str,
+    phase: str,
+    batch: str | Column,
+    checked_at: Column,
+) -> DataFrame:
+    """The same against a source whose rows were counted while it was read."""
+    counts = target.agg(F.count(F.lit(1)).alias("target_count")).withColumn(
+        "source_count", F.lit(source_count).cast("long")
+    )
+    return _verdict(counts, source_name, target_name, phase, batch, checked_at)
+
+
+def _verdict(
+    counts: DataFrame,
+    source_name: str,
+    target_name: str,
+    phase: str,
+    batch: str | Column,
+    checked_at: Column,
+) -> DataFrame:
+    batch = F.lit(batch) if isinstance(batch, str) else batch
     diff = F.col("source_count") - F.col("target_count")
     return counts.select(
         batch.alias("etl_batch_id"),

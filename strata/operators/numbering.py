@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import settle
+from strata.session import settle, work_path
 
 _ROW_BITS = 33  # fixed value: monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -18,6 +18,7 @@ def add_surrogate_id(
     name: str = "ingestion_id",
     start_after: int = 0,
     partitions: int | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Number rows ``start_after + 1 ...`` in the given order.
 
@@ -25,14 +26,15 @@ def add_surrogate_id(
     see one placement.  The first pass counts rows per partition, the second adds
     the rows of all partitions before.  The running sum is over one row per
     partition, a size set by ``partitions`` and not by the data.  ``order`` must
-    be a total order, or one hot value would fill one range.
+    be a total order, or one hot value would fill one range.  The settled rows stand
+    at ``path`` until the caller, who reads the result lazily, discards them.
     """
     spread = (
         df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )
     placed = settle(
         spread.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()),
-        "numbered",
+        path or work_path(df.sparkSession, "numbered"),
     )
     part = F.shiftright("_at", _ROW_BITS)
     local = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

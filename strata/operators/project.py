@@ -83,7 +83,7 @@ class Field:
     def read(self, v: Column) -> list[Column]:
         """Raw columns taken out of the payload."""
         if self.rule == "column":
-            return [F.col(self.path).alias(f"_{self.name}")]
+            return [F.col(self.path).cast(self.dtype).alias(f"_{self.name}")]
         dtype = self.dtype if self.rule == "value" else "string"
         raw = [P.get(v, self.path, dtype).alias(f"_{self.name}")]
         if self.rule in ("day", "date_text"):

@@ -64,14 +64,16 @@ def catalogue_entities(
     recording_steps: tuple[str, ...] = ("$.parts", "$.items"),
     url_steps: tuple[str, ...] = ("$.links",),
     source_system: str = "mb",
+    key_type: str = "string",
 ) -> dict[str, Entity]:
     """The four catalogue entities.  Where recordings and urls nest inside a
-    release body is a setting, as is the file layout."""
+    release body is a setting, as are the file layout and the landing key type."""
+    landing = {"string": S.LANDING, "bigint": S.LANDING_BIGINT}[key_type]
 
     def entity(source, san, schema, key, fields, **more) -> Entity:
         return Entity(
             source,
-            landing_table(f"lnd_{source}", buckets),
+            landing_table(f"lnd_{source}", buckets, landing),
             TableDef("sanitised", san, schema, key, buckets),
             fields,
             layout=layout,

@@ -16,7 +16,7 @@ from strata.operators.numbering import add_surrogate_id
 from strata.operators.project import key_alias, sanitise
 from strata.operators.upsert import upsert_overwrite, upsert_preserve
 from strata.plans.config import AUDIT, CURATED, QUARANTINE, QUARANTINE_TABLE, Entity, Run
-from strata.session import settle, spread
+from strata.session import discard, settle, spread, work_path
 from strata.sinks.store import Store, TableDef
 from strata.sources import snapshots
 from strata.sources.tables import changed_since
@@ -90,26 +90,40 @@ def landing_rows(rows: DataFrame, entity: Entity, run: Run) -> DataFrame:
     )
 
 
-def _stage(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame, dict]:
+@dataclass(frozen=True)
+class _Staged:
+    good: DataFrame
+    bad: DataFrame
+    counts: dict
+    path: str
+
+
+def _stage(rows: DataFrame, label: str) -> _Staged:
     """Read and check the source once: written out, counted on the way, then split."""
     watched, seen = K.counted(rows, label)
-    settled = settle(watched, label)
-    good, bad = K.split(settled)
-    return good, bad, seen.get
+    path = work_path(rows.sparkSession, label)
+    good, bad = K.split(settle(watched, path))
+    return _Staged(good, bad, seen.get, path)
 
 
-def _quarantine(store: Store, bad: DataFrame, n: int, run: Run, target: str, src: str, payload: str) -> None:
-    if n:
+def _finish(
+    store: Store, staged: _Staged, run: Run, table: TableDef, version: str, src: str
+) -> Loaded:
+    """Quarantine the rejected rows and drop the staged copy."""
+    counts = staged.counts
+    if counts["rows_rejected"]:
         store.append(
             QUARANTINE_TABLE,
-            bad.select(
+            staged.bad.select(
                 F.lit(run.etl_batch_id).alias("etl_batch_id"),
-                F.lit(target).alias("target_table"),
+                F.lit(table.full_name).alias("target_table"),
                 F.col(K.REASON).alias("reject_reason"),
                 F.col(src).cast("string").alias("src"),
-                F.col(payload).alias("payload"),
-            ).select(*QUARANTINE.fieldNames()),
+                "payload",
+            ),
         )
+    discard(store.spark, staged.path)
+    return Loaded(version, counts["rows_read"], counts["rows_good"], counts["rows_rejected"])
 
 
 def load_landing(store: Store, entity: Entity, run: Run) -> Loaded:
@@ -118,24 +132,24 @@ def load_landing(store: Store, entity: Entity, run: Run) -> Loaded:
     based_on = store.current_version(table)
     target = store.read(table)
     rows = landing_rows(snapshot_rows(store, entity, run), entity, run)
-    good, bad, counts = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
+    staged = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
     created = "created_at" if entity.created == "preserve" else None
-    merged = upsert_overwrite(
-        target, good.select(*target.columns, "_ord"), table.key, ["_ord"], created
-    )
+    merged = upsert_overwrite(target, staged.good, table.key, ["_ord"], created)
     version = store.publish(table, merged, run.etl_batch_id, based_on)
-    _quarantine(store, bad, counts["rows_rejected"], run, table.full_name, "_src", "payload")
-    return Loaded(version, counts["rows_read"], counts["rows_good"], counts["rows_rejected"])
+    return _finish(store, staged, run, table, version, "_src")
 
 
 def refresh_landing(store: Store, entity: Entity, run: Run, serial: TableDef) -> Loaded:
     """Older landing form: truncate, then number every payload in arrival order."""
     rows = snapshot_rows(store, entity, run)
+    path = work_path(store.spark, f"{serial.table_name}-{run.etl_batch_id}")
     numbered = add_surrogate_id(
         rows.select(F.col("element").alias("payload"), "_ord.*"),
         ["src_file", "block", "pos", "part"],
+        path=path,
     ).withColumn("ingestion_date", stamp.moment(run.as_of).cast("timestamp_ntz"))
     version = store.refresh(serial, numbered, run.etl_batch_id)
+    discard(store.spark, path)
     n = store.read(serial).count()
     return Loaded(version, n, n, 0)
 
@@ -150,27 +164,23 @@ def sanitised_rows(landing: DataFrame, entity: Entity, run: Run) -> DataFrame:
     return K.check_rows(rows, entity.rules)
 
 
-def load_sanitised(store: Store, entity: Entity, run: Run, since: str | None = None) -> Loaded:
+def load_sanitised(store: Store, entity: Entity, run: Run, incremental: bool = True) -> Loaded:
     """Landing payloads into the sanitised table, keeping values not sent again.
 
-    ``since`` reads only landing rows updated after that time.
+    Only landing rows updated at or after the last sanitised load are read; its
+    time is the greatest ``ingestion_date``.  The bound is inclusive, so a load
+    that is repeated reads its rows again, with the same result.
     """
     table = entity.sanitised
     based_on = store.current_version(table)
     target = store.read(table)
     landing = store.read(entity.landing)
-    if since is not None:
-        landing = changed_since(landing, stamp.moment(since))
+    if incremental:
+        last = F.coalesce(F.max("ingestion_date").cast("timestamp"), stamp.moment("1970-01-01 00:00:00"))
+        landing = changed_since(landing, target.select(last).scalar(), inclusive=True)
     rows = sanitised_rows(landing, entity, run)
-    good, bad, counts = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
+    staged = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
     created = "created_at" if entity.created == "preserve" else None
-    merged = upsert_preserve(
-        target,
-        good.select(*target.columns, "updated_at", "id"),
-        table.key,
-        ["updated_at", "id"],
-        created,
-    )
+    merged = upsert_preserve(target, staged.good, table.key, ["updated_at", "id"], created)
     version = store.publish(table, merged, run.etl_batch_id, based_on)
-    _quarantine(store, bad, counts["rows_rejected"], run, table.full_name, "id", "payload")
-    return Loaded(version, counts["rows_read"], counts["rows_good"], counts["rows_rejected"])
+    return _finish(store, staged, run, table, version, "id")

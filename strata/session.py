@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Zoned times get Parquet statistics, which the default INT96 form has not.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 _local_dirs: dict[str, str] = {}
@@ -56,12 +58,28 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the work folder and read it back.
+def work_path(spark: SparkSession, label: str) -> str:
+    """A new path in the work folder."""
+    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back.
 
     Cuts lineage with a written table: it outlives a lost executor, and every
     later pass sees exactly the same rows and the same generated values.
     """
-    path = f"{work_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system) for small driver-side file work."""
+    handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return handle, handle.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a settled table that nothing reads any more."""
+    handle, files = file_system(spark, path)
+    files.delete(handle, True)

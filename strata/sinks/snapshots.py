@@ -3,22 +3,37 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.sources.snapshots import dated_snapshot_path
 
 
+def _one_line(element: str) -> Column:
+    # Line breaks stand only between tokens of a JSON text, never inside a string.
+    return F.translate(element, "\r\n", "  ").alias("value")
+
+
 def write_snapshot(
-    elements: DataFrame, folder: str, source: str, day: dt.date, element: str = "element"
+    elements: DataFrame,
+    folder: str,
+    source: str,
+    day: dt.date,
+    element: str = "element",
+    order: Sequence[str] = (),
 ) -> str:
     """One source object per line, UTF-8, under the dated snapshot name.
 
     Lines split across readers.  A second run on the same day replaces the first.
+    With ``order``, part files and lines follow it, so a reader's ordinal is the
+    arrival order.
     """
+    if order:
+        elements = elements.orderBy(*order)
     path = dated_snapshot_path(folder, source, day, "jsonl")
-    elements.select(F.col(element).alias("value")).write.mode("overwrite").text(path)
+    elements.select(_one_line(element)).write.mode("overwrite").text(path)
     return path
 
 
@@ -27,7 +42,7 @@ def write_partitioned_snapshot(
 ) -> None:
     """The same as one folder partitioned by day; only that day is replaced."""
     (
-        elements.select(F.col(element).alias("value"), F.lit(day).alias("snapshot_date"))
+        elements.select(_one_line(element), F.lit(day).alias("snapshot_date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.session import file_system
+
 _POINTER = "_current"
 
 
@@ -46,12 +48,6 @@ class Store:
 
     # -- files ---------------------------------------------------------------
 
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
-
-    def _files(self, name: str):
-        return self._path(name).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-
     def folder(self, table: TableDef) -> str:
         return f"{self.root}/{table.schema_name}/{table.table_name}"
 
@@ -61,29 +57,27 @@ class Store:
     # -- versions ------------------------------------------------------------
 
     def current_version(self, table: TableDef) -> str | None:
-        name = f"{self.folder(table)}/{_POINTER}"
-        files = self._files(name)
-        if not files.exists(self._path(name)):
+        path, files = file_system(self.spark, f"{self.folder(table)}/{_POINTER}")
+        if not files.exists(path):
             return None
-        stream = files.open(self._path(name))
+        stream = files.open(path)
         try:
             return stream.readUTF()
         finally:
             stream.close()
 
     def _point_to(self, table: TableDef, version: str) -> None:
-        jvm = self.spark._jvm
-        final, fresh = (f"{self.folder(table)}/{n}" for n in (_POINTER, f"{_POINTER}.{version}"))
-        files = self._files(fresh)
-        stream = files.create(self._path(fresh), True)
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        final, files = file_system(self.spark, f"{self.folder(table)}/{_POINTER}")
+        fresh = fs.Path(f"{self.folder(table)}/{_POINTER}.{version}")
+        stream = files.create(fresh, True)
         try:
             stream.writeUTF(version)
         finally:
             stream.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), files.getConf())
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(self._path(fresh), self._path(final), options)
+        options = self.spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+        options[0] = fs.Options.Rename.OVERWRITE
+        fs.FileContext.getFileContext(files.getUri(), files.getConf()).rename(fresh, final, options)
 
     @staticmethod
     def _next_version(current: str | None, batch: str) -> str:
@@ -100,8 +94,8 @@ class Store:
         if self.current_version(table) is not None:
             return False
         version = self._next_version(None, "init")
-        path = self.version_path(table, version)
-        self._files(path).mkdirs(self._path(path))
+        path, files = file_system(self.spark, self.version_path(table, version))
+        files.mkdirs(path)
         self._point_to(table, version)
         return True
 
@@ -175,3 +169,20 @@ class Store:
         path = f"{self.root}/archive/batch_id={batch}/{table.schema_name}/{table.table_name}"
         self._open(table, version).write.mode("overwrite").parquet(path)
         return path
+
+    def versions(self, table: TableDef) -> list[str]:
+        """Versions on disk, oldest first."""
+        pattern, files = file_system(self.spark, f"{self.folder(table)}/v=*")
+        return sorted(s.getPath().getName()[2:] for s in files.globStatus(pattern) or [])
+
+    def expire(self, table: TableDef, keep: int = 1) -> list[str]:
+        """Delete superseded versions but the newest ``keep`` of them."""
+        current = self.current_version(table)
+        old = [v for v in self.versions(table) if v < current]
+        gone = old[: max(0, len(old) - keep)]
+        for version in gone:
+            if table.buckets:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._catalogue_name(table, version)}")
+            path, files = file_system(self.spark, self.version_path(table, version))
+            files.delete(path, True)
+        return gone

@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import file_system
+
 ORDINAL = "struct<src_file:string,block:bigint,pos:bigint,part:int>"
 
 
@@ -23,8 +25,7 @@ def latest_snapshot_path(spark: SparkSession, folder: str, source: str, suffix:
     Dates are zero padded, so the greatest name is the newest.  Only the folder is
     listed, one entry per day.
     """
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{source}_*.{suffix}")
-    files = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    pattern, files = file_system(spark, f"{folder}/{source}_*.{suffix}")
     found = files.globStatus(pattern)
     if not found:
         raise FileNotFoundError(f"no {source} snapshot in {folder}")

@@ -25,6 +25,8 @@ def parse_payload(df: DataFrame, schema: T.StructType, payload: str = "payload")
     return df.select(*others, F.inline(F.array(F.from_json(payload, schema))))
 
 
-def changed_since(df: DataFrame, mark: Column, updated: str = "updated_at") -> DataFrame:
-    """Rows updated after the mark; a literal mark skips Parquet row groups."""
-    return df.where(F.col(updated) > mark)
+def changed_since(
+    df: DataFrame, mark: Column, updated: str = "updated_at", inclusive: bool = False
+) -> DataFrame:
+    """Rows updated after the mark, or at it; the bound skips Parquet row groups."""
+    return df.where(F.col(updated) >= mark if inclusive else F.col(updated) > mark)

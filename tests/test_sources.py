@@ -98,7 +98,7 @@ def test_indented_edges(spark, tmp_path, objects):
 
 
 def test_snapshot_write(spark, tmp_path):
-    df = spark.createDataFrame([('{"n":"Zoë"}',), ('{"n":"two\\nlines"}',)], "element string")
+    df = spark.createDataFrame([('{"n":"Zoë"}',), ('{\n  "n":\r\n"two\\nlines"\n}',)], "element string")
     path = write_snapshot(df, str(tmp_path), "artists", dt.date(2026, 5, 1))
     write_snapshot(df.limit(1), str(tmp_path), "artists", dt.date(2026, 5, 1))
     assert snapshots.read_json_lines(spark, path).count() == 1
