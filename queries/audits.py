@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from catalog.registry import Tables, query
+from queries.registry import Tables, query
 from strata.operators import audit, relate
 from strata.operators.curated import request_counts as count_requests
 

@@ -1,7 +1,7 @@
 """Curated aggregates."""
 
-from catalog.joins import _BRIDGE, bridge_of_events
-from catalog.registry import Tables, query
+from queries.joins import _BRIDGE, bridge_of_events
+from queries.registry import Tables, query
 from strata.operators import curated as A
 from strata.operators.project import Field, sanitise, to_payload
 from strata.session import spread

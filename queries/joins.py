@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.registry import Tables, query
+from queries.registry import Tables, query
 from strata.functions import payload as P
 from strata.operators import expand, filters, relate
 from strata.operators.fold import top_n
@@ -203,11 +203,12 @@ def three_way_songs(t: Tables):
 
 
 def bridge_of_events(t: Tables):
-    tagged = t.events.select(
+    events = P.parsed(spread(t.events.select("user_id", "event_type", "props")), "props")
+    tagged = events.select(
         F.col("user_id").alias("artist_id"),
         F.array(
             F.struct(F.col("event_type").alias("name")),
-            F.struct(F.concat(F.lit("k"), P.get(P.parse(F.col("props")), "$.k")).alias("name")),
+            F.struct(F.concat(F.lit("k"), P.get(F.col("v"), "$.k")).alias("name")),
         ).alias("tags"),
     )
     return relate.tag_bridge(tagged, tag=F.col("x.name"))

@@ -5,10 +5,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog.curated import _BASE
-from catalog.registry import Tables, query
+from queries.curated import _BASE
+from queries.registry import Tables, query
 from strata.functions import payload as P
-from strata.plans.config import CURATED, Run, catalogue_entities
+from strata.plans.config import CURATED, Run, standard_entities
 from strata.plans.curate import curate
 from strata.plans.load import load_landing, load_sanitised, set_up
 from strata.session import spread, work_dir
@@ -46,12 +46,12 @@ def _loaded(t: Tables) -> tuple[Store, dict]:
     """Two daily snapshots of the releases, the first without the open orders."""
     root = _folder(t, "layers")
     raw = f"{root}/raw"
-    entities = {"releases": catalogue_entities(buckets=8, layout="lines")["releases"]}
+    entities = {"releases": standard_entities(buckets=8, layout="lines")["releases"]}
     store = Store(t.spark, f"{root}/store")
     set_up(store, entities)
     for day, rows in ((DAY1, t.orders.where(F.col("o_orderstatus") != "O")), (DAY2, t.orders)):
         write_snapshot(_release_objects(t, rows), f"{raw}/releases", "releases", day)
-        load_landing(store, entities["releases"], Run(f"{day:%Y%m%d}000000_mb", f"{day} 00:00:00", raw))
+        load_landing(store, entities["releases"], Run(f"{day:%Y%m%d}000000_src", f"{day} 00:00:00", raw))
     return store, entities
 
 
@@ -123,7 +123,7 @@ def landing_load(t: Tables):
 def sanitised_load(t: Tables):
     """Landing payloads through the generic sanitise load."""
     store, entities = _loaded(t)
-    load_sanitised(store, entities["releases"], Run("20260502000000_mb", f"{DAY2} 00:00:00", ""))
+    load_sanitised(store, entities["releases"], Run("20260502000000_src", f"{DAY2} 00:00:00", ""))
     return store.read(entities["releases"].sanitised)
 
 
@@ -136,7 +136,7 @@ def archived_version(t: Tables):
     """The superseded landing version, copied to the archive of its batch."""
     store, entities = _loaded(t)
     table = entities["releases"].landing
-    path = store.archive(table, "000002-20260501000000_mb", "20260502000000_mb")
+    path = store.archive(table, "000002-20260501000000_src", "20260502000000_src")
     return t.spark.read.schema(table.columns).parquet(path).select(
         "id", F.col("updated_at").cast("timestamp_ntz").alias("updated_at")
     )
@@ -155,7 +155,7 @@ def archived_version(t: Tables):
 def curation_stage(t: Tables):
     """Sanitised tables through the curation stage; the artist metrics it publishes."""
     store = Store(t.spark, _folder(t, "curation"))
-    entities = catalogue_entities()
+    entities = standard_entities()
     set_up(store, entities)
     frames = {"artists": t.artists, "releases": t.releases, "recordings": t.recordings, "urls": t.urls}
     for name, rows in frames.items():

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from catalog.registry import Tables, query
+from queries.registry import Tables, query
 from strata.functions import clean as C
 from strata.functions import payload as P
 from strata.functions import stamp
@@ -100,7 +100,7 @@ def key_alias(t: Tables):
         .otherwise(P.serialise(F.col("c_custkey").alias("id"), F.col("c_name").alias("artist_id")))
         .alias("payload"),
     )
-    return P.parsed(payloads).select("c_name", J.key_alias(F.col("v")).alias("id"))
+    return J.key_alias(P.parsed(payloads)).select("c_name", "id")
 
 
 @query(
@@ -144,7 +144,7 @@ def column_defaults(t: Tables):
 
 @query(
     """
-    SELECT o_orderkey AS release_id, 'cc197bad' AS artist_id, o_orderpriority AS title,
+    SELECT o_orderkey AS release_id, 'artist-1' AS artist_id, o_orderpriority AS title,
            strftime(o_orderdate, '%Y-%m-%d') AS date, o_custkey AS country, o_orderstatus AS status
     FROM orders
     """
@@ -159,7 +159,7 @@ def literal_key_projection(t: Tables):
         F.col("o_orderstatus").alias("status"),
         "o_totalprice",
     )
-    return J.release_projection(rows, "cc197bad")
+    return J.release_projection(rows, "artist-1")
 
 
 @query("SELECT c_custkey AS id FROM customer")

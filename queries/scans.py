@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from catalog.registry import Tables, query
+from queries.registry import Tables, query
 from strata.functions import payload as P
 from strata.functions import stamp
 from strata.operators.filters import split_objects

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog.registry import Tables, query
+from queries.registry import Tables, query
 from strata.operators import constraints as K
 from strata.operators import fold, upsert
 from strata.operators.numbering import add_surrogate_id

@@ -73,14 +73,12 @@ def kind(v: Column, path: str = "$") -> Column:
     )
 
 
-def truthy_text(v: Column, path: str) -> Column:
-    """Text at ``path``, NULL where the value is empty: '', 0, false, [] or {}."""
-    text = get(v, path)
-    what = kind(v, path)
+def truthy_text(text: Column, what: Column) -> Column:
+    """Text of a value of the given kind, NULL where it is empty: '', 0, false, [], {}."""
     empty = (
         (text == "")
-        | ((what == "number") & (get(v, path, "double") == 0))
+        | ((what == "number") & (text.try_cast("double") == 0))
         | ((what == "boolean") & (text == "false"))
-        | text.isin("[]", "{}") & what.isin("list", "object")
+        | (what.isin("list", "object") & text.isin("[]", "{}"))
     )
     return F.when(~empty, text)

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from strata.operators.fold import ordinal
 from strata.operators.skew import lookup_join
 
 REASON = "reject_reason"
@@ -53,7 +54,7 @@ def check_unique(
     come from a partial aggregate; good rows are never gathered per key.  A row
     rejected earlier takes no key.  ``order`` must tell the rows of a key apart.
     """
-    by = F.struct(*order)
+    by = ordinal(order)
     if REASON not in df.columns:
         df = df.withColumn(REASON, F.lit(None).cast("string"))
     repeated = (

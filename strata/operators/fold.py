@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order(order: Sequence[str]) -> Column:
+def ordinal(order: Sequence[str]) -> Column:
+    """One comparable column; a single number stays plain and can be hashed."""
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
@@ -32,7 +33,7 @@ def fold_last(
 
     Columns named in ``first`` come from the row that arrived first instead.
     """
-    by = _order(order)
+    by = ordinal(order)
     values = _values(rows, keys, first, keep_order, order)
     aggs = [F.max_by(F.struct(*values), by).alias("_last")] if values else []
     aggs += [F.min_by(c, by).alias(c) for c in first]
@@ -49,7 +50,7 @@ def fold_last_non_null(
     keep_order: bool = False,
 ) -> DataFrame:
     """One row per key: for every column, the last value that is not NULL."""
-    by = _order(order)
+    by = ordinal(order)
     values = _values(rows, keys, first, keep_order, order)
     aggs = [F.max_by(c, F.when(F.col(c).isNotNull(), by)).alias(c) for c in values]
     aggs += [F.min_by(c, by).alias(c) for c in first]
@@ -64,7 +65,7 @@ def fold_first(
     values = _values(rows, keys, (), keep_order, order)
     return (
         rows.groupBy(*keys)
-        .agg(F.min_by(F.struct(*values), _order(order)).alias("_first"))
+        .agg(F.min_by(F.struct(*values), ordinal(order)).alias("_first"))
         .select(*(c if c in keys else F.col(f"_first.{c}").alias(c) for c in rows.columns if c in {*keys, *values}))
     )
 

@@ -34,9 +34,18 @@ def project_to(df: DataFrame, target: T.StructType, mapping: dict[str, str] | No
     return df.select(*(column(f) for f in target.fields))
 
 
-def key_alias(v: Column, names: Sequence[str] = ("id", "artist_id")) -> Column:
-    """Key text of a payload: the first of the named fields that is not empty."""
-    return F.coalesce(*(P.truthy_text(v, P.field(n)) for n in names))
+def key_alias(
+    df: DataFrame, v: str = "v", names: Sequence[str] = ("id", "artist_id"), key: str = "id"
+) -> DataFrame:
+    """Add the key text of a payload: the first of the named fields that is not empty."""
+    at = [P.field(n) for n in names]
+    raw = df.select(
+        *df.columns,
+        *(P.get(F.col(v), path).alias(f"_text{i}") for i, path in enumerate(at)),
+        *(P.kind(F.col(v), path).alias(f"_kind{i}") for i, path in enumerate(at)),
+    )
+    keys = (P.truthy_text(F.col(f"_text{i}"), F.col(f"_kind{i}")) for i in range(len(at)))
+    return raw.select(*df.columns, F.coalesce(*keys).alias(key))
 
 
 def key_alias_columns(df: DataFrame, names: Sequence[str], key: str = "id") -> DataFrame:

@@ -31,8 +31,8 @@ class Entity:
     child_steps: tuple[str, ...] = ()
     layout: str = "array"  # a key of sources.snapshots.READERS
     created: str = "preserve"  # or "overwrite"
-    source_system: str = "mb"
-    group_name: str = "catalogue"
+    source_system: str = "src"
+    group_name: str = "entities"
 
     @property
     def key_type(self) -> T.DataType:
@@ -58,15 +58,15 @@ def landing_table(name: str, buckets: int, columns: T.StructType = S.LANDING) ->
     return TableDef("landing", name, columns, ("id",), buckets, ("updated_at",))
 
 
-def catalogue_entities(
+def standard_entities(
     buckets: int = 0,
     layout: str = "array",
     recording_steps: tuple[str, ...] = ("$.parts", "$.items"),
     url_steps: tuple[str, ...] = ("$.links",),
-    source_system: str = "mb",
+    source_system: str = "src",
     key_type: str = "string",
 ) -> dict[str, Entity]:
-    """The four catalogue entities.  Where recordings and urls nest inside a
+    """The four standard entities.  Where recordings and urls nest inside a
     release body is a setting, as are the file layout and the landing key type."""
     landing = {"string": S.LANDING, "bigint": S.LANDING_BIGINT}[key_type]
 

@@ -61,28 +61,23 @@ def landing_rows(rows: DataFrame, entity: Entity, run: Run) -> DataFrame:
     name = entity.landing.key[0]
     v = F.col("_v")
     rows = P.parsed(rows.withColumn("payload", F.col("element")), "element", "_v")
-    rows = rows.select(
-        "payload",
-        "src_file",
-        "_ord",
-        P.kind(v).alias("_kind"),
-        key_alias(v, entity.key_fields).alias("_key"),
-        null_if_sentinel(P.get(v, "$.created_at"), empty_is_null=True).alias("_created"),
-    )
+    rows = rows.withColumns({"_kind": P.kind(v), "_given": P.get(v, "$.created_at")})
+    rows = key_alias(rows, "_v", entity.key_fields, "_key").drop("_v")
+    given = null_if_sentinel(F.col("_given"), empty_is_null=True)
+    rows = rows.withColumns({"_given": given, "_created": F.try_to_timestamp(given)})
     now = stamp.moment(run.as_of)
     key = _castable(F.col("_key"), entity.key_type)
-    created = F.try_to_timestamp("_created")
     reason = F.coalesce(
         F.when(F.col("_kind").isNull(), F.lit("invalid json")),
         F.when(F.col("_kind") != "object", F.lit("not an object")),
         F.when(F.col("_key").isNull(), F.lit(f"{name} is null")),
         F.when(key.isNull(), F.lit(f"{name} is not {entity.key_type.simpleString()}")),
-        F.when(F.col("_created").isNotNull() & created.isNull(), F.lit("created_at is not a time")),
+        F.when(F.col("_given").isNotNull() & F.col("_created").isNull(), F.lit("created_at is not a time")),
     )
     return rows.select(
         key.alias(name),
         "payload",
-        F.coalesce(created, now).alias("created_at"),
+        F.coalesce("_created", now).alias("created_at"),
         now.alias("updated_at"),
         "_ord",
         F.col("src_file").alias("_src"),

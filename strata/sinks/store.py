@@ -99,7 +99,7 @@ class Store:
         self._point_to(table, version)
         return True
 
-    def _catalogue_name(self, table: TableDef, version: str) -> str:
+    def _table_name(self, table: TableDef, version: str) -> str:
         plain = re.sub(r"\W", "_", f"{table.schema_name}_{table.table_name}_{version}_{self.root}")
         return plain.lower()
 
@@ -107,7 +107,7 @@ class Store:
         path = self.version_path(table, version)
         if not table.buckets:
             return self.spark.read.schema(table.columns).parquet(path)
-        name = self._catalogue_name(table, version)
+        name = self._table_name(table, version)
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.columns)
             keys = ", ".join(f"`{k}`" for k in table.key)
@@ -140,7 +140,7 @@ class Store:
             writer = rows.write.bucketBy(table.buckets, *table.key)
             if table.sort_by:
                 writer = writer.sortBy(*table.sort_by)
-            name = self._catalogue_name(table, version)
+            name = self._table_name(table, version)
             writer.option("path", path).format("parquet").mode("overwrite").saveAsTable(name)
         else:
             if table.sort_by:
@@ -182,7 +182,7 @@ class Store:
         gone = old[: max(0, len(old) - keep)]
         for version in gone:
             if table.buckets:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._catalogue_name(table, version)}")
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(table, version)}")
             path, files = file_system(self.spark, self.version_path(table, version))
             files.delete(path, True)
         return gone

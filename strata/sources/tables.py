@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 
 def target_schema(spark: SparkSession, table: str, registry: dict[str, T.StructType]) -> T.StructType:
-    """Columns of a target in declared order, from the registry or the catalogue."""
+    """Columns of a target in declared order, from the registry or the session."""
     if table in registry:
         return registry[table]
     if spark.catalog.tableExists(table):

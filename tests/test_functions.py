@@ -88,7 +88,7 @@ def test_payload_values(spark):
 def test_key_alias(spark, text, key):
     from strata.operators.project import key_alias
 
-    assert payload(spark, text).select(key_alias(F.col("v"))).first()[0] == key
+    assert key_alias(payload(spark, text)).first().id == key
 
 
 def test_serialise_keeps_null_fields(spark):

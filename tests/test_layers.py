@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.audit import batch_outcome
 from strata.plans.batch import Batch, lost_keys, new_batch_id, phase_log, run_batch
-from strata.plans.config import BATCH_LOG, QUARANTINE_TABLE, RECON_LOG, CURATED, Run, catalogue_entities
+from strata.plans.config import BATCH_LOG, QUARANTINE_TABLE, RECON_LOG, CURATED, Run, standard_entities
 from strata.plans.load import load_landing, load_sanitised, set_up
 from strata.sinks.store import StaleTarget, Store
 
@@ -61,13 +61,13 @@ def raw(tmp_path):
 
 
 def run(raw, as_of, n):
-    return Run(f"2026050{n}000000_mb", as_of, str(raw))
+    return Run(f"2026050{n}000000_src", as_of, str(raw))
 
 
 @pytest.mark.parametrize("buckets", [0, 8])
 def test_two_snapshots(spark, tmp_path, raw, buckets):
     store = Store(spark, str(tmp_path / "store"))
-    entities = catalogue_entities(buckets=buckets)
+    entities = standard_entities(buckets=buckets)
     out = run_batch(store, entities, run(raw, DAY1, 1))
     assert (out["landing.artists"].rows_read, out["landing.artists"].rows_rejected) == (8, 3)
     assert (out["sanitised.artists"].rows_read, out["sanitised.artists"].rows_rejected) == (4, 1)
@@ -125,7 +125,7 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path, raw):
     from strata.operators.upsert import upsert_overwrite
 
     store = Store(spark, str(tmp_path / "store"))
-    entity = catalogue_entities(buckets=8)["artists"]
+    entity = standard_entities(buckets=8)["artists"]
     set_up(store, {"artists": entity})
     load_landing(store, entity, run(raw, DAY1, 1))
     target = store.read(entity.landing)
@@ -146,7 +146,7 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path, raw):
 
 def test_failed_load_changes_nothing(spark, tmp_path, raw):
     store = Store(spark, str(tmp_path / "store"))
-    entities = catalogue_entities()
+    entities = standard_entities()
     set_up(store, entities)
     e = entities["artists"]
     load_landing(store, e, run(raw, DAY1, 1))
@@ -166,7 +166,7 @@ def test_failed_load_changes_nothing(spark, tmp_path, raw):
 def test_failed_phase_is_logged_and_raised(spark, tmp_path, raw):
     store = Store(spark, str(tmp_path / "store"))
     set_up(store, {})
-    batch = Batch(store, run(raw, DAY1, 1), "mb", "catalogue")
+    batch = Batch(store, run(raw, DAY1, 1), "src", "entities")
     with pytest.raises(ZeroDivisionError):
         batch.phase("p", lambda: 1 / 0)
     row = phase_log(store.read(BATCH_LOG)).first()
@@ -179,7 +179,7 @@ def test_failed_phase_is_logged_and_raised(spark, tmp_path, raw):
 
 def test_archive_and_setup(spark, tmp_path, raw):
     store = Store(spark, str(tmp_path / "store"))
-    entities = catalogue_entities()
+    entities = standard_entities()
     set_up(store, entities)
     e = entities["artists"]
     first = store.current_version(e.landing)

@@ -48,7 +48,7 @@ def test_sanitise_rules(spark):
     )
     fields = (
         J.Field("t", "$.t"), J.Field("d", "$.d", "date_text"), J.Field("day", "$.d", "day"),
-        J.Field("s", "$.s", "value", "int"), J.Field("l", "$.l"), J.Field("i2", "i", "column"),
+        J.Field("s", "$.s", "value", "int"), J.Field("l", "$.l"), J.Field("i2", "i", "column", "int"),
     )
     assert sorted(rows(J.sanitise(df, fields, keep=("i",)))) == [
         (1, "1989", "1989-01-01", dt.date(1989, 1, 1), 7, '[1,"a"]', 1),
@@ -79,10 +79,10 @@ def test_prefix_before_failure(spark):
 
 
 def test_terms(spark):
-    df = frame(spark, [("KK",), (" kk ",), ("Arijit Singh",), (None,)], "name string")
-    terms = frame(spark, [("kk",), ("KK",), ("arijit",)], "term string")
-    assert sorted(rows(filters.match_terms(df, terms))) == [(" kk ",), ("KK",)]
-    assert sorted(rows(filters.containing_terms(df, ["Arijit"]))) == [("Arijit Singh",)]
+    df = frame(spark, [("Ana",), (" ana ",), ("Bo Larsen",), (None,)], "name string")
+    terms = frame(spark, [("ana",), ("Ana",), ("larsen",)], "term string")
+    assert sorted(rows(filters.match_terms(df, terms))) == [(" ana ",), ("Ana",)]
+    assert sorted(rows(filters.containing_terms(df, ["Larsen"]))) == [("Bo Larsen",)]
     assert filters.containing_terms(df, []).count() == 0
     assert filters.in_country(frame(spark, [("IN",), ("GB",), (None,)], "country string"), "IN").count() == 1
 
@@ -228,37 +228,37 @@ def test_expansions(spark):
 
 
 @pytest.fixture(scope="module")
-def music(spark):
-    artists = frame(spark, [(1, "KK", "IN"), (2, "KK", "GB"), (3, "None yet", "IN")], "artist_id int, name string, country string")
+def hierarchy(spark):
+    artists = frame(spark, [(1, "Ana", "IN"), (2, "Ana", "GB"), (3, "None yet", "IN")], "artist_id int, name string, country string")
     releases = frame(
         spark,
-        [(10, 1, "g1", "Pal", dt.date(1999, 4, 22), "IN", "Official"), (11, 1, "g1", "Pal", dt.date(2009, 1, 1), "GB", "Official"),
-         (12, 2, "g2", "Hum", dt.date(2008, 1, 1), "IN", None), (13, 99, None, "Lost", None, None, None)],
+        [(10, 1, "g1", "Dawn", dt.date(1999, 4, 22), "IN", "Official"), (11, 1, "g1", "Dawn", dt.date(2009, 1, 1), "GB", "Official"),
+         (12, 2, "g2", "Tide", dt.date(2008, 1, 1), "IN", None), (13, 99, None, "Lost", None, None, None)],
         "release_id int, artist_id int, group_id string, title string, release_date date, country string, status string",
     )
-    recordings = frame(spark, [("s1", 10, "Pal"), ("s1", 11, "Pal"), ("s2", 10, "Yaaron"), ("s3", 12, "Humsafar"), ("s9", 77, "?"), (None, 12, "?")],
+    recordings = frame(spark, [("s1", 10, "Dawn"), ("s1", 11, "Dawn"), ("s2", 10, "Yard"), ("s3", 12, "Harbour"), ("s9", 77, "?"), (None, 12, "?")],
                        "recording_id string, release_id int, song_name string")
     urls = frame(spark, [("u1", 10), ("u2", 10), ("u3", 12)], "url_id string, release_id int")
     return artists, releases, recordings, urls
 
 
-def test_songs(spark, music):
-    artists, releases, recordings, _ = music
+def test_songs(spark, hierarchy):
+    artists, releases, recordings, _ = hierarchy
     # A recording on two releases counts twice, and namesakes are one name.
-    assert rows(A.ranked_songs_per_artist(artists, releases, recordings)) == [("KK", 4)]
-    assert rows(A.most_active(artists, releases, recordings, 1)) == [("KK", 4)]
+    assert rows(A.ranked_songs_per_artist(artists, releases, recordings)) == [("Ana", 4)]
+    assert rows(A.most_active(artists, releases, recordings, 1)) == [("Ana", 4)]
     assert relate.artist_songs(artists, releases, recordings).count() == 5
-    albums = frame(spark, [("g1", 1, "Pal"), ("g2", 2, "Hum")], "group_id string, artist_id int, title string")
-    assert sorted(rows(relate.artist_albums(artists, albums, releases)))[0] == ("KK", "Hum", dt.date(2008, 1, 1))
+    albums = frame(spark, [("g1", 1, "Dawn"), ("g2", 2, "Tide")], "group_id string, artist_id int, title string")
+    assert sorted(rows(relate.artist_albums(artists, albums, releases)))[0] == ("Ana", "Dawn", dt.date(1999, 4, 22))
 
 
-def test_metrics(spark, music):
-    artists, releases, recordings, urls = music
+def test_metrics(spark, hierarchy):
+    artists, releases, recordings, urls = hierarchy
     songs = A.songs_per_release(recordings)
     per_artist = A.artist_metrics(artists, releases, songs)
     assert sorted(rows(per_artist)) == [
-        (1, "KK", "IN", 2, 1, 3, dt.date(1999, 4, 22), dt.date(2009, 1, 1)),
-        (2, "KK", "GB", 1, 1, 1, dt.date(2008, 1, 1), dt.date(2008, 1, 1)),
+        (1, "Ana", "IN", 2, 1, 3, dt.date(1999, 4, 22), dt.date(2009, 1, 1)),
+        (2, "Ana", "GB", 1, 1, 1, dt.date(2008, 1, 1), dt.date(2008, 1, 1)),
         (3, "None yet", "IN", 0, 0, 0, None, None),
     ]
     assert sorted(rows(A.country_metrics(per_artist))) == [("GB", 1, 1, 1), ("IN", 2, 2, 3)]
@@ -268,24 +268,24 @@ def test_metrics(spark, music):
     assert sorted(rows(A.recording_metrics(releases, recordings.where("recording_id is not null")))) == [
         ("s1", 2, 1), ("s2", 1, 1), ("s3", 1, 1), ("s9", 1, 0),
     ]
-    assert sorted(rows(A.discography(artists, releases)))[0] == (1, "KK", 2, dt.date(1999, 4, 22), dt.date(2009, 1, 1), 2, 1)
-    assert sorted(rows(A.albums_per_artist(artists, releases))) == [(1, "KK", 1), (2, "KK", 1)]
+    assert sorted(rows(A.discography(artists, releases)))[0] == (1, "Ana", 2, dt.date(1999, 4, 22), dt.date(2009, 1, 1), 2, 1)
+    assert sorted(rows(A.albums_per_artist(artists, releases))) == [(1, "Ana", 1), (2, "Ana", 1)]
     assert sorted(rows(A.release_trend(releases)), key=str) == [(1999, 1), (2008, 1), (2009, 1), (None, 1)]
     assert sorted(rows(A.artists_by_country(artists))) == [("GB", 1), ("IN", 2)]
 
 
-def test_tags(spark, music):
-    tagged = frame(spark, [(1, ["filmi", "filmi", "pop"]), (2, ["filmi"]), (3, None)], "artist_id int, tags array<string>")
+def test_tags(spark, hierarchy):
+    tagged = frame(spark, [(1, ["folk", "folk", "pop"]), (2, ["folk"]), (3, None)], "artist_id int, tags array<string>")
     bridge = relate.tag_bridge(tagged)
-    assert sorted(rows(bridge)) == [(1, "filmi"), (1, "pop"), (2, "filmi")]
+    assert sorted(rows(bridge)) == [(1, "folk"), (1, "pop"), (2, "folk")]
     more = bridge.union(frame(spark, [(3, "pop")], "artist_id int, tag_name string"))
-    assert rows(A.tag_counts(more)) == [("filmi", 2), ("pop", 2)]  # a tie is ordered by name
-    tags = frame(spark, [("filmi", 7)], "tag_name string, tag_id int")
-    assert sorted(rows(relate.tagged_artists(music[0], bridge, tags), "name", "tag_id")) == [("KK", 7), ("KK", 7)]
+    assert rows(A.tag_counts(more)) == [("folk", 2), ("pop", 2)]  # a tie is ordered by name
+    tags = frame(spark, [("folk", 7)], "tag_name string, tag_id int")
+    assert sorted(rows(relate.tagged_artists(hierarchy[0], bridge, tags), "name", "tag_id")) == [("Ana", 7), ("Ana", 7)]
 
 
-def test_orphans(spark, music):
-    artists, releases, recordings, _ = music
+def test_orphans(spark, hierarchy):
+    artists, releases, recordings, _ = hierarchy
     assert rows(relate.orphans(releases, artists, "artist_id", "artist_id")) == [(99, 1)]
     assert rows(relate.orphan_rows(recordings, releases, "release_id", "release_id"), "recording_id") == [("s9",)]
 
