@@ -10,11 +10,13 @@ from queries.registry import Tables, query
 from strata.functions import payload as P
 from strata.plans.config import CURATED, Run, standard_entities
 from strata.plans.curate import curate
+from strata.plans.extract import extract
 from strata.plans.load import load_landing, load_sanitised, set_up
+from strata.schemas import columns
 from strata.session import spread, work_dir
 from strata.sinks.snapshots import write_partitioned_snapshot, write_snapshot
 from strata.sinks.store import Store
-from strata.sources import snapshots, tables
+from strata.sources import responses, snapshots, tables
 
 DAY1, DAY2 = dt.date(2026, 5, 1), dt.date(2026, 5, 2)
 
@@ -142,6 +144,40 @@ def archived_version(t: Tables):
     )
 
 
+@query(
+    """
+    SELECT o_orderkey::varchar AS id, o_custkey::varchar AS artist_id, o_orderstatus AS status
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0 AND o_orderstatus <> 'P'
+    """
+)
+def extraction_run(t: Tables):
+    """Captured searches and browses to snapshots; the artists found drive the releases."""
+    artist = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
+    searches = spread(t.customer).select(
+        F.lit("artist").alias("endpoint"),
+        F.col("c_name").alias("request_key"),
+        F.col("c_custkey").alias("ord"),
+        F.when(F.col("c_acctbal") < 0, 500).otherwise(200).alias("status_code"),
+        F.to_json(F.struct(F.array(artist).alias("artists"))).alias("body"),
+    )
+    release = F.struct(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"))
+    browses = spread(t.orders).select(
+        F.lit("release").alias("endpoint"),
+        F.col("o_custkey").cast("string").alias("request_key"),
+        F.col("o_orderkey").alias("ord"),
+        F.when(F.col("o_orderstatus") == "P", 404).otherwise(200).alias("status_code"),
+        F.to_json(F.struct(F.array(release).alias("releases"))).alias("body"),
+    )
+    run = Run("20260501000000_src", f"{DAY1} 00:00:00", _folder(t, "extract"), DAY1)
+    paths = extract(responses.concat_all(searches, browses), run)
+    rows = tables.parse_payload(
+        snapshots.read_json_lines(t.spark, paths["releases"]).select("element"),
+        columns("id string, artist_id string, status string"),
+        "element",
+    )
+    return rows
+
+
 @query(
     f"""
     {_BASE}, s AS (SELECT release_id, count(recording_id) AS n FROM recordings GROUP BY 1)

@@ -156,23 +156,29 @@ def sanitised_rows(landing: DataFrame, entity: Entity, run: Run) -> DataFrame:
     )
     if "ingestion_date" in entity.sanitised.columns.fieldNames():
         rows = rows.withColumn("ingestion_date", stamp.moment(run.as_of).cast("timestamp_ntz"))
-    return K.check_rows(rows, entity.rules)
+    checked = K.check_rows(rows, entity.rules)
+    # Only a rejected row still needs its payload; a body may have many children.
+    return checked.withColumn("payload", F.when(F.col(K.REASON).isNotNull(), F.col("payload")))
 
 
 def load_sanitised(store: Store, entity: Entity, run: Run, incremental: bool = True) -> Loaded:
     """Landing payloads into the sanitised table, keeping values not sent again.
 
-    Only landing rows updated at or after the last sanitised load are read; its
-    time is the greatest ``ingestion_date``.  The bound is inclusive, so a load
-    that is repeated reads its rows again, with the same result.
+    Only landing rows updated after the last sanitised load are read; its time is
+    the greatest ``ingestion_date``.  Every run has a time of its own, and a run
+    that is repeated reads its own rows again, with the same result.
     """
     table = entity.sanitised
     based_on = store.current_version(table)
     target = store.read(table)
     landing = store.read(entity.landing)
     if incremental:
-        last = F.coalesce(F.max("ingestion_date").cast("timestamp"), stamp.moment("1970-01-01 00:00:00"))
-        landing = changed_since(landing, target.select(last).scalar(), inclusive=True)
+        last = F.max("ingestion_date").cast("timestamp")
+        after_last = last + F.expr("INTERVAL 1 MICROSECOND")
+        start = F.when(last.isNull(), stamp.moment("1970-01-01 00:00:00")).otherwise(
+            F.least(after_last, stamp.moment(run.as_of))
+        )
+        landing = changed_since(landing, target.select(start).scalar(), inclusive=True)
     rows = sanitised_rows(landing, entity, run)
     staged = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
     created = "created_at" if entity.created == "preserve" else None

@@ -9,7 +9,7 @@ from helpers import plan
 FOLDER = "/root/testdata/sf0.001"
 NAMES = sorted(contract.queries())
 WRITES = {"snapshot_write", "snapshot_partitions", "landing_load", "sanitised_load", "archived_version",
-          "curation_stage", "full_refresh"}
+          "curation_stage", "full_refresh", "extraction_run"}
 
 
 @pytest.fixture(scope="module")
