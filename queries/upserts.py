@@ -137,9 +137,8 @@ def latest_per_key(t: Tables):
 def fold_last_row(t: Tables):
     """Same-key rows of a batch folded: last row, first creation time."""
     rows = t.events.select("user_id", "event_type", "event_id", F.col("ts").alias("created_at"))
-    return fold.fold_last(
-        rows, ["user_id", "event_type"], ["event_id"], first=["created_at"], keep_order=True
-    )
+    keys = ["user_id", "event_type"]
+    return fold.fold_last(rows, keys, ["event_id"], ["created_at"], rows.columns)
 
 
 @query(

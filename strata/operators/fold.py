@@ -17,9 +17,12 @@ def ordinal(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def _values(rows: DataFrame, keys: Sequence[str], drop: Sequence[str], keep_order: bool, order: Sequence[str]) -> list[str]:
-    skip = {*keys, *drop} if keep_order else {*keys, *drop, *order}
-    return [c for c in rows.columns if c not in skip]
+def _kept(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str] | None
+) -> list[str]:
+    if columns is not None:
+        return list(columns)
+    return [c for c in rows.columns if c in keys or c not in order]
 
 
 def fold_last(
@@ -27,19 +30,19 @@ def fold_last(
     keys: Sequence[str],
     order: Sequence[str],
     first: Sequence[str] = (),
-    keep_order: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the last one to arrive.
 
-    Columns named in ``first`` come from the row that arrived first instead.
+    Columns named in ``first`` come from the row that arrived first instead.  The
+    result holds ``columns``, by default all but the ordinal.
     """
-    by = ordinal(order)
-    values = _values(rows, keys, first, keep_order, order)
+    by, kept = ordinal(order), _kept(rows, keys, order, columns)
+    values = [c for c in kept if c not in keys and c not in first]
     aggs = [F.max_by(F.struct(*values), by).alias("_last")] if values else []
     aggs += [F.min_by(c, by).alias(c) for c in first]
     folded = rows.groupBy(*keys).agg(*aggs) if aggs else rows.select(*keys).distinct()
-    names = [c for c in rows.columns if c in {*keys, *values, *first}]
-    return folded.select(*(F.col(f"_last.{c}").alias(c) if c in values else F.col(c) for c in names))
+    return folded.select(*(F.col(f"_last.{c}").alias(c) if c in values else F.col(c) for c in kept))
 
 
 def fold_last_non_null(
@@ -47,27 +50,31 @@ def fold_last_non_null(
     keys: Sequence[str],
     order: Sequence[str],
     first: Sequence[str] = (),
-    keep_order: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: for every column, the last value that is not NULL."""
-    by = ordinal(order)
-    values = _values(rows, keys, first, keep_order, order)
-    aggs = [F.max_by(c, F.when(F.col(c).isNotNull(), by)).alias(c) for c in values]
-    aggs += [F.min_by(c, by).alias(c) for c in first]
+    by, kept = ordinal(order), _kept(rows, keys, order, columns)
+    aggs = [
+        (F.min_by(c, by) if c in first else F.max_by(c, F.when(F.col(c).isNotNull(), by))).alias(f"_{c}")
+        for c in kept
+        if c not in keys
+    ]
     folded = rows.groupBy(*keys).agg(*aggs) if aggs else rows.select(*keys).distinct()
-    return folded.select(*(c for c in rows.columns if c in {*keys, *values, *first}))
+    return folded.select(*(F.col(c) if c in keys else F.col(f"_{c}").alias(c) for c in kept))
 
 
 def fold_first(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], keep_order: bool = False
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the first one to arrive."""
-    values = _values(rows, keys, (), keep_order, order)
-    return (
-        rows.groupBy(*keys)
-        .agg(F.min_by(F.struct(*values), ordinal(order)).alias("_first"))
-        .select(*(c if c in keys else F.col(f"_first.{c}").alias(c) for c in rows.columns if c in {*keys, *values}))
-    )
+    kept = _kept(rows, keys, order, columns)
+    values = [c for c in kept if c not in keys]
+    first = F.min_by(F.struct(*values), ordinal(order)).alias("_first")
+    folded = rows.groupBy(*keys).agg(first) if values else rows.select(*keys).distinct()
+    return folded.select(*(F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in kept))
 
 
 def latest_row(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

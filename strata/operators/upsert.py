@@ -7,7 +7,7 @@ all (see ``sinks.store``).  Rows with a NULL key must have been rejected before.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,18 +27,12 @@ def _match(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataF
     return side(target, "_t").join(side(incoming, "_i"), list(keys), "full_outer")
 
 
-def _aligned(target: DataFrame, incoming: DataFrame, order: Sequence[str]) -> tuple[DataFrame, bool]:
-    """Batch columns in target order, and whether the target stores the ordinal."""
-    extra = [c for c in order if c not in target.columns]
-    return incoming.select(*target.columns, *extra), not extra
-
-
 def _merge(
     target: DataFrame,
     folded: DataFrame,
     keys: Sequence[str],
     created: str | None,
-    pick: callable,
+    pick: Callable[[Column, Column], Column],
 ) -> DataFrame:
     def column(name: str) -> Column:
         if name in keys:
@@ -63,8 +57,7 @@ def upsert_overwrite(
     The ``created`` column keeps its first value; None overwrites it as well.
     """
     created = created if created in target.columns else None
-    rows, stored = _aligned(target, incoming, order)
-    folded = fold_last(rows, keys, order, first=[created] if created else [], keep_order=stored)
+    folded = fold_last(incoming, keys, order, [created] if created else [], target.columns)
     hit = F.col("_i").isNotNull()
     return _merge(target, folded, keys, created, lambda old, new: F.when(hit, new).otherwise(old))
 
@@ -78,10 +71,7 @@ def upsert_preserve(
 ) -> DataFrame:
     """Only incoming values that are not NULL replace target values."""
     created = created if created in target.columns else None
-    rows, stored = _aligned(target, incoming, order)
-    folded = fold_last_non_null(
-        rows, keys, order, first=[created] if created else [], keep_order=stored
-    )
+    folded = fold_last_non_null(incoming, keys, order, [created] if created else [], target.columns)
     return _merge(target, folded, keys, created, lambda old, new: F.coalesce(new, old))
 
 
@@ -89,8 +79,7 @@ def insert_absent(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Target rows stay; the first incoming row of each new key is added."""
-    rows, stored = _aligned(target, incoming, order)
-    fresh = fold_first(rows, keys, order, keep_order=stored).join(
+    fresh = fold_first(incoming, keys, order, target.columns).join(
         target.select(*keys), list(keys), "left_anti"
     )
     return target.unionByName(fresh)

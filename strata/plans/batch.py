@@ -43,16 +43,17 @@ class Batch:
             BATCH_LOG, one.select(*(F.lit(v).cast(BATCH_LOG.columns[c].dataType).alias(c) for c, v in row.items()))
         )
 
-    def phase(self, name: str, work: Callable[[], Loaded | None]) -> Loaded | None:
+    def phase(self, name: str, work: Callable[[], Loaded | int | None]) -> Loaded | int | None:
         """Run one phase; a failure is logged and raised, what it read stays current."""
         started = dt.datetime.now(dt.timezone.utc)
         self.log(name, audit.STARTED, started)
         try:
             loaded = work()
         except Exception as e:
-            self.log(name, audit.FAILED, started, error=str(e)[:2000])
+            self.log(name, audit.FAILED, started, error=str(e))
             raise
-        self.log(name, audit.SUCCEEDED, started, loaded.rows_good if loaded else None)
+        rows = loaded.rows_good if isinstance(loaded, Loaded) else loaded
+        self.log(name, audit.SUCCEEDED, started, rows)
         return loaded
 
     def reconcile(self, source: DataFrame | int, target: DataFrame, source_name: str, target_name: str, phase: str) -> None:
@@ -95,6 +96,13 @@ def run_batch(store: Store, entities: dict[str, Entity], run: Run) -> dict[str,
     batch = Batch(store, run, first.source_system, first.group_name)
     set_up(store, entities)
     out: dict[str, Loaded] = {}
+    batch.phase("batch", lambda: _phases(batch, entities, out))
+    return out
+
+
+def _phases(batch: Batch, entities: dict[str, Entity], out: dict[str, Loaded]) -> int:
+    """All phases of an open batch; returns the sanitised rows."""
+    store, run = batch.store, batch.run
     for name, e in entities.items():
         landed = out[f"landing.{name}"] = batch.phase(
             f"load_landing_{name}", lambda e=e: load_landing(store, e, run)
@@ -113,4 +121,4 @@ def run_batch(store: Store, entities: dict[str, Entity], run: Run) -> dict[str,
             source, store.read(e.sanitised), e.landing.full_name, e.sanitised.full_name, f"recon_{name}"
         )
     batch.phase("curate", lambda: curate(store, entities, run) and None)
-    return out
+    return sum(loaded.rows_good for name, loaded in out.items() if name.startswith("sanitised"))

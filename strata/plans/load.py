@@ -15,7 +15,7 @@ from strata.operators import constraints as K
 from strata.operators.numbering import add_surrogate_id
 from strata.operators.project import key_alias, sanitise
 from strata.operators.upsert import upsert_overwrite, upsert_preserve
-from strata.plans.config import AUDIT, CURATED, QUARANTINE, QUARANTINE_TABLE, Entity, Run
+from strata.plans.config import AUDIT, CURATED, QUARANTINE_TABLE, Entity, Run
 from strata.session import discard, settle, spread, work_path
 from strata.sinks.store import Store, TableDef
 from strata.sources import snapshots

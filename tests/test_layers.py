@@ -102,6 +102,8 @@ def test_two_snapshots(spark, tmp_path, raw, buckets):
     assert [r.artist_id for r in lost_keys(store, entities["artists"]).collect()] == ["a2"]
     outcome = batch_outcome(phase_log(store.read(BATCH_LOG))).collect()
     assert [(o.incomplete_phases, o.succeeded) for o in outcome] == [(0, True)]
+    phases = {r.phase_name: r for r in phase_log(store.read(BATCH_LOG)).collect()}
+    assert (phases["batch"].rows_processed, phases["load_landing_artists"].rows_processed) == (3 + 4 + 3 + 1, 5)
     assert store.read(QUARANTINE_TABLE).count() == 3 + 1
 
     # Second snapshot: a1 keeps its creation time and the gender stays as it was.

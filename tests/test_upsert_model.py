@@ -77,6 +77,13 @@ def test_order_column_may_be_stored(spark):
     assert sorted(rows(upsert.insert_absent(t, i, ["id"], ["n"]))) == [("a", 1, "old"), ("b", 9, "new")]
 
 
+def test_order_may_be_partly_stored(spark):
+    t = spark.createDataFrame([("a", 1, "old")], "id string, n int, v string")
+    i = spark.createDataFrame([("a", 2, "p", 1), ("a", 2, "q", 2), ("a", 1, "r", 9)], "id string, n int, v string, part int")
+    for merge in (upsert.upsert_overwrite, upsert.upsert_preserve):
+        assert rows(merge(t, i, ["id"], ["n", "part"])) == [("a", 2, "q")]
+
+
 def test_append(spark):
     t = spark.createDataFrame([("a", 1)], "id string, n int")
     i = spark.createDataFrame([(1, "a", "x")], "n int, id string, other string")
