@@ -10,6 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.operators.skew import SALTS
+
+GROUP_LIMIT = 1000  # fixed value: default of spark.sql.optimizer.windowGroupLimitThreshold
 
 
 def ordinal(order: Sequence[str]) -> Column:
@@ -85,12 +90,31 @@ def latest_row(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return top_n(rows, keys, [F.col(c).desc() for c in order], 1)
 
 
-def top_n(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """First ``n`` rows per key in the given order."""
+def _ranked(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
 
 
+def top_n(
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    group_limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """First ``n`` rows per key in the given order.
+
+    Up to ``group_limit`` the planner limits each key before the shuffle.  For a
+    larger ``n`` a key is first limited within salted parts, so that a hot key
+    reaches its last task as at most ``n`` rows per part.
+    """
+    if n > group_limit:
+        plain = [f.name for f in rows.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))]
+        salt = F.pmod(F.xxhash64(*plain), F.lit(SALTS))
+        rows = _ranked(rows.withColumn("_salt", salt), [*keys, "_salt"], order, n).drop("_salt")
+    return _ranked(rows, keys, order, n)
+
+
 def head_n(rows: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows overall."""
     return rows.orderBy(*order).limit(n)

@@ -46,7 +46,7 @@ def add_surrogate_id(
     )
     return (
         placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
+        .join(F.broadcast(offsets), "_part")  # one row per partition, whatever the data
         .select(
             (F.col("_offset") + local + F.lit(start_after + 1)).cast("long").alias(name),
             *df.columns,

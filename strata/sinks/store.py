@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.session import file_system
+from strata.session import file_system, prepare
 
 _POINTER = "_current"
 
@@ -43,7 +43,7 @@ class StaleTarget(RuntimeError):
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+        self.spark = prepare(spark)
         self.root = root.rstrip("/")
 
     # -- files ---------------------------------------------------------------

@@ -159,6 +159,13 @@ def test_top_n_limits_before_the_shuffle(spark):
     assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")
 
 
+def test_large_n_is_limited_in_parts_first(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 7).alias("k"), "id")
+    got = fold.top_n(df, ["k"], [F.desc("id")], 30, group_limit=10)
+    assert plan(got).count("Window [") == 2
+    assert sorted(rows(got)) == sorted(rows(fold.top_n(df, ["k"], [F.desc("id")], 30)))
+
+
 # -- constraints ---------------------------------------------------------------
 
 

@@ -61,6 +61,11 @@ def test_partial_aggregation_precedes_every_shuffle(spark):
         assert aggregated, name
 
 
+def test_top_k_sorts_only_what_it_keeps(spark):
+    for name in ("head5", "most_active"):
+        assert "TakeOrderedAndProject" in plan(contract.queries()[name](spark, FOLDER)), name
+
+
 def test_scans_are_pruned(spark):
     text = plan(contract.queries()["songs_per_artist"](spark, FOLDER))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in text
