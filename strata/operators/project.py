@@ -116,13 +116,15 @@ def explode_path(df: DataFrame, v: str, steps: Sequence[str], name: str = "child
     """One row per leaf of nested arrays reached through ``steps``.
 
     Each step is the path of an array inside the element before it.  Column ``v``
-    gives way to ``name``; the others, the parent key among them, are kept.
+    gives way to ``name``; the others, the parent key among them, are kept.  The
+    positions on the way form ``_at``, which sorts the leaves of one value.
     """
     others = [c for c in df.columns if c != v]
-    df = df.withColumnRenamed(v, name)
+    df = df.select(*others, F.col(v).alias(name), F.array().cast("array<int>").alias("_at"))
     for step in steps:
-        df = df.select(
-            *others, F.explode(F.try_variant_get(name, step, "array<variant>")).alias(name)
+        items = F.try_variant_get(name, step, "array<variant>")
+        df = df.select(*others, "_at", F.posexplode(items).alias("_pos", name)).select(
+            *others, name, F.concat("_at", F.array("_pos")).alias("_at")
         )
     return df
 
@@ -137,7 +139,8 @@ def sanitise(
     """Payload text to cleaned, typed columns.
 
     The payload is parsed once per row and each path is read once: the raw values
-    are projected first, as a cleaning rule uses its input several times.
+    are projected first, as a cleaning rule uses its input several times.  ``keep``
+    names columns beside the payload, or ``_at``, the position of a child in it.
     """
     columns = [c for c in df.columns if c != payload or c in keep]
     rows = P.parsed(df.select(*columns, F.col(payload).alias("_text")), "_text", "_v")

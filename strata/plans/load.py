@@ -152,7 +152,10 @@ def refresh_landing(store: Store, entity: Entity, run: Run, serial: TableDef) ->
 def sanitised_rows(landing: DataFrame, entity: Entity, run: Run) -> DataFrame:
     """Cleaned, typed rows of the landing payloads, with reject reasons."""
     rows = sanitise(
-        landing, entity.fields, child_steps=entity.child_steps, keep=("id", "payload", "updated_at")
+        landing,
+        entity.fields,
+        child_steps=entity.child_steps,
+        keep=("id", "payload", "updated_at", "_at"),
     )
     if "ingestion_date" in entity.sanitised.columns.fieldNames():
         rows = rows.withColumn("ingestion_date", stamp.moment(run.as_of).cast("timestamp_ntz"))
@@ -182,6 +185,7 @@ def load_sanitised(store: Store, entity: Entity, run: Run, incremental: bool = T
     rows = sanitised_rows(landing, entity, run)
     staged = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
     created = "created_at" if entity.created == "preserve" else None
-    merged = upsert_preserve(target, staged.good, table.key, ["updated_at", "id"], created)
+    order = ["updated_at", "id", "_at"]
+    merged = upsert_preserve(target, staged.good, table.key, order, created)
     version = store.publish(table, merged, run.etl_batch_id, based_on)
     return _finish(store, staged, run, table, version, "id")

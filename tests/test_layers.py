@@ -35,7 +35,7 @@ RELEASES = [
     {"id": "r4", "artist_id": "gone", "group_id": "g3", "title": "D", "date": 1989, "country": "GB"},
 ]
 RECORDINGS = [
-    {"id": "r1", "parts": [{"items": [{"recording_id": "s1", "song_name": "x"}, {"recording_id": "s2", "song_name": "y"}]}]},
+    {"id": "r1", "parts": [{"items": [{"recording_id": "s1", "song_name": "x"}, {"recording_id": "s2", "song_name": "old"}, {"recording_id": "s2", "song_name": "y"}]}]},
     {"id": "r3", "parts": [{"items": [{"recording_id": "s1", "song_name": "x"}]}, {"items": []}]},
     {"id": "r2"},
 ]
@@ -92,6 +92,9 @@ def test_two_snapshots(spark, tmp_path, raw, buckets):
     songs = {r.recording_id: r for r in store.read(CURATED["recording_metrics"]).collect()}
     assert (songs["s1"].release_count, songs["s1"].artist_count) == (2, 2)
 
+    names = {(r.recording_id, r.release_id): r.song_name for r in store.read(entities["recordings"].sanitised).collect()}
+    assert names == {("s1", "r1"): "x", ("s2", "r1"): "y", ("s1", "r3"): "x"}
+
     recon = {r.phase_name: r for r in store.read(RECON_LOG).collect()}
     assert (recon["recon_artists"].source_count, recon["recon_artists"].target_count) == (4, 3)
     assert recon["recon_artists"].status == "FAIL"
@@ -103,7 +106,7 @@ def test_two_snapshots(spark, tmp_path, raw, buckets):
     outcome = batch_outcome(phase_log(store.read(BATCH_LOG))).collect()
     assert [(o.incomplete_phases, o.succeeded) for o in outcome] == [(0, True)]
     phases = {r.phase_name: r for r in phase_log(store.read(BATCH_LOG)).collect()}
-    assert (phases["batch"].rows_processed, phases["load_landing_artists"].rows_processed) == (3 + 4 + 3 + 1, 5)
+    assert (phases["batch"].rows_processed, phases["load_landing_artists"].rows_processed) == (3 + 4 + 4 + 1, 5)
     assert store.read(QUARANTINE_TABLE).count() == 3 + 1
 
     # Second snapshot: a1 keeps its creation time and the gender stays as it was.

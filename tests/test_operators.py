@@ -36,8 +36,10 @@ def test_release_projection(spark):
 def test_explode_children(spark):
     body = '{"id":"r","parts":[{"items":[{"k":1},{"k":2}]},{"items":[]},{},{"items":[{"k":3}]}]}'
     df = frame(spark, [("r", body), ("s", "{}"), ("t", "broken")], "id string, payload string")
-    got = J.sanitise(df, (J.Field("k", "$.k", "value", "int"),), child_steps=("$.parts", "$.items"), keep=("id",))
-    assert sorted(rows(got)) == [("r", 1), ("r", 2), ("r", 3)]
+    fields = (J.Field("k", "$.k", "value", "int"),)
+    got = J.sanitise(df, fields, child_steps=("$.parts", "$.items"), keep=("id", "_at"))
+    assert sorted(rows(got)) == [("r", [0, 0], 1), ("r", [0, 1], 2), ("r", [3, 0], 3)]
+    assert rows(J.sanitise(df.where("id = 's'"), fields, keep=("id", "_at"))) == [("s", [], None)]
 
 
 def test_sanitise_rules(spark):
