@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+import queries as registered
 from helpers import plan
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = sorted(contract.queries())
+NAMES = sorted(registered.runners())
 WRITES = {"snapshot_write", "snapshot_partitions", "landing_load", "sanitised_load", "archived_version",
           "curation_stage", "full_refresh", "extraction_run"}
 
@@ -38,7 +39,7 @@ def test_plan_shape(spark, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(NAMES)
+    assert set(registered.oracles()) == set(NAMES)
 
 
 def test_check_sees_differences(spark, duck, monkeypatch):
