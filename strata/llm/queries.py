@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import fingerprints, line_dedup, packing, quality_rules, sharding, simhash, token_counts
+import corpus_pipeline
+from strata.llm import (
+    fingerprints,
+    license_scan,
+    line_dedup,
+    packing,
+    quality_rules,
+    segmentation,
+    sharding,
+    simhash,
+    token_counts,
+    tool_calls,
+)
 from strata.llm.registry import oracles, query, runners
 
 __all__ = ["oracles", "runners"]
@@ -112,3 +124,74 @@ def _sharding(spark, table):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op3_license_scans")
+def _licenses(spark, table):
+    """License phrases and notices in all documents."""
+    return license_scan.scan(table("documents"))
+
+
+# Tools that the turns of a conversation are read as calls of, with their schemas.
+TOOLS = {
+    "configure": {
+        "type": "object",
+        "properties": {"text": {"type": "string", "maxLength": 200}, "words": {"type": "integer"}, "turn": {"type": "integer", "maximum": 0}},
+        "required": ["text", "words"],
+        "additionalProperties": False,
+    },
+    "lookup": {
+        "type": "object",
+        "properties": {"text": {"type": "string", "minLength": 1, "maxLength": 60}, "words": {"type": "integer", "minimum": 2}},
+        "required": ["text", "words"],
+    },
+    "answer": {
+        "type": "object",
+        "properties": {"text": {"type": "string", "maxLength": 400}, "words": {"type": "integer", "maximum": 60}, "turn": {"type": "integer"}},
+        "required": ["text", "words", "turn"],
+        "additionalProperties": False,
+    },
+}
+
+
+def chat_calls(turns):
+    """Turns as calls and results: what a user or the system says is a call, which refers to
+    an earlier turn half way back; the assistant's next turn is its result."""
+    ident = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
+    n = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"\s+"), ""))
+    turn = F.col("turn").cast("long")
+    back = turn - 2 * F.floor((turn + 3) / 4)
+    calls = turns.where(F.col("role") != "assistant").select(
+        "conv_id",
+        F.when(turn.isNotNull(), ident(turn)).alias("call_id"),
+        turn.alias("pos"),
+        F.when(F.col("role") == "system", "configure").when(n <= 8, "lookup").otherwise("answer").alias("tool"),
+        F.to_json(F.struct("text", n.alias("words"), turn.alias("turn"))).alias("arguments"),
+        F.when((back >= 0) & (back < turn), F.array(ident(back))).otherwise(F.array().cast("array<string>")).alias("refs"),
+    )
+    results = turns.where(F.col("role") == "assistant").select(
+        "conv_id",
+        F.when(turn.isNotNull(), ident(turn - 1)).alias("call_id"),
+        turn.alias("pos"),
+        F.col("text").alias("content"),
+    )
+    return calls, results
+
+
+@query("op4_tool_call_linking")
+def _tool_calls(spark, table):
+    """Calls and results of all conversations, linked, ordered and validated."""
+    calls, results = chat_calls(table("conversations"))
+    return tool_calls.link(calls, results, TOOLS)
+
+
+@query("op9_sampled_segmentations")
+def _segmentations(spark, table):
+    """Sampled segmentations of all turns of all conversations."""
+    return segmentation.sampled_segmentations(table("conversations"), ["conv_id", "turn"])
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def _pipeline(spark, table):
+    """All documents through every stage of the corpus pipeline."""
+    return corpus_pipeline.run(spark, table.folder)

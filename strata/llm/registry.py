@@ -13,13 +13,22 @@ _runners: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
 
 
+class Tables:
+    """Reads the tables of one data folder by name."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def __call__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, table)``; ``table`` reads one of the folder's tables."""
 
-    def register(fn: Callable[[SparkSession, Callable[[str], DataFrame]], DataFrame]):
+    def register(fn: Callable[[SparkSession, Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            shipped(prepare(spark))
-            return fn(spark, lambda table: spark.read.parquet(f"{folder}/{table}.parquet"))
+            return fn(shipped(prepare(spark)), Tables(spark, folder))
 
         run.__name__, run.__doc__ = name, fn.__doc__
         _runners[name] = run
