@@ -43,21 +43,24 @@ class _Words(dict):
         return ids
 
     def made(self, word: str) -> tuple[int, ...]:
+        ids = None
         if max(word) < _LATIN_END and len(word) <= KEPT_LENGTH:
             if word.isalpha():
-                return self.of_letters(word)
-            if word[-1] in _MARKS and word[:-1].isalpha():
-                return self.of_letters(word[:-1]) + self[word[-1]]
-        return self.asked(word)
+                ids = self.of_letters(word)
+            elif word[-1] in _MARKS and word[:-1].isalpha():
+                ids = self.of_letters(word[:-1])
+                ids = ids and ids + self.asked(word[-1])
+        return self.asked(word) if ids is None else ids
 
     def asked(self, text: str) -> tuple[int, ...]:
         return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def of_letters(self, word: str) -> tuple[int, ...]:
-        """Letters only are one word to the tokenizer: its model is asked directly."""
+    def of_letters(self, word: str) -> tuple[int, ...] | None:
+        """Letters only are one word to the tokenizer: its model is asked directly.  None
+        where lower case has marks beside the letters."""
         low = "".join(c.lower() for c in unicodedata.normalize("NFC", word))
         if not low.isalpha():
-            return self.asked(word)
+            return None
         ids = self.letters.get(low)
         if ids is None:
             named = low.encode().decode("latin-1").translate(self.names)
