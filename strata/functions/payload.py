@@ -28,13 +28,31 @@ def serialise(*cols: str | Column) -> Column:
 
 
 def with_field(element: Column, name: str, value: Column) -> Column:
-    """JSON object text with a field put in front.
+    """JSON object text with a field put at its end; anything but an object is left alone.
 
-    A field of that name inside the object comes later and so still wins.
+    The last of two fields of one name counts, so a field of that name which the
+    object has itself gives way.
     """
-    head = F.regexp_replace(F.to_json(F.struct(value.alias(name))), r"\}\z", "")
-    body = F.regexp_replace(element, r"\A\s*\{\s*", "")
-    return F.concat(head, F.when(body.startswith("}"), F.lit("")).otherwise(F.lit(",")), body)
+    tail = F.regexp_replace(F.to_json(F.struct(value.alias(name))), r"\A\{", "")
+    body = F.regexp_replace(element, r"\s*\}\s*\z", "")
+    comma = F.when(body.rlike(r"\A\s*\{\s*\z"), F.lit("")).otherwise(F.lit(","))
+    is_object = element.rlike(r"\A\s*\{") & element.rlike(r"\}\s*\z")
+    return F.when(is_object, F.concat(body, comma, tail)).otherwise(element)
+
+
+def whole_json(text: Column) -> Column:
+    """VARIANT of a text that is one JSON value and nothing after it, else NULL.
+
+    The parser stops after the first value; as the first of two array elements, a
+    value that is followed by anything else is an error or not the first of two.
+    """
+    pair = F.try_variant_get(parse(F.concat(F.lit("["), text, F.lit(",0]"))), "$", "array<variant>")
+    return F.when(F.size(pair) == 2, F.get(pair, F.lit(0)))
+
+
+def element_texts(v: Column) -> Column:
+    """JSON texts of the elements of an array value; strings keep their quotes."""
+    return F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.to_json(x))
 
 
 def as_json(c: Column) -> Column:

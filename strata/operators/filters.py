@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions import payload as P
 from strata.operators.skew import lookup_join
 
 
@@ -20,26 +21,41 @@ def split_successful(responses: DataFrame, status: str = "status_code") -> tuple
     )
 
 
-def before_first_failure(
+def split_at_first_failure(
     responses: DataFrame,
     run: Sequence[str] = ("run_id",),
     ord: str = "ord",
     status: str = "status_code",
-) -> DataFrame:
-    """Rows of each run that precede its first failing response.
+    body: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of each run before its first failing response, all others with a reason).
 
+    With ``body``, a good response whose body is not JSON is a failure as well.
     The first failure per run is a partial aggregate over the failing rows only,
     and the rows of a hot run are spread; no run is gathered into one task.
     """
-    failed = (F.col(status) >= 400) | F.col(status).isNull()
+    bad_status = (F.col(status) >= 400) | F.col(status).isNull()
+    unreadable = P.whole_json(F.col(body)).isNull() if body else F.lit(False)
+    failed = bad_status | unreadable
     first = responses.where(failed).groupBy(*run).agg(F.min(ord).alias("_first_failure"))
+    marked = lookup_join(responses, first, run, "left", [ord])
+    kept = F.col("_first_failure").isNull() | (F.col(ord) < F.col("_first_failure"))
+    reason = (
+        F.when(bad_status, F.concat(F.lit("status "), F.coalesce(F.col(status).cast("string"), F.lit("?"))))
+        .when(unreadable, F.lit("body is not JSON"))
+        .otherwise(F.lit("after a failure"))
+    )
     return (
-        lookup_join(responses, first, run, "left", [ord])
-        .where(F.col("_first_failure").isNull() | (F.col(ord) < F.col("_first_failure")))
-        .select(*responses.columns)
+        marked.where(kept).select(*responses.columns),
+        marked.where(~kept).select(*responses.columns, reason.alias("reject_reason")),
     )
 
 
+def before_first_failure(responses: DataFrame, run: Sequence[str] = ("run_id",), ord: str = "ord", status: str = "status_code") -> DataFrame:
+    """Rows of each run that precede its first failing response."""
+    return split_at_first_failure(responses, run, ord, status)[0]
+
+
 def normalised(c: Column) -> Column:
     return F.lower(F.trim(c))
 

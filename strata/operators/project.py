@@ -95,10 +95,20 @@ class Field:
             return [F.col(self.path).cast(self.dtype).alias(f"_{self.name}")]
         dtype = self.dtype if self.rule == "value" else "string"
         raw = [P.get(v, self.path, dtype).alias(f"_{self.name}")]
+        if dtype != "string":
+            given = C.null_if_sentinel(P.get(v, self.path))
+            misfit = given.isNotNull() & (given != "") & P.get(v, self.path, dtype).isNull()
+            raw.append(misfit.alias(f"_{self.name}_misfit"))
         if self.rule in ("day", "date_text"):
             raw.append((P.kind(v, self.path) == "string").alias(f"_{self.name}_is_text"))
         return raw
 
+    def misfit(self) -> Column | None:
+        """Why the value given does not fit the column's type; None for text columns."""
+        if self.rule != "value" or self.dtype == "string":
+            return None
+        return F.when(F.col(f"_{self.name}_misfit"), F.lit(f"{self.name} is not {self.dtype}"))
+
     def clean(self) -> Column:
         """Target column from the raw ones."""
         raw = F.col(f"_{self.name}")
@@ -135,15 +145,21 @@ def sanitise(
     payload: str = "payload",
     child_steps: Sequence[str] = (),
     keep: Sequence[str] = (),
+    reason: str | None = None,
 ) -> DataFrame:
     """Payload text to cleaned, typed columns.
 
     The payload is parsed once per row and each path is read once: the raw values
     are projected first, as a cleaning rule uses its input several times.  ``keep``
     names columns beside the payload, or ``_at``, the position of a child in it.
+    ``reason`` names a column for the first value that does not fit its type.
     """
     columns = [c for c in df.columns if c != payload or c in keep]
     rows = P.parsed(df.select(*columns, F.col(payload).alias("_text")), "_text", "_v")
     rows = explode_path(rows, "_v", child_steps, "_c")
     raw = rows.select(*keep, *(c for f in fields for c in f.read(F.col("_c"))))
-    return raw.select(*keep, *(f.clean() for f in fields))
+    cleaned = [f.clean() for f in fields]
+    if reason is not None:
+        misfits = [m for f in fields if (m := f.misfit()) is not None]
+        cleaned.append(F.coalesce(*misfits, F.lit(None).cast("string")).alias(reason))
+    return raw.select(*keep, *cleaned)

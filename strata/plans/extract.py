@@ -24,8 +24,8 @@ ORDER = ("ord", "pos")
 class Limits:
     """How failures end a request loop, and result caps per request (None: all).
 
-    The caps are the request limits of the source: a search that asks for its best
-    match, a browse page of a hundred.
+    A cap is an answer the caller asks for (the best match of a search, one browse
+    page); none is set by default.
     """
 
     on_failure: str = SKIP
@@ -33,20 +33,25 @@ class Limits:
     releases_per_artist: int | None = None
 
 
-# The request limits of the stop-at-first-failure run.
-LANDING_RUN = Limits(STOP, 1, 100)
 DAILY_RUN = Limits()
 
 
-def usable(responses: DataFrame, on_failure: str) -> DataFrame:
-    """Responses a request loop keeps: all good ones, or those before a failure."""
+def split_usable(responses: DataFrame, on_failure: str) -> tuple[DataFrame, DataFrame]:
+    """(responses a request loop keeps, the others with a reason): all good ones, or
+    those before the first that failed or cannot be read."""
     if on_failure == STOP:
-        return filters.before_first_failure(responses)
-    return filters.split_successful(responses)[0]
+        return filters.split_at_first_failure(responses, body="body")
+    return filters.split_successful(responses)
+
+
+def usable(responses: DataFrame, on_failure: str) -> DataFrame:
+    return split_usable(responses, on_failure)[0]
 
 
 def _capped(items: DataFrame, n: int | None) -> DataFrame:
-    return items if n is None else best_matches(items, ["request_key"], [F.col(c) for c in ORDER], n)
+    """The first ``n`` results of each request; requests of two runs are two requests."""
+    request = ["run_id", "request_key"] if "run_id" in items.columns else ["request_key"]
+    return items if n is None else best_matches(items, request, [F.col(c) for c in ORDER], n)
 
 
 def search_artists(responses: DataFrame, limits: Limits, terms: DataFrame | None = None) -> DataFrame:
@@ -79,14 +84,24 @@ def url_bodies(releases: DataFrame, responses: DataFrame) -> DataFrame:
     return kept.select("request_key", "ord", F.lit(0).alias("pos"), F.col("body").alias("element"))
 
 
-def extract(responses: DataFrame, run: Run, limits: Limits = DAILY_RUN, terms: DataFrame | None = None) -> dict[str, str]:
+def extract(
+    responses: DataFrame,
+    run: Run,
+    limits: Limits = DAILY_RUN,
+    terms: DataFrame | None = None,
+    captured: str | None = None,
+) -> dict[str, str]:
     """Write the snapshots of all entities for the run's day; returns their paths.
 
-    Each step reads the keys of the one before from its written snapshot.  No
-    parents means empty child snapshots.
+    ``captured`` names the captured run to take; without it all rows are taken, so
+    the caller gives the responses of one run.  Each step reads the keys of the one
+    before from its written snapshot.  No parents means empty child snapshots.
+    ``unused_responses`` has what the searches and browses leave out.
     """
     spark = responses.sparkSession
     paths: dict[str, str] = {}
+    if captured is not None:
+        responses = responses.where(F.col("run_id") == captured)
 
     def of(endpoint: str) -> DataFrame:
         return responses.where(F.col("endpoint") == endpoint)
@@ -103,3 +118,9 @@ def extract(responses: DataFrame, run: Run, limits: Limits = DAILY_RUN, terms: D
     write("recordings", recording_bodies(releases, of("release+recordings")))
     write("urls", url_bodies(releases, of("release+url-rels")))
     return paths
+
+
+def unused_responses(responses: DataFrame, limits: Limits) -> DataFrame:
+    """Searches and browses that a run with these limits leaves out, each with its reason."""
+    of = [split_usable(responses.where(F.col("endpoint") == e), limits.on_failure)[1] for e in ("artist", "release")]
+    return of[0].unionByName(of[1])

@@ -30,6 +30,7 @@ class Loaded:
     rows_read: int
     rows_good: int
     rows_rejected: int
+    keys: int  # keys among the good rows; the others repeat one of them
 
 
 def set_up(store: Store, entities: dict[str, Entity]) -> None:
@@ -101,24 +102,25 @@ def _stage(rows: DataFrame, label: str) -> _Staged:
     return _Staged(good, bad, seen.get, path)
 
 
-def _finish(
-    store: Store, staged: _Staged, run: Run, table: TableDef, version: str, src: str
-) -> Loaded:
-    """Quarantine the rejected rows and drop the staged copy."""
+def _quarantine(store: Store, staged: _Staged, run: Run, table: TableDef, src: str) -> None:
+    """Rejected rows, before the good ones are published; a repeated run replaces its own."""
+    store.append(
+        QUARANTINE_TABLE,
+        staged.bad.select(
+            F.lit(run.etl_batch_id).alias("etl_batch_id"),
+            F.lit(table.full_name).alias("target_table"),
+            F.col(K.REASON).alias("reject_reason"),
+            F.col(src).cast("string").alias("src"),
+            "payload",
+        ),
+        key=f"{run.etl_batch_id}-{table.full_name}",
+    )
+
+
+def _loaded(staged: _Staged, table: TableDef, version: str) -> Loaded:
     counts = staged.counts
-    if counts["rows_rejected"]:
-        store.append(
-            QUARANTINE_TABLE,
-            staged.bad.select(
-                F.lit(run.etl_batch_id).alias("etl_batch_id"),
-                F.lit(table.full_name).alias("target_table"),
-                F.col(K.REASON).alias("reject_reason"),
-                F.col(src).cast("string").alias("src"),
-                "payload",
-            ),
-        )
-    discard(store.spark, staged.path)
-    return Loaded(version, counts["rows_read"], counts["rows_good"], counts["rows_rejected"])
+    keys = staged.good.select(*table.key).distinct().count()
+    return Loaded(version, counts["rows_read"], counts["rows_good"], counts["rows_rejected"], keys)
 
 
 def load_landing(store: Store, entity: Entity, run: Run) -> Loaded:
@@ -129,9 +131,12 @@ def load_landing(store: Store, entity: Entity, run: Run) -> Loaded:
     rows = landing_rows(snapshot_rows(store, entity, run), entity, run)
     staged = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
     created = "created_at" if entity.created == "preserve" else None
-    merged = upsert_overwrite(target, staged.good, table.key, ["_ord"], created)
-    version = store.publish(table, merged, run.etl_batch_id, based_on)
-    return _finish(store, staged, run, table, version, "_src")
+    try:
+        _quarantine(store, staged, run, table, "_src")
+        merged = upsert_overwrite(target, staged.good, table.key, ["_ord"], created)
+        return _loaded(staged, table, store.publish(table, merged, run.etl_batch_id, based_on))
+    finally:
+        discard(store.spark, staged.path)
 
 
 def refresh_landing(store: Store, entity: Entity, run: Run, serial: TableDef) -> Loaded:
@@ -146,7 +151,7 @@ def refresh_landing(store: Store, entity: Entity, run: Run, serial: TableDef) ->
     version = store.refresh(serial, numbered, run.etl_batch_id)
     discard(store.spark, path)
     n = store.read(serial).count()
-    return Loaded(version, n, n, 0)
+    return Loaded(version, n, n, 0, n)
 
 
 def sanitised_rows(landing: DataFrame, entity: Entity, run: Run) -> DataFrame:
@@ -156,6 +161,7 @@ def sanitised_rows(landing: DataFrame, entity: Entity, run: Run) -> DataFrame:
         entity.fields,
         child_steps=entity.child_steps,
         keep=("id", "payload", "updated_at", "_at"),
+        reason=K.REASON,
     )
     if "ingestion_date" in entity.sanitised.columns.fieldNames():
         rows = rows.withColumn("ingestion_date", stamp.moment(run.as_of).cast("timestamp_ntz"))
@@ -186,6 +192,9 @@ def load_sanitised(store: Store, entity: Entity, run: Run, incremental: bool = T
     staged = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
     created = "created_at" if entity.created == "preserve" else None
     order = ["updated_at", "id", "_at"]
-    merged = upsert_preserve(target, staged.good, table.key, order, created)
-    version = store.publish(table, merged, run.etl_batch_id, based_on)
-    return _finish(store, staged, run, table, version, "id")
+    try:
+        _quarantine(store, staged, run, table, "id")
+        merged = upsert_preserve(target, staged.good, table.key, order, created)
+        return _loaded(staged, table, store.publish(table, merged, run.etl_batch_id, based_on))
+    finally:
+        discard(store.spark, staged.path)

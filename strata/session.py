@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,8 @@ SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
-_local_dirs: dict[str, str] = {}
+# Partitions that a load deals its scan to before costly work per row; unset: as scanned.
+SCAN_PARTITIONS = "strata.scan.partitions"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -34,28 +34,19 @@ def prepare(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """Folder all executors share, named by the cluster in spark.checkpoint.dir.
 
-    A private temporary folder is used only when the setting is absent and Spark
-    runs inside this one process.
+    Where that is unset, a folder in the warehouse, which is shared as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    app = context.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="strata-")
-    return _local_dirs[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_strata_work"
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work over a scan with few splits.
-
-    A large scan has more splits than the cluster has cores and is left as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+    """Deal a scan to the session's ``strata.scan.partitions`` partitions, for costly
+    work per row over few splits.  Without that setting the scan is left as it is."""
+    n = scan.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return scan.repartition(int(n)) if n else scan
 
 
 def work_path(spark: SparkSession, label: str) -> str:

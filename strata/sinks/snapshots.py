@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import discard, file_system
 from strata.sources.snapshots import dated_snapshot_path
 
 
@@ -26,14 +28,21 @@ def write_snapshot(
 ) -> str:
     """One source object per line, UTF-8, under the dated snapshot name.
 
-    Lines split across readers.  A second run on the same day replaces the first.
+    Lines split across readers.  A second run on the same day replaces the first: it is
+    written beside it and renamed when it is finished.
     With ``order``, part files and lines follow it, so a reader's ordinal is the
     arrival order.
     """
     if order:
         elements = elements.orderBy(*order)
     path = dated_snapshot_path(folder, source, day, "jsonl")
-    elements.select(_one_line(element)).write.mode("overwrite").text(path)
+    spark = elements.sparkSession
+    fresh = f"{folder}/_{source}_{uuid.uuid4().hex}"
+    elements.select(_one_line(element)).write.text(fresh)
+    discard(spark, path)
+    written, files = file_system(spark, fresh)
+    if not files.rename(written, file_system(spark, path)[0]):
+        raise OSError(f"cannot rename {fresh} to {path}")
     return path
 
 

@@ -1,6 +1,6 @@
-"""Layer tables on plain Parquet: versioned folders and a pointer to the current one.
+"""Layer tables on plain Parquet: versioned folders, each made current by one empty file.
 
-A load writes a complete new version and then moves the pointer in one rename, so
+A load writes a complete new version and then creates the file that publishes it, so
 a reader sees the old version or the new one, and a failed load changes nothing.
 
 A table with ``buckets`` is bucketed by its key.  The target side of a keyed merge
@@ -11,6 +11,7 @@ order: only the incoming batch is ever shuffled, however large the target grows.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from strata.session import file_system, prepare
 
-_POINTER = "_current"
+_PUBLISHED = "_published."
 
 
 @dataclass(frozen=True)
@@ -57,27 +58,14 @@ class Store:
     # -- versions ------------------------------------------------------------
 
     def current_version(self, table: TableDef) -> str | None:
-        path, files = file_system(self.spark, f"{self.folder(table)}/{_POINTER}")
-        if not files.exists(path):
-            return None
-        stream = files.open(path)
-        try:
-            return stream.readUTF()
-        finally:
-            stream.close()
+        """The version of the greatest number that has been published."""
+        pattern, files = file_system(self.spark, f"{self.folder(table)}/{_PUBLISHED}*")
+        names = [status.getPath().getName() for status in files.globStatus(pattern) or []]
+        return max((n[len(_PUBLISHED) :] for n in names), default=None)
 
     def _point_to(self, table: TableDef, version: str) -> None:
-        fs = self.spark._jvm.org.apache.hadoop.fs
-        final, files = file_system(self.spark, f"{self.folder(table)}/{_POINTER}")
-        fresh = fs.Path(f"{self.folder(table)}/{_POINTER}.{version}")
-        stream = files.create(fresh, True)
-        try:
-            stream.writeUTF(version)
-        finally:
-            stream.close()
-        options = self.spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
-        options[0] = fs.Options.Rename.OVERWRITE
-        fs.FileContext.getFileContext(files.getUri(), files.getConf()).rename(fresh, final, options)
+        path, files = file_system(self.spark, f"{self.folder(table)}/{_PUBLISHED}{version}")
+        files.createNewFile(path)
 
     @staticmethod
     def _next_version(current: str | None, batch: str) -> str:
@@ -106,7 +94,7 @@ class Store:
     def _open(self, table: TableDef, version: str) -> DataFrame:
         path = self.version_path(table, version)
         if not table.buckets:
-            return self.spark.read.schema(table.columns).parquet(path)
+            return self.spark.read.schema(table.columns).option("recursiveFileLookup", "true").parquet(path)
         name = self._table_name(table, version)
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.columns)
@@ -129,11 +117,34 @@ class Store:
     ) -> str:
         """Write ``df`` as a complete new version and make it current.
 
-        With ``based_on``, the version ``df`` was computed from, a table that has
-        moved on in the meantime is left alone and StaleTarget is raised.
+        The number of the version is claimed first, by a file that only one writer
+        can create; any other gets StaleTarget.  With ``based_on``, the version
+        ``df`` was computed from, so does a writer whose table has moved on.
         """
         current = self.current_version(table)
         version = self._next_version(current, batch)
+        claim, files = self._claim(table, version)
+        if not files.createNewFile(claim):
+            raise StaleTarget(f"{table.full_name}: another load is writing version {version[:6]}")
+        try:
+            return self._publish_claimed(table, df, version, current, based_on)
+        except BaseException:
+            files.delete(claim, False)
+            raise
+
+    def _claim(self, table: TableDef, version: str):
+        return file_system(self.spark, f"{self.folder(table)}/_claim.{version.split('-')[0]}")
+
+    def release(self, table: TableDef) -> bool:
+        """Give up the claim of a writer that died before it published."""
+        claim, files = self._claim(table, self._next_version(self.current_version(table), ""))
+        return files.delete(claim, False)
+
+    def _publish_claimed(
+        self, table: TableDef, df: DataFrame, version: str, current: str | None, based_on: str | None
+    ) -> str:
+        if based_on is not None and self.current_version(table) != based_on:
+            raise StaleTarget(f"{table.full_name} is at {self.current_version(table)}, not at {based_on}")
         path = self.version_path(table, version)
         rows = df.select(*(df[f.name].cast(f.dataType).alias(f.name) for f in table.columns))
         if table.buckets:
@@ -156,11 +167,18 @@ class Store:
         """Replace all rows (truncate and insert in one commit)."""
         return self.publish(table, df, batch)
 
-    def append(self, table: TableDef, df: DataFrame) -> None:
-        """Add rows to the current version of an append-only table."""
-        version = self.current_version(table)
+    def append(self, table: TableDef, df: DataFrame, key: str | None = None) -> None:
+        """Add rows to the current version of an append-only table.
+
+        Every append has a folder of its own, so writers do not meet.  Rows given
+        under a ``key`` take the place of those given under it before: a load that
+        is repeated adds nothing.
+        """
+        if table.buckets:
+            raise ValueError(f"{table.full_name} is bucketed: merge into it")
         rows = df.select(*(df[f.name].cast(f.dataType).alias(f.name) for f in table.columns))
-        rows.write.mode("append").parquet(self.version_path(table, version))
+        name = re.sub(r"\W", "_", key) if key else uuid.uuid4().hex
+        rows.write.mode("overwrite").parquet(f"{self.version_path(table, self.current_version(table))}/rows-{name}")
 
     def archive(self, table: TableDef, version: str, batch: str) -> str:
         """Copy a superseded version to the archive of a batch."""
@@ -185,4 +203,5 @@ class Store:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(table, version)}")
             path, files = file_system(self.spark, self.version_path(table, version))
             files.delete(path, True)
+            files.delete(file_system(self.spark, f"{self.folder(table)}/{_PUBLISHED}{version}")[0], False)
         return gone

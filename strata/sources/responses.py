@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions import payload as P
 from strata.schemas import RESPONSE
 
 
@@ -16,7 +17,8 @@ def read_responses(spark: SparkSession, path: str, endpoint: str | None = None)
 
 def envelope_items(body: Column, name: str) -> Column:
     """Element texts of the named array of a response body; NULL when missing."""
-    return F.from_json(F.get_json_object(body, f"$.{name}"), "array<string>")
+    items = F.try_variant_get(P.whole_json(body), f"$.{name}", "array<variant>")
+    return F.transform(items, lambda x: F.to_json(x))
 
 
 def unwrap_envelope(responses: DataFrame, name: str, body: str = "body") -> DataFrame:

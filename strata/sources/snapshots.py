@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions import payload as P
 from strata.session import file_system
 
 ORDINAL = "struct<src_file:string,block:bigint,pos:bigint,part:int>"
@@ -23,13 +24,23 @@ def latest_snapshot_path(spark: SparkSession, folder: str, source: str, suffix:
     """Newest ``<source>_<date>.<suffix>``, a file or a folder of part files.
 
     Dates are zero padded, so the greatest name is the newest.  Only the folder is
-    listed, one entry per day.
+    listed, one entry per day.  A folder without the marker of a finished write is
+    passed over.
     """
     pattern, files = file_system(spark, f"{folder}/{source}_*.{suffix}")
-    found = files.globStatus(pattern)
+    found = [
+        status.getPath().toString()
+        for status in files.globStatus(pattern) or []
+        if not status.isDirectory() or files.exists(marker(spark, status.getPath().toString()))
+    ]
     if not found:
-        raise FileNotFoundError(f"no {source} snapshot in {folder}")
-    return max(status.getPath().toString() for status in found)
+        raise FileNotFoundError(f"no finished {source} snapshot in {folder}")
+    return max(found)
+
+
+def marker(spark: SparkSession, path: str):
+    """The file that a writer leaves in a folder it has finished."""
+    return file_system(spark, f"{path}/_SUCCESS")[0]
 
 
 def dated_snapshot_path(folder: str, source: str, day: dt.date, suffix: str = "json") -> str:
@@ -60,13 +71,14 @@ def dated_rows(df: DataFrame, ts: str, day: dt.date) -> DataFrame:
 
 def array_elements(body: Column) -> Column:
     """Element texts of a snapshot body: those of an array, one single value, or
-    none at all when the text is not JSON."""
-    whole = F.get_json_object(body, "$")
-    return F.coalesce(F.from_json(body, "array<string>"), F.array_compact(F.array(whole)))
+    none at all when the text is not JSON as a whole."""
+    root = P.whole_json(body)
+    single = F.when(root.isNotNull(), F.array(F.to_json(root)))
+    return F.coalesce(P.element_texts(root), single)
 
 
 def is_json(body: Column) -> Column:
-    return F.get_json_object(body, "$").isNotNull()
+    return P.whole_json(body).isNotNull()
 
 
 def unwrap_arrays(bodies: DataFrame, body: str = "value") -> DataFrame:
@@ -80,11 +92,17 @@ def _with_ordinal(rows: DataFrame) -> DataFrame:
     return rows.select(
         "element",
         "src_file",
-        F.struct("src_file", "block", "pos", part).cast(ORDINAL)
-        .alias("_ord"),
+        F.struct(file_order("src_file").alias("src_file"), "block", "pos", part).cast(ORDINAL).alias("_ord"),
     )
 
 
+def file_order(path: str) -> Column:
+    """A path that sorts part files by their number, also past five digits."""
+    number = F.regexp_extract(path, r"/part-(\d+)[^/]*\z", 1)
+    padded = F.concat(F.regexp_replace(path, r"/part-\d+([^/]*)\z", "/part-"), F.lpad(number, 12, "0"), F.col(path))
+    return F.when(number != "", padded).otherwise(F.col(path))
+
+
 def _bodies(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("src_file"), F.lit(0).alias("block")
@@ -125,10 +143,13 @@ def read_indented_arrays(spark: SparkSession, path: str | list[str]) -> DataFram
     line break and four blanks always ends an element.  Splitting there cuts one
     large file over many tasks and keeps the element text as it was received.
     Elements written on one line (scalars, {}) stay in front of the next object
-    and are taken apart as an array.
+    and are taken apart as an array.  A file without the bracket that ends its array
+    was cut off, or is no array, and gives no rows.
     """
     rows = _lines(spark, path, lineSep="\n    },\n")
     text = F.col("value")
+    closed = rows.where(text.rlike(r"\n\]\s*\z") | text.rlike(r"\A\[\s*\]\s*\z")).select("src_file").distinct()
+    rows = rows.join(F.broadcast(closed), "src_file", "left_semi")  # one row per file
     last = text.rlike(r"\n\]\s*\z") | text.rlike(r"\A\[\s*\]\s*\z")
     body = F.regexp_replace(text, r"\A\[\s*|\A\s+|\n\]\s*\z", "")
     # The separator took the closing brace of every element but the last of a file.
@@ -142,7 +163,7 @@ def read_indented_arrays(spark: SparkSession, path: str | list[str]) -> DataFram
         .alias("_text"),
     ).where(F.col("_text") != "")
     several = F.col("_text").rlike(r"\A[^{]|\A\{\}|\n    [^ }]")
-    listed = F.from_json(F.concat(F.lit("["), "_text", F.lit("]")), "array<string>")
+    listed = P.element_texts(P.whole_json(F.concat(F.lit("["), "_text", F.lit("]"))))
     parts = F.when(several, F.coalesce(listed, F.array("_text"))).otherwise(F.array("_text"))
     return _with_ordinal(
         rows.select("src_file", "block", "pos", F.posexplode(parts).alias("part", "element"))

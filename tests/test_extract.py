@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions import payload as P
 from strata.plans.batch import run_batch
 from strata.plans.config import CURATED, Run, standard_entities
-from strata.plans.extract import DAILY_RUN, LANDING_RUN, Limits, extract
+from strata.plans.extract import DAILY_RUN, STOP, Limits, extract, unused_responses
 from strata.schemas import RESPONSE
 from strata.sinks.store import Store
 
@@ -51,7 +52,7 @@ def lines(spark, path):
 
 
 def test_stop_at_first_failure(spark, tmp_path, responses):
-    paths = extract(responses, Run("b", "2026-05-01 00:00:00", str(tmp_path), DAY), LANDING_RUN)
+    paths = extract(responses, Run("b", "2026-05-01 00:00:00", str(tmp_path), DAY), Limits(STOP, 1, 100))
     # Best match per search, nothing after the failing search.
     assert [a["id"] for a in lines(spark, paths["artists"])] == ["a1", "a3"]
     releases = lines(spark, paths["releases"])
@@ -66,8 +67,8 @@ def test_skip_failures(spark, tmp_path, responses):
     assert [a["id"] for a in lines(spark, paths["artists"])] == ["a1", "a2", "a3", "a4"]
     releases = lines(spark, paths["releases"])
     assert len(releases) == 122
-    # A key the object has itself wins over the one put in.
-    assert releases[-2:] == [{"artist_id": "own", "id": "s1", "title": "S"}, {"artist_id": "a4"}]
+    # The requesting artist's key wins over one the object has itself.
+    assert releases[-2:] == [{"id": "s1", "title": "S", "artist_id": "a4"}, {"artist_id": "a4"}]
 
 
 def test_terms_and_no_parents(spark, tmp_path, responses):
@@ -80,9 +81,11 @@ def test_terms_and_no_parents(spark, tmp_path, responses):
 
 
 def test_with_field(spark):
-    data = [("{}",), ('{"a":1}',), (' { "k": 2}',)]
+    data = [("{}",), ('{"a":1}',), (' { "k": 2}',), ("5",), ('"{}"',), ("[{}]",)]
     df = spark.createDataFrame(data, "e string").select(P.with_field(F.col("e"), "k", F.lit('q"uote')).alias("e"))
-    assert [r[0] for r in df.collect()] == ['{"k":"q\\"uote"}', '{"k":"q\\"uote","a":1}', '{"k":"q\\"uote","k": 2}']
+    assert [r[0] for r in df.collect()] == [
+        '{"k":"q\\"uote"}', '{"a":1,"k":"q\\"uote"}', ' { "k": 2,"k":"q\\"uote"}', "5", '"{}"', "[{}]",
+    ]
 
 
 def test_captured_responses_to_curated(spark, tmp_path, responses):
@@ -145,3 +148,60 @@ def test_versions_expire(spark, tmp_path):
         assert store.expire(table) == ["000001-init", "000002-b1"]
         assert store.versions(table) == ["000003-b2", "000004-b3"]
         assert store.read(table).count() == 3
+
+
+def test_what_a_stopped_run_leaves_out_is_named(spark, responses):
+    twice = responses.unionByName(responses.withColumn("run_id", F.lit("other")))
+    bad = twice.withColumn("body", F.when((F.col("run_id") == "other") & (F.col("ord") == 1), "{").otherwise(F.col("body")))
+    limits = Limits(STOP)
+    left = unused_responses(bad, limits)
+    got = sorted((r.run_id, r.endpoint, r.ord, r.reject_reason) for r in left.collect())
+    after = [("run", "artist", 3, "status 503"), *(("run", "artist", i, "after a failure") for i in (4, 5))]
+    assert [g for g in got if g[:2] == ("run", "artist")] == after
+    assert [g[2:] for g in got if g[:2] == ("other", "release")][0] == (1, "body is not JSON")
+    from strata.plans.extract import usable
+
+    parts = [bad.where(F.col("endpoint") == e) for e in ("artist", "release")]
+    assert sum(usable(p, STOP).count() for p in parts) + left.count() == sum(p.count() for p in parts)
+
+
+def test_caps_are_per_run(spark, responses):
+    from strata.plans.extract import search_artists
+
+    twice = responses.unionByName(responses.withColumn("run_id", F.lit("other")))
+    found = search_artists(twice.where("endpoint = 'artist' and request_key = 'Ana'"), Limits(artists_per_search=1))
+    assert found.count() == 2
+
+
+def test_one_of_two_publishes_on_one_base_wins(spark, tmp_path):
+    from strata.schemas import columns
+    from strata.sinks.store import StaleTarget, TableDef
+
+    store, table = Store(spark, str(tmp_path)), TableDef("s", "t", columns("id long"))
+    store.create_if_absent(table)
+    base = store.current_version(table)
+
+    def publish(n):
+        try:
+            return store.publish(table, spark.range(n), f"b{n}", base)
+        except StaleTarget:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        won = [v for v in pool.map(publish, (1, 2, 3, 4)) if v]
+    assert len(won) == 1 and store.current_version(table) == won[0]
+    assert publish(5) is None and store.publish(table, spark.range(6), "b6") and store.read(table).count() == 6
+
+
+def test_appends_side_by_side(spark, tmp_path):
+    from strata.schemas import columns
+    from strata.sinks.store import TableDef
+
+    store, table = Store(spark, str(tmp_path)), TableDef("s", "log", columns("id long"))
+    store.create_if_absent(table)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: store.append(table, spark.range(n, n + 1)), range(16)))
+    assert sorted(r.id for r in store.read(table).collect()) == list(range(16))
+    for _ in range(2):
+        store.append(table, spark.range(100, 103), key="batch 1")
+    assert store.read(table).count() == 19

@@ -8,6 +8,7 @@ from helpers import plan, rows
 from strata.operators.filters import split_objects
 from strata.schemas import REGISTRY, columns
 from strata.sinks.snapshots import write_partitioned_snapshot, write_snapshot
+from strata.operators import filters
 from strata.sources import responses, snapshots, tables
 
 
@@ -92,8 +93,7 @@ def test_large_file_is_split_and_keeps_order(spark, tmp_path, layout):
 def test_indented_edges(spark, tmp_path, objects):
     path = write(tmp_path, "x.json", json.dumps(objects, indent=4))
     read = snapshots.read_indented_arrays(spark, path).orderBy("_ord").select("element")
-    # Array texts come back without the quotes of a plain string element.
-    got = [r[0] if r[0] == "s" else json.loads(r[0]) for r in read.collect()]
+    got = [json.loads(r[0]) for r in read.collect()]
     assert got == objects
 
 
@@ -168,3 +168,31 @@ def test_parse_payload(spark):
     df = spark.createDataFrame([(1, '{"a":1,"d":"2020-01-02"}'), (2, "broken")], "i int, payload string")
     got = tables.parse_payload(df, columns("a int, d date"))
     assert sorted(rows(got)) == [(1, 1, dt.date(2020, 1, 2)), (2, None, None)]
+
+
+def test_strings_trailing_text_and_cut_files_give_no_objects(spark, tmp_path):
+    bodies = ['["{\\"id\\":\\"fake\\"}", {"id": "real"}]', '[{"id":"1"}] garbage', '{"id":1}],[{"id":2}', '[{"n":12345678901234567890.125}]']
+    df = spark.createDataFrame([(b,) for b in bodies], "value string")
+    got = [r[0] for r in snapshots.unwrap_arrays(df).collect()]
+    objects = rows(filters.split_objects(snapshots.unwrap_arrays(df))[0], "element")
+    assert objects == [('{"id":"real"}',), ('{"n":12345678901234567890.125}',)] and len(got) == 3
+    text = json.dumps([{"id": "a"}, {"id": "b", "name": "b", "z": {"y": 1}}], indent=4)
+    whole = write(tmp_path, "whole.json", text)
+    cut = write(tmp_path, "cut.json", text[: text.index(',\n        "z"')])
+    single = write(tmp_path, "single.json", json.dumps({"id": "a", "z": {"y": 1}}, indent=4))
+    assert snapshots.read_indented_arrays(spark, whole).count() == 2
+    assert snapshots.read_indented_arrays(spark, [cut, single]).count() == 0
+
+
+def test_unfinished_snapshots_are_passed_over(spark, tmp_path):
+    df = spark.createDataFrame([("{}",)], "element string")
+    write_snapshot(df, str(tmp_path), "artists", dt.date(2026, 5, 1))
+    (tmp_path / "artists_2026_05_02.jsonl" / "_temporary").mkdir(parents=True)
+    assert snapshots.latest_snapshot_path(spark, str(tmp_path), "artists", "jsonl").endswith("2026_05_01.jsonl")
+
+
+def test_part_files_sort_by_number(spark):
+    names = ["d/part-99999-a.txt", "d/part-100000-a.txt", "d/part-00002-a.txt", "d/other.json"]
+    df = spark.createDataFrame([(n,) for n in names], "p string")
+    got = [r.p for r in df.orderBy(snapshots.file_order("p")).collect()]
+    assert got == ["d/other.json", "d/part-00002-a.txt", "d/part-99999-a.txt", "d/part-100000-a.txt"]
