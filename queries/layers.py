@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from queries.curated import _BASE
 from queries.registry import Tables, query
 from strata.functions import payload as P
-from strata.plans.config import CURATED, Run, standard_entities
+from strata.operators.numbering import add_surrogate_id
+from strata.plans.config import CURATED, QUARANTINE_TABLE, Run, standard_entities
 from strata.plans.curate import curate
-from strata.plans.extract import extract
+from strata.plans.extract import STOP, extract, split_usable
 from strata.plans.load import load_landing, load_sanitised, set_up
 from strata.schemas import columns
 from strata.session import spread, work_dir
@@ -200,3 +201,80 @@ def curation_stage(t: Tables):
         store.refresh(table, rows.withColumns({c: F.lit(None) for c in missing}), "b1")
     curate(store, entities, Run("b1", f"{DAY1} 00:00:00", ""))
     return store.read(CURATED["artist_metrics"])
+
+
+@query(
+    """
+    WITH r AS (SELECT o_orderkey AS ord, o_custkey::varchar AS request_key, u.run_id,
+                 CASE WHEN o_orderkey % 1000 = 999 THEN 503 ELSE 200 END AS status_code,
+                 u.run_id = 'b' AND o_orderkey % 700 = 650 AS cut
+               FROM orders, (VALUES ('a'), ('b')) u(run_id)),
+    f AS (SELECT run_id, min(ord) AS first FROM r WHERE status_code = 503 OR cut GROUP BY 1)
+    SELECT r.run_id, ord, request_key,
+      CASE WHEN first IS NULL OR ord < first THEN 'kept' WHEN status_code = 503 THEN 'status 503'
+           WHEN cut THEN 'body is not JSON' ELSE 'after a failure' END AS verdict
+    FROM r LEFT JOIN f ON r.run_id = f.run_id
+    """
+)
+def extraction_stop_at_failure(t: Tables):
+    """Two captured runs with the same keys, each kept up to its first failure; one of
+    them meets a body that was cut off.  Nothing is left out without a reason."""
+    good = P.serialise(F.col("o_orderkey").cast("string").alias("id"))
+    cut = (F.col("run_id") == "b") & (F.col("o_orderkey") % 700 == 650)
+    rows = spread(t.orders).withColumn("run_id", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    captured = rows.select(
+        "run_id",
+        F.lit("release").alias("endpoint"),
+        F.col("o_custkey").cast("string").alias("request_key"),
+        F.col("o_orderkey").alias("ord"),
+        F.when(F.col("o_orderkey") % 1000 == 999, 503).otherwise(200).alias("status_code"),
+        F.when(cut, F.lit('{"id":')).otherwise(good).alias("body"),
+    )
+    kept, dropped = split_usable(captured, STOP)
+    both = kept.withColumn("reject_reason", F.lit("kept")).unionByName(dropped)
+    return both.select("run_id", "ord", "request_key", F.col("reject_reason").alias("verdict"))
+
+
+@query(
+    """
+    WITH c AS (SELECT c_custkey::varchar AS id, c_custkey % 7 = 3 AS nameless, c_custkey % 5 = 2 AS misfit, c_custkey FROM customer)
+    SELECT id, CASE WHEN nameless AND NOT misfit THEN 'name is null' WHEN misfit THEN 'score is not int' ELSE 'published' END AS outcome,
+      CASE WHEN NOT nameless AND NOT misfit THEN c_custkey::integer END AS score, '20260501000000_src' AS etl_batch_id
+    FROM c
+    """
+)
+def sanitised_rejects(t: Tables):
+    """Artists of which some have no name and some a score that is no number: what is
+    published, and what is quarantined for which reason, after the load has been repeated."""
+    root, batch = _folder(t, "rejects"), "20260501000000_src"
+    artist = P.serialise(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.when(F.col("c_custkey") % 7 != 3, F.col("c_name")).alias("name"),
+        F.when(F.col("c_custkey") % 5 == 2, F.lit("many")).otherwise(F.col("c_custkey").cast("string")).alias("score"),
+    )
+    entities = {"artists": standard_entities(layout="lines")["artists"]}
+    artists, store = entities["artists"], Store(t.spark, f"{root}/store")
+    set_up(store, entities)
+    write_snapshot(t.customer.select(artist.alias("element")), f"{root}/raw/artists", "artists", DAY1)
+    run = Run(batch, f"{DAY1} 00:00:00", f"{root}/raw")
+    for _ in range(2):
+        load_landing(store, artists, run)
+        load_sanitised(store, artists, run)
+    published = store.read(artists.sanitised).select(
+        F.col("artist_id").alias("id"), F.lit("published").alias("outcome"), "score", F.lit(batch).alias("etl_batch_id")
+    )
+    rejected = store.read(QUARANTINE_TABLE).select(
+        F.col("src").alias("id"), F.col("reject_reason").alias("outcome"), F.lit(None).cast("int").alias("score"), "etl_batch_id"
+    )
+    return published.unionByName(rejected)
+
+
+@query("SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS place, o_orderkey FROM orders")
+def arrival_order(t: Tables):
+    """Objects of a split snapshot numbered as they stand in its files."""
+    folder = _folder(t, "arrival")
+    rows = t.orders.select("o_orderkey", P.serialise("o_orderkey").alias("element"))
+    path = write_snapshot(rows, folder, "orders", DAY1, order=["o_orderkey"])
+    read = snapshots.read_json_lines(t.spark, path).select("element", "_ord.*")
+    numbered = add_surrogate_id(read, ["src_file", "block", "pos", "part"], "place", start_after=-1)
+    return numbered.select("place", F.get_json_object("element", "$.o_orderkey").cast("long").alias("o_orderkey"))
