@@ -1,23 +1,25 @@
 """Token ids of whole texts by a tokenizers file whose words never join across blanks.
 
-The library is asked once per distinct word and the ids are kept in a table of bounded
-size; a text with a special token, or a control character that Python takes for a
+The tokenizer is asked once per distinct word, or part of a word, and the ids are kept in tables of
+bounded size; a text with a special token, or a control character that Python takes for a
 blank, is given to the library whole.
 """
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import regex
 
 MODEL = "word_bpe_49k.json"
-KEPT, KEPT_LENGTH = 400_000, 32
+KEPT, KEPT_LENGTH = 400_000, 32  # words of a table; there are two
 _NOT_BLANK = "\x1c\x1d\x1e\x1f"  # blanks to str.split, not to the tokenizer
-_MARKS = frozenset(".,;:!?")
 _LATIN_END = "ɐ"
+# How the tokenizer divides a word that has no apostrophe.
+_parts = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
 
 
 def _byte_names() -> dict[int, int]:
@@ -29,49 +31,52 @@ def _byte_names() -> dict[int, int]:
 
 
 class _Words(dict):
-    """Ids of the words between blanks."""
+    """Ids of the words between blanks, as unsigned little-endian 32-bit numbers."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.names = tokenizer, tokenizer.model, _byte_names()
-        self.letters: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.made(word)
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.made(word)
         if len(word) <= KEPT_LENGTH:
             self[word] = ids
         return ids
 
-    def made(self, word: str) -> tuple[int, ...]:
-        ids = None
-        if max(word) < _LATIN_END and len(word) <= KEPT_LENGTH:
-            if word.isalpha():
-                ids = self.of_letters(word)
-            elif word[-1] in _MARKS and word[:-1].isalpha():
-                ids = self.of_letters(word[:-1])
-                ids = ids and ids + self.asked(word[-1])
-        return self.asked(word) if ids is None else ids
-
-    def asked(self, text: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def of_letters(self, word: str) -> tuple[int, ...] | None:
-        """Letters only are one word to the tokenizer: its model is asked directly.  None
-        where lower case has marks beside the letters."""
-        low = "".join(c.lower() for c in unicodedata.normalize("NFC", word))
+    def made(self, word: str) -> bytes:
+        if len(word) > KEPT_LENGTH or "'" in word:
+            return self.asked(word)
+        if word.isascii():
+            low = word.lower()
+        elif max(word) < _LATIN_END:
+            low = "".join(c.lower() for c in unicodedata.normalize("NFC", word))
+        else:
+            return self.asked(word)
         if not low.isalpha():
-            return None
-        ids = self.letters.get(low)
-        if ids is None:
-            named = low.encode().decode("latin-1").translate(self.names)
-            ids = self.letters[low] = tuple(t.id for t in self.model.tokenize(named))
-        return ids
+            parts = _parts(low)
+            return b"".join(map(self.__getitem__, parts)) if len(parts) > 1 else self.asked(word)
+        return self.of_letters(word) if low == word else self[low]
+
+    def asked(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def of_letters(self, low: str) -> bytes:
+        """Lower-case letters only are one word to the tokenizer: its model is asked directly."""
+        named = low if low.isascii() else low.encode().decode("latin-1").translate(self.names)
+        return _packed([t.id for t in self.model.tokenize(named)])
 
     def bounded(self) -> None:
+        """A full table stays for words that come again, in place of the one before."""
         if len(self) > KEPT:
+            self.before = dict(self)
             self.clear()
-        if len(self.letters) > KEPT:
-            self.letters.clear()
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:
@@ -90,8 +95,8 @@ class Encoder:
         if any(x in text for x in self.whole):
             ids = self.words.asked(text)
         else:
-            ids = chain.from_iterable(map(self.words.__getitem__, text.split()))
-        return np.fromiter(chain(ids, (last,)), dtype=np.uint32)
+            ids = b"".join(map(self.words.__getitem__, text.split()))
+        return np.frombuffer(ids + _packed([last]), dtype="<u4")
 
 
 @lru_cache(maxsize=4)

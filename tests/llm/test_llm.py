@@ -287,6 +287,18 @@ def test_word_ids_are_the_librarys():
         assert encoder()(text, packing.END_ID).tolist() == whole_ids(text), text
 
 
+def test_word_ids_of_latin_words_with_full_tables(monkeypatch):
+    from strata.llm import word_ids
+
+    monkeypatch.setattr(word_ids, "KEPT", 50)
+    encode = word_ids.Encoder(public_tokenizers.path(packing.MODEL))
+    rng = random.Random(7)
+    latin = [chr(c) for c in range(33, 0x250)]
+    for _ in range(6000):
+        text = " ".join("".join(rng.choices(latin, k=rng.randrange(1, 6))) + rng.choice(["", ",", ".;", "7"]) for _ in range(4))
+        assert encode(text, packing.END_ID).tolist() == whole_ids(text), text
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_packing(odd, plain, parts):
     found = packing.pack(odd.repartition(parts), keep_ids=True).collect()
