@@ -1,15 +1,17 @@
 """Sampled SentencePiece segmentations: the k best of a perturbed lattice, all distinct.
 
 Every way to spell a text in pieces has a probability (the product of its pieces' weights,
-normalised over the lattice).  Gumbel noise is added top down: a prefix
-carries the largest perturbed score among its completions, its best child inherits
-it, the others get what the noise leaves them.  Searching prefixes by that exact score (A*)
-pops complete segmentations in falling order, which is a sample without replacement.
-As every open prefix stands for one segmentation of exactly its score, the k + 1 best
-open prefixes are all that is kept.  A segmentation's inclusion score is the chance that its
-perturbed score passes the (k + 1)-th one; it is 1 where all are emitted.
-
-Pieces never go on after a blank, so the lattice of a word is made once and kept.  A
+normalised over the lattice) and a perturbed score: its log and Gumbel noise.  The search opens, best
+first (A*), groups of segmentations that begin alike, each by the exact score of the best one in it.
+To open a group is to draw that segmentation, piece by piece; what is left of the group falls apart into
+one smaller group for each step of it (the same beginning, another piece there), whose best
+score is Gumbel noise below that of the whole.  So complete segmentations come in falling order,
+which is a sample without replacement.  As every open group stands for one segmentation of exactly
+its score, the k + 1 best are all that is kept.  A segmentation's inclusion score is the chance that
+its perturbed score passes the (k + 1)-th one; it is 1 where all are emitted.
+
+Pieces never go on after a blank, and the lattice of a word's end does not depend on what stands
+before it: the places of a lattice are made once and shared by all words that end alike.  A
 character outside the vocabulary is spelled in bytes.  Noise is seeded by the row's key.
 
 Defined results: a NULL or empty text gives no rows; rows of equal key and text give
@@ -18,11 +20,12 @@ equal samples each; a text with fewer than k segmentations gives them all.
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,8 @@ from strata.llm.common import text_or_empty
 
 MODEL, SAMPLES, SHARPNESS, SEED = "piece_bpe_32k.model", 4, 1.0, 17
 SPACE_MARK = "▁"
-KEPT, KEPT_LENGTH = 100_000, 32
+KEPT, KEPT_LENGTH = 250_000, 32
+_END = (0.0, (), ())  # the place behind a word
 SCHEMA = "key string, rank int, n_pieces long, log_prob double, inclusion double, ids array<int>, decoded string"
 
 
@@ -51,47 +55,67 @@ class Lattice:
         kinds = (model.is_control, model.is_unknown, model.is_byte, model.is_unused)
         ids = [i for i in range(len(self.pieces)) if not any(kind(i) for kind in kinds)]
         self.byte_ids = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
-        self.bytes_of = {i: b for b, i in self.byte_ids.items()}
+        self.spelled = [p.encode() for p in self.pieces]
+        for b, i in self.byte_ids.items():
+            self.spelled[i] = bytes([b])
         by_score = sorted(ids, key=lambda i: -model.get_score(i))
-        self.weights = {self.pieces[i]: (i, -sharpness * math.log(r + 2)) for r, i in enumerate(by_score)}
-        self.longest = max(map(len, self.weights))
+        weights = {self.pieces[i]: ((i,), -sharpness * math.log(r + 2)) for r, i in enumerate(by_score)}
+        self.longest = max(map(len, weights))
+        # None: no piece, but the beginning of one.
+        self.weights = {p[:n]: None for p in weights for n in range(1, len(p))} | weights
         self.of_byte = -sharpness * math.log(len(ids) + 2)
-        self.words: dict[str, list] = {}
-
-    def word(self, word: str) -> list:
-        """Per position the edges (next position, ids, log of the conditional probability)."""
-        edges = self.words.get(word)
-        if edges is None:
-            edges = self._made(word)
-            if len(word) <= KEPT_LENGTH:
-                if len(self.words) >= KEPT:
-                    self.words.clear()
-                self.words[word] = edges
-        return edges
-
-    def _made(self, word: str) -> list:
-        n = len(word)
-        mass = [0.0] * (n + 1)
-        edges: list = [()] * n
+        self.places: dict[str, tuple] = {}
+
+    def word(self, word: str) -> tuple:
+        """The place where ``word`` begins: log of the weight of all ways to spell it, bounds
+        that part [0, 1) between its edges, and the edges: (next place, ids, conditional
+        probability, that of the other edges)."""
+        return self.places.get(word) or self._made(word)
+
+    def _made(self, word: str) -> tuple:
+        n, weight_of, exp = len(word), self.weights.get, math.exp
+        places = [_END] * (n + 1)
         for i in range(n - 1, -1, -1):
-            found = []
+            end = word[i:] if n - i <= KEPT_LENGTH else None
+            known = end and self.places.get(end)
+            if known:
+                places[i] = known
+                continue
+            found, logs = [], []
             for j in range(i + 1, min(n, i + self.longest) + 1):
-                known = self.weights.get(word[i:j])
-                if known is not None:
-                    found.append((j, (known[0],), known[1] + mass[j]))
-            if word[i] not in self.weights:
+                known = weight_of(word[i:j], 0)
+                if known == 0:
+                    break
+                if known:
+                    found.append((places[j], known[0]))
+                    logs.append(known[1] + places[j][0])
+            if not weight_of(word[i]):
                 spelled = tuple(self.byte_ids[b] for b in word[i].encode("utf-8", "surrogatepass"))
-                found.append((i + 1, spelled, len(spelled) * self.of_byte + mass[i + 1]))
-            top = max(m for *_, m in found)
-            mass[i] = top + math.log(sum(math.exp(m - top) for *_, m in found))
-            edges[i] = [(j, ids, m - mass[i]) for j, ids, m in found]
-        return edges
+                found.append((places[i + 1], spelled))
+                logs.append(len(spelled) * self.of_byte + places[i + 1][0])
+            if len(found) == 1:
+                places[i] = (logs[0], (), ((*found[0], 1.0, 0.0),))
+            else:
+                top = max(logs)
+                parts = [exp(m - top) for m in logs]
+                total = sum(parts)
+                edges = []
+                for e, (place, ids) in enumerate(found):
+                    others = total - parts[e]
+                    if others < 1e-3 * total:  # without the digits lost
+                        others = sum(parts[:e]) + sum(parts[e + 1 :])
+                    edges.append((place, ids, parts[e] / total, others / total))
+                bounds = tuple(accumulate(edge[2] for edge in edges[:-1]))
+                places[i] = (top + math.log(total), bounds, tuple(edges))
+            if end:
+                if len(self.places) >= KEPT:
+                    self.places.clear()
+                self.places[end] = places[i]
+        return places[0]
 
     def decode(self, ids: list[int]) -> str:
         """Text of a segmentation; the mark put in front is taken off."""
-        data = bytearray()
-        for i in ids:
-            data += bytes([self.bytes_of[i]]) if i in self.bytes_of else self.pieces[i].encode()
+        data = b"".join(map(self.spelled.__getitem__, ids))
         return data.decode("utf-8", "replace").replace(SPACE_MARK, " ")[1:]
 
     def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
@@ -100,63 +124,65 @@ class Lattice:
         if not marked:
             return []
         words = [self.word(w) for w in re.findall(f"{SPACE_MARK}+[^{SPACE_MARK}]*|[^{SPACE_MARK}]+", marked)]
-        noise = _gumbels(seed, 2 * len(marked))
-        log, log1p, exp, expm1 = math.log, math.log1p, math.exp, math.expm1
-        order = 0
-        # Open prefixes: (perturbed score, order, word, position, log mass, path).
-        heap = [(next(noise), 0, 0, 0, 0.0, None)]
-        done = []
-        while heap and len(done) <= k:
-            score, _, w, pos, mass, path = heap.pop(heap.index(max(heap)))
-            heapq.heapify(heap)
-            room = k - len(done)  # open prefixes that can still be emitted, or set the limit
-            while w < len(words):
-                edges = words[w]
-                if pos == len(edges):
-                    w, pos = w + 1, 0
-                    continue
-                children = edges[pos]
-                if len(children) == 1:
-                    pos, ids, _ = children[0]
-                    path = (path, ids)
-                    continue
-                noisy = [mass + child[2] + next(noise) for child in children]
-                best = max(noisy)
-                chosen = noisy.index(best)
-                full = len(heap) >= room
-                least = heap[0][0] if heap else math.inf
-                for i, value in enumerate(noisy):
-                    if i == chosen:
-                        continue
-                    behind = best - value
-                    if full and behind > 40 and score - value > 40 and value + 1 < least:
-                        continue  # its score is all but ``value``
-                    # The score given that the best of all children has ``score``.
-                    v = score - value + log(-expm1(-behind)) if behind else -math.inf
-                    given = score - (v if v > 0 else 0.0) - log1p(exp(-abs(v)))
-                    if full and given <= least:
-                        continue
-                    j, ids, m = children[i]
-                    order += 1
-                    if not full:
-                        heapq.heappush(heap, (given, order, w, j, mass + m, (path, ids)))
-                    elif heap:
-                        heapq.heapreplace(heap, (given, order, w, j, mass + m, (path, ids)))
-                    full = len(heap) >= room
-                    least = heap[0][0] if heap else math.inf
-                pos, ids, m = children[chosen]
-                mass += m
-                path = (path, ids)
-            done.append((score, mass, path))
-        limit = done[k][0] if len(done) > k else -math.inf
-        return [(_unrolled(path), mass, _passes(mass - limit)) for score, mass, path in done[:k]]
-
-
-def _gumbels(seed: int, block: int) -> Iterator[float]:
-    """Endless standard Gumbel noise of one seed."""
-    draws = np.random.Generator(np.random.PCG64(seed))
-    while True:
-        yield from draws.gumbel(size=block).tolist()
+        noise = np.random.Generator(np.random.PCG64(seed))
+        # Open groups, best first: (falling score, order, log mass of the beginning, the edges
+        # of a segmentation that begins so, where its words start in them, place of the
+        # edge that is not taken, edges that may be instead).
+        groups = [(-noise.gumbel(), 0, 0.0, [], [0], 0, words[0][2])]
+        done, order, limit = [], 0, -math.inf
+        while groups:
+            score, _, mass, like, starts, at, left = groups.pop(0)
+            score = -score
+            if len(done) == k:
+                limit = score
+                break
+            draw = iter(noise.random(len(marked) + 1).tolist()).__next__
+            w = bisect(starts, at) - 1
+            steps, starts = like[:at], starts[: w + 1]
+            step, left = _drawn(left, draw())
+            steps.append(step)
+            append, place = steps.append, step[0]
+            while True:
+                while place is not _END:
+                    _, bounds, edges = place
+                    step = edges[bisect(bounds, draw())] if bounds else edges[0]
+                    append(step)
+                    place = step[0]
+                w += 1
+                if w == len(words):
+                    break
+                starts.append(len(steps))
+                place = words[w]
+            own = steps[at:]
+            others = np.array([step[3] for step in own])
+            others[0] = sum(step[2] for step in left)
+            with np.errstate(divide="ignore"):  # no other edge: -inf
+                others = np.log(others)
+            masses = mass + np.cumsum(np.log([1.0] + [step[2] for step in own]))
+            done.append((steps, float(masses[-1])))
+            # The best of each smaller group, given that the best of all has ``score``.
+            best = -np.logaddexp(-score, -noise.gumbel(size=len(own)) - masses[:-1] - others)
+            room = k + 1 - len(done)
+            for i in np.argsort(-best, kind="stable")[:room].tolist():
+                if best[i] == -math.inf:
+                    break
+                order += 1
+                if i:
+                    w = bisect(starts, at + i) - 1
+                    place = own[i - 1][0] if at + i > starts[w] else words[w]
+                    instead = tuple(edge for edge in place[2] if edge is not own[i])
+                else:
+                    instead = left
+                groups.append((-float(best[i]), order, float(masses[i]), steps, starts, at + i, instead))
+            groups = sorted(groups, key=lambda group: group[:2])[:room]
+        return [([i for step in steps for i in step[1]], mass, _passes(mass - limit)) for steps, mass in done]
+
+
+def _drawn(edges: tuple, draw: float) -> tuple[tuple, tuple]:
+    """One of the edges by its chance among them, and the others."""
+    bounds = list(accumulate(edge[2] for edge in edges))
+    i = min(bisect(bounds, draw * bounds[-1]), len(edges) - 1)
+    return edges[i], edges[:i] + edges[i + 1 :]
 
 
 def _passes(margin: float) -> float:
@@ -164,14 +190,6 @@ def _passes(margin: float) -> float:
     return 1.0 if margin > 700 else -math.expm1(-math.exp(margin))
 
 
-def _unrolled(path) -> list[int]:
-    parts = []
-    while path is not None:
-        path, ids = path
-        parts.append(ids)
-    return [i for ids in reversed(parts) for i in ids]
-
-
 @lru_cache(maxsize=4)
 def lattice(name: str = MODEL, sharpness: float = SHARPNESS) -> Lattice:
     return Lattice(name, sharpness)

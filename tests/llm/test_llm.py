@@ -512,14 +512,12 @@ def test_tool_call_query_covers_all_turns(llm):
 
 
 def all_segmentations(model, word):
-    edges = model.word(word)
-
-    def from_(i):
-        if i == len(edges):
+    def from_(place):
+        if not place[2]:
             return [((), 0.0)]
-        return [(ids + rest, m + q) for j, ids, m in edges[i] for rest, q in from_(j)]
+        return [(ids + rest, math.log(p) + q) for next_, ids, p, _ in place[2] for rest, q in from_(next_)]
 
-    return dict(from_(0))
+    return dict(from_(model.word(word)))
 
 
 def test_samples_are_without_replacement_and_of_the_right_chance():
