@@ -535,6 +535,24 @@ def test_samples_are_without_replacement_and_of_the_right_chance():
         assert abs(first[s] / n - p) < 0.03 and abs(second[s] / n - then) < 0.03
 
 
+def test_third_samples_over_two_words_are_of_the_right_chance():
+    model = segmentation.Lattice(segmentation.MODEL, 0.3)
+    one, two = all_segmentations(model, "▁ab"), all_segmentations(model, "▁is")
+    chance = {a + b: math.exp(p + q) for a, p in one.items() for b, q in two.items()}
+    assert abs(sum(chance.values()) - 1) < 1e-9
+    n, third = 6000, Counter()
+    for seed in range(n):
+        got = model.sample("ab is", 3, seed)
+        assert len({tuple(ids) for ids, *_ in got}) == 3
+        for ids, log_prob, _ in got:
+            assert abs(chance[tuple(ids)] - math.exp(log_prob)) < 1e-9
+        third[tuple(got[2][0])] += 1
+    for s, p in chance.items():
+        others = [(a, q) for a, q in chance.items() if a != s]
+        then = sum(q / (1 - q) * r * p / (1 - q - r) for a, q in others for b, r in others if a != b)
+        assert abs(third[s] / n - then) < 0.03
+
+
 def test_all_segmentations_come_out_when_k_is_large():
     model = segmentation.lattice()
     got = model.sample("ab é", 1000, 1)
