@@ -5,8 +5,8 @@ hashed, the documents of a host (``source``) that hold a line are counted, lines
 above the limits are removed, and a document that keeps too little is rejected.
 
 Copies must not make each other look like page furniture: the documents that hold a
-line are told apart by their longest other line, so a group of exact or near copies
-counts about once, and a line counts as often as it stands in different surroundings.
+line are counted by their whole text, so a group of exact copies counts once.  Edited
+copies are documents of their own.
 
 Defined results: a NULL text is an empty text; a document without lines keeps
 nothing and fails on its word count; a NULL host is a host of its own; rows that
@@ -113,8 +113,7 @@ def normalised_line(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: key, host, ``pos``, hash, words, ``rest_hash`` (of
-    the longest other line of the document; ties: the greatest)."""
+    """One row per line with a word: key, host, ``pos``, hash, words."""
     found = F.transform(
         F.split("t", "\n"),
         lambda x, i: F.struct(i.alias("pos"), normalised_line(x).alias("line"), F.size(words(x)).alias("n")),
@@ -125,43 +124,29 @@ def line_table(docs: DataFrame) -> DataFrame:
             "doc_id",
             F.xxhash64("t").alias("text_hash"),
             "source",
-            let(
-                F.filter(found, lambda x: x["n"] > 0),
-                lambda f: let(_two_longest(f), lambda top: F.transform(f, lambda x: _line_row(x, top))),
-            ).alias("rows"),
+            F.transform(F.filter(found, lambda x: x["n"] > 0), _line_row).alias("rows"),
         )
         .select(*KEY, "source", F.inline("rows"))
     )
 
 
-def _two_longest(found: Column) -> Column:
-    """The longest line and the longest but one, as structs (length, line)."""
-    ranked = F.array_sort(
-        F.array_distinct(F.transform(found, lambda x: F.struct(F.char_length(x["line"]).alias("c"), x["line"].alias("line"))))
-    )
-    return let(ranked, lambda r: F.slice(F.reverse(r), 1, 2))
-
-
-def _line_row(x: Column, top: Column) -> Column:
-    first = F.get(top, F.lit(0))["line"]
-    other = F.when(x["line"] == first, F.get(top, F.lit(1))["line"]).otherwise(first)
+def _line_row(x: Column) -> Column:
     return F.struct(
         x["pos"].alias("pos"),
         F.xxhash64(x["line"]).alias("line_hash"),
         x["n"].cast("long").alias("n"),
-        F.xxhash64(F.coalesce(other, F.lit(""))).alias("rest_hash"),
     )
 
 
 def frequent_lines(lines: DataFrame, docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(source, line_hash) above both limits, by the documents of the host that differ.
 
-    The count is pre-aggregated by line and surroundings, so a line that a third of
-    all documents hold reaches each shuffle as one row per task and surroundings.
+    The documents of a line are dealt by line and text, so a line that a third of all
+    documents hold is spread, and is counted from one row per task.
     """
     hosts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_host"))
     held = (
-        lines.groupBy("source", "line_hash", "rest_hash")
+        lines.groupBy("source", "line_hash", "text_hash")
         .agg(F.lit(1))
         .groupBy("source", "line_hash")
         .agg(F.count(F.lit(1)).alias("n_docs"))

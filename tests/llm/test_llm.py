@@ -100,6 +100,21 @@ def test_depleted_documents_are_rejected(llm):
     assert all(r.depleted and not r.kept and not r.base_failed for r in out) and len(out) == 20
 
 
+def quality_frame(llm, docs):
+    """Documents (text, host), numbered."""
+    return llm.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, text string, source string")
+
+
+@pytest.mark.parametrize("shared", [1, 2, 3])
+def test_shared_lines_that_are_the_longest_of_every_page_go(llm, shared):
+    rng = random.Random(3)
+    furniture = [f"notice {n} " + " ".join(str(rng.random()) for _ in range(40)) for n in range(shared)]
+    pages = ["\n".join([*furniture, "menu home", " ".join("abcdefghij"[rng.randrange(10)] * 3 for _ in range(8))]) for _ in range(20)]
+    assert len(set(pages)) == 20
+    out = quality_rules.verdicts(quality_frame(llm, [(p, "h") for p in pages])).collect()
+    assert len(out) == 20 and all(r.lines_removed == shared + 1 and r.depleted and not r.kept for r in out)
+
+
 # -- line dedup --------------------------------------------------------------------
 
 
