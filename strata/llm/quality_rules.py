@@ -5,8 +5,8 @@ hashed, the documents of a host (``source``) that hold a line are counted, lines
 above the limits are removed, and a document that keeps too little is rejected.
 
 Copies must not make each other look like page furniture: the documents that hold a
-line are counted by their whole text, so a group of exact copies counts once.  Edited
-copies are documents of their own.
+line and the documents of the host are both counted by their whole text, so a group of
+exact copies counts once on either side.  Edited copies are documents of their own.
 
 Defined results: a NULL text is an empty text; a document without lines keeps
 nothing and fails on its word count; a NULL host is a host of its own; rows that
@@ -29,7 +29,7 @@ KEY = ("doc_id", "text_hash")
 
 @dataclass(frozen=True)
 class Rules:
-    """``min_docs`` and ``min_share`` (of the host's documents) are the limits a line
+    """``min_docs`` and ``min_share`` (of the host's different texts) are the limits a line
     must both reach to be removed; a document that then has less than ``min_left`` of
     its words is depleted."""
 
@@ -144,7 +144,8 @@ def frequent_lines(lines: DataFrame, docs: DataFrame, rules: Rules = Rules()) ->
     The documents of a line are dealt by line and text, so a line that a third of all
     documents hold is spread, and is counted from one row per task.
     """
-    hosts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_host"))
+    texts = docs.select(F.col("source").alias("host"), F.xxhash64(text_or_empty()).alias("h"))
+    hosts = texts.groupBy("host", "h").agg(F.lit(1)).groupBy("host").agg(F.count(F.lit(1)).alias("n_host"))
     held = (
         lines.groupBy("source", "line_hash", "text_hash")
         .agg(F.lit(1))
@@ -152,7 +153,6 @@ def frequent_lines(lines: DataFrame, docs: DataFrame, rules: Rules = Rules()) ->
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .where(F.col("n_docs") >= rules.min_docs)
     )
-    hosts = hosts.withColumnRenamed("source", "host")
     return held.join(hosts, F.col("source").eqNullSafe(F.col("host"))).where(
         F.col("n_docs") >= F.lit(rules.min_share) * F.col("n_host")
     ).select("source", "line_hash", "n_docs")

@@ -115,6 +115,14 @@ def test_shared_lines_that_are_the_longest_of_every_page_go(llm, shared):
     assert len(out) == 20 and all(r.lines_removed == shared + 1 and r.depleted and not r.kept for r in out)
 
 
+def test_copies_do_not_raise_the_limit_of_their_host(llm):
+    rng = random.Random(4)
+    pages = [f"menu {'of this site ' * 5}\n{' '.join(str(rng.random()) for _ in range(60))}" for _ in range(12)]
+    copy = " ".join(str(rng.random()) for _ in range(60))
+    out = quality_rules.verdicts(quality_frame(llm, [(p, "h") for p in pages] + [(copy, "h")] * 700)).collect()
+    assert len(out) == 712 and all(r.lines_removed == (r.doc_id < 12) for r in out)
+
+
 # -- line dedup --------------------------------------------------------------------
 
 
