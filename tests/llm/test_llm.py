@@ -28,6 +28,7 @@ from strata.llm import (
     queries,
     segmentation,
     sharding,
+    shingle_dedup,
     simhash,
     token_counts,
     tool_calls,
@@ -274,6 +275,50 @@ def test_one_of_each(odd, plain, empty):
     assert simhash.one_of_each(empty).count() == 0
 
 
+def word_shingles(text):
+    words = text.lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+@pytest.mark.parametrize("crowd", [1000, 8])
+def test_the_stage_links_what_is_alike_to_four_fifths(llm, crowd):
+    rng = random.Random(6)
+    texts = []
+    for edits in [1, 2, 4, 6, 8, 9, 10, 11, 12, 16] * 4:
+        words = [f"w{rng.randrange(5000)}" for _ in range(450)]
+        other = list(words)
+        for at in rng.sample(range(5, 445), edits):
+            other[at] = f"e{rng.randrange(10**6)}"
+        texts += [" ".join(words), " ".join(other)]
+    hot = [f"h{rng.randrange(5000)}" for _ in range(300)]
+    texts += [" ".join([*hot[:at], f"e{at}", *hot[at + 1 :]]) for at in range(0, 300, 5)]
+    texts += ["", " ", texts[0]]
+    sets = [word_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    frame = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.root for r in shingle_dedup.near_duplicates(frame, crowd=crowd).collect()}
+    groups = defaultdict(set), defaultdict(set)
+    for i, r in enumerate(root):
+        groups[0][r].add(i)
+        groups[1][found[i]].add(i)
+    same(map(sorted, groups[0].values()), map(sorted, groups[1].values()))
+
+
+def test_the_stage_keeps_one_of_texts_that_are_alike(llm):
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(5000)}" for _ in range(450)]
+    edited = [f"e{i}" if i % 50 == 25 else w for i, w in enumerate(words)]
+    docs = [(1, " ".join(words)), (2, " ".join(edited))]
+    a, b = (word_shingles(t) for _, t in docs)
+    assert 5 * len(a & b) >= 4 * len(a | b) and len(simhash.one_of_each(llm.createDataFrame(docs, "doc_id long, text string")).collect()) == 2
+    kept = corpus_pipeline.near_duplicates(llm, llm.createDataFrame(docs, "doc_id long, text string"), SF).collect()
+    assert [r.doc_id for r in kept] == [1]
+
+
 # -- tokens ---------------------------------------------------------------------------
 
 
