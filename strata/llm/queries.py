@@ -187,8 +187,9 @@ def _tool_calls(spark, table):
 
 @query("op9_sampled_segmentations")
 def _segmentations(spark, table):
-    """Sampled segmentations of all turns of all conversations."""
-    return segmentation.sampled_segmentations(table("conversations"), ["conv_id", "turn"])
+    """Sampled segmentations of all documents and of all turns of all conversations."""
+    documents = segmentation.sampled_segmentations(table("documents"), ["doc_id"])
+    return documents.unionByName(segmentation.sampled_segmentations(table("conversations"), ["conv_id", "turn"]))
 
 
 @query("pipeline", corpus_pipeline.ORACLE_SQL)

@@ -638,6 +638,13 @@ def test_segmentations_of_odd_texts(llm, odd, plain, empty):
     assert segmentation.sampled_segmentations(empty, ["doc_id"]).count() == 0
 
 
+def test_segmentation_query_covers_documents_and_turns(llm):
+    found = {r.key for r in queries.runners()["op9_sampled_segmentations"](llm, SF).select("key").distinct().collect()}
+    docs = llm.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()
+    turns = llm.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn").collect()
+    assert found == {json.dumps([str(x) for x in r], separators=(",", ":")) for r in [*docs, *turns]}
+
+
 # -- pipeline ----------------------------------------------------------------------------------
 
 
