@@ -155,13 +155,13 @@ TOOLS = {
 
 
 def chat_calls(turns):
-    """Turns as calls and results: what a user or the system says is a call, which refers to
-    an earlier turn half way back; the assistant's next turn is its result."""
+    """Turns as calls and results: what a user, the system or nobody named says is a call, which
+    refers to an earlier turn half way back; the assistant's next turn is its result."""
     ident = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
     n = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"\s+"), ""))
     turn = F.col("turn").cast("long")
     back = turn - 2 * F.floor((turn + 3) / 4)
-    calls = turns.where(F.col("role") != "assistant").select(
+    calls = turns.where(~F.col("role").eqNullSafe("assistant")).select(
         "conv_id",
         F.when(turn.isNotNull(), ident(turn)).alias("call_id"),
         turn.alias("pos"),

@@ -576,6 +576,12 @@ def test_tool_call_query_covers_all_turns(llm):
     assert all(json.loads(r.message)["id"] == r.call_id for r in found)
 
 
+def test_turns_without_a_role_are_calls(llm):
+    turns = llm.createDataFrame([(1, 0, None, "who says this"), (1, 1, "assistant", "yes")], "conv_id long, turn int, role string, text string")
+    calls, results = queries.chat_calls(turns)
+    assert [r.call_id for r in calls.collect()] == [r.call_id for r in results.collect()] == ["1:0"]
+
+
 # -- segmentations -------------------------------------------------------------------------
 
 
