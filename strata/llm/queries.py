@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import (
+    divergence,
+    fill_middle,
     fingerprints,
     license_scan,
     line_dedup,
     packing,
     quality_rules,
+    secret_scan,
     segmentation,
     sharding,
     simhash,
@@ -192,6 +195,89 @@ def _segmentations(spark, table):
     return documents.unionByName(segmentation.sampled_segmentations(table("conversations"), ["conv_id", "turn"]))
 
 
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT k, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+dense AS (SELECT g.lang, g.source, k.term, k.lang_n, coalesce(c.n, 0) AS n
+          FROM grp g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+tot AS (SELECT lang, source, sum(n) AS total FROM dense GROUP BY ALL),
+p AS (SELECT dense.*, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS p,
+        1 + (1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v) AS q
+      FROM dense JOIN tot USING (lang, source) JOIN langs USING (lang)),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source),
+over AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value,
+             (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM pairs
+           UNION ALL
+           SELECT lang, source, 'term', item, value,
+             (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER FROM over)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def _divergence(spark, table):
+    """Word use of every two sources of a language, and the words a source prefers."""
+    return divergence.audit(table("documents"))
+
+
+@query("op12_secret_scans")
+def _secrets(spark, table):
+    """Parts of credentials in all documents."""
+    count = secret_scan.count_of
+    return secret_scan.scan(table("documents")).select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secret_scan.written(secret_scan.base_spans()), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+        F.size("credentials").cast("long").alias("n_credentials"),
+    )
+
+
+MIDDLE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t,
+             sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT k, doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS ls, ('0x' || h[1:8])::BIGINT AS h1,
+        ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(ls) AS n, least(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS a, greatest(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS b FROM u),
+p AS (SELECT doc_id, t, n, h3, h4, array_to_string(ls[1:a], '') AS pre, array_to_string(ls[a + 1:b], '') AS mid,
+        array_to_string(ls[b + 1:], '') AS suf FROM c),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+         ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM f
+"""
+
+
+@query("op13_fill_in_middle", MIDDLE_SQL)
+def _fill_in_middle(spark, table):
+    """All documents with their middle put last."""
+    return fill_middle.transform(table("documents")).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def _pipeline(spark, table):
     """All documents through every stage of the corpus pipeline."""
