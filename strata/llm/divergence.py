@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from strata.session import settle, work_path
 
 MIN_DOCS, TOP_TERMS, UNIT, SMOOTH = 10, 10, 1_000_000_000, 2
+BROADCAST_ROWS = 200_000  # groups that are sent to every task; more are joined by a shuffle
 ENTRIES = 300_000  # counts a task holds before it passes them on
 BLOCK = 500_000  # postings of a block of terms
 # The letters of a term, all bytes but the ASCII ones that are no letters; A-Z is lower-cased.
@@ -124,20 +125,21 @@ def gaps(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def group_table(docs: DataFrame, postings: DataFrame, languages: DataFrame) -> DataFrame:
-    """One row per (lang, source): kept occurrences ``total``, kept terms ``n_terms``, ``v`` of the
-    language, share ``z`` of a term it lacks."""
+    """One row per (lang, source): kept occurrences ``total``, kept terms ``n_terms``, ``v`` and ``lang_total`` of
+    the language, share ``z`` of a term it lacks."""
     own = postings.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_terms"))
     every = docs.select(_filled("lang"), _filled("source")).distinct()
     zero = F.lit(0).cast("long")
     return (
         every.join(own, ["lang", "source"], "left")
-        .join(languages.select("lang", "v"), "lang", "left")
+        .join(languages, "lang", "left")
         .select(
             "lang",
             "source",
             F.coalesce("total", zero).alias("total"),
             F.coalesce("n_terms", zero).alias("n_terms"),
             F.coalesce("v", zero).alias("v"),
+            F.coalesce("lang_total", zero).alias("lang_total"),
         )
         .withColumn("z", share(zero, F.col("total"), F.col("v")))
     )
@@ -268,9 +270,10 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
     postings = index.select("lang", "term", "lang_n", F.inline("postings"))
     languages = index.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
     groups = settle(group_table(docs, postings, languages), work_path(spark, "term-groups"))
+    # A hot source would meet in one task of a shuffle, so postings stay where they are while groups are few.
+    near = F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
     priced = (
-        postings.join(groups, ["lang", "source"])
-        .join(languages.select("lang", "lang_total"), "lang")
+        postings.join(near, ["lang", "source"])
         .withColumn("p", share(F.col("n"), F.col("total"), F.col("v")))
         .withColumn("q", share(F.col("lang_n"), F.col("lang_total"), F.col("v")))
     )

@@ -72,7 +72,7 @@ def test_audit_of_any_blocks(llm, monkeypatch, least, entries, block):
     assert sum(sum(b["n"].to_pylist()) for b in divergence._counted(iter([batch]))) == words
     frame = llm.createDataFrame(docs, SHAPE).repartition(4)
     index = divergence.term_index(frame, least)
-    monkeypatch.setattr(divergence, "BLOCK", block)
+    monkeypatch.setattr(divergence, "BROADCAST_ROWS", 0 if least == 1 else 10**6)
     monkeypatch.setattr(divergence.pair_values, "__defaults__", (block,))
     held = Counter((d[2] or "", t) for d in docs for t in set(divergence.terms((d[1] or "").encode())))
     assert index.count() == sum(n >= least for n in held.values())
