@@ -9,14 +9,16 @@ from queries.curated import _BASE
 from queries.registry import Tables, query
 from strata.functions import payload as P
 from strata.operators.numbering import add_surrogate_id
-from strata.plans.config import CURATED, QUARANTINE_TABLE, Run, standard_entities
+from strata.operators.upsert import upsert_overwrite
+from strata.plans.batch import phase_log, run_batch
+from strata.plans.config import BATCH_LOG, CURATED, QUARANTINE_TABLE, RECON_LOG, Run, standard_entities
 from strata.plans.curate import curate
 from strata.plans.extract import STOP, extract, split_usable
 from strata.plans.load import load_landing, load_sanitised, set_up
 from strata.schemas import columns
 from strata.session import spread, work_dir
 from strata.sinks.snapshots import write_partitioned_snapshot, write_snapshot
-from strata.sinks.store import Store
+from strata.sinks.store import Store, TableDef
 from strata.sources import responses, snapshots, tables
 
 DAY1, DAY2 = dt.date(2026, 5, 1), dt.date(2026, 5, 2)
@@ -45,7 +47,7 @@ def _release_objects(t: Tables, orders):
     )
 
 
-def _loaded(t: Tables) -> tuple[Store, dict]:
+def _loaded(t: Tables, archive: bool = False) -> tuple[Store, dict]:
     """Two daily snapshots of the releases, the first without the open orders."""
     root = _folder(t, "layers")
     raw = f"{root}/raw"
@@ -54,7 +56,7 @@ def _loaded(t: Tables) -> tuple[Store, dict]:
     set_up(store, entities)
     for day, rows in ((DAY1, t.orders.where(F.col("o_orderstatus") != "O")), (DAY2, t.orders)):
         write_snapshot(_release_objects(t, rows), f"{raw}/releases", "releases", day)
-        load_landing(store, entities["releases"], Run(f"{day:%Y%m%d}000000_src", f"{day} 00:00:00", raw))
+        load_landing(store, entities["releases"], Run(f"{day:%Y%m%d}000000_src", f"{day} 00:00:00", raw, archive=archive))
     return store, entities
 
 
@@ -127,7 +129,7 @@ def sanitised_load(t: Tables):
     """Landing payloads through the generic sanitise load."""
     store, entities = _loaded(t)
     load_sanitised(store, entities["releases"], Run("20260502000000_src", f"{DAY2} 00:00:00", ""))
-    return store.read(entities["releases"].sanitised)
+    return store.read(entities["releases"].sanitised).drop("etl_batch_id")
 
 
 @query(
@@ -136,10 +138,10 @@ def sanitised_load(t: Tables):
     """
 )
 def archived_version(t: Tables):
-    """The superseded landing version, copied to the archive of its batch."""
-    store, entities = _loaded(t)
+    """The landing rows that the second load superseded, in the archive of its batch."""
+    store, entities = _loaded(t, archive=True)
     table = entities["releases"].landing
-    path = store.archive(table, "000002-20260501000000_src", "20260502000000_src")
+    path = store.archive_folder(table, "20260502000000_src")
     return t.spark.read.schema(table.columns).parquet(path).select(
         "id", F.col("updated_at").cast("timestamp_ntz").alias("updated_at")
     )
@@ -200,7 +202,7 @@ def curation_stage(t: Tables):
         missing = [f.name for f in table.columns if f.name not in rows.columns]
         store.refresh(table, rows.withColumns({c: F.lit(None) for c in missing}), "b1")
     curate(store, entities, Run("b1", f"{DAY1} 00:00:00", ""))
-    return store.read(CURATED["artist_metrics"])
+    return store.read(CURATED["artist_metrics"]).drop("etl_batch_id")
 
 
 @query(
@@ -278,3 +280,93 @@ def arrival_order(t: Tables):
     read = snapshots.read_json_lines(t.spark, path).select("element", "_ord.*")
     numbered = add_surrogate_id(read, ["src_file", "block", "pos", "part"], "place", start_after=-1)
     return numbered.select("place", F.get_json_object("element", "$.o_orderkey").cast("long").alias("o_orderkey"))
+
+
+@query(
+    """
+    SELECT c_custkey::varchar AS id, c_name AS name,
+           CASE WHEN c_custkey < 10 THEN 'second' ELSE 'first' END AS etl_batch_id FROM customer
+    """
+)
+def merge_hit_buckets(t: Tables):
+    """A small batch merged into a table of 64 buckets; the buckets it does not hit stay as they are."""
+    store = Store(t.spark, _folder(t, "buckets"))
+    table = TableDef("landing", "lnd_names", columns("id string, name string, etl_batch_id string"), ("id",), 64)
+    store.create_if_absent(table)
+    rows = t.customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), "c_custkey")
+
+    def merge(batch, name):
+        stamped = batch.withColumn("etl_batch_id", F.lit(name))
+        store.merge(table, stamped, lambda held, new: upsert_overwrite(held, new, ["id"], ["c_custkey"], None, table.buckets))
+
+    merge(rows.withColumn("name", F.when(F.col("c_custkey") < 10, F.lit("old")).otherwise(F.col("name"))), "first")
+    merge(rows.where("c_custkey < 10"), "second")
+    return store.read(table)
+
+
+@query(
+    """
+    SELECT o_orderkey::varchar AS release_id, o_orderstatus AS status,
+           CASE o_orderstatus WHEN 'F' THEN 'b1' WHEN 'O' THEN 'b2' ELSE 'b0' END AS etl_batch_id FROM orders
+    """
+)
+def incremental_batches(t: Tables):
+    """Increments by batch: two batches of one time with a sanitised load after each, and one that comes late
+    with an earlier time; every row arrives, under the batch that brought it."""
+    root = _folder(t, "increments")
+    releases = standard_entities(buckets=8, layout="lines")["releases"]
+    store = Store(t.spark, f"{root}/store")
+    set_up(store, {"releases": releases})
+    for batch, status, day in (("b1", "F", DAY2), ("b2", "O", DAY2), ("b0", "P", DAY1)):
+        run = Run(batch, f"{day} 00:00:00", f"{root}/{batch}")
+        rows = _release_objects(t, t.orders.where(F.col("o_orderstatus") == status))
+        write_snapshot(rows, f"{root}/{batch}/releases", "releases", day)
+        load_landing(store, releases, run)
+        load_sanitised(store, releases, run)
+    return store.read(releases.sanitised).select("release_id", "status", "etl_batch_id")
+
+
+@query(
+    """
+    WITH c AS (SELECT count(*) AS n, count(*) FILTER (c_custkey % 7 <> 3) AS good FROM customer),
+    o AS (SELECT count(*) AS n FROM orders)
+    SELECT 'phase' AS entry, v.* FROM c, o, (VALUES
+      ('crm', 'people', 'batch', 'SUCCESS', good, NULL::bigint), ('crm', 'people', 'load_landing_artists', 'SUCCESS', c.n, NULL),
+      ('crm', 'people', 'load_sanitised_artists', 'SUCCESS', good, NULL), ('shop', 'catalogue', 'batch', 'SUCCESS', o.n, NULL),
+      ('shop', 'catalogue', 'load_landing_releases', 'SUCCESS', o.n, NULL),
+      ('shop', 'catalogue', 'load_sanitised_releases', 'SUCCESS', o.n, NULL)) v(source_system, group_name, phase_name, status, n, diff)
+    UNION ALL
+    SELECT 'recon', v.* FROM c, o, (VALUES
+      ('raw.artists', 'landing.lnd_artists', 'recon_raw_artists', 'PASS', c.n, 0::bigint),
+      ('landing.lnd_artists', 'sanitised.san_artists', 'recon_artists', 'FAIL', good, c.n - good),
+      ('raw.releases', 'landing.lnd_releases', 'recon_raw_releases', 'PASS', o.n, 0),
+      ('landing.lnd_releases', 'sanitised.san_releases', 'recon_releases', 'PASS', o.n, 0)) v(source_system, group_name, phase_name, status, n, diff)
+    """
+)
+def batch_run(t: Tables):
+    """A batch over two entity groups of two systems: what its log and its reconciliation say.  Some artists
+    have no name and are rejected, which the counts show."""
+    root = _folder(t, "batch")
+    artist = P.serialise(
+        F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 7 != 3, F.col("c_name")).alias("name")
+    )
+    groups = {"artists": ("crm", "people"), "releases": ("shop", "catalogue")}
+    entities = standard_entities(buckets=8, layout="lines", groups=groups)
+    entities = {name: entities[name] for name in groups}
+    write_snapshot(t.customer.select(artist.alias("element")), f"{root}/raw/artists", "artists", DAY1)
+    write_snapshot(_release_objects(t, t.orders), f"{root}/raw/releases", "releases", DAY1)
+    store = Store(t.spark, f"{root}/store")
+    run_batch(store, entities, Run("20260501000000_src", f"{DAY1} 00:00:00", f"{root}/raw"), curation=False)
+    phases = phase_log(store.read(BATCH_LOG)).select(
+        F.lit("phase").alias("entry"),
+        "source_system",
+        "group_name",
+        "phase_name",
+        "status",
+        F.col("rows_processed").alias("n"),
+        F.lit(None).cast("long").alias("diff"),
+    )
+    recon = store.read(RECON_LOG).select(
+        F.lit("recon"), "source_table", "target_table", "phase_name", "status", "target_count", "diff"
+    )
+    return phases.union(recon)

@@ -1,8 +1,9 @@
 """Set-based keyed merges with the outcome of row-by-row upserts.
 
 Target and folded batch both hold one row per key, so the full outer join moves
-every row once and no key can grow; a target bucketed by its key is not moved at
-all (see ``sinks.store``).  Rows with a NULL key must have been rejected before.
+every row once and no key can grow.  With ``buckets`` both sides are dealt to that many
+partitions by key, so the rows of a table's bucket leave the merge in one task (see
+``sinks.store``).  Rows with a NULL key must have been rejected before.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from strata.operators.fold import fold_first, fold_last, fold_last_non_null
 CREATED = "created_at"
 
 
-def _match(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _match(target: DataFrame, incoming: DataFrame, keys: Sequence[str], buckets: int | None) -> DataFrame:
     def side(df: DataFrame, mark: str) -> DataFrame:
+        df = df.repartition(buckets, *keys) if buckets else df
         values = [c for c in df.columns if c not in keys]
         return df.select(
             *keys, *(F.col(c).alias(f"{mark}_{c}") for c in values), F.lit(True).alias(mark)
@@ -33,6 +35,7 @@ def _merge(
     keys: Sequence[str],
     created: str | None,
     pick: Callable[[Column, Column], Column],
+    buckets: int | None,
 ) -> DataFrame:
     def column(name: str) -> Column:
         if name in keys:
@@ -42,7 +45,7 @@ def _merge(
             return F.when(F.col("_t").isNotNull(), old).otherwise(new).alias(name)
         return pick(old, new).alias(name)
 
-    return _match(target, folded, keys).select(*(column(c) for c in target.columns))
+    return _match(target, folded, keys, buckets).select(*(column(c) for c in target.columns))
 
 
 def upsert_overwrite(
@@ -51,6 +54,7 @@ def upsert_overwrite(
     keys: Sequence[str],
     order: Sequence[str],
     created: str | None = CREATED,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Incoming rows replace target rows, NULLs included.
 
@@ -59,7 +63,7 @@ def upsert_overwrite(
     created = created if created in target.columns else None
     folded = fold_last(incoming, keys, order, [created] if created else [], target.columns)
     hit = F.col("_i").isNotNull()
-    return _merge(target, folded, keys, created, lambda old, new: F.when(hit, new).otherwise(old))
+    return _merge(target, folded, keys, created, lambda old, new: F.when(hit, new).otherwise(old), buckets)
 
 
 def upsert_preserve(
@@ -68,11 +72,12 @@ def upsert_preserve(
     keys: Sequence[str],
     order: Sequence[str],
     created: str | None = CREATED,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Only incoming values that are not NULL replace target values."""
     created = created if created in target.columns else None
     folded = fold_last_non_null(incoming, keys, order, [created] if created else [], target.columns)
-    return _merge(target, folded, keys, created, lambda old, new: F.coalesce(new, old))
+    return _merge(target, folded, keys, created, lambda old, new: F.coalesce(new, old), buckets)
 
 
 def insert_absent(

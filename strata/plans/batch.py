@@ -15,11 +15,17 @@ from strata.operators.relate import lost_records
 from strata.plans.config import BATCH_LOG, RECON_LOG, Entity, Run
 from strata.plans.curate import curate
 from strata.plans.load import Loaded, load_landing, load_sanitised, set_up
-from strata.sinks.store import Store
+from strata.session import file_system
+from strata.sinks.store import Store, TableDef
+from strata.sources.tables import of_batches
+
+
+# What curated tables are logged under: they are made from the tables of all groups.
+CURATION = ("curated", "metrics")
 
 
 class Batch:
-    """One batch run of one entity group."""
+    """One batch run, as logged for one entity group of one source system."""
 
     def __init__(self, store: Store, run: Run, source_system: str, group_name: str):
         self.store, self.run = store, run
@@ -75,7 +81,8 @@ def phase_log(log: DataFrame) -> DataFrame:
     rows = log.withColumn("_at", F.coalesce("ended_at", "started_at")).withColumn(
         "_closed", F.col("ended_at").isNotNull()
     )
-    return audit.batch_rollup(rows, ["_at", "_closed"])
+    keys = ("etl_batch_id", "source_system", "group_name", "phase_name")
+    return audit.batch_rollup(rows, ["_at", "_closed"], keys=keys)
 
 
 def expected_keys(store: Store, entity: Entity) -> DataFrame:
@@ -95,41 +102,55 @@ def new_batch_id(started: dt.datetime, source: str) -> str:
     return f"{started:%Y%m%d%H%M%S}_{source}"
 
 
-def run_batch(store: Store, entities: dict[str, Entity], run: Run) -> dict[str, Loaded]:
-    """All entities through landing, sanitised and curated, reconciled on the way."""
-    first = next(iter(entities.values()))
-    batch = Batch(store, run, first.source_system, first.group_name)
+def run_batch(store: Store, entities: dict[str, Entity], run: Run, curation: bool = True) -> dict[str, Loaded]:
+    """All entities through landing and sanitised, group by group, then the curated tables; reconciled and
+    logged on the way, every phase under the source system and group of its entities."""
     set_up(store, entities)
     out: dict[str, Loaded] = {}
-    batch.phase("batch", lambda: _phases(batch, entities, out))
+    groups: dict[tuple[str, str], dict[str, Entity]] = {}
+    for name, e in entities.items():
+        groups.setdefault((e.source_system, e.group_name), {})[name] = e
+    for (system, group), members in groups.items():
+        batch = Batch(store, run, system, group)
+        batch.phase("batch", lambda batch=batch, members=members: _phases(batch, members, out))
+    if curation:
+        Batch(store, run, *CURATION).phase("curate", lambda: curate(store, entities, run) and None)
     return out
 
 
 def _phases(batch: Batch, entities: dict[str, Entity], out: dict[str, Loaded]) -> int:
     """All phases of an open batch; returns the sanitised rows."""
     store, run = batch.store, batch.run
+    rows = 0
     for name, e in entities.items():
         landed = out[f"landing.{name}"] = batch.phase(
             f"load_landing_{name}", lambda e=e: load_landing(store, e, run)
         )
-        # Every key this run touched carries its time; the other rows read were rejected
+        # Every key this run touched carries its batch; the other rows read were rejected
         # or repeat one of these keys.
-        touched = store.read(e.landing).where(F.col("updated_at") == stamp.moment(run.as_of))
         batch.reconcile(
             landed.rows_read,
-            touched,
+            of_batches(store.read(e.landing), [run.etl_batch_id]),
             f"raw.{e.source_name}",
             e.landing.full_name,
             f"recon_raw_{name}",
             landed.rows_rejected + landed.rows_good - landed.keys,
         )
-        out[f"sanitised.{name}"] = batch.phase(
+        cleaned = out[f"sanitised.{name}"] = batch.phase(
             f"load_sanitised_{name}", lambda e=e: load_sanitised(store, e, run)
         )
+        rows += cleaned.rows_good
         # One landing row is one sanitised row unless children are exploded out of it.
         source = expected_keys(store, e) if e.child_steps else store.read(e.landing)
         batch.reconcile(
             source, store.read(e.sanitised), e.landing.full_name, e.sanitised.full_name, f"recon_{name}"
         )
-    batch.phase("curate", lambda: curate(store, entities, run) and None)
-    return sum(loaded.rows_good for name, loaded in out.items() if name.startswith("sanitised"))
+        if run.archive:
+            batch.phase(f"archive_{name}", lambda e=e: sum(archived_rows(store, t, run) for t in (e.landing, e.sanitised)))
+    return rows
+
+
+def archived_rows(store: Store, table: TableDef, run: Run) -> int:
+    """Rows that the run's merge into ``table`` has superseded and kept."""
+    path, files = file_system(store.spark, store.archive_folder(table, run.etl_batch_id))
+    return store.spark.read.schema(table.columns).parquet(path.toString()).count() if files.exists(path) else 0

@@ -51,33 +51,38 @@ class Run:
     as_of: dt.datetime | str
     raw_root: str
     day: dt.date | None = None  # None reads the newest snapshot
+    archive: bool = False  # keep the rows that a merge supersedes, under the batch's id
 
 
 def landing_table(name: str, buckets: int, columns: T.StructType = S.LANDING) -> TableDef:
-    # Sorted by update time within a bucket, so incremental reads skip row groups.
-    return TableDef("landing", name, columns, ("id",), buckets, ("updated_at",))
+    # Sorted by batch within a bucket, so incremental reads skip row groups.
+    return TableDef("landing", name, columns, ("id",), buckets, ("etl_batch_id",))
 
 
 def standard_entities(
-    buckets: int = 0,
+    buckets: int = 1,
     layout: str = "array",
     recording_steps: tuple[str, ...] = ("$.parts", "$.items"),
     url_steps: tuple[str, ...] = ("$.links",),
     source_system: str = "src",
     key_type: str = "string",
+    groups: dict[str, tuple[str, str]] | None = None,
 ) -> dict[str, Entity]:
     """The four standard entities.  Where recordings and urls nest inside a
-    release body is a setting, as are the file layout and the landing key type."""
+    release body is a setting, as are the file layout, the landing key type, and the
+    (source system, group) of each entity that has one of its own."""
     landing = {"string": S.LANDING, "bigint": S.LANDING_BIGINT}[key_type]
 
     def entity(source, san, schema, key, fields, **more) -> Entity:
+        system, group = (groups or {}).get(source, (source_system, "entities"))
         return Entity(
             source,
             landing_table(f"lnd_{source}", buckets, landing),
             TableDef("sanitised", san, schema, key, buckets),
             fields,
             layout=layout,
-            source_system=source_system,
+            source_system=system,
+            group_name=group,
             **more,
         )
 
@@ -154,4 +159,5 @@ CURATED = {
 BATCH_LOG = TableDef("audit", "batch_log", S.BATCH_LOG)
 RECON_LOG = TableDef("audit", "recon_log", S.RECON_LOG)
 QUARANTINE_TABLE = TableDef("audit", "quarantine", QUARANTINE)
-AUDIT = (BATCH_LOG, RECON_LOG, QUARANTINE_TABLE)
+LEDGER = TableDef("audit", "batch_ledger", S.BATCH_LEDGER)
+AUDIT = (BATCH_LOG, RECON_LOG, QUARANTINE_TABLE, LEDGER)

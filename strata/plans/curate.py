@@ -6,13 +6,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
+from strata.functions.stamp import stamp_batch
 from strata.operators import curated as A
 from strata.plans.config import CURATED, Entity, Run
 from strata.sinks.store import Store
 
 
-def curate(store: Store, entities: dict[str, Entity], run: Run) -> dict[str, str]:
-    """Rebuild every curated table; returns the published versions.
+def curate(store: Store, entities: dict[str, Entity], run: Run) -> list[str]:
+    """Rebuild every curated table, stamped with the run's batch; returns their names.
 
     Recordings, the largest input, are counted per release once: the artist
     metrics read the counts out of the published release metrics, and the country
@@ -21,10 +22,8 @@ def curate(store: Store, entities: dict[str, Entity], run: Run) -> dict[str, str
     artists, releases, recordings, urls = (
         store.read(entities[n].sanitised) for n in ("artists", "releases", "recordings", "urls")
     )
-    versions: dict[str, str] = {}
-
     def publish(name: str, rows: DataFrame) -> DataFrame:
-        versions[name] = store.refresh(CURATED[name], rows, run.etl_batch_id)
+        store.refresh(CURATED[name], stamp_batch(rows, run.etl_batch_id), run.etl_batch_id)
         return store.read(CURATED[name])
 
     def counts() -> None:
@@ -41,4 +40,4 @@ def curate(store: Store, entities: dict[str, Entity], run: Run) -> dict[str, str
     with ThreadPoolExecutor(len(chains)) as pool:
         for done in [pool.submit(chain) for chain in chains]:
             done.result()
-    return versions
+    return list(CURATED)

@@ -15,18 +15,20 @@ from strata.operators import constraints as K
 from strata.operators.numbering import add_surrogate_id
 from strata.operators.project import key_alias, sanitise
 from strata.operators.upsert import upsert_overwrite, upsert_preserve
+from strata.plans import ledger
 from strata.plans.config import AUDIT, CURATED, QUARANTINE_TABLE, Entity, Run
+from strata.schemas import REGISTRY
 from strata.session import discard, settle, spread, work_path
 from strata.sinks.store import Store, TableDef
 from strata.sources import snapshots
-from strata.sources.tables import changed_since
+from strata.sources.tables import of_batches, target_schema
 
 
 @dataclass(frozen=True)
 class Loaded:
-    """Exact counts of one load and the version it published."""
+    """Exact counts of one load and the buckets it rewrote."""
 
-    version: str
+    buckets: int
     rows_read: int
     rows_good: int
     rows_rejected: int
@@ -42,6 +44,17 @@ def set_up(store: Store, entities: dict[str, Entity]) -> None:
         store.create_if_absent(table)
 
 
+def check_target(store: Store, table: TableDef) -> None:
+    """Look the target's columns up before anything is read; a load stops when there are none
+    or when they are not those the load was declared with."""
+    known = target_schema(store.spark, table.full_name, {table.full_name: table.columns} | REGISTRY)
+    if not known.fieldNames():
+        raise LookupError(f"target {table.full_name} has no columns")
+    lost = [c for c in table.key if c not in known.fieldNames()]
+    if lost:
+        raise LookupError(f"target {table.full_name} has no column {', '.join(lost)}")
+
+
 def snapshot_rows(store: Store, entity: Entity, run: Run) -> DataFrame:
     """Rows of the newest snapshot, or of the run's day."""
     folder, source = f"{run.raw_root}/{entity.source_name}", entity.source_name
@@ -80,6 +93,7 @@ def landing_rows(rows: DataFrame, entity: Entity, run: Run) -> DataFrame:
         "payload",
         F.coalesce("_created", now).alias("created_at"),
         now.alias("updated_at"),
+        F.lit(run.etl_batch_id).alias("etl_batch_id"),
         "_ord",
         F.col("src_file").alias("_src"),
         reason.alias(K.REASON),
@@ -117,24 +131,30 @@ def _quarantine(store: Store, staged: _Staged, run: Run, table: TableDef, src: s
     )
 
 
-def _loaded(staged: _Staged, table: TableDef, version: str) -> Loaded:
+def _loaded(staged: _Staged, table: TableDef, hit: list[int]) -> Loaded:
     counts = staged.counts
     keys = staged.good.select(*table.key).distinct().count()
-    return Loaded(version, counts["rows_read"], counts["rows_good"], counts["rows_rejected"], keys)
+    return Loaded(len(hit), counts["rows_read"], counts["rows_good"], counts["rows_rejected"], keys)
 
 
 def load_landing(store: Store, entity: Entity, run: Run) -> Loaded:
-    """Newest snapshot into the landing table, incoming rows winning."""
+    """Newest snapshot into the landing table, incoming rows winning; buckets of the
+    table that the snapshot does not hit are neither read nor written."""
     table = entity.landing
-    based_on = store.current_version(table)
-    target = store.read(table)
+    check_target(store, table)
     rows = landing_rows(snapshot_rows(store, entity, run), entity, run)
     staged = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
     created = "created_at" if entity.created == "preserve" else None
     try:
         _quarantine(store, staged, run, table, "_src")
-        merged = upsert_overwrite(target, staged.good, table.key, ["_ord"], created)
-        return _loaded(staged, table, store.publish(table, merged, run.etl_batch_id, based_on))
+        ledger.announce(store, table, run)
+        hit = store.merge(
+            table,
+            staged.good,
+            lambda held, new: upsert_overwrite(held, new, table.key, ["_ord"], created, table.buckets),
+            run.etl_batch_id if run.archive else None,
+        )
+        return _loaded(staged, table, hit)
     finally:
         discard(store.spark, staged.path)
 
@@ -148,10 +168,10 @@ def refresh_landing(store: Store, entity: Entity, run: Run, serial: TableDef) ->
         ["src_file", "block", "pos", "part"],
         path=path,
     ).withColumn("ingestion_date", stamp.moment(run.as_of).cast("timestamp_ntz"))
-    version = store.refresh(serial, numbered, run.etl_batch_id)
+    store.refresh(serial, numbered, run.etl_batch_id)
     discard(store.spark, path)
     n = store.read(serial).count()
-    return Loaded(version, n, n, 0, n)
+    return Loaded(0, n, n, 0, n)
 
 
 def sanitised_rows(landing: DataFrame, entity: Entity, run: Run) -> DataFrame:
@@ -160,7 +180,7 @@ def sanitised_rows(landing: DataFrame, entity: Entity, run: Run) -> DataFrame:
         landing,
         entity.fields,
         child_steps=entity.child_steps,
-        keep=("id", "payload", "updated_at", "_at"),
+        keep=("id", "payload", "updated_at", "etl_batch_id", "_at"),
         reason=K.REASON,
     )
     if "ingestion_date" in entity.sanitised.columns.fieldNames():
@@ -173,28 +193,29 @@ def sanitised_rows(landing: DataFrame, entity: Entity, run: Run) -> DataFrame:
 def load_sanitised(store: Store, entity: Entity, run: Run, incremental: bool = True) -> Loaded:
     """Landing payloads into the sanitised table, keeping values not sent again.
 
-    Only landing rows updated after the last sanitised load are read; its time is
-    the greatest ``ingestion_date``.  Every run has a time of its own, and a run
-    that is repeated reads its own rows again, with the same result.
+    Only landing rows of batches that this table has not taken in yet are read (see
+    ``plans.ledger``), whatever their time.  What it takes in is noted once it is written, so
+    a load that fails reads the same batches again, with the same result.
     """
     table = entity.sanitised
-    based_on = store.current_version(table)
-    target = store.read(table)
+    check_target(store, table)
+    found = ledger.pending(store, entity.landing, table)
     landing = store.read(entity.landing)
     if incremental:
-        last = F.max("ingestion_date").cast("timestamp")
-        after_last = last + F.expr("INTERVAL 1 MICROSECOND")
-        start = F.when(last.isNull(), stamp.moment("1970-01-01 00:00:00")).otherwise(
-            F.least(after_last, stamp.moment(run.as_of))
-        )
-        landing = changed_since(landing, target.select(start).scalar(), inclusive=True)
+        landing = of_batches(landing, found.batches)
     rows = sanitised_rows(landing, entity, run)
     staged = _stage(rows, f"{table.table_name}-{run.etl_batch_id}")
     created = "created_at" if entity.created == "preserve" else None
     order = ["updated_at", "id", "_at"]
     try:
         _quarantine(store, staged, run, table, "id")
-        merged = upsert_preserve(target, staged.good, table.key, order, created)
-        return _loaded(staged, table, store.publish(table, merged, run.etl_batch_id, based_on))
+        hit = store.merge(
+            table,
+            staged.good,
+            lambda held, new: upsert_preserve(held, new, table.key, order, created, table.buckets),
+            run.etl_batch_id if run.archive else None,
+        )
+        ledger.take_in(store, found)
+        return _loaded(staged, table, hit)
     finally:
         discard(store.spark, staged.path)

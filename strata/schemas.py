@@ -26,39 +26,41 @@ RESPONSE = columns(
 )
 
 # Column names and order are fixed by the layer tables' definitions.
-LANDING = columns("id string, payload string, created_at ts, updated_at ts")
-LANDING_BIGINT = columns("id long, payload string, created_at ts, updated_at ts")
+# Layer rows also carry the batch that brought them.
+BATCH_ID = ", etl_batch_id string"
+LANDING = columns("id string, payload string, created_at ts, updated_at ts" + BATCH_ID)
+LANDING_BIGINT = columns("id long, payload string, created_at ts, updated_at ts" + BATCH_ID)
 LANDING_SERIAL = columns("ingestion_id long, ingestion_date ntz, payload string")
 
 SAN_ARTISTS = columns(
-    "artist_id string, name string, gender string, country string, score int, ingestion_date ntz"
+    "artist_id string, name string, gender string, country string, score int, ingestion_date ntz" + BATCH_ID
 )
 SAN_RELEASES = columns(
     "release_id string, artist_id string, group_id string, title string,"
-    " release_date date, date_raw string, country string, status string, ingestion_date ntz"
+    " release_date date, date_raw string, country string, status string, ingestion_date ntz" + BATCH_ID
 )
 SAN_RECORDINGS = columns(
-    "recording_id string, release_id string, song_name string, ingestion_date ntz"
+    "recording_id string, release_id string, song_name string, ingestion_date ntz" + BATCH_ID
 )
 SAN_URLS = columns(
-    "url_id string, release_id string, type string, resource string, ingestion_date ntz"
+    "url_id string, release_id string, type string, resource string, ingestion_date ntz" + BATCH_ID
 )
 
 ARTIST_METRICS = columns(
     "artist_id string, name string, country string, release_count long, album_count long,"
-    " recording_count long, first_release_date date, last_release_date date"
+    " recording_count long, first_release_date date, last_release_date date" + BATCH_ID
 )
 RELEASE_METRICS = columns(
     "release_id string, artist_id string, release_year int, status string,"
-    " recording_count long, url_count long"
+    " recording_count long, url_count long" + BATCH_ID
 )
 COUNTRY_METRICS = columns(
-    "country string, artist_count long, release_count long, recording_count long"
+    "country string, artist_count long, release_count long, recording_count long" + BATCH_ID
 )
-RECORDING_METRICS = columns("recording_id string, release_count long, artist_count long")
+RECORDING_METRICS = columns("recording_id string, release_count long, artist_count long" + BATCH_ID)
 DISCOGRAPHY = columns(
     "artist_id string, name string, release_count long, first_release_date date,"
-    " last_release_date date, country_count long, status_count long"
+    " last_release_date date, country_count long, status_count long" + BATCH_ID
 )
 
 BATCH_LOG = columns(
@@ -70,6 +72,11 @@ RECON_LOG = columns(
     " source_count long, target_count long, diff long, status string, checked_at ts"
 )
 
+# One row per load of a layer table, and one per consumer that has taken it in.
+BATCH_LEDGER = columns(
+    "table_name string, etl_batch_id string, load_id string, consumer string, logged_at ts"
+)
+
 REGISTRY = {
     "landing.lnd_artists": LANDING,
     "landing.lnd_releases": LANDING,
@@ -86,4 +93,5 @@ REGISTRY = {
     "curated.artist_discography": DISCOGRAPHY,
     "audit.batch_log": BATCH_LOG,
     "audit.recon_log": RECON_LOG,
+    "audit.batch_ledger": BATCH_LEDGER,
 }

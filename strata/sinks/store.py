@@ -1,25 +1,29 @@
-"""Layer tables on plain Parquet: versioned folders, each made current by one empty file.
+"""Layer tables as folders of plain Parquet; each table has one writer at a time.
 
-A load writes a complete new version and then creates the file that publishes it, so
-a reader sees the old version or the new one, and a failed load changes nothing.
+A table with ``buckets`` is partitioned by a bucket of its key.  A merge reads and overwrites the buckets
+its batch hits and no others, by a dynamic partition overwrite: Spark writes the new buckets aside and
+puts them in place when the job commits, so a failed job changes nothing.  Rows of one bucket leave the
+merge's join in one task.  Frames read before a merge must not be read after it.
 
-A table with ``buckets`` is bucketed by its key.  The target side of a keyed merge
-is then read already partitioned, and the merged rows leave the join in bucket
-order: only the incoming batch is ever shuffled, however large the target grows.
+Any other table is replaced as a whole: every refresh writes a new folder, and readers take the newest
+that Spark has marked as finished.  Logs are appended to.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import file_system, prepare
+from strata.session import discard, file_system, prepare
 
-_PUBLISHED = "_published."
+BUCKET = "bucket"
+KEPT_VERSIONS = 1  # superseded ones of a refreshed table
 
 
 @dataclass(frozen=True)
@@ -37,9 +41,12 @@ class TableDef:
     def full_name(self) -> str:
         return f"{self.schema_name}.{self.table_name}"
 
+    def declared(self, df: DataFrame) -> list[Column]:
+        return [df[f.name].cast(f.dataType).alias(f.name) for f in self.columns]
 
-class StaleTarget(RuntimeError):
-    """The table was published by another load since it was read."""
+    def bucket(self) -> Column:
+        """Equal to the partition that ``repartition(buckets, *key)`` deals a row to."""
+        return F.pmod(F.hash(*(F.col(k).cast(self.columns[k].dataType) for k in self.key)), F.lit(self.buckets))
 
 
 class Store:
@@ -47,161 +54,75 @@ class Store:
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
 
-    # -- files ---------------------------------------------------------------
-
     def folder(self, table: TableDef) -> str:
         return f"{self.root}/{table.schema_name}/{table.table_name}"
 
-    def version_path(self, table: TableDef, version: str) -> str:
-        return f"{self.folder(table)}/v={version}"
-
-    # -- versions ------------------------------------------------------------
-
-    def current_version(self, table: TableDef) -> str | None:
-        """The version of the greatest number that has been published."""
-        pattern, files = file_system(self.spark, f"{self.folder(table)}/{_PUBLISHED}*")
-        names = [status.getPath().getName() for status in files.globStatus(pattern) or []]
-        return max((n[len(_PUBLISHED) :] for n in names), default=None)
-
-    def _point_to(self, table: TableDef, version: str) -> None:
-        path, files = file_system(self.spark, f"{self.folder(table)}/{_PUBLISHED}{version}")
-        files.createNewFile(path)
-
-    @staticmethod
-    def _next_version(current: str | None, batch: str) -> str:
-        number = int(current.split("-")[0]) + 1 if current else 1
-        return f"{number:06d}-{batch}"
-
-    # -- tables --------------------------------------------------------------
+    def archive_folder(self, table: TableDef, batch: str) -> str:
+        return f"{self.root}/archive/batch_id={batch}/{table.schema_name}/{table.table_name}"
 
     def create_if_absent(self, table: TableDef) -> bool:
-        """Publish an empty version unless the table exists.
-
-        The declared columns are given on every read, so an empty folder will do.
-        """
-        if self.current_version(table) is not None:
-            return False
-        version = self._next_version(None, "init")
-        path, files = file_system(self.spark, self.version_path(table, version))
-        files.mkdirs(path)
-        self._point_to(table, version)
-        return True
-
-    def _table_name(self, table: TableDef, version: str) -> str:
-        plain = re.sub(r"\W", "_", f"{table.schema_name}_{table.table_name}_{version}_{self.root}")
-        return plain.lower()
-
-    def _open(self, table: TableDef, version: str) -> DataFrame:
-        path = self.version_path(table, version)
-        if not table.buckets:
-            return self.spark.read.schema(table.columns).option("recursiveFileLookup", "true").parquet(path)
-        name = self._table_name(table, version)
-        if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.columns)
-            keys = ", ".join(f"`{k}`" for k in table.key)
-            self.spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet"
-                f" CLUSTERED BY ({keys}) INTO {table.buckets} BUCKETS LOCATION '{path}'"
-            )
-        return self.spark.table(name)
+        """Set up an empty table; its declared columns are given on every read."""
+        path, files = file_system(self.spark, self.folder(table))
+        return not files.exists(path) and files.mkdirs(path)
 
     def read(self, table: TableDef) -> DataFrame:
-        """The current version, with the declared columns."""
-        version = self.current_version(table)
-        if version is None:
+        """The current rows, with the declared columns."""
+        path, files = file_system(self.spark, self.folder(table))
+        if not files.exists(path):
             raise LookupError(f"table {table.full_name} has not been set up")
-        return self._open(table, version)
+        if table.buckets:
+            return self._bucketed(table).drop(BUCKET)
+        at = "/".join([self.folder(table), *self.versions(table)[-1:]])
+        return self.spark.read.schema(table.columns).option("recursiveFileLookup", "true").parquet(at)
 
-    def publish(
-        self, table: TableDef, df: DataFrame, batch: str, based_on: str | None = None
-    ) -> str:
-        """Write ``df`` as a complete new version and make it current.
+    def _bucketed(self, table: TableDef) -> DataFrame:
+        columns = T.StructType([*table.columns, T.StructField(BUCKET, T.IntegerType())])
+        return self.spark.read.schema(columns).parquet(self.folder(table))
 
-        The number of the version is claimed first, by a file that only one writer
-        can create; any other gets StaleTarget.  With ``based_on``, the version
-        ``df`` was computed from, so does a writer whose table has moved on.
-        """
-        current = self.current_version(table)
-        version = self._next_version(current, batch)
-        claim, files = self._claim(table, version)
-        if not files.createNewFile(claim):
-            raise StaleTarget(f"{table.full_name}: another load is writing version {version[:6]}")
-        try:
-            return self._publish_claimed(table, df, version, current, based_on)
-        except BaseException:
-            files.delete(claim, False)
-            raise
-
-    def _claim(self, table: TableDef, version: str):
-        return file_system(self.spark, f"{self.folder(table)}/_claim.{version.split('-')[0]}")
-
-    def release(self, table: TableDef) -> bool:
-        """Give up the claim of a writer that died before it published."""
-        claim, files = self._claim(table, self._next_version(self.current_version(table), ""))
-        return files.delete(claim, False)
-
-    def _publish_claimed(
-        self, table: TableDef, df: DataFrame, version: str, current: str | None, based_on: str | None
-    ) -> str:
-        if based_on is not None and self.current_version(table) != based_on:
-            raise StaleTarget(f"{table.full_name} is at {self.current_version(table)}, not at {based_on}")
-        path = self.version_path(table, version)
-        rows = df.select(*(df[f.name].cast(f.dataType).alias(f.name) for f in table.columns))
+    def versions(self, table: TableDef) -> list[str]:
+        """Finished versions of a refreshed table, oldest first."""
+        marks, files = file_system(self.spark, f"{self.folder(table)}/v=*/_SUCCESS")
+        return sorted(s.getPath().getParent().getName() for s in files.globStatus(marks) or [])
+
+    def refresh(self, table: TableDef, df: DataFrame, batch: str) -> None:
+        """Replace all rows (truncate and insert in one commit)."""
         if table.buckets:
-            writer = rows.write.bucketBy(table.buckets, *table.key)
-            if table.sort_by:
-                writer = writer.sortBy(*table.sort_by)
-            name = self._table_name(table, version)
-            writer.option("path", path).format("parquet").mode("overwrite").saveAsTable(name)
+            self._put(table, df.repartition(table.buckets, *table.key))
+            hit = {f"{BUCKET}={r[0]}" for r in self._bucketed(table).select(BUCKET).distinct().collect()}
+            written = {f"{BUCKET}={r[0]}" for r in df.select(table.bucket()).distinct().collect()}
+            gone = [f"{self.folder(table)}/{name}" for name in hit - written]
         else:
-            if table.sort_by:
-                rows = rows.sortWithinPartitions(*table.sort_by)
-            rows.write.mode("overwrite").parquet(path)
-        moved = self.current_version(table)
-        if moved != current or (based_on is not None and moved != based_on):
-            raise StaleTarget(f"{table.full_name} is at {moved}, not at {based_on or current}")
-        self._point_to(table, version)
-        return version
-
-    def refresh(self, table: TableDef, df: DataFrame, batch: str) -> str:
-        """Replace all rows (truncate and insert in one commit)."""
-        return self.publish(table, df, batch)
+            old = self.versions(table)
+            number = int(old[-1][2:].split("-")[0]) + 1 if old else 1
+            rows = df.select(*table.declared(df))
+            rows.write.mode("overwrite").parquet(f"{self.folder(table)}/v={number:06d}-{batch}")
+            gone = [f"{self.folder(table)}/{v}" for v in old[: max(0, len(old) - KEPT_VERSIONS)]]
+        for path in gone:
+            discard(self.spark, path)
+
+    def _put(self, table: TableDef, df: DataFrame) -> None:
+        rows = df.select(*table.declared(df)).withColumn(BUCKET, table.bucket())
+        rows = rows.sortWithinPartitions(BUCKET, *table.sort_by)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(BUCKET).parquet(self.folder(table))
+
+    def merge(
+        self, table: TableDef, incoming: DataFrame, how: Callable[[DataFrame, DataFrame], DataFrame], archive_as: str | None = None
+    ) -> list[int]:
+        """Overwrite the buckets that ``incoming`` hits with ``how(their rows, incoming)``; returns them.
+
+        With ``archive_as``, the superseded rows of these buckets go to the archive of that batch first.
+        """
+        hit = sorted(r[0] for r in incoming.select(table.bucket()).distinct().collect())  # at most ``buckets`` numbers
+        if hit:
+            held = self._bucketed(table).where(F.col(BUCKET).isin(hit))
+            if archive_as is not None:
+                held.write.mode("overwrite").partitionBy(BUCKET).parquet(self.archive_folder(table, archive_as))
+            self._put(table, how(held.drop(BUCKET), incoming))
+        return hit
 
     def append(self, table: TableDef, df: DataFrame, key: str | None = None) -> None:
-        """Add rows to the current version of an append-only table.
-
-        Every append has a folder of its own, so writers do not meet.  Rows given
-        under a ``key`` take the place of those given under it before: a load that
-        is repeated adds nothing.
-        """
-        if table.buckets:
-            raise ValueError(f"{table.full_name} is bucketed: merge into it")
-        rows = df.select(*(df[f.name].cast(f.dataType).alias(f.name) for f in table.columns))
+        """Add rows to a log, in a folder of their own.  Rows given under a ``key`` take the
+        place of those given under it before: a load that is repeated adds nothing."""
         name = re.sub(r"\W", "_", key) if key else uuid.uuid4().hex
-        rows.write.mode("overwrite").parquet(f"{self.version_path(table, self.current_version(table))}/rows-{name}")
-
-    def archive(self, table: TableDef, version: str, batch: str) -> str:
-        """Copy a superseded version to the archive of a batch."""
-        if version == self.current_version(table):
-            raise ValueError(f"{version} is the current version of {table.full_name}")
-        path = f"{self.root}/archive/batch_id={batch}/{table.schema_name}/{table.table_name}"
-        self._open(table, version).write.mode("overwrite").parquet(path)
-        return path
-
-    def versions(self, table: TableDef) -> list[str]:
-        """Versions on disk, oldest first."""
-        pattern, files = file_system(self.spark, f"{self.folder(table)}/v=*")
-        return sorted(s.getPath().getName()[2:] for s in files.globStatus(pattern) or [])
-
-    def expire(self, table: TableDef, keep: int = 1) -> list[str]:
-        """Delete superseded versions but the newest ``keep`` of them."""
-        current = self.current_version(table)
-        old = [v for v in self.versions(table) if v < current]
-        gone = old[: max(0, len(old) - keep)]
-        for version in gone:
-            if table.buckets:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(table, version)}")
-            path, files = file_system(self.spark, self.version_path(table, version))
-            files.delete(path, True)
-            files.delete(file_system(self.spark, f"{self.folder(table)}/{_PUBLISHED}{version}")[0], False)
-        return gone
+        df.select(*table.declared(df)).write.mode("overwrite").parquet(f"{self.folder(table)}/rows-{name}")

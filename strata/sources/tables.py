@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,11 @@ def parse_payload(df: DataFrame, schema: T.StructType, payload: str = "payload")
     return df.select(*others, F.inline(F.array(F.from_json(payload, schema))))
 
 
+def of_batches(df: DataFrame, batches: Sequence[str]) -> DataFrame:
+    """Rows that one of the batches brought; the list skips Parquet row groups."""
+    return df.where(F.col("etl_batch_id").isin(list(batches)))
+
+
 def changed_since(
     df: DataFrame, mark: Column, updated: str = "updated_at", inclusive: bool = False
 ) -> DataFrame:

@@ -135,21 +135,6 @@ def test_serial_landing(spark, tmp_path):
     assert got == {i + 1: i for i in range(20)}
 
 
-def test_versions_expire(spark, tmp_path):
-    from strata.schemas import columns
-    from strata.sinks.store import TableDef
-
-    store = Store(spark, str(tmp_path))
-    for buckets in (0, 4):
-        table = TableDef("s", f"t{buckets}", columns("id long"), ("id",), buckets)
-        store.create_if_absent(table)
-        for n in (1, 2, 3):
-            store.refresh(table, spark.range(n), f"b{n}")
-        assert store.expire(table) == ["000001-init", "000002-b1"]
-        assert store.versions(table) == ["000003-b2", "000004-b3"]
-        assert store.read(table).count() == 3
-
-
 def test_what_a_stopped_run_leaves_out_is_named(spark, responses):
     twice = responses.unionByName(responses.withColumn("run_id", F.lit("other")))
     bad = twice.withColumn("body", F.when((F.col("run_id") == "other") & (F.col("ord") == 1), "{").otherwise(F.col("body")))
@@ -173,26 +158,6 @@ def test_caps_are_per_run(spark, responses):
     assert found.count() == 2
 
 
-def test_one_of_two_publishes_on_one_base_wins(spark, tmp_path):
-    from strata.schemas import columns
-    from strata.sinks.store import StaleTarget, TableDef
-
-    store, table = Store(spark, str(tmp_path)), TableDef("s", "t", columns("id long"))
-    store.create_if_absent(table)
-    base = store.current_version(table)
-
-    def publish(n):
-        try:
-            return store.publish(table, spark.range(n), f"b{n}", base)
-        except StaleTarget:
-            return None
-
-    with ThreadPoolExecutor(4) as pool:
-        won = [v for v in pool.map(publish, (1, 2, 3, 4)) if v]
-    assert len(won) == 1 and store.current_version(table) == won[0]
-    assert publish(5) is None and store.publish(table, spark.range(6), "b6") and store.read(table).count() == 6
-
-
 def test_appends_side_by_side(spark, tmp_path):
     from strata.schemas import columns
     from strata.sinks.store import TableDef

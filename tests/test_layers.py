@@ -2,15 +2,22 @@
 
 import datetime as dt
 import json
+import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from helpers import plan
 from strata.operators.audit import batch_outcome
 from strata.plans.batch import Batch, lost_keys, new_batch_id, phase_log, run_batch
 from strata.plans.config import BATCH_LOG, QUARANTINE_TABLE, RECON_LOG, CURATED, Run, standard_entities
-from strata.plans.load import load_landing, load_sanitised, set_up
-from strata.sinks.store import StaleTarget, Store
+from strata.operators.upsert import upsert_overwrite
+from strata.plans import ledger
+from strata.plans.load import check_target, load_landing, load_sanitised, set_up
+from strata.schemas import columns
+from strata.sinks.store import Store, TableDef
 
 DAY1, DAY2 = "2026-05-01 00:00:00", "2026-05-02 00:00:00"
 
@@ -64,7 +71,7 @@ def run(raw, as_of, n):
     return Run(f"2026050{n}000000_src", as_of, str(raw))
 
 
-@pytest.mark.parametrize("buckets", [0, 8])
+@pytest.mark.parametrize("buckets", [1, 8])
 def test_two_snapshots(spark, tmp_path, raw, buckets):
     store = Store(spark, str(tmp_path / "store"))
     entities = standard_entities(buckets=buckets)
@@ -117,9 +124,8 @@ def test_two_snapshots(spark, tmp_path, raw, buckets):
     put(raw, "artists", "2026_05_02", ARTISTS_2)
     second = run(raw, DAY2, 2)
     load_landing(store, entities["artists"], second)
-    # Only what the second run landed is read, also when the run is repeated.
-    for _ in range(2):
-        assert load_sanitised(store, entities["artists"], second).rows_read == 2
+    # Only what the second run landed is read, and only once.
+    assert [load_sanitised(store, entities["artists"], second).rows_read for _ in range(2)] == [2, 0]
     lnd = {r.id: r for r in store.read(entities["artists"].landing).collect()}
     assert (lnd["a1"].created_at, lnd["a1"].updated_at) == (dt.datetime(2026, 5, 1), dt.datetime(2026, 5, 2))
     assert lnd["a3"].updated_at == dt.datetime(2026, 5, 1)
@@ -140,46 +146,128 @@ def test_two_snapshots(spark, tmp_path, raw, buckets):
     assert sorted(map(str, store.read(entities["artists"].landing).collect())) == before
 
 
-def test_bucketed_target_is_not_shuffled(spark, tmp_path, raw):
-    from strata.operators.upsert import upsert_overwrite
+def files_of(folder):
+    return {str(f.relative_to(folder)): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
 
-    store = Store(spark, str(tmp_path / "store"))
-    entity = standard_entities(buckets=8)["artists"]
-    set_up(store, {"artists": entity})
-    load_landing(store, entity, run(raw, DAY1, 1))
-    target = store.read(entity.landing)
-    incoming = spark.range(100000).select(
-        F.concat(F.lit("a"), "id").alias("id"), F.lit("{}").alias("payload"),
-        F.lit(DAY2).cast("timestamp").alias("created_at"), F.lit(DAY2).cast("timestamp").alias("updated_at"),
-        F.col("id").alias("_ord"),
-    )
-    merged = upsert_overwrite(target, incoming, ["id"], ["_ord"])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = merged._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 1, plan
-    assert "Bucketed: true" in plan
+
+NAMES = TableDef("s", "names", columns("id string, name string, n long"), ("id",), 64)
+
+
+def put_names(store, rows):
+    frame = store.spark.createDataFrame(rows, "id string, name string, n long")
+    how = lambda held, new: upsert_overwrite(held, new, ["id"], ["n"], None, NAMES.buckets)
+    return store.merge(NAMES, frame, how)
+
+
+def test_only_hit_buckets_are_read_and_written(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create_if_absent(NAMES)
+    assert put_names(store, [(f"k{i}", "old", i) for i in range(2000)]) == list(range(64))
+    folder = tmp_path / "s" / "names"
+    before = files_of(folder)
+    assert len(before) == 64  # one task writes a bucket
+    hit = put_names(store, [("k7", "a", 1), ("k7", "b", 2)])
+    after = files_of(folder)
+    assert len(hit) == 1 and len(after) == 64
+    assert [f for f in before if after.get(f) != before[f]] == [f for f in before if f.startswith(f"bucket={hit[0]}/")]
+    got = {r.id: r.name for r in store.read(NAMES).collect()}
+    assert got == {f"k{i}": "b" if i == 7 else "old" for i in range(2000)}
+    assert put_names(store, []) == [] and files_of(folder) == after
+    read = store._bucketed(NAMES).where(F.col("bucket").isin(hit))
+    assert "PartitionFilters: [isnotnull(bucket" in plan(read) or "PartitionFilters: [bucket" in plan(read)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_bucket_merges_equal_row_by_row(spark, tmp_path, seed):
+    rng, model, store = random.Random(seed), {}, Store(spark, str(tmp_path))
+    store.create_if_absent(NAMES)
+    for step in range(4):
+        rows = [(f"k{rng.randrange(300)}", rng.choice(["x", "y", None]), 1000 * step + i) for i in range(rng.choice([1, 5, 200]))]
+        put_names(store, rows)
+        model.update({r[0]: r for r in rows})
+    assert sorted(map(tuple, store.read(NAMES).collect()), key=repr) == sorted(model.values(), key=repr)
 
 
 def test_failed_load_changes_nothing(spark, tmp_path, raw):
     store = Store(spark, str(tmp_path / "store"))
-    entities = standard_entities()
+    entities = standard_entities(buckets=4)
     set_up(store, entities)
     e = entities["artists"]
     load_landing(store, e, run(raw, DAY1, 1))
-    before = store.current_version(e.landing)
-    broken = store.read(e.landing).withColumn("payload", F.raise_error(F.lit("boom")))
+    folder = tmp_path / "store" / "landing" / "lnd_artists"
+    before = files_of(folder)
+    rows = store.read(e.landing)
+    # The rows fail while the new buckets are being written.
+    boom = F.when(F.col("id") == "a3", F.raise_error(F.lit("boom")).cast("string")).otherwise(F.col("payload"))
     with pytest.raises(Exception, match="boom"):
-        store.publish(e.landing, broken, "x", before)
-    assert store.current_version(e.landing) == before
-    assert store.read(e.landing).count() == 4
-    with pytest.raises(StaleTarget):
-        store.publish(e.landing, store.read(e.landing), "y", "000000-other")
-    # A retry after the crash reuses the unpublished version number.
-    store.publish(e.landing, store.read(e.landing), "x", before)
-    assert store.read(e.landing).count() == 4
+        store.merge(e.landing, rows, lambda held, new: held.withColumn("payload", boom))
+    assert files_of(folder) == before and store.read(e.landing).count() == 4
+    curated = CURATED["country_metrics"]
+    store.refresh(curated, spark.range(3).withColumns({f.name: F.lit(None) for f in curated.columns}), "b1")
+    with pytest.raises(Exception, match="boom"):
+        store.refresh(curated, rows.select(boom.alias("country"), *(F.lit(None).alias(f.name) for f in curated.columns[1:])), "b2")
+    assert store.read(curated).count() == 3 and store.versions(curated) == ["v=000001-b1"]
+
+
+def test_a_refreshed_table_has_the_new_rows_only(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    plain = TableDef("s", "plain", columns("id string, name string, n long"))
+    for table in (NAMES, plain):
+        assert store.create_if_absent(table) and not store.create_if_absent(table)
+        for n in (500, 3, 40):
+            rows = spark.range(n).select(F.concat(F.lit("k"), "id").alias("id"), F.lit("x").alias("name"), F.col("id").alias("n"))
+            store.refresh(table, rows, f"b{n}")
+            assert sorted(r.n for r in store.read(table).collect()) == list(range(n))
+    assert store.versions(plain) == ["v=000002-b3", "v=000003-b40"]
+    with pytest.raises(LookupError):
+        store.read(TableDef("s", "unknown", plain.columns))
+
+
+def test_increments_by_batch_lose_nothing(spark, tmp_path, raw):
+    """Two runs of one time, a batch with an earlier time, and a sanitised load that dies."""
+    store = Store(spark, str(tmp_path / "store"))
+    entity = standard_entities()["artists"]
+    set_up(store, {"artists": entity})
+    first, same, late = Run("b1", DAY2, str(raw)), Run("b2", DAY2, str(raw)), Run("b0", DAY1, str(raw))
+    read = lambda run: load_sanitised(store, entity, run).rows_read
+    put(raw, "artists", "2026_05_03", [{"id": "x1", "name": "one"}])
+    load_landing(store, entity, first)
+    assert read(first) == 1 and read(first) == 0
+    put(raw, "artists", "2026_05_04", [{"id": "x2", "name": "two"}])
+    load_landing(store, entity, same)
+    put(raw, "artists", "2026_05_05", [{"id": "x3", "name": "three"}, {"id": "x1", "country": "SE", "name": "one"}])
+    load_landing(store, entity, late)
+    found = ledger.pending(store, entity.landing, entity.sanitised)
+    assert found.batches == ["b0", "b2"]
+    assert read(late) == 3 and read(late) == 0
+    got = {r.artist_id: (r.country, r.etl_batch_id) for r in store.read(entity.sanitised).collect()}
+    assert got == {"x1": ("SE", "b0"), "x2": (None, "b2"), "x3": (None, "b0")}
+    # A load that was announced and died before it wrote is read again when it is repeated.
+    ledger.announce(store, entity.landing, same)
+    assert read(same) == 1
+    load_landing(store, entity, late)
+    assert ledger.pending(store, entity.landing, entity.sanitised).batches == ["b0"]
+
+
+def test_a_load_looks_its_target_up(spark, tmp_path, raw):
+    store = Store(spark, str(tmp_path / "store"))
+    entity = standard_entities()["artists"]
+    for bad in (columns("key string"), T.StructType([])):
+        with pytest.raises(LookupError):
+            check_target(store, replace(entity.landing, table_name="other", columns=bad))
+    check_target(store, entity.landing)
+
+
+def test_phases_are_logged_under_their_own_group(spark, tmp_path, raw):
+    store = Store(spark, str(tmp_path / "store"))
+    entities = standard_entities(groups={"urls": ("web", "links")})
+    run_batch(store, entities, replace(run(raw, DAY1, 1), archive=True))
+    labels = {(r.source_system, r.group_name, r.phase_name) for r in store.read(BATCH_LOG).collect()}
+    assert {("web", "links", "batch"), ("web", "links", "load_landing_urls"), ("src", "entities", "batch"), ("curated", "metrics", "curate"),
+            ("src", "entities", "archive_artists")} <= labels
+    assert ("src", "entities", "load_landing_urls") not in labels
+    for table in [*CURATED.values(), *(t for e in entities.values() for t in (e.landing, e.sanitised))]:
+        assert {r.etl_batch_id for r in store.read(table).collect()} == {"20260501000000_src"}, table
 
 
 def test_failed_phase_is_logged_and_raised(spark, tmp_path, raw):
@@ -198,19 +286,17 @@ def test_failed_phase_is_logged_and_raised(spark, tmp_path, raw):
 
 def test_archive_and_setup(spark, tmp_path, raw):
     store = Store(spark, str(tmp_path / "store"))
-    entities = standard_entities()
+    entities = standard_entities(buckets=8)
     set_up(store, entities)
     e = entities["artists"]
-    first = store.current_version(e.landing)
     assert store.create_if_absent(e.landing) is False
     load_landing(store, e, run(raw, DAY1, 1))
-    second = store.current_version(e.landing)
-    assert first != second
-    load_landing(store, e, run(raw, DAY1, 1))
-    path = store.archive(e.landing, second, "b1")
-    assert spark.read.parquet(path).count() == 4
-    with pytest.raises(ValueError):
-        store.archive(e.landing, store.current_version(e.landing), "b1")
+    put(raw, "artists", "2026_05_02", ARTISTS_2)
+    load_landing(store, e, replace(run(raw, DAY2, 2), archive=True))
+    # The archive holds what the second load superseded, and its neighbours in the buckets hit.
+    kept = spark.read.parquet(store.archive_folder(e.landing, "20260502000000_src"))
+    held = {r.id: r.etl_batch_id for r in kept.collect()}
+    assert held["a1"] == "20260501000000_src" and "a5" not in held
 
 
 def test_batch_id_text():

@@ -10,7 +10,8 @@ from helpers import plan
 FOLDER = "/root/testdata/sf0.001"
 NAMES = sorted(registered.runners())
 WRITES = {"snapshot_write", "snapshot_partitions", "landing_load", "sanitised_load", "archived_version",
-          "curation_stage", "full_refresh", "extraction_run", "sanitised_rejects", "arrival_order"}
+          "curation_stage", "full_refresh", "extraction_run", "sanitised_rejects", "arrival_order",
+          "merge_hit_buckets", "incremental_batches", "batch_run"}
 
 
 @pytest.fixture(scope="module")
