@@ -370,3 +370,21 @@ def batch_run(t: Tables):
         F.lit("recon"), "source_table", "target_table", "phase_name", "status", "target_count", "diff"
     )
     return phases.union(recon)
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
+def array_split_scan(t: Tables):
+    """Orders as compact arrays, each file a single line, read by byte ranges; the file that lacks its
+    last bracket gives no rows."""
+    folder = _folder(t, "arrays")
+    element = P.serialise("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    for status in ("F", "O", "P"):
+        rows = t.orders.where(F.col("o_orderstatus") == status)
+        first, last = rows.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+        begin = F.when(F.col("o_orderkey") == first, F.lit("[")).otherwise(F.lit(""))
+        end = F.when(F.col("o_orderkey") < last, F.lit(",")).otherwise(F.lit("" if status == "P" else "]"))
+        lines = rows.select("o_orderkey", F.concat(begin, element, end).alias("value")).coalesce(1)
+        lines.sortWithinPartitions("o_orderkey").select("value").write.text(f"{folder}/{status}", lineSep=" ")
+    read = snapshots.read_split_arrays(t.spark, [f"{folder}/{status}" for status in ("F", "O", "P")])
+    schema = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus").schema
+    return tables.parse_payload(read.select("element"), schema, "element")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import payload as P
 from strata.session import file_system
+from strata.sources.array_split import split_elements
 
 ORDINAL = "struct<src_file:string,block:bigint,pos:bigint,part:int>"
 
@@ -170,8 +171,26 @@ def read_indented_arrays(spark: SparkSession, path: str | list[str]) -> DataFram
     )
 
 
+def read_split_arrays(spark: SparkSession, path: str | list[str], scratch: str | None = None) -> DataFrame:
+    """``read_array_files`` with every file read by many tasks, also one that is a single line."""
+    return _with_ordinal(split_elements(spark, path, scratch))
+
+
+def read_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Array files of any size: whole where no file is larger than a task should read, else split.
+    The rows are the same; a compressed file cannot be split."""
+    limit = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    sizes = []
+    for p in [path] if isinstance(path, str) else path:
+        pattern, files = file_system(spark, p)
+        for status in files.globStatus(pattern) or []:
+            inside = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+            sizes += [s.getLen() for s in inside if s.isFile() and s.getPath().getName().endswith((".json", ".txt"))]
+    return read_split_arrays(spark, path) if max(sizes, default=0) > limit else read_array_files(spark, path)
+
+
 READERS = {
-    "array": read_array_files,
+    "array": read_arrays,
     "lines": read_json_lines,
     "indented": read_indented_arrays,
 }
