@@ -2,9 +2,12 @@
 
 A sketch keeps every shingle hash below ``1 / scale`` of the hash space, so its size
 follows the document and sketches of very unequal documents estimate containment; the union
-of two sketches is the sketch of both texts together.  A text with shingles of which
-none is that small keeps its smallest hash instead, so that no text with words has an empty
-sketch.  A shingle is five words (all of a shorter text).
+of two sketches is the sketch of both texts together.  A text of ``FEW`` shingles or less keeps them all, at
+scale 1, and its fingerprint is marked; two sketches are compared at the lower of their thresholds.
+A shingle is five words (all of a shorter text).
+
+Where the smaller of two texts at hand is such a short one, few or none of its hashes lie below the threshold of
+the longer: the likeness is then checked exactly, against all shingles of the longer text.
 
 Defined results: a NULL text is empty; texts without words have an empty sketch, and
 are alike to each other (1) and to nothing else (0); equal texts have equal
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import text_or_empty
 
-SHINGLE, SCALE = 5, 8
+SHINGLE, SCALE, FEW = 5, 8, 64
+MARK = "all:"  # of the fingerprint of a text that keeps every shingle
 EDITED = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,"
     " near_edited double, near_next double"
@@ -50,29 +55,56 @@ def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def sketch(text: str, scale: int = SCALE, shingle: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes below the threshold, or the smallest one."""
-    hashes = shingle_hashes(text, shingle)
-    low = hashes[hashes < np.uint64((1 << 64) // scale)]
-    return np.unique(low) if len(low) or not len(hashes) else hashes[[hashes.argmin()]]
+def below(hashes: np.ndarray, scale: int) -> np.ndarray:
+    return hashes if scale == 1 else hashes[hashes < np.uint64((1 << 64) // scale)]
+
+
+@dataclass(frozen=True)
+class Sketch:
+    """Sorted distinct hashes below ``1 / scale`` of the hash space."""
+
+    hashes: np.ndarray
+    scale: int
+
+    def text(self) -> str:
+        return (MARK if self.scale == 1 else "") + self.hashes.astype(">u8").tobytes().hex()
+
 
+def sketch_of(shingles: np.ndarray, scale: int = SCALE) -> Sketch:
+    """The sketch of the sorted distinct hashes of all shingles."""
+    scale = 1 if len(shingles) <= FEW else scale
+    return Sketch(below(shingles, scale), scale)
 
-def merged(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
+
+def sketch(text: str, scale: int = SCALE, shingle: int = SHINGLE) -> Sketch:
+    return sketch_of(np.unique(shingle_hashes(text, shingle)), scale)
+
+
+def merged(a: Sketch, b: Sketch, scale: int = SCALE) -> Sketch:
     """The sketch of two texts together (but for shingles across their seam)."""
-    both = np.union1d(a, b)
-    low = both[both < np.uint64((1 << 64) // scale)]
-    return low if len(low) else both[:1]
+    if a.scale == b.scale == 1:
+        return sketch_of(np.union1d(a.hashes, b.hashes), scale)
+    scale = max(a.scale, b.scale)
+    return Sketch(np.union1d(below(a.hashes, scale), below(b.hashes, scale)), scale)
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of the smaller sketch that the larger one holds."""
+def _held(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
 
 
-def as_text(hashes: np.ndarray) -> str:
-    return hashes.astype(">u8").tobytes().hex()
+def containment(a: Sketch, b: Sketch) -> float:
+    """Share of the smaller sketch that the larger one holds, at the lower of their thresholds."""
+    scale = max(a.scale, b.scale)
+    return _held(below(a.hashes, scale), below(b.hashes, scale))
+
+
+def likeness(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> float:
+    """Containment from all shingles of two texts: exact where the smaller is short, else from their sketches."""
+    if min(len(a), len(b)) <= FEW:
+        return _held(a, b)
+    return containment(sketch_of(a, scale), sketch_of(b, scale))
 
 
 def edited(text: str, following: str) -> str:
@@ -85,25 +117,25 @@ def _neighbours(scale: int, shingle: int):
     """Rows of a range in their order, each with the one after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None  # (range, doc_id, text, sketch), still without its next
+        before = None  # (range, doc_id, text, shingles), still without its next
         for batch in batches:
             rows = []
             for part, guest, doc_id, value in zip(*(batch.column(i) for i in range(4))):
                 part, guest, doc_id, text = part.as_py(), guest.as_py(), doc_id.as_py(), value.as_py()
-                own = sketch(text, scale, shingle)
+                own = np.unique(shingle_hashes(text, shingle))
                 if before is not None and before[0] == part:
                     _, last_id, last_text, last = before
                     new_text = edited(last_text, text)
-                    new = sketch(new_text, scale, shingle)
+                    new = np.unique(shingle_hashes(new_text, shingle))
                     rows.append(
                         (
                             last_id,
                             len(last_text),
                             hashlib.sha256(new_text.encode()).hexdigest(),
-                            as_text(last),
-                            as_text(new),
-                            containment(last, new),
-                            containment(last, own),
+                            sketch_of(last, scale).text(),
+                            sketch_of(new, scale).text(),
+                            likeness(last, new, scale),
+                            likeness(last, own, scale),
                         )
                     )
                 before = None if guest else (part, doc_id, text, own)

@@ -38,12 +38,8 @@ lw AS (SELECT k, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS c F
 dup AS (SELECT k, count(*) - count(DISTINCT line) AS n_dup_lines FROM lw WHERE c > 0 GROUP BY k),
 norm AS (SELECT k, c, regexp_replace(trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g')), '[0-9]', '0', 'g') AS line
          FROM lw WHERE c > 0),
-top AS (SELECT k, line, row_number() OVER (PARTITION BY k ORDER BY length(line) DESC, line DESC) AS r
-        FROM (SELECT DISTINCT k, line FROM norm)),
-rest AS (SELECT k, max(CASE WHEN r = 1 THEN line END) AS a, coalesce(max(CASE WHEN r = 2 THEN line END), '') AS b FROM top GROUP BY k),
-held AS (SELECT source, line, count(DISTINCT CASE WHEN line = a THEN b ELSE a END) AS n_docs
-         FROM norm JOIN rest USING (k) JOIN docs USING (k) GROUP BY source, line),
-hosts AS (SELECT source, count(*) AS n_host FROM docs GROUP BY source),
+held AS (SELECT source, line, count(DISTINCT t) AS n_docs FROM norm JOIN docs USING (k) GROUP BY source, line),
+hosts AS (SELECT source, count(DISTINCT t) AS n_host FROM docs GROUP BY source),
 freq AS (SELECT held.source, line FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
          WHERE n_docs >= 10 AND n_docs >= 0.02 * n_host),
 gone AS (SELECT k, count(*) AS lines_removed, sum(c) AS words_removed

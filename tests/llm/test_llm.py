@@ -5,6 +5,7 @@ import json
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -116,6 +117,24 @@ def test_shared_lines_that_are_the_longest_of_every_page_go(llm, shared):
     assert len(out) == 20 and all(r.lines_removed == shared + 1 and r.depleted and not r.kept for r in out)
 
 
+def test_frequent_lines_of_hosts_equal_the_sql(llm, tmp_path, monkeypatch):
+    """Hosts with shared lines and copies: the check SQL counts as the code does."""
+    rng = random.Random(8)
+    prose_ = lambda n: " ".join(str(rng.random()) for _ in range(n))
+    shared = [prose_(30), prose_(40), "menu home about"]
+    docs = [("\n".join([*shared[: i % 4], prose_(12)]), f"h{i % 2}") for i in range(60)]
+    docs += [docs[7]] * 80 + [(prose_(60), "h0")] * 500 + [(None, None), ("", "h1")] + [("\n".join(shared), "h2")] * 30
+    docs += [(f"{shared[0]}\n{prose_(3)}", None) for _ in range(12)]
+    quality_frame(llm, docs).coalesce(1).write.parquet(str(tmp_path / "w"))
+    (tmp_path / "documents.parquet").symlink_to(next((tmp_path / "w").glob("part-*")))
+    for name in check.TABLES:
+        if name != "documents":
+            (tmp_path / f"{name}.parquet").symlink_to(f"{SF}/{name}.parquet")
+    monkeypatch.setattr(check.contract, "queries", queries.runners)
+    monkeypatch.setattr(check.contract, "oracle_sql", queries.oracles)
+    assert check.compare(llm, check.connect(str(tmp_path)), str(tmp_path), "op1_quality_rules") is None
+
+
 def test_copies_do_not_raise_the_limit_of_their_host(llm):
     rng = random.Random(4)
     pages = [f"menu {'of this site ' * 5}\n{' '.join(str(rng.random()) for _ in range(60))}" for _ in range(12)]
@@ -418,6 +437,38 @@ def test_packing_nothing(empty):
 # -- fingerprints -----------------------------------------------------------------------
 
 
+def plain_shingles(text):
+    words = text.lower().split()
+    k = min(5, len(words))
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set()
+
+
+def plain_fingerprint(text):
+    """The documented hash of a shingle in whole numbers; all of a short text, else those below an eighth."""
+    m = (1 << 64) - 1
+    found = set()
+    for words in plain_shingles(text):
+        h = 0
+        for w in words:
+            h = (h * 0x9E3779B97F4A7C15 + xxhash.xxh3_64_intdigest(w)) & m
+        h = ((h ^ (h >> 31)) * 0xBF58476D1CE4E5B9) & m
+        found.add(h ^ (h >> 29))
+    short = len(found) <= 64
+    return ("all:" if short else "") + "".join(f"{h:016x}" for h in sorted(found) if short or h < (1 << 64) // 8)
+
+
+@pytest.mark.parametrize("n_words", [1, 4, 5, 6, 8, 12, 16, 20, 30, 60])
+def test_short_texts_are_found_in_long_ones(n_words):
+    rng = random.Random(n_words)
+    words = [f"w{rng.random()}" for _ in range(3000)]
+    long_ = np.unique(fingerprints.shingle_hashes(" ".join(words)))
+    for at in range(0, 2900, 290):
+        part = words[at : at + n_words]
+        own = np.unique(fingerprints.shingle_hashes(" ".join(part)))
+        # A text of less than five words is one shingle of its own length, which no longer text has.
+        assert fingerprints.likeness(own, long_) == fingerprints.likeness(long_, own) == float(n_words >= 5)
+
+
 def test_edited_fingerprints(odd, plain, empty):
     table = sorted(plain, key=lambda r: (r[0] is None, -(r[0] or 0)))
     found = {r.doc_id: r for r in fingerprints.edited_fingerprints(odd).collect()}
@@ -426,12 +477,15 @@ def test_edited_fingerprints(odd, plain, empty):
         if d in (None, 0, 310):  # two without an id, and two of one id, stand in hash order
             continue
         t, following = t or "", following or ""
-        text = fingerprints.edited(t, following)
-        a, b, c = (fingerprints.sketch(x) for x in (t, text, following))
+        half = len(t) // 2
+        text = t[: len(t) - half] + following[:half]
         r = found[d]
         assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(text.encode()).hexdigest())
-        assert (r.fingerprint, r.edited_fingerprint) == (fingerprints.as_text(a), fingerprints.as_text(b))
-        assert (r.near_edited, r.near_next) == (fingerprints.containment(a, b), fingerprints.containment(a, c))
+        assert (r.fingerprint, r.edited_fingerprint) == (plain_fingerprint(t), plain_fingerprint(text))
+        for near, other in ((r.near_edited, text), (r.near_next, following)):
+            x, y = plain_shingles(t), plain_shingles(other)
+            true = float(len(x) == len(y)) if not x or not y else len(x & y) / min(len(x), len(y))
+            assert near == true if min(len(x), len(y)) <= 64 else abs(near - true) < 0.35
     assert fingerprints.edited_fingerprints(empty).count() == 0
 
 
@@ -453,7 +507,12 @@ def test_sketches_estimate_and_merge():
     c = " ".join(words[14_500:15_500])
     assert abs(fingerprints.containment(fingerprints.sketch(a), fingerprints.sketch(c)) - 0.5) < 0.15
     both = fingerprints.merged(fingerprints.sketch(a), fingerprints.sketch(c))
-    assert set(both) == set(fingerprints.sketch(a)) | set(fingerprints.sketch(c))
+    assert set(both.hashes) == set(fingerprints.sketch(a).hashes) | set(fingerprints.sketch(c).hashes)
+    short, other = fingerprints.sketch("a b c d e f"), fingerprints.sketch("x y z u v w")
+    assert fingerprints.merged(short, other).scale == 1 and len(fingerprints.merged(short, other).hashes) == 4
+    # Short and long together stand at the lower threshold.
+    mixed = fingerprints.merged(short, fingerprints.sketch(a))
+    assert mixed.scale == fingerprints.SCALE and all(h < (1 << 64) // fingerprints.SCALE for h in mixed.hashes.tolist())
 
 
 # -- license scans ---------------------------------------------------------------------
@@ -495,6 +554,61 @@ def test_license_notices_with_changes(llm):
     assert found[2] == ("", 0.0) and found[3] == ("apache-2.0", 1.0)
 
 
+def test_license_scan_is_linear_in_the_text(llm):
+    def seconds(n):
+        frame = llm.createDataFrame([(1, " ".join(f"w{i % 997}" for i in range(n)))], "doc_id long, text string")
+        best = 1e9
+        for _ in range(2):
+            start = time.perf_counter()
+            license_scan.matches(frame, license_scan.PHRASES + license_scan.NOTICES, license_scan.Voting()).count()
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    seconds(1000)
+    assert seconds(160_000) < 10 * seconds(20_000)
+
+
+def test_license_labels_equal_a_plain_vote(llm):
+    """Notices with words left out, put in and changed, against a vote over diagonals in plain Python."""
+    rng = random.Random(6)
+    how, texts = license_scan.Voting(), []
+    for t in license_scan.NOTICES:
+        for _ in range(6):
+            words = t.text.split()
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randrange(2)] = rng.choice([[], ["x"], ["quite", "new"]])
+            texts.append(" ".join(["some", "text", *words, *rng.choice([[], ["and", "more"], words])]))
+
+    def plain(text):
+        split = lambda x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", x.lower())
+        words, found, best = split(text), set(), 0.0
+        for number, t in enumerate(license_scan.PHRASES + license_scan.NOTICES):
+            k, own = (how.phrase_k if t.whole else how.notice_k), split(t.text)
+            votes = defaultdict(set)
+            for i in range(len(words) - k + 1):
+                for j in range(len(own) - k + 1):
+                    if words[i : i + k] == own[j : j + k]:
+                        votes[i - j].add(j)
+            spans, last = [], None
+            for d in sorted(votes):
+                if t.whole or last is None or d - last > how.drift:
+                    spans.append(set())
+                spans[-1] |= votes[d]
+                last = d
+            n = len(own) - k + 1
+            covers = [len(x) / n for x in spans if (len(x) == n if t.whole else len(x) / n >= how.cover)]
+            if covers:
+                found.add(t.label)
+                best = max(best, *covers)
+        return ",".join(sorted(found)), best
+
+    frame = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(frame).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+    assert sum(bool(x[0]) for x in got.values()) > 20
+
+
 # -- sharding ---------------------------------------------------------------------------
 
 
