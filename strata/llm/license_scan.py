@@ -74,15 +74,19 @@ def lower_words(text: Column) -> Column:
 
 
 def runs(words: Column, k: int) -> Column:
-    """(pos, k, hash) of every run of k words."""
+    """(pos, k, hash, words) of every run of k words.  A run brings its own words, so that no row
+    carries the whole text."""
     last = F.size(words) - k
     found = F.transform(
         F.sequence(F.lit(0), last),
         lambda i: F.struct(
-            i.alias("pos"), F.lit(k).alias("k"), F.xxhash64(*(F.get(words, i + j) for j in range(k))).alias("hash")
+            i.alias("pos"),
+            F.lit(k).alias("k"),
+            F.xxhash64(*(F.get(words, i + j) for j in range(k))).alias("hash"),
+            F.array(*(F.get(words, i + j) for j in range(k))).alias("words"),
         ),
     )
-    return F.when(last >= 0, found).otherwise(F.array().cast("array<struct<pos:int,k:int,hash:bigint>>"))
+    return F.when(last >= 0, found).otherwise(F.array().cast("array<struct<pos:int,k:int,hash:bigint,words:array<string>>>"))
 
 
 def template_runs(spark: SparkSession, templates: tuple[Template, ...], how: Voting) -> DataFrame:
@@ -92,7 +96,7 @@ def template_runs(spark: SparkSession, templates: tuple[Template, ...], how: Vot
     words = table.withColumn("w", lower_words(F.col("text")))
     each = [
         words.where(F.col("t_k") == k).select(
-            "template", "label", "whole", "t_k", "w", (F.size("w") - k + 1).alias("n_runs"), F.inline(runs(F.col("w"), k))
+            "template", "label", "whole", "t_k", (F.size("w") - k + 1).alias("n_runs"), F.inline(runs(F.col("w"), k))
         )
         for k in sorted({how.phrase_k, how.notice_k})
     ]
@@ -105,7 +109,7 @@ def template_runs(spark: SparkSession, templates: tuple[Template, ...], how: Vot
         "t_k",
         F.col("hash").alias("t_hash"),
         F.col("pos").alias("t_pos"),
-        F.slice("w", F.col("pos") + 1, F.col("t_k")).alias("t_words"),
+        F.col("words").alias("t_words"),
     )
 
 
@@ -116,11 +120,10 @@ def matches(docs: DataFrame, templates: tuple[Template, ...], how: Voting) -> Da
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(text_or_empty()).alias("text_hash"),
         lower_words(text_or_empty()).alias("w"),
-    ).select("doc_id", "text_hash", "w", F.inline(let(F.col("w"), lambda w: F.concat(*(runs(w, k) for k in ks)))))
+    ).select("doc_id", "text_hash", F.inline(let(F.col("w"), lambda w: F.concat(*(runs(w, k) for k in ks)))))
     table = F.broadcast(template_runs(docs.sparkSession, templates, how))
     met = hashed.join(table, (F.col("hash") == F.col("t_hash")) & (F.col("k") == F.col("t_k")))
-    same = F.slice("w", F.col("pos") + 1, F.col("k")) == F.col("t_words")
-    return met.where(same).select(
+    return met.where(F.col("words") == F.col("t_words")).select(
         "doc_id", "text_hash", "template", "label", "whole", "n_runs", "k", "pos", "t_pos"
     )
 
