@@ -156,7 +156,7 @@ def test_responses_read_with_fixed_schema(spark, tmp_path):
 
 def test_target_schema(spark):
     assert tables.target_schema(spark, "landing.lnd_artists", REGISTRY).fieldNames() == [
-        "id", "payload", "created_at", "updated_at",
+        "id", "payload", "created_at", "updated_at", "etl_batch_id",
     ]
     spark.createDataFrame([(1, "a")], "n int, t string").createOrReplaceTempView("some_target")
     assert tables.target_schema(spark, "some_target", {}).fieldNames() == ["n", "t"]
