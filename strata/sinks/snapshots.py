@@ -39,10 +39,16 @@ def write_snapshot(
     spark = elements.sparkSession
     fresh = f"{folder}/_{source}_{uuid.uuid4().hex}"
     elements.select(_one_line(element)).write.text(fresh)
-    discard(spark, path)
     written, files = file_system(spark, fresh)
-    if not files.rename(written, file_system(spark, path)[0]):
+    current, aside = (file_system(spark, p)[0] for p in (path, f"{fresh}_superseded"))
+    # The old snapshot is put aside, not deleted, until the new one has its name.
+    held = files.exists(current) and files.rename(current, aside)
+    if not files.rename(written, current):
+        if held:
+            files.rename(aside, current)
         raise OSError(f"cannot rename {fresh} to {path}")
+    if held:
+        discard(spark, aside.toString())
     return path
 
 
