@@ -15,6 +15,7 @@ from strata.plans.config import BATCH_LOG, CURATED, QUARANTINE_TABLE, RECON_LOG,
 from strata.plans.curate import curate
 from strata.plans.extract import STOP, extract, split_usable
 from strata.plans.load import load_landing, load_sanitised, set_up
+from strata.plans.maintain import maintain
 from strata.schemas import columns
 from strata.session import spread, work_dir
 from strata.sinks.snapshots import write_partitioned_snapshot, write_snapshot
@@ -388,3 +389,68 @@ def array_split_scan(t: Tables):
     read = snapshots.read_split_arrays(t.spark, [f"{folder}/{status}" for status in ("F", "O", "P")])
     schema = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus").schema
     return tables.parse_payload(read.select("element"), schema, "element")
+
+
+@query(
+    f"""
+    {_BASE}, s AS (SELECT release_id, count(DISTINCT recording_id) AS n FROM recordings GROUP BY 1),
+    u AS (SELECT release_id, count(DISTINCT url_id) AS n FROM urls GROUP BY 1),
+    m AS (SELECT a.artist_id, a.country, count(r.release_id) AS rc, count(DISTINCT r.group_id) AS ac,
+            coalesce(sum(s.n), 0)::bigint AS sc, min(release_date) AS lo, max(release_date) AS hi,
+            count(DISTINCT r.country) AS cc, count(DISTINCT r.status) AS tc
+          FROM artists a LEFT JOIN releases r ON a.artist_id = r.artist_id LEFT JOIN s ON r.release_id = s.release_id GROUP BY 1, 2)
+    SELECT 'artist' AS entry, artist_id::varchar AS key, rc AS n1, ac AS n2, sc AS n3, lo AS first_date, hi AS last_date FROM m
+    UNION ALL SELECT 'discography', artist_id::varchar, rc, cc, tc, lo, hi FROM m
+    UNION ALL SELECT 'country', country::varchar, count(*), sum(rc)::bigint, sum(sc)::bigint, NULL, NULL FROM m GROUP BY 2
+    UNION ALL SELECT 'release', release_id::varchar, coalesce(s.n, 0), coalesce(u.n, 0), year(release_date), NULL, NULL
+      FROM releases LEFT JOIN s USING (release_id) LEFT JOIN u USING (release_id)
+    UNION ALL SELECT 'recording', recording_id::varchar, count(DISTINCT rec.release_id), count(DISTINCT r.artist_id), NULL, NULL, NULL
+      FROM recordings rec LEFT JOIN releases r ON rec.release_id = r.release_id GROUP BY 2
+    """
+)
+def maintained_metrics(t: Tables):
+    """All curated tables by the differences of three batches; a recording or url counts once per release, its
+    key in the sanitised tables.  Releases come under a wrong artist, date and status, then
+    corrected with the open orders and the returned line items, then the other line items."""
+    store = Store(t.spark, _folder(t, "maintained"))
+    entities = standard_entities(buckets=8)
+    set_up(store, entities)
+    done = F.col("status") != "O"
+    wrong = t.releases.where(done).withColumns(
+        {"artist_id": F.col("artist_id") + 1, "release_date": F.date_add("release_date", 400), "status": F.lit("X")}
+    )
+    returned = F.col("l_returnflag") == "R"
+    items = t.lineitem.select(
+        F.col("l_partkey").alias("recording_id"), F.col("l_orderkey").alias("release_id"), "l_returnflag"
+    )
+    batches = {
+        "b1": {"artists": t.artists.withColumn("country", F.lit("none")), "releases": wrong},
+        "b2": {"artists": t.artists, "releases": t.releases, "recordings": items.where(returned).drop("l_returnflag")},
+        "b3": {"recordings": items.where(~returned).drop("l_returnflag"), "urls": t.urls},
+    }
+    for batch, frames in batches.items():
+        for name, rows in frames.items():
+            table = entities[name].sanitised
+            missing = [c for c in table.columns.fieldNames() if c not in rows.columns]
+            rows = rows.withColumns({c: F.lit(None).cast("string") for c in missing}).withColumn("etl_batch_id", F.lit(batch))
+            rows = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in table.columns))
+            store.merge(
+                table, rows, lambda held, new, k=table: upsert_overwrite(held, new, k.key, ["etl_batch_id"], None, k.buckets)
+            )
+        made = maintain(store, entities, Run(batch, f"{DAY1} 00:00:00", ""), buckets=8)
+    no_day, none = F.lit(None).cast("date"), F.lit(None).cast("long")
+
+    def entry(name: str, table: str, key: str, *values):
+        return store.read(made[table]).select(F.lit(name).alias("entry"), F.col(key).alias("key"), *values)
+
+    days = ("first_release_date", "last_release_date")
+    parts = (
+        entry("discography", "artist_discography", "artist_id", "release_count", "country_count", "status_count", *days),
+        entry("country", "country_metrics", "country", "artist_count", "release_count", "recording_count", no_day, no_day),
+        entry("release", "release_metrics", "release_id", "recording_count", "url_count", F.col("release_year").cast("long"), no_day, no_day),
+        entry("recording", "recording_metrics", "recording_id", "release_count", "artist_count", none, no_day, no_day),
+    )
+    out = entry("artist", "artist_metrics", "artist_id", "release_count", "album_count", "recording_count", *days)
+    for part in parts:
+        out = out.union(part)
+    return out.toDF("entry", "key", "n1", "n2", "n3", "first_date", "last_date")

@@ -15,6 +15,7 @@ from strata.operators.relate import lost_records
 from strata.plans.config import BATCH_LOG, RECON_LOG, Entity, Run
 from strata.plans.curate import curate
 from strata.plans.load import Loaded, load_landing, load_sanitised, set_up
+from strata.plans.maintain import maintain
 from strata.session import file_system
 from strata.sinks.store import Store, TableDef
 from strata.sources.tables import of_batches
@@ -102,9 +103,12 @@ def new_batch_id(started: dt.datetime, source: str) -> str:
     return f"{started:%Y%m%d%H%M%S}_{source}"
 
 
-def run_batch(store: Store, entities: dict[str, Entity], run: Run, curation: bool = True) -> dict[str, Loaded]:
+def run_batch(store: Store, entities: dict[str, Entity], run: Run, curation: bool = True, maintained: int = 0) -> dict[str, Loaded]:
     """All entities through landing and sanitised, group by group, then the curated tables; reconciled and
-    logged on the way, every phase under the source system and group of its entities."""
+    logged on the way, every phase under the source system and group of its entities.
+
+    Curated tables are rebuilt, or with ``maintained``, their number of buckets, brought up to date by what
+    this batch changed (see ``plans.maintain``)."""
     set_up(store, entities)
     out: dict[str, Loaded] = {}
     groups: dict[tuple[str, str], dict[str, Entity]] = {}
@@ -113,7 +117,9 @@ def run_batch(store: Store, entities: dict[str, Entity], run: Run, curation: boo
     for (system, group), members in groups.items():
         batch = Batch(store, run, system, group)
         batch.phase("batch", lambda batch=batch, members=members: _phases(batch, members, out))
-    if curation:
+    if curation and maintained:
+        Batch(store, run, *CURATION).phase("maintain", lambda: maintain(store, entities, run, maintained) and None)
+    elif curation:
         Batch(store, run, *CURATION).phase("curate", lambda: curate(store, entities, run) and None)
     return out
 

@@ -121,6 +121,11 @@ class Store:
             self._put(table, how(held.drop(BUCKET), incoming))
         return hit
 
+    def rows_of_buckets(self, table: TableDef, keys: DataFrame) -> DataFrame:
+        """The current rows of the buckets that ``keys`` hits; no other bucket is read."""
+        hit = [r[0] for r in keys.select(table.bucket()).distinct().collect()]  # at most ``buckets`` numbers
+        return self._bucketed(table).where(F.col(BUCKET).isin(hit)).drop(BUCKET)
+
     def append(self, table: TableDef, df: DataFrame, key: str | None = None) -> None:
         """Add rows to a log, in a folder of their own.  Rows given under a ``key`` take the
         place of those given under it before: a load that is repeated adds nothing."""
