@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from queries.registry import Tables, query
 from strata.operators import audit, relate
+from strata.operators.content import content_differences as differences
 from strata.operators.curated import request_counts as count_requests
 
 CHECKED = dt.datetime(2026, 5, 1, 15, 0, 0)
@@ -140,3 +141,63 @@ def phase_status(t: Tables):
 def request_counts(t: Tables):
     """Records received per request."""
     return count_requests(t.events.select(F.col("user_id").alias("request_key")))
+
+
+_BAG = """SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list(q)) AS qs, list_sort(list(f)) AS fs,
+                  list_sort(list({'q': q, 'f': f})) AS bag FROM"""
+
+
+@query(
+    f"""
+    WITH s AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_returnflag AS f, l_tax FROM lineitem),
+    t AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_tax = 0.08 THEN q + 1 ELSE q END AS q,
+                 CASE WHEN l_tax = 0.08 THEN '?' WHEN f <> 'A' THEN f END AS f FROM s WHERE l_tax <> 0
+          UNION ALL SELECT -l_orderkey, l_linenumber, q, f FROM s WHERE l_tax = 0.05),
+    a AS ({_BAG} s GROUP BY 1, 2), b AS ({_BAG} t GROUP BY 1, 2),
+    d AS (SELECT l_orderkey, l_linenumber, coalesce(a.n, 0) AS source_rows, coalesce(b.n, 0) AS target_rows,
+                 a.qs <> b.qs AS q_moved, a.fs <> b.fs AS f_moved
+          FROM a FULL JOIN b USING (l_orderkey, l_linenumber) WHERE a.bag IS DISTINCT FROM b.bag)
+    SELECT l_orderkey, l_linenumber, source_rows, target_rows,
+           CASE WHEN target_rows = 0 THEN 'missing' WHEN source_rows = 0 THEN 'extra'
+                WHEN source_rows <> target_rows THEN 'repeated' ELSE 'changed' END AS verdict,
+           CASE WHEN source_rows <> target_rows THEN '' ELSE
+             concat_ws(',', CASE WHEN q_moved THEN 'l_quantity' END, CASE WHEN f_moved THEN 'l_returnflag' END) END AS changed
+    FROM d
+    """
+)
+def content_differences(t: Tables):
+    """Line items against a copy that lost some, changed others without a change of counts, and made some up."""
+    source = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_tax")
+    high = F.col("l_tax") == 0.08
+    flag = F.when(high, F.lit("?")).when(F.col("l_returnflag") != "A", F.col("l_returnflag"))
+    kept = source.where(F.col("l_tax") != 0).withColumns(
+        {"l_quantity": F.when(high, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")), "l_returnflag": flag}
+    )
+    made_up = source.where(F.col("l_tax") == 0.05).withColumn("l_orderkey", -F.col("l_orderkey"))
+    found = differences(source, kept.unionByName(made_up), ["l_orderkey", "l_linenumber"], ["l_quantity", "l_returnflag"])
+    return found.withColumn("changed", F.concat_ws(",", "changed_columns")).drop("changed_columns")
+
+
+@query(
+    """
+    WITH n AS (SELECT n_nationkey AS id, CASE WHEN n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_name <> 'ASIA') THEN n_nationkey END AS b,
+                 n_regionkey AS fk FROM nation),
+    c AS (SELECT c_custkey AS id, c_nationkey AS fk, n.b FROM customer JOIN n ON c_nationkey = n.id WHERE c_mktsegment <> 'MACHINERY'),
+    o AS (SELECT o_orderkey AS id, o_custkey AS fk, CASE WHEN c.id IS NULL THEN 'order' WHEN c.b IS NOT NULL THEN 'nation' END AS lv,
+                 CASE WHEN c.id IS NULL THEN o_orderkey ELSE c.b END AS b FROM orders LEFT JOIN c ON o_custkey = c.id),
+    l AS (SELECT l_linenumber AS id, l_orderkey AS fk, lv, b FROM lineitem JOIN o ON l_orderkey = o.id WHERE b IS NOT NULL)
+    SELECT 'nation' AS level, id::varchar AS id, fk::varchar AS fk, 'nation' AS broken_level, b::varchar AS broken_id, 0 AS distance FROM n WHERE b IS NOT NULL
+    UNION ALL SELECT 'customer', id::varchar, fk::varchar, 'nation', b::varchar, 1 FROM c WHERE b IS NOT NULL
+    UNION ALL SELECT 'order', id::varchar, fk::varchar, lv, b::varchar, CASE lv WHEN 'order' THEN 0 ELSE 2 END FROM o WHERE b IS NOT NULL
+    UNION ALL SELECT 'item', id::varchar, fk::varchar, lv, b::varchar, CASE lv WHEN 'order' THEN 1 ELSE 3 END FROM l
+    """
+)
+def broken_chains(t: Tables):
+    """Rows of four levels below a missing region or a missing customer, each with the row that lacks its parent."""
+    levels = [
+        ("nation", t.nation, "n_nationkey", "n_regionkey"),
+        ("customer", t.customer.where(F.col("c_mktsegment") != "MACHINERY"), "c_custkey", "c_nationkey"),
+        ("order", t.orders, "o_orderkey", "o_custkey"),
+        ("item", t.lineitem, "l_linenumber", "l_orderkey"),
+    ]
+    return relate.broken_chains(t.region.where(F.col("r_name") != "ASIA"), "r_regionkey", levels)

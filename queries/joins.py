@@ -6,7 +6,9 @@ from queries.registry import Tables, query
 from strata.functions import payload as P
 from strata.operators import expand, filters, relate
 from strata.operators.fold import top_n
-from strata.session import spread
+from strata.operators.hot import watch_keys
+from strata.operators.skew import lookup_join
+from strata.session import settle, spread, work_path
 
 
 def _responses(t: Tables):
@@ -238,3 +240,18 @@ def tagged_artists(t: Tables):
     """Both sides of the many-to-many relation through the bridge."""
     tags = t.events.select(F.col("event_type").alias("tag_name")).distinct()
     return relate.tagged_artists(t.artists, bridge_of_events(t), tags)
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_suppkey, s_name FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+    """
+)
+def watched_lookup(t: Tables):
+    """Line items with their suppliers; the hot suppliers are known from writing the line items."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey")
+    watched, hot = watch_keys(rows, "suppliers", ["l_suppkey"])
+    written = settle(watched, work_path(t.spark, "watched"))
+    lookup = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    least = max(1, written.count() // 200)
+    return lookup_join(written, lookup, ["l_suppkey"], "left", ["l_orderkey", "l_linenumber"], hot=hot(least))

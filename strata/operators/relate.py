@@ -9,6 +9,7 @@ release_id).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,3 +72,33 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
 def orphan_rows(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """The child rows themselves whose parent is missing."""
     return child.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti").where(F.col(fk).isNotNull())
+
+
+def broken_chains(
+    root: DataFrame, root_id: str, levels: Sequence[tuple[str, DataFrame, str, str]], hot: Sequence[Sequence[int]] | None = None
+) -> DataFrame:
+    """Every row below a missing parent, with the row that lacks it.
+
+    ``levels`` go down from the root: (name, rows, their id, their foreign key to the level above).  A row whose
+    key has no parent is broken at distance 0 and names itself; a row below it is broken as well, one further
+    away, and names the same.  Columns: level, id, fk, broken_level, broken_id, distance.
+
+    A level costs one join, which splits hot foreign keys; ``hot`` may give these per level (see ``hot``).  A row
+    without a foreign key is taken as unbroken.  Where an id stands on several rows, rows below it are
+    unbroken if one of these is, else they name the first of their broken ancestors.  Ids are compared as text.
+    """
+    healthy = F.lit(None).cast("struct<broken_level:string,broken_id:string,distance:int>")
+    above = root.select(F.col(root_id).cast("string").alias("fk")).distinct().select("fk", healthy.alias("up"), F.lit(True).alias("held"))
+    found = []
+    for n, (name, rows, own, fk) in enumerate(levels):
+        keyed = rows.select(F.col(own).cast("string").alias("id"), F.col(fk).cast("string").alias("fk"))
+        met = lookup_join(keyed, above, ["fk"], "left", ["id"], hot=hot[n] if hot else None)
+        itself = F.struct(F.lit(name).alias("broken_level"), F.col("id").alias("broken_id"), F.lit(0).alias("distance"))
+        below = F.col("up").withField("distance", F.col("up.distance") + 1)
+        at = F.when(F.col("fk").isNull(), healthy).when(F.col("held").isNull(), itself).otherwise(below)
+        met = met.select("id", "fk", at.alias("up"))
+        found.append(met.where(F.col("up").isNotNull()).select(F.lit(name).alias("level"), "id", "fk", "up.*"))
+        if n + 1 < len(levels):
+            one = F.when(F.bool_and(F.col("up").isNotNull()), F.min("up")).alias("up")
+            above = met.groupBy(F.col("id").alias("fk")).agg(one).withColumn("held", F.lit(True))
+    return reduce(DataFrame.unionByName, found)

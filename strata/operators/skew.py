@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.hot import key_hash
+
 HOT_ROWS = 10_000_000  # rows of one key that one task should not take alone
 SALTS = 64
 
@@ -26,6 +28,7 @@ def lookup_join(
     spread_by: Sequence[str | Column],
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Join rows to a lookup that has at most one row per key.
 
@@ -33,23 +36,27 @@ def lookup_join(
     key columns; there are at most ``rows / hot_rows`` of them, which bounds what
     is broadcast.  Only their rows are spread over ``salts`` tasks, by a hash of
     ``spread_by`` (columns that tell the rows of one key apart), and only their
-    lookup rows are repeated.  Rows without a key match nothing and are spread as
+    lookup rows are repeated.  With ``hot``, the hashes of the hot keys as ``hot.watch_keys`` gives
+    them, nothing is counted and nothing broadcast.  Rows without a key match nothing and are spread as
     well.  The result does not depend on the salt, so a retried task is harmless.
     """
-    hot = F.broadcast(
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted_rows = rows.join(hot, list(keys), "left").withColumn(
-        "_salt", F.when(is_hot | no_key, salt).otherwise(0)
-    )
+    if hot is None:
+        named = F.broadcast(
+            rows.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= hot_rows)
+            .select(*keys, F.lit(True).alias("_hot"))
+        )
+        rows, lookup = rows.join(named, list(keys), "left"), lookup.join(named, list(keys), "left")
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    else:
+        rows, lookup = (df.withColumn("_hot", key_hash(keys).isin(list(hot))) for df in (rows, lookup))
+        is_hot = F.col("_hot")
+    salted_rows = rows.withColumn("_salt", F.when(is_hot | no_key, salt).otherwise(0))
     repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_lookup = lookup.join(hot, list(keys), "left").withColumn("_salt", F.explode(repeats))
+    salted_lookup = lookup.withColumn("_salt", F.explode(repeats))
     joined = salted_rows.drop("_hot").join(salted_lookup.drop("_hot"), [*keys, "_salt"], how)
     return joined.drop("_salt")
 

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = sorted(registered.runners())
 WRITES = {"snapshot_write", "snapshot_partitions", "landing_load", "sanitised_load", "archived_version",
           "curation_stage", "full_refresh", "extraction_run", "sanitised_rejects", "arrival_order",
-          "merge_hit_buckets", "incremental_batches", "batch_run", "array_split_scan", "maintained_metrics"}
+          "merge_hit_buckets", "incremental_batches", "batch_run", "array_split_scan", "maintained_metrics", "watched_lookup"}
 
 
 @pytest.fixture(scope="module")
