@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from queries.registry import Tables, query
 from strata.functions import payload as P
@@ -11,7 +12,7 @@ from strata.operators.filters import split_objects
 from strata.operators.fold import head_n
 from strata.operators.project import to_payload
 from strata.session import spread
-from strata.sources import responses, snapshots, tables
+from strata.sources import drift, responses, snapshots, tables
 
 
 @query(
@@ -157,3 +158,31 @@ def incremental_read(t: Tables):
     """Rows updated after a mark; the literal reaches the scan."""
     mark = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
     return tables.changed_since(t.events, mark, "ts").select("event_id", "user_id", "ts")
+
+
+@query(
+    """
+    WITH n AS (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1)
+    SELECT v.path, v.verdict, v.declared, v.found, coalesce(v.n, 0)::bigint AS n FROM (
+      SELECT '$.items[].qty' AS path, 'retyped' AS verdict, 'long' AS declared, 'STRING' AS found, (SELECT n FROM n WHERE s = 'F') AS n
+      UNION ALL SELECT '$.note', 'new', NULL, 'BIGINT,STRING', (SELECT sum(n) FROM n WHERE s <> 'F')
+      UNION ALL SELECT '$.status', 'retyped', 'string', 'BOOLEAN', (SELECT n FROM n WHERE s = 'P')
+      UNION ALL SELECT '$.country', 'lost', 'string', '', 0) v
+    """
+)
+def schema_drift(t: Tables):
+    """Orders as payloads whose members have drifted from their target: one lost, one new, two of other types in part."""
+    status = F.col("o_orderstatus")
+    quoted = F.to_json(F.struct(F.col("o_orderpriority").alias("x")))
+    qty = F.when(status == "F", F.lit('"1"')).otherwise(F.lit("1"))
+    note = F.when(status == "F", F.lit("")).when(status == "O", F.lit(',"note":1')).otherwise(F.lit(',"note":"n"'))
+    said = F.when(status == "P", F.lit("true")).otherwise(F.lit('"done"'))
+    payload = F.concat(
+        F.lit('{"id":'), "o_orderkey", F.lit(',"country":null,"status":'), said, F.lit(',"title":'), quoted,
+        F.lit(',"items":[{"qty":'), qty, F.lit("}]"), note, F.lit("}"),
+    )
+    item = T.StructType([T.StructField("qty", T.LongType())])
+    title = T.StructType([T.StructField("x", T.StringType())])
+    fields = {"id": T.LongType(), "country": T.StringType(), "status": T.StringType(), "title": title, "items": T.ArrayType(item)}
+    target = T.StructType([T.StructField(k, v) for k, v in fields.items()])
+    return drift.schema_drift(drift.type_profile(t.orders.select(payload.alias("payload")), depth=drift.depth_of(target)), target)
