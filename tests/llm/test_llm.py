@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -369,6 +370,43 @@ def test_the_stage_links_what_is_alike_to_four_fifths(llm, monkeypatch, kind):
         assert max(map(len, groups[0].values())) == 302
 
 
+def test_the_stage_compares_two_nodes_in_their_first_shared_band_alone():
+    drawn = bytes(shingle_dedup.MINIMA)
+    names = "key salt side node label signature crowds".split()
+    rows = [
+        (key, 0, side, bytes([n]), bytes([n]), drawn, [1, 2, 3] if n < 4 else [2, 3])
+        for key in (1, 2, 3)
+        for side, members in ((0, (1, 2, 5)), (1, (1, 2, 3, 4, 5, 6)))
+        for n in members
+        if key > 1 or n < 4
+    ]
+    found = []
+    for size in (1, 2, len(rows)):
+        batches = (pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[i : i + size]]) for i in range(0, len(rows), size))
+        out = [(a[0], b[0]) for batch in shingle_dedup._plausible(batches) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist())]
+        assert len(out) == len(set(out))
+        found.append(sorted(out))
+    assert found[0] == found[1] == found[2] == [(a, b) for a in range(1, 7) for b in range(a + 1, 7) if {a, b} & {1, 2, 5}]
+
+
+def test_links_of_later_rounds_join_the_groups_before(llm):
+    rng = random.Random(11)
+    edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(70)]
+    root = list(range(80))
+    for a, b in edges:
+        low, high = sorted((root[a], root[b]))
+        root = [low if r == high else r for r in root]
+    name = lambda i: bytes([i])
+    roots = llm.createDataFrame([], "node binary, root binary")
+    for at in range(0, len(edges), 24):
+        known = {r.node: r.root for r in roots.collect()}
+        fresh = [(*map(name, e), *(bytes(known.get(name(x), name(x))) for x in e)) for e in edges[at : at + 24] if e[0] != e[1]]
+        roots = shingle_dedup.joined_roots(roots, llm.createDataFrame(fresh, shingle_dedup.LINKS))
+    found = {r.node[0]: r.root[0] for r in roots.collect()}
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert found == {i: root[i] for i in linked}
+
+
 def test_the_stage_marks_odd_rows(odd, plain, empty):
     found = shingle_dedup.near_duplicates(odd).collect()
     assert len(found) == len(plain)
