@@ -288,6 +288,58 @@ def list_to_json(t: Tables):
     )
 
 
+@query(
+    """
+    SELECT vec_id, unnest(range(len(embedding)))::int AS pos, unnest(embedding)::double AS value FROM embeddings
+    """
+)
+def list_elements(t: Tables):
+    """Every element of the lists stored as JSON text, by its place, after parsing them again."""
+    stored = t.embeddings.select("vec_id", P.as_json(F.col("embedding")).alias("text"))
+    back = stored.select("vec_id", F.posexplode(F.from_json("text", "array<float>")).alias("pos", "value"))
+    return back.withColumn("value", F.col("value").cast("double"))
+
+
+@query(
+    """
+    SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN p_brand ELSE 'none' END AS brand,
+           CASE WHEN p_size % 2 = 0 THEN p_size ELSE -1 END AS size
+    FROM part
+    """
+)
+def field_defaults(t: Tables):
+    """Fields of stored payloads, with the default where a payload does not have the field."""
+    size = F.col("p_size")
+    body = F.struct(F.when(size % 3 == 0, F.col("p_brand")).alias("brand"), F.when(size % 2 == 0, size).alias("size"))
+    stored = t.part.select("p_partkey", F.to_json(body).alias("payload"))
+    v = F.col("v")
+    return P.parsed(stored).select(
+        "p_partkey",
+        P.get_or(v, "$.brand", F.lit("none")).alias("brand"),
+        P.get_or(v, "$.size", F.lit(-1), "int").alias("size"),
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_orderdate END AS kept,
+           o_orderstatus <> 'O' AS stamped, TRUE AS in_time
+    FROM orders
+    """
+)
+def clock_stamp(t: Tables):
+    """Audit stamps from the clock of the run: no time is given, one holds for all rows of a load."""
+    start = dt.datetime.now(dt.timezone.utc).replace(microsecond=0).strftime("%Y-%m-%d %H:%M:%S")
+    rows = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") == "O", F.col("o_orderdate").cast("string")).alias("created_at"))
+    created, updated = F.col("created_at"), F.col("updated_at")
+    return stamp.audit_stamps(rows).select(
+        "o_orderkey",
+        F.when(created != updated, created).cast("timestamp_ntz").alias("kept"),
+        (created == updated).alias("stamped"),
+        ((updated >= F.lit(start).cast("timestamp")) & (updated <= F.current_timestamp())).alias("in_time"),
+    )
+
+
 @query(
     """
     SELECT p_partkey, p_name || '''s "best"' AS name, nullif(p_brand, 'Brand#1') AS brand, p_size
