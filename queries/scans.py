@@ -11,7 +11,7 @@ from strata.functions import stamp
 from strata.operators.filters import split_objects
 from strata.operators.fold import head_n
 from strata.operators.project import to_payload
-from strata.session import spread
+from strata.session import spread, work_path
 from strata.sources import drift, responses, snapshots, tables
 
 
@@ -103,6 +103,29 @@ def envelope_strict(t: Tables):
     return missing.select("request_key", "reject_reason")
 
 
+@query(
+    """
+    SELECT 'r' || c_nationkey AS run_id, c_custkey::varchar AS request_key, (c_custkey % 7)::int AS ord,
+           CASE WHEN c_acctbal >= 0 THEN 200 ELSE 404 END AS status_code, c_name AS name
+    FROM customer WHERE c_custkey % 2 = 0
+    """
+)
+def captured_responses(t: Tables):
+    """Responses captured as JSON lines and read back, one endpoint of two."""
+    captured = t.customer.select(
+        F.concat(F.lit("r"), "c_nationkey").alias("run_id"),
+        F.when(F.col("c_custkey") % 2 == 0, "artist").otherwise("release").alias("endpoint"),
+        F.col("c_custkey").cast("string").alias("request_key"),
+        (F.col("c_custkey") % 7).cast("int").alias("ord"),
+        F.when(F.col("c_acctbal") >= 0, 200).otherwise(404).alias("status_code"),
+        F.to_json(F.struct(F.col("c_name").alias("name"))).alias("body"),
+    )
+    at = work_path(t.spark, "captured")
+    captured.write.json(at)
+    rows = responses.read_responses(t.spark, at, "artist")
+    return rows.select("run_id", "request_key", "ord", "status_code", F.get_json_object("body", "$.name").alias("name"))
+
+
 @query(
     """
     SELECT o_orderkey, o_custkey, o_orderstatus, nullif(o_orderpriority, '5-LOW') AS o_orderpriority,
