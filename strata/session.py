@@ -34,12 +34,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """Folder all executors share, named by the cluster in spark.checkpoint.dir.
 
-    Where that is unset, a folder in the warehouse, which is shared as well.
+    Where that is unset, a folder in the warehouse.  Off a local master that must not be a folder of
+    one machine's file system, which is what the warehouse is by default: then it raises.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_strata_work"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        _, files = file_system(spark, warehouse)
+        if files.getScheme() == "file":
+            raise ValueError(f"executors do not share {warehouse}: name a shared folder in spark.checkpoint.dir")
+    return warehouse + "/_strata_work"
 
 
 def spread(scan: DataFrame) -> DataFrame:
