@@ -14,12 +14,16 @@ def parse(c: Column) -> Column:
 def parsed(df: DataFrame, payload: str = "payload", name: str = "v") -> DataFrame:
     """Replace the payload column by its VARIANT, parsed exactly once per row.
 
-    The parse stands in a generator, which filters are not pushed through: a
+    The parse stands below a generator, which filters are not pushed through: a
     predicate or join key on a parsed field would otherwise parse the text again
-    below the projection.
+    below the projection.  It is a column before it is exploded, as the planner then sizes the
+    rows with the VARIANT in them (2 kB) both before and after the generator; sized without it before
+    and with it after, fields read out of it would count for a hundredth of what they are, and a table of
+    millions of rows would be broadcast.  The outer form lets no filter on the array be inferred.
     """
     others = [c for c in df.columns if c != payload]
-    return df.select(*others, F.explode(F.array(parse(F.col(payload)))).alias(name))
+    held = df.select(*others, F.array(parse(F.col(payload))).alias("_parsed_once"))
+    return held.select(*others, F.explode_outer("_parsed_once").alias(name))
 
 
 def serialise(*cols: str | Column) -> Column:

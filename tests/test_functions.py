@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helpers import column, rows
+from helpers import column, plan, rows
 from strata.functions import clean as C
 from strata.functions import payload as P
 from strata.functions import stamp as S
@@ -138,3 +138,13 @@ def test_column_defaults(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "i int, a string")
     got = S.column_defaults(df, {"a": F.lit("d"), "b": F.lit(0)})
     assert rows(got.orderBy("i")) == [(1, "d", 0), (2, "x", 0)]
+
+
+def test_fields_of_a_payload_are_sized_in_proportion(spark, tmp_path):
+    rows = spark.range(20_000).select(P.serialise("id", F.sha2(F.col("id").cast("string"), 256).alias("more")).alias("payload"))
+    rows.write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    size = lambda df: int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    keys = P.parsed(read).select(P.get(F.col("v"), "$.id", "bigint").alias("id"))
+    assert size(keys) > 0.3 * size(read)
+    assert keys.where("id < 5").count() == 5 and plan(keys.where("id = 5")).count("parseJson") == 1
