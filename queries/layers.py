@@ -298,7 +298,7 @@ def merge_hit_buckets(t: Tables):
 
     def merge(batch, name):
         stamped = batch.withColumn("etl_batch_id", F.lit(name))
-        store.merge(table, stamped, lambda held, new: upsert_overwrite(held, new, ["id"], ["c_custkey"], None, table.buckets))
+        store.merge(table, stamped, lambda held, new: upsert_overwrite(held, new, ["id"], ["c_custkey"], None, table.tasks(held, new)))
 
     merge(rows.withColumn("name", F.when(F.col("c_custkey") < 10, F.lit("old")).otherwise(F.col("name"))), "first")
     merge(rows.where("c_custkey < 10"), "second")
@@ -435,7 +435,7 @@ def maintained_metrics(t: Tables):
             rows = rows.withColumns({c: F.lit(None).cast("string") for c in missing}).withColumn("etl_batch_id", F.lit(batch))
             rows = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in table.columns))
             store.merge(
-                table, rows, lambda held, new, k=table: upsert_overwrite(held, new, k.key, ["etl_batch_id"], None, k.buckets)
+                table, rows, lambda held, new, k=table: upsert_overwrite(held, new, k.key, ["etl_batch_id"], None, k.tasks(held, new))
             )
         made = maintain(store, entities, Run(batch, f"{DAY1} 00:00:00", ""), buckets=8)
     no_day, none = F.lit(None).cast("date"), F.lit(None).cast("long")

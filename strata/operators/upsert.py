@@ -2,7 +2,7 @@
 
 Target and folded batch both hold one row per key, so the full outer join moves
 every row once and no key can grow.  With ``buckets`` both sides are dealt to that many
-partitions by key, so the rows of a table's bucket leave the merge in one task (see
+partitions by key; a multiple of a table's buckets keeps the rows of each in tasks of their own (see
 ``sinks.store``).  Rows with a NULL key must have been rejected before.
 """
 

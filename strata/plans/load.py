@@ -151,7 +151,7 @@ def load_landing(store: Store, entity: Entity, run: Run) -> Loaded:
         hit = store.merge(
             table,
             staged.good,
-            lambda held, new: upsert_overwrite(held, new, table.key, ["_ord"], created, table.buckets),
+            lambda held, new: upsert_overwrite(held, new, table.key, ["_ord"], created, table.tasks(held, new)),
             run.etl_batch_id if run.archive else None,
         )
         return _loaded(staged, table, hit)
@@ -212,7 +212,7 @@ def load_sanitised(store: Store, entity: Entity, run: Run, incremental: bool = T
         hit = store.merge(
             table,
             staged.good,
-            lambda held, new: upsert_preserve(held, new, table.key, order, created, table.buckets),
+            lambda held, new: upsert_preserve(held, new, table.key, order, created, table.tasks(held, new)),
             run.etl_batch_id if run.archive else None,
         )
         ledger.take_in(store, found)

@@ -119,7 +119,7 @@ class _Step:
             keys = new.select(*table.key).distinct()
             others = held.join(keys, _same(held, keys, table.key), "left_anti")
             both = others.unionByName(new.where("_keep").select(*table.columns.fieldNames()))
-            return both.repartition(table.buckets, *table.key)
+            return both.repartition(table.tasks(held, new), *table.key)
 
         self.store.merge(table, rows, how)
 

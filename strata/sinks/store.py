@@ -3,7 +3,8 @@
 A table with ``buckets`` is partitioned by a bucket of its key.  A merge reads and overwrites the buckets
 its batch hits and no others, by a dynamic partition overwrite: Spark writes the new buckets aside and
 puts them in place when the job commits, so a failed job changes nothing.  Rows of one bucket leave the
-merge's join in one task.  Frames read before a merge must not be read after it.
+merge's join in as many tasks as their size asks for (``TableDef.tasks``), none of which has rows of another
+bucket.  Frames read before a merge must not be read after it.
 
 Any other table is replaced as a whole: every refresh writes a new folder, and readers take the newest
 that Spark has marked as finished.  Logs are appended to.
@@ -11,10 +12,12 @@ that Spark has marked as finished.  Logs are appended to.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +27,7 @@ from strata.session import discard, file_system, prepare
 
 BUCKET = "bucket"
 KEPT_VERSIONS = 1  # superseded ones of a refreshed table
+TASK_BYTES = 64 << 20  # of a bucket's rows that one task should join, sort and write
 
 
 @dataclass(frozen=True)
@@ -48,6 +52,29 @@ class TableDef:
         """Equal to the partition that ``repartition(buckets, *key)`` deals a row to."""
         return F.pmod(F.hash(*(F.col(k).cast(self.columns[k].dataType) for k in self.key)), F.lit(self.buckets))
 
+    def sizes(self, *frames: DataFrame) -> dict[int, float]:
+        """Bytes, about, of the rows that the frames have in each bucket, at most ``buckets`` numbers.
+
+        The texts of the last frame are measured; rows of the others count as its average.
+        """
+        texts = [f.name for f in self.columns if isinstance(f.dataType, T.StringType) and f.name in frames[-1].columns]
+        row = F.lit(16.0 * len(self.columns))
+        for name in texts:
+            row = row + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+        each = [f.select(self.bucket().alias("_b"), (row if f is frames[-1] else F.lit(None).cast("double")).alias("_row")) for f in frames]
+        found = reduce(DataFrame.unionByName, each).groupBy("_b").agg(F.count(F.lit(1)).alias("n"), F.avg("_row").alias("row"))
+        rows = found.collect()
+        most = max((r.row for r in rows if r.row is not None), default=0.0)
+        return {r["_b"]: r.n * (most if r.row is None else r.row) for r in rows}
+
+    def tasks(self, *frames: DataFrame) -> int:
+        """How many partitions to deal the frames to by key, so that none has much more than ``TASK_BYTES``
+        of them.  It is a multiple of ``buckets``, so all rows of a partition are of one bucket."""
+        return self.parts(self.sizes(*frames))
+
+    def parts(self, sizes: dict[int, float]) -> int:
+        return self.buckets * max(1, math.ceil(max(sizes.values(), default=0.0) / TASK_BYTES))
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
@@ -87,9 +114,10 @@ class Store:
     def refresh(self, table: TableDef, df: DataFrame, batch: str) -> None:
         """Replace all rows (truncate and insert in one commit)."""
         if table.buckets:
-            self._put(table, df.repartition(table.buckets, *table.key))
+            sizes = table.sizes(df)
+            self._put(table, df.repartition(table.parts(sizes), *table.key))
             hit = {f"{BUCKET}={r[0]}" for r in self._bucketed(table).select(BUCKET).distinct().collect()}
-            written = {f"{BUCKET}={r[0]}" for r in df.select(table.bucket()).distinct().collect()}
+            written = {f"{BUCKET}={b}" for b in sizes}
             gone = [f"{self.folder(table)}/{name}" for name in hit - written]
         else:
             old = self.versions(table)

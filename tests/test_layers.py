@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+from collections import Counter
 from dataclasses import replace
 
 import pytest
@@ -177,6 +178,25 @@ def test_only_hit_buckets_are_read_and_written(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(bucket" in plan(read) or "PartitionFilters: [bucket" in plan(read)
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("strata.sinks.store.TASK_BYTES", 20_000)
+    store, table = Store(spark, str(tmp_path)), TableDef("s", "few", NAMES.columns, ("id",), 2)
+    store.create_if_absent(table)
+    rows = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("id"), F.repeat(F.lit("x"), 50).alias("name"), F.col("id").alias("n"))
+    assert table.tasks(rows.limit(0)) == 2 and table.tasks(rows.limit(10)) == 2 and table.tasks(rows) >= 8
+
+    def files_per_bucket():
+        return Counter(f.split("/")[0] for f in files_of(tmp_path / "s" / "few"))
+
+    store.refresh(table, rows, "b1")
+    assert set(files_per_bucket()) == {"bucket=0", "bucket=1"} and min(files_per_bucket().values()) >= 4
+    new = rows.where("n < 700").withColumn("name", F.lit("new"))
+    hit = store.merge(table, new, lambda held, more: upsert_overwrite(held, more, ["id"], ["n"], None, table.tasks(held, more)))
+    assert hit == [0, 1] and min(files_per_bucket().values()) >= 3
+    assert {r.n: r.name for r in store.read(table).collect()} == {i: "new" if i < 700 else "x" * 50 for i in range(2000)}
+    assert store._bucketed(table).where(F.col("bucket") != table.bucket()).count() == 0
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_bucket_merges_equal_row_by_row(spark, tmp_path, seed):
     rng, model, store = random.Random(seed), {}, Store(spark, str(tmp_path))
