@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.hot import key_hash
 
-HOT_ROWS = 10_000_000  # rows of one key that one task should not take alone
+HOT_ROWS = 1_000_000  # rows of one key that one task should not take alone
 SALTS = 64
 
 
@@ -34,30 +34,32 @@ def lookup_join(
 
     Keys with ``hot_rows`` rows or more are found by a partial aggregate over the
     key columns; there are at most ``rows / hot_rows`` of them, which bounds what
-    is broadcast.  Only their rows are spread over ``salts`` tasks, by a hash of
-    ``spread_by`` (columns that tell the rows of one key apart), and only their
-    lookup rows are repeated.  With ``hot``, the hashes of the hot keys as ``hot.watch_keys`` gives
+    is broadcast.  Only their rows are spread, over ``salts`` tasks for every ``salts * hot_rows``
+    rows of the key or part of that, so a task's share does not grow with the key, by a hash of
+    ``spread_by`` (columns that tell the rows of one key apart); and only their
+    lookup rows are repeated, once per task.  With ``hot``, the hashes of the hot keys as ``hot.watch_keys`` gives
     them, nothing is counted and nothing broadcast.  Rows without a key match nothing and are spread as
     well.  The result does not depend on the salt, so a retried task is harmless.
     """
     no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    many = F.lit(salts)
     if hot is None:
         named = F.broadcast(
             rows.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") >= hot_rows)
-            .select(*keys, F.lit(True).alias("_hot"))
+            .select(*keys, F.lit(True).alias("_hot"), (many * F.ceil(F.col("_n") / (salts * hot_rows))).cast("int").alias("_many"))
         )
         rows, lookup = rows.join(named, list(keys), "left"), lookup.join(named, list(keys), "left")
-        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+        is_hot, many = F.coalesce(F.col("_hot"), F.lit(False)), F.coalesce(F.col("_many"), many)
     else:
-        rows, lookup = (df.withColumn("_hot", key_hash(keys).isin(list(hot))) for df in (rows, lookup))
+        rows, lookup = (df.withColumn("_hot", key_hash(keys).isin(list(hot))).withColumn("_many", many) for df in (rows, lookup))
         is_hot = F.col("_hot")
+    salt = F.pmod(F.xxhash64(*spread_by), many).cast("int")
     salted_rows = rows.withColumn("_salt", F.when(is_hot | no_key, salt).otherwise(0))
-    repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeats = F.when(is_hot, F.sequence(F.lit(0), many - 1)).otherwise(F.array(F.lit(0)))
     salted_lookup = lookup.withColumn("_salt", F.explode(repeats))
-    joined = salted_rows.drop("_hot").join(salted_lookup.drop("_hot"), [*keys, "_salt"], how)
+    joined = salted_rows.drop("_hot", "_many").join(salted_lookup.drop("_hot", "_many"), [*keys, "_salt"], how)
     return joined.drop("_salt")
 
 

@@ -330,3 +330,20 @@ def test_phase_state(spark):
     latest = {(r.etl_batch_id, r.phase_name): r.status for r in audit.phase_status(log, "at").collect()}
     assert latest == {("b1", "load"): "SUCCESS", ("b1", "clean"): "STARTED", ("b2", "load"): "SUCCESS"}
     assert rows(A.request_counts(log, ["phase_name"]).orderBy("phase_name")) == [("clean", 1), ("load", 4)]
+
+
+def test_a_hot_key_is_spread_by_its_size(spark):
+    """A key's rows per task do not grow with the key: ten times ``hot_rows`` takes more than ``salts`` tasks."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}
+    held = {k: spark.conf.get(k) for k in settings}
+    big = spark.range(4000).select(F.lit("a").alias("k"), F.col("id").alias("i"))
+    lookup = spark.createDataFrame([("a", 1)], "k string, v int")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = skew.lookup_join(big, lookup, ["k"], "left", ["i"], hot_rows=100, salts=4)
+        sizes = [r["count"] for r in joined.where("v = 1").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4000 and max(sizes) < 800
