@@ -26,7 +26,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are alike to 0.8 or more."""
+    """One document of each group whose five-word shingles are alike to 0.8 or more: linked by SimHash
+    fingerprints first, then by bands of minima what these leave apart."""
     return simhash.first_of_each(docs, shingle_dedup.near_duplicates(docs))
 
 

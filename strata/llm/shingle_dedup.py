@@ -1,13 +1,14 @@
 """Near duplicates by exact likeness: texts whose sets of word shingles are alike.
 
-Two texts are linked when the Jaccard similarity of their sets of five-word shingles is
-``ALIKE`` or more.  Candidates are texts that agree in a band of minima: with 20 bands
-of 5 a pair at 0.8 is missed with a chance of 0.0004, a closer one with less.  Candidates whose signatures cannot
-belong to such a pair (at 0.8 that happens with a chance of 0.002) go before any text is moved; every
-other is verified by its shingles.  Equal sets are one node, so copies are never paired.
+Two texts are linked when the Jaccard similarity of their sets of five-word shingles is ``ALIKE`` or more.
 
-The blocks of SimHash fingerprints cannot do this: at a similarity of 0.8 some 10 of 64 bits differ, give or take
-6, and blocks that any two fingerprints 16 bits apart share are too short to tell texts apart.
+First by SimHash: every set has a 64-bit fingerprint, and sets whose fingerprints differ in at most four bits are
+found over blocks, in crowds through the words half way (see ``simhash``), verified by their shingles and linked.
+At a similarity of 0.8 some 10 of 64 bits differ, give or take 6, and blocks that any two fingerprints 16 bits apart
+share are too short to tell texts apart.  So texts that SimHash leaves apart are then compared by minima: candidates
+are texts that agree in a band; with 20 bands of 5 a pair at 0.8 is missed with a chance of 0.0004, a closer one with
+less.  Candidates whose signatures cannot belong to such a pair (at 0.8 that happens with a chance of 0.002) go before
+any text is moved; every other is verified by its shingles.  Equal sets are one node, so copies are never paired.
 
 A band that more than ``crowd`` nodes share is not joined with itself.  In rounds, its heaviest nodes
 (those that share most in all their bands, as the original of a family does) are the centres: all others are
@@ -34,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm import simhash
 from strata.llm.common import text_or_empty
 from strata.llm.components import component_roots
 from strata.session import discard, settle, work_path
@@ -83,12 +85,17 @@ def signature(least: np.ndarray) -> bytes:
     return ((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """SimHash of a set of shingles."""
+    return simhash.of_hashes(found[at : at + _STEP] for at in range(0, len(found), _STEP))
+
+
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return ALIKE[1] * common >= ALIKE[0] * (len(a) + len(b) - common)
 
 
-MARKED = "doc_id long, text_hash long, node binary, keys array<long>, signature binary"
+MARKED = "doc_id long, text_hash long, node binary, keys array<long>, signature binary, fp long"
 LINKS = "a binary, b binary, la binary, lb binary"  # two nodes and the groups they were in when they met
 
 
@@ -102,8 +109,9 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([xxhash.xxh3_128_digest(f.tobytes()) for f in found], pa.binary()),
             pa.array([[] if x is None else band_keys(x) for x in least], pa.list_(pa.int64())),
             pa.array([b"" if x is None else signature(x) for x in least], pa.binary()),
+            pa.array(np.array([fingerprint(f) for f in found], dtype=np.uint64).view(np.int64)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "node", "keys", "signature"])
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "node", "keys", "signature", "fp"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,6 +180,25 @@ def _groups(nodes: DataFrame) -> DataFrame:
     return keys.join(bands, "key")
 
 
+def simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b, la, lb): pairs of nodes that SimHash links; each node is its own label.  The nodes of one fingerprint
+    meet its first node, and the first nodes of linked fingerprints meet."""
+    first = nodes.groupBy("fp").agg(F.min("node").alias("a"))
+    same = nodes.select("fp", F.col("node").alias("b")).join(first, "fp").where("a <> b").select("a", "b")
+    near = simhash.links(first.select("fp"))
+    ends = [first.select(F.col("fp").alias(f), F.col("a").alias(n)) for f, n in (("f", "x"), ("g", "y"))]
+    met = near.select(F.col("a").alias("f"), F.col("b").alias("g")).distinct().join(ends[0], "f").join(ends[1], "g")
+    pairs = same.unionByName(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    return pairs.withColumns({"la": F.col("a"), "lb": F.col("b")})
+
+
+def still_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes are not in one group yet, labelled with their groups."""
+    for x, label in (("a", "la"), ("b", "lb")):
+        pairs = pairs.drop(label).join(roots.select(F.col("node").alias(x), F.col("root").alias(label)), x, "left")
+    return pairs.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).where("la <> lb")
+
+
 def small_pairs(groups: DataFrame, nodes: DataFrame, crowd: int) -> DataFrame:
     """(a, b, la, lb): the pairs of the bands of ``crowd`` nodes or less that may be alike; each node is its own label."""
     few = groups.where(F.col("n") <= crowd).select("key", "node")
@@ -231,16 +258,20 @@ def linked_roots(docs: DataFrame, marked: DataFrame, crowd: int = CROWD) -> Data
         used.append(work_path(spark, label))
         return settle(df, used[-1])
 
-    nodes = kept(marked.groupBy("node").agg(F.first("keys").alias("keys"), F.first("signature").alias("signature")), "alike-nodes")
+    kinds = [F.first(c).alias(c) for c in ("keys", "signature", "fp")]
+    nodes = kept(marked.groupBy("node").agg(*kinds), "alike-nodes")
+    near = kept(simhash_pairs(nodes.select("node", "fp")), "alike-simhash")
     groups = kept(_groups(nodes), "alike-bands")
     few = kept(small_pairs(groups, nodes, crowd), "alike-pairs")
     many = groups.where(F.col("n") > crowd)
     weights = many.groupBy("node").agg(F.sum("n").alias("weight"), F.collect_list("key").alias("crowds"))
-    wanted = few.select(F.explode(F.array("a", "b")).alias("node")).unionByName(weights.select("node"))
+    wanted = near.unionByName(few).select(F.explode(F.array("a", "b")).alias("node")).unionByName(weights.select("node"))
     texts = kept(node_texts(docs, marked, wanted), "alike-texts")
-    found = kept(links(few, texts), "alike-links")
+    found = kept(links(near, texts), "alike-links")
+    roots = kept(component_roots(found, "a", "b"), "alike-roots")
+    more = kept(links(still_apart(few, roots), texts), "alike-links")
     at = work_path(spark, "alike-roots")
-    roots = settle(component_roots(found, "a", "b"), at)
+    roots = settle(joined_roots(roots, more), at)
     drawn = nodes.select("node", "signature").join(weights, "node")
     bands = kept(many.drop("n").join(drawn, "node"), "alike-crowds")
     crowded = kept(texts.join(weights, "node", "left_semi"), "alike-crowd-texts")

@@ -887,3 +887,25 @@ def test_stages_keep_the_columns(llm):
 def test_stages_of_nothing(llm, empty):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(llm, empty, SF).count() == 0
+
+
+def test_the_stage_links_by_simhash(llm):
+    """Fingerprints link near copies without any band, and only what its shingles confirm."""
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(5000)}" for _ in range(900)]
+    near = [words[:i] + ["edited"] + words[i + 1 :] for i in (0, 450, 899)]
+    apart = [f"v{rng.randrange(5000)}" for _ in range(900)]
+    texts = [" ".join(w) for w in (words, *near, apart)]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    source = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("h"))
+    marked = source.mapInArrow(shingle_dedup._marked, shingle_dedup.MARKED).localCheckpoint()
+    node = {r.doc_id: bytes(r.node) for r in marked.collect()}
+    fp = {r.doc_id: r.fp & (2**64 - 1) for r in marked.collect()}
+    assert all((fp[0] ^ fp[i]).bit_count() <= 4 for i in (1, 2, 3)) and (fp[0] ^ fp[4]).bit_count() > 4
+    assert fp[4] == simhash.simhash(texts[4].encode(), 5)
+    no_bands = marked.withColumn("keys", F.array().cast("array<long>"))
+    roots = {bytes(r.node): bytes(r.root) for r in shingle_dedup.linked_roots(docs, no_bands).collect()}
+    assert set(roots) == {node[i] for i in range(4)} and len(set(roots.values())) == 1
+    close = llm.createDataFrame([(bytearray(b"x"), 7), (bytearray(b"y"), 7), (bytearray(b"z"), 15)], "node binary, fp long")
+    pairs = {(bytes(r.a), bytes(r.b)) for r in shingle_dedup.simhash_pairs(close).collect()}
+    assert pairs == {(b"x", b"y"), (b"x", b"z")}
