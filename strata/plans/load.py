@@ -75,15 +75,18 @@ def landing_rows(rows: DataFrame, entity: Entity, run: Run) -> DataFrame:
     name = entity.landing.key[0]
     v = F.col("_v")
     rows = P.parsed(rows.withColumn("payload", F.col("element")), "element", "_v")
-    rows = rows.withColumns({"_kind": P.kind(v), "_given": P.get(v, "$.created_at")})
+    # Of a text that parses, the first sign tells whether it is an object; the kind of the whole value would be
+    # read out of the schema of all its fields.
+    is_object = F.when(v.isNotNull(), F.col("payload").startswith("{") | (P.kind(v) == "object"))
+    rows = rows.withColumns({"_is_object": is_object, "_given": P.get(v, "$.created_at")})
     rows = key_alias(rows, "_v", entity.key_fields, "_key").drop("_v")
     given = null_if_sentinel(F.col("_given"), empty_is_null=True)
     rows = rows.withColumns({"_given": given, "_created": F.try_to_timestamp(given)})
     now = stamp.moment(run.as_of)
     key = _castable(F.col("_key"), entity.key_type)
     reason = F.coalesce(
-        F.when(F.col("_kind").isNull(), F.lit("invalid json")),
-        F.when(F.col("_kind") != "object", F.lit("not an object")),
+        F.when(F.col("_is_object").isNull(), F.lit("invalid json")),
+        F.when(~F.col("_is_object"), F.lit("not an object")),
         F.when(F.col("_key").isNull(), F.lit(f"{name} is null")),
         F.when(key.isNull(), F.lit(f"{name} is not {entity.key_type.simpleString()}")),
         F.when(F.col("_given").isNotNull() & F.col("_created").isNull(), F.lit("created_at is not a time")),

@@ -16,7 +16,7 @@ from strata.plans.batch import Batch, lost_keys, new_batch_id, phase_log, run_ba
 from strata.plans.config import BATCH_LOG, QUARANTINE_TABLE, RECON_LOG, CURATED, Run, standard_entities
 from strata.operators.upsert import upsert_overwrite
 from strata.plans import ledger
-from strata.plans.load import check_target, load_landing, load_sanitised, set_up
+from strata.plans.load import check_target, landing_rows, load_landing, load_sanitised, set_up
 from strata.schemas import columns
 from strata.sinks.store import Store, TableDef
 
@@ -321,3 +321,12 @@ def test_archive_and_setup(spark, tmp_path, raw):
 
 def test_batch_id_text():
     assert new_batch_id(dt.datetime(2026, 7, 30, 17, 38, 28), "cv1") == "20260730173828_cv1"
+
+
+def test_what_is_no_object_is_told_from_the_text(spark):
+    texts = ['{"id":"1"}', ' \n{"id":"1"}', "{}", "[1]", '"{"', "null", "7", "{bad", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "element string").select("element", F.lit("f").alias("src_file"), F.lit(0).alias("_ord"))
+    made = landing_rows(rows, standard_entities()["artists"], Run("b", "2026-05-01 00:00:00", ""))
+    found = {r.payload: r.reject_reason for r in made.collect()}
+    no_object, no_json = "not an object", "invalid json"
+    assert list(map(found.get, texts)) == [None, None, "id is null", *[no_object] * 4, *[no_json] * 3]
