@@ -27,7 +27,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.stamp import stamp_batch
@@ -110,16 +110,23 @@ class _Step:
         """Rows of the given table keys; only their buckets are read."""
         return _of_keys(self.store.rows_of_buckets(self.tables[name], keys), keys)
 
-    def put(self, name: str, after: DataFrame, keep: Column) -> None:
-        """Replace the rows of all keys in ``after`` by those of its rows that ``keep`` holds for."""
+    def held_parts(self, name: str, keys: DataFrame) -> DataFrame:
+        """Rows of all parts of the given keys; only their buckets are read."""
+        return _of_keys(self.store.rows_of_buckets(self.tables[name], _all_parts(keys)), keys)
+
+    def put(self, name: str, after: DataFrame, keep: Column, by: Sequence[str] = ()) -> None:
+        """Replace the rows of all keys in ``after`` (``by``: of all values of these columns, the key among them)
+        by those of its rows that ``keep`` holds for.  Held and new rows are shuffled together, once."""
         table = self.tables[name]
         rows = after.withColumn("_keep", keep)
+        names = table.columns.fieldNames()
 
         def how(held: DataFrame, new: DataFrame) -> DataFrame:
-            keys = new.select(*table.key).distinct()
-            others = held.join(keys, _same(held, keys, table.key), "left_anti")
-            both = others.unionByName(new.where("_keep").select(*table.columns.fieldNames()))
-            return both.repartition(table.tasks(held, new), *table.key)
+            was = held.select(*names, F.lit(False).alias("_new"), F.lit(True).alias("_keep"))
+            both = was.unionByName(new.select(*names, F.lit(True).alias("_new"), "_keep"))
+            both = both.repartition(table.tasks(held, new), *table.key)
+            hit = F.max("_new").over(Window.partitionBy(*(by or table.key)))
+            return both.withColumn("_hit", hit).where("_keep AND (_new OR NOT _hit)").select(*names)
 
         self.store.merge(table, rows, how)
 
@@ -143,9 +150,9 @@ def _new_children(step: _Step, recordings: DataFrame, urls: DataFrame) -> DataFr
     """Children that their release did not have before."""
     sent = recordings.select("release_id", F.lit("recording").alias("kind"), F.col("recording_id").alias("child_id"))
     sent = sent.unionByName(urls.select("release_id", F.lit("url").alias("kind"), F.col("url_id").alias("child_id")))
-    sent = sent.select("release_id", _part("child_id"), "kind", "child_id").distinct()
+    sent = sent.select("release_id", _part("child_id"), "kind", "child_id")
     held = step.store.rows_of_buckets(step.tables["release_children"], sent)
-    return sent.join(held, ["release_id", "part", "kind", "child_id"], "left_anti")
+    return sent.distinct().join(held, ["release_id", "part", "kind", "child_id"], "left_anti")
 
 
 def _releases_after(step: _Step, releases: DataFrame, children: DataFrame) -> DataFrame:
@@ -155,8 +162,8 @@ def _releases_after(step: _Step, releases: DataFrame, children: DataFrame) -> Da
     )
     sent = releases.select("release_id", F.struct(*RELEASE).alias("sent"))
     touched = sent.join(counts, "release_id", "full_outer")
-    keys = touched.select("release_id")
-    old = step.held("release_state", keys)
+    keys = releases.select("release_id").union(children.select("release_id"))
+    old = step.store.rows_of_buckets(step.tables["release_state"], keys)  # the join below takes the touched ones
     old = old.select("release_id", F.struct(*old.columns).alias("was"))
 
     def value(name: str) -> Column:
@@ -180,7 +187,7 @@ def _support_after(step: _Step, name: str, delta: DataFrame, sums: Sequence[str]
     for a value that nothing speaks for any more."""
     table = step.tables[name]
     values = [c for c in table.columns.fieldNames() if c not in sums]
-    held = step.held(name, delta.select(*table.key).distinct())
+    held = step.held(name, delta.select(*table.key))
     return signed_sum(held.unionByName(delta.select(*held.columns)), values, sums, keep_zero=True)
 
 
@@ -230,19 +237,12 @@ def maintain(store: Store, entities: dict[str, Entity], run: Run, buckets: int,
     def appearances() -> DataFrame:
         """Recordings of releases that changed their artist, and new ones."""
         moved = pairs.where(F.col("was").isNotNull() & ~F.col("was.artist_id").eqNullSafe(F.col("now.artist_id")))
-        keys = _all_parts(moved.select(F.col("now.release_id").alias("release_id")))
-        before = step.held("release_children", keys)
+        before = step.held_parts("release_children", moved.select(F.col("now.release_id").alias("release_id")))
         new = _appearances(children, now).unionByName(_appearances(before, now))
         return signed(_appearances(before, was), new, ("recording_id", "part", "artist_id"), ("n",))
 
-    def child_rows() -> DataFrame:
-        """Children are only added: those held of the keys that are hit, and the new ones."""
-        return step.held("release_children", children.select("release_id", "part").distinct()).unionByName(children)
-
-    artist_delta, recording_delta, children_now = _together(
-        lambda: step.settle("artist_delta", contributions),
-        lambda: step.settle("recording_delta", appearances),
-        lambda: step.settle("child_rows", child_rows),
+    artist_delta, recording_delta = _together(
+        lambda: step.settle("artist_delta", contributions), lambda: step.settle("recording_delta", appearances)
     )
 
     # Support, and what is read out of it.
@@ -251,24 +251,31 @@ def maintain(store: Store, entities: dict[str, Entity], run: Run, buckets: int,
         lambda: step.settle("recording_support", lambda: _support_after(step, "recording_support", recording_delta, ("n",))),
     )
 
-    def whole(name: str, key: str, after: DataFrame, touched: DataFrame) -> DataFrame:
-        """Support of whole artists or recordings: parts that changed as they are now, the others as held."""
-        parts = after.select(key, "part").distinct()
-        rest = step.held(name, _all_parts(touched.where(F.col(key).isNotNull())))
-        rest = rest.join(parts, _same(rest, parts, [key, "part"]), "left_anti")
-        return rest.unionByName(after.where("n <> 0"))
-
     def artist_rows() -> DataFrame:
-        touched = artist_delta.select("artist_id").union(artists.select("artist_id")).distinct()
+        """Of whole artists: parts of the support that changed as they are now, the others as held."""
+        touched = artist_delta.select("artist_id").union(artists.select("artist_id")).where(F.col("artist_id").isNotNull())
         known = store.rows_of_buckets(entities["artists"].sanitised, touched).select("artist_id", "name", "country")
-        return _artist_rows(_of_keys(known, touched), whole("artist_support", "artist_id", artist_support, touched))
+        parts = artist_support.select("artist_id", "part")
+        rest = step.held_parts("artist_support", touched).join(parts, ["artist_id", "part"], "left_anti")
+        return _artist_rows(_of_keys(known, touched), rest.unionByName(artist_support.where("n <> 0")))
 
     def recording_rows() -> DataFrame:
-        touched = recording_delta.select("recording_id").distinct()
-        rows = whole("recording_support", "recording_id", recording_support, touched)
-        rows = rows.groupBy("recording_id").agg(F.sum("n").alias("release_count"), F.count("artist_id").alias("artist_count"))
-        gone = touched.join(rows, "recording_id", "left_anti").select("recording_id", F.lit(0).cast("long"), F.lit(0).cast("long"))
-        return rows.union(gone)
+        """Of whole recordings likewise, out of the counts of each part as held and as it is now."""
+        touched = recording_support.select("recording_id")
+        held = store.rows_of_buckets(tables["recording_support"], _all_parts(touched))
+        both = held.withColumn("new", F.lit(False)).unionByName(recording_support.withColumn("new", F.lit(True)))
+        artist = (F.col("n") != 0) & F.col("artist_id").isNotNull()
+
+        def of(state: Column, name: str) -> tuple[Column, Column]:
+            return F.sum(F.when(state, F.col("n")).otherwise(0)).alias(f"n_{name}"), F.count_if(artist & state).alias(f"artists_{name}")
+
+        new = F.col("new")
+        parts = both.groupBy("recording_id", "part").agg(F.max("new").alias("new"), *of(new, "now"), *of(~new, "held"))
+        n, artists = (F.when(new, F.col(f"{c}_now")).otherwise(F.col(f"{c}_held")) for c in ("n", "artists"))
+        rows = parts.groupBy("recording_id").agg(
+            F.sum(n).alias("release_count"), F.sum(artists).alias("artist_count"), F.max("new").alias("hit")
+        )
+        return rows.where("hit").drop("hit")
 
     artist_now, recording_now = _together(
         lambda: step.settle("artist_rows", artist_rows), lambda: step.settle("recording_rows", recording_rows)
@@ -292,7 +299,8 @@ def maintain(store: Store, entities: dict[str, Entity], run: Run, buckets: int,
     everything, batch = F.lit(True), run.etl_batch_id
     per_release = now.withColumn("release_year", F.year("release_date"))
     replaced = {
-        "release_children": (children_now, everything),
+        # Only added: a child that an earlier attempt has put there already is replaced by itself.
+        "release_children": (children, everything, tables["release_children"].columns.fieldNames()),
         "release_state": (now, everything),
         "artist_support": (artist_support, F.col("n") != 0),
         "recording_support": (recording_support, F.col("n") != 0),

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators import curated as A
 from strata.operators.deltas import signed, signed_sum
@@ -142,6 +143,20 @@ def test_untouched_buckets_stay(spark, tmp_path):
     check(store, entities, made)
 
 
+def test_held_and_new_rows_are_shuffled_together_once(spark, tmp_path, monkeypatch):
+    store, entities = fresh(spark, tmp_path)
+    put(store, entities, "releases", "b0", [{"release_id": f"r{n}", "artist_id": f"a{n}"} for n in range(5)])
+    made = M.maintain(store, entities, Run("b0", "2026-05-01 00:00:00", ""), BUCKETS)
+    step = M._Step(store, made, Run("b1", "2026-05-02 00:00:00", ""))
+    held = store.read(made["release_state"])
+    plans, after = [], held.where("release_id < 'r2'").withColumn("country", F.lit("x"))
+    monkeypatch.setattr(store, "merge", lambda table, new, how: plans.append(how(store.read(table), new)))
+    step.put("release_state", after, F.col("release_id") != "r1")
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert sorted((r.release_id, r.country) for r in plans[0].collect()) == [("r0", "x"), ("r2", None), ("r3", None), ("r4", None)]
+
+
 def test_signed_differences(spark):
     old = spark.createDataFrame([("a", 2), ("b", 1), (None, 3)], "k string, n long")
     new = spark.createDataFrame([("a", 2), ("c", 4), (None, 1)], "k string, n long")
