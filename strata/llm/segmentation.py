@@ -10,9 +10,10 @@ which is a sample without replacement.  As every open group stands for one segme
 its score, the k + 1 best are all that is kept.  A segmentation's inclusion score is the chance that
 its perturbed score passes the (k + 1)-th one; it is 1 where all are emitted.
 
-Pieces never go on after a blank, and the lattice of a word's end does not depend on what stands
-before it: the places of a lattice are made once and shared by all words that end alike.  A
-character outside the vocabulary is spelled in bytes.  Noise is seeded by the row's key.
+Pieces never go on after a blank, so the lattices of words are apart, and the distinct words of a group of texts
+are built together, place by place from their ends, in arrays; the texts are searched in step, and all their
+draws of one length are one array.  A character outside the vocabulary is spelled in bytes.  Every number drawn is
+SplitMix64 of the row's seed at a count of its own, so a row's samples do not depend on its neighbours.
 
 Defined results: a NULL or empty text gives no rows; rows of equal key and text give
 equal samples each; a text with fewer than k segmentations gives them all.
@@ -22,10 +23,8 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +36,12 @@ from strata.llm.common import text_or_empty
 
 MODEL, SAMPLES, SHARPNESS, SEED = "piece_bpe_32k.model", 4, 1.0, 17
 SPACE_MARK = "▁"
-KEPT, KEPT_LENGTH = 250_000, 32
-_END = (0.0, (), ())  # the place behind a word
+GROUP_CHARS = 200_000  # of texts searched in step; a longer text goes alone
+# No noise is above LEAST_FALL: where a beginning's log mass is lower by that than a group's best score, no
+# smaller group that begins so is better.  Noise is drawn for log masses down to -NEAR first.
+LEAST_FALL, NEAR = 37.0, 60.0
+_SLOT_BITS = 20
+_HASH = np.uint64(0x9E3779B97F4A7C15)
 SCHEMA = "key string, rank int, n_pieces long, log_prob double, inclusion double, ids array<int>, decoded string"
 
 
@@ -59,130 +62,313 @@ class Lattice:
         for b, i in self.byte_ids.items():
             self.spelled[i] = bytes([b])
         by_score = sorted(ids, key=lambda i: -model.get_score(i))
-        weights = {self.pieces[i]: ((i,), -sharpness * math.log(r + 2)) for r, i in enumerate(by_score)}
-        self.longest = max(map(len, weights))
-        # None: no piece, but the beginning of one.
-        self.weights = {p[:n]: None for p in weights for n in range(1, len(p))} | weights
+        weights = {self.pieces[i]: (i, -sharpness * math.log(r + 2)) for r, i in enumerate(by_score)}
         self.of_byte = -sharpness * math.log(len(ids) + 2)
-        self.places: dict[str, tuple] = {}
+        self._beginnings(weights)
+        # Bytes of every piece as they are decoded.
+        spelled = [s.replace(SPACE_MARK.encode(), b" ") for s in self.spelled]
+        self.text = np.frombuffer(b"".join(spelled), np.uint8)
+        self.text_length = np.fromiter(map(len, spelled), np.int64)
+        self.text_start = np.cumsum(self.text_length) - self.text_length
+
+    def _beginnings(self, weights: dict[str, tuple[int, float]]) -> None:
+        """Numbers the beginnings of pieces (0: the empty one) and hashes (beginning, character) to the longer one."""
+        states = {"": 0}
+        for piece in weights:
+            for n in range(1, len(piece) + 1):
+                states.setdefault(piece[:n], len(states))
+        chars = sorted({c for p in weights for c in p})
+        self.kinds = len(chars) + 1
+        self.kind = np.zeros(0x110000, np.int64)  # of a character; 0: in no piece
+        self.kind[[ord(c) for c in chars]] = np.arange(1, self.kinds)
+        self.piece = np.full(len(states) + 1, -1, np.int64)  # the last: of no beginning
+        self.weight = np.zeros(len(states) + 1)
+        for piece, (i, weight) in weights.items():
+            self.piece[states[piece]], self.weight[states[piece]] = i, weight
+        longer = [(states[p[:-1]], ord(p[-1]), s) for p, s in states.items() if p]
+        before, char, state = np.array(longer, np.int64).reshape(-1, 3).T
+        keys = before * self.kinds + self.kind[char]
+        self.slot_key = np.full(1 << _SLOT_BITS, -1, np.int64)
+        self.slot_state = np.full(1 << _SLOT_BITS, -1, np.int64)
+        slots = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self.slot_key[slots] < 0)
+            taken, which = np.unique(slots[free], return_index=True)
+            self.slot_key[taken], self.slot_state[taken] = keys[free[which]], state[free[which]]
+            left = np.ones(len(keys), bool)
+            left[free[which]] = False
+            keys, state, slots = keys[left], state[left], (slots[left] + 1) % len(self.slot_key)
+
+    @staticmethod
+    def _slots(keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * _HASH) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+    def longer(self, states: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """The beginnings one character longer, -1 where there is none."""
+        keys = states * self.kinds + kinds
+        slots = self._slots(keys)
+        held = self.slot_key[slots]
+        found = np.where(held == keys, self.slot_state[slots], -1)
+        at = np.flatnonzero((held != keys) & (held >= 0))
+        while len(at):
+            slots[at] = (slots[at] + 1) % len(self.slot_key)
+            held = self.slot_key[slots[at]]
+            hit = held == keys[at]
+            found[at[hit]] = self.slot_state[slots[at[hit]]]
+            at = at[~hit & (held >= 0)]
+        return found
 
     def word(self, word: str) -> tuple:
-        """The place where ``word`` begins: log of the weight of all ways to spell it, bounds
-        that part [0, 1) between its edges, and the edges: (next place, ids, conditional
-        probability, that of the other edges)."""
-        return self.places.get(word) or self._made(word)
-
-    def _made(self, word: str) -> tuple:
-        n, weight_of, exp = len(word), self.weights.get, math.exp
-        places = [_END] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            end = word[i:] if n - i <= KEPT_LENGTH else None
-            known = end and self.places.get(end)
-            if known:
-                places[i] = known
-                continue
-            found, logs = [], []
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                known = weight_of(word[i:j], 0)
-                if known == 0:
-                    break
-                if known:
-                    found.append((places[j], known[0]))
-                    logs.append(known[1] + places[j][0])
-            if not weight_of(word[i]):
-                spelled = tuple(self.byte_ids[b] for b in word[i].encode("utf-8", "surrogatepass"))
-                found.append((places[i + 1], spelled))
-                logs.append(len(spelled) * self.of_byte + places[i + 1][0])
-            if len(found) == 1:
-                places[i] = (logs[0], (), ((*found[0], 1.0, 0.0),))
-            else:
-                top = max(logs)
-                parts = [exp(m - top) for m in logs]
-                total = sum(parts)
-                edges = []
-                for e, (place, ids) in enumerate(found):
-                    others = total - parts[e]
-                    if others < 1e-3 * total:  # without the digits lost
-                        others = sum(parts[:e]) + sum(parts[e + 1 :])
-                    edges.append((place, ids, parts[e] / total, others / total))
-                bounds = tuple(accumulate(edge[2] for edge in edges[:-1]))
-                places[i] = (top + math.log(total), bounds, tuple(edges))
-            if end:
-                if len(self.places) >= KEPT:
-                    self.places.clear()
-                self.places[end] = places[i]
-        return places[0]
-
-    def decode(self, ids: list[int]) -> str:
-        """Text of a segmentation; the mark put in front is taken off."""
-        data = b"".join(map(self.spelled.__getitem__, ids))
-        return data.decode("utf-8", "replace").replace(SPACE_MARK, " ")[1:]
+        """The lattice of one word as nested places: log of the weight of all ways to spell what is left, its
+        length, and the edges (next place, ids, conditional probability, that of the other edges)."""
+        made, places = _Words(self, [word]), {0: (0.0, 0, ())}
+        for n in range(1, len(word) + 1):
+            edges = range(made.first[n], made.first[n + 1])
+            found = ((places[made.next[e]], tuple(self.ids(made.id[e : e + 1])[0].tolist()), made.chance[e], made.others[e]) for e in edges)
+            places[n] = (made.mass[n], n, tuple(found))
+        return places[len(word)]
+
+    def ids(self, edge_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of edges in their order, characters outside the vocabulary in bytes, and how many each has."""
+        many = np.ones(len(edge_ids), np.int64)
+        odd = np.flatnonzero(edge_ids >= len(self.pieces))
+        if not len(odd):
+            return edge_ids, many
+        chars, which = np.unique(edge_ids[odd] - len(self.pieces), return_inverse=True)
+        spelled = [[self.byte_ids[b] for b in chr(c).encode("utf-8", "surrogatepass")] for c in chars.tolist()]
+        length = np.fromiter(map(len, spelled), np.int64)
+        many[odd] = length[which]
+        out = np.repeat(edge_ids, many)
+        at = np.repeat((np.cumsum(many) - many)[odd], many[odd])
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(many[odd]) - many[odd], many[odd])
+        out[at + nth] = np.concatenate(spelled)[np.repeat((np.cumsum(length) - length)[which], many[odd]) + nth]
+        return out, many
+
+    def decode(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """UTF-8 of segmentations that stand one after the other in ``ids``, each from its ``first``, and where each
+        ends; the mark put in front of each is taken off."""
+        start, length = self.text_start[ids], self.text_length[ids]
+        start[first] += 1
+        length[first] -= 1
+        ends = np.cumsum(length)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - length), length)
+        last = np.append(first[1:], len(ids)) - 1
+        return self.text[at], ends[last]
 
     def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
         """Up to k (ids, log probability, inclusion score), highest perturbed score first."""
         marked = self.normalise(text)
         if not marked:
             return []
-        words = [self.word(w) for w in re.findall(f"{SPACE_MARK}+[^{SPACE_MARK}]*|[^{SPACE_MARK}]+", marked)]
-        noise = np.random.Generator(np.random.PCG64(seed))
-        # Open groups, best first: (falling score, order, log mass of the beginning, the edges
-        # of a segmentation that begins so, where its words start in them, place of the
-        # edge that is not taken, edges that may be instead).
-        groups = [(-noise.gumbel(), 0, 0.0, [], [0], 0, words[0][2])]
-        done, order, limit = [], 0, -math.inf
-        while groups:
-            score, _, mass, like, starts, at, left = groups.pop(0)
-            score = -score
-            if len(done) == k:
-                limit = score
+        found = _search(self, [marked], [seed], k)[0]
+        return [(self.ids(edge_ids)[0].tolist(), mass, chance) for edge_ids, mass, chance in found]
+
+
+class _Words:
+    """Lattices of distinct words in arrays.  A place has a word, by falling length, and a distance from its end;
+    places are numbered by distance, then word, so those of one distance follow each other.  Place w is the end of
+    word w.  The edges of a place lie from ``first`` of the place to that of the next one."""
+
+    def __init__(self, model: Lattice, words: Sequence[str]):
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-length, kind="stable")
+        self.count = len(words)
+        self.rank = np.empty(self.count, np.int64)
+        self.rank[order] = np.arange(self.count)
+        self.length = length[order]
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        kind, end = model.kind[code], np.cumsum(length)[order]
+        longest = int(self.length[0])
+        at_distance = np.bincount(self.length, minlength=longest + 1)[::-1].cumsum()[::-1]
+        self.base = np.append(0, np.cumsum(at_distance))
+        places = int(self.base[-1])
+
+        place = np.arange(self.count, places)
+        distance = np.repeat(np.arange(1, longest + 1), at_distance[1:])
+        word = place - self.base[distance]
+        at = end[word] - distance
+        state, made, n = model.longer(np.zeros(len(at), np.int64), kind[at]), [], 1
+        while len(place):
+            ids, weight = model.piece[state], model.weight[state]
+            known = ids >= 0
+            if n == 1 and not known.all():
+                odd = np.flatnonzero(~known)
+                char = code[at[odd]]
+                ids[odd] = len(model.pieces) + char
+                weight[odd] = model.of_byte * (1 + (char > 0x7F) + (char > 0x7FF) + (char > 0xFFFF))
+                known[:] = True
+            onward = self.base[distance[known] - n] + word[known]
+            made.append((*(c.astype(np.int32) for c in (place[known], onward, ids[known])), weight[known], np.full(len(onward), n, np.int8)))
+            more = np.flatnonzero((state >= 0) & (distance > n))
+            state = model.longer(state[more], kind[at[more] + n])
+            more, state = more[state >= 0], state[state >= 0]
+            place, distance, word, at, n = place[more], distance[more], word[more], at[more], n + 1
+        place, onward, ids, weight, span = (np.concatenate(column) for column in zip(*reversed(made)))
+        by_place = np.argsort(place, kind="stable")
+        self.place, self.next, self.id, weight, self.span = (c[by_place] for c in (place, onward, ids, weight, span))
+        many = np.bincount(self.place, minlength=places)
+        self.first = np.append(0, np.cumsum(many))
+
+        self.mass = np.zeros(places)
+        share, total = np.empty(len(weight)), np.ones(places)
+        for d in range(1, longest + 1):
+            a, b = self.base[d], self.base[d + 1]
+            i, j = self.first[a], self.first[b]
+            log = weight[i:j] + self.mass[self.next[i:j]]
+            parts = self.first[a:b] - i
+            top = np.maximum.reduceat(log, parts)
+            share[i:j] = np.exp(log - np.repeat(top, many[a:b]))
+            total[a:b] = np.add.reduceat(share[i:j], parts)
+            self.mass[a:b] = top + np.log(total[a:b])
+        whole = total[self.place]
+        others = whole - share
+        most = others < 1e-3 * whole  # without the digits lost; at most one edge of a place
+        rest = np.add.reduceat(np.where(most, 0.0, share), self.first[self.count : -1])
+        others[most] = rest[self.place[most] - self.count]
+        self.chance, self.others = share / whole, others / whole
+        self.pass_by = self.chance.copy()  # draws from here on go on to the next edge
+        self.pass_by[self.first[self.count + 1 :] - 1] = math.inf
+        self.log_chance = np.log(self.chance)
+
+    def drawn(self, place: np.ndarray, draw: np.ndarray) -> np.ndarray:
+        """One edge of every place by its chance."""
+        edge = self.first[place]
+        by = self.pass_by[edge]
+        at = np.flatnonzero(draw >= by)
+        left, by = draw[at], by[at]
+        while len(at):
+            left = left - by
+            edge[at] += 1
+            by = self.pass_by[edge[at]]
+            on = np.flatnonzero(left >= by)
+            at, left, by = at[on], left[on], by[on]
+        return edge
+
+    def drawn_but(self, barred: tuple[int, ...], draw: float) -> tuple[int, float]:
+        """One of the other edges of the place of ``barred`` by its chance among them, and the chance of those left."""
+        place = self.place[barred[0]]
+        first = int(self.first[place])
+        chance = self.chance[first : self.first[place + 1]].copy()
+        chance[[e - first for e in barred]] = 0.0
+        bounds = np.cumsum(chance)
+        i = min(int(np.searchsorted(bounds, draw * bounds[-1], "right")), int(np.flatnonzero(chance)[-1]))
+        chance[i] = 0.0
+        return first + i, float(chance.sum())
+
+
+def _uniform(z: np.ndarray) -> np.ndarray:
+    """What SplitMix64 makes of these states, as numbers between 0 and 1, neither included."""
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    z ^= z >> np.uint64(31)
+    return ((z >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
+
+
+def _gumbel(uniform: np.ndarray) -> np.ndarray:
+    return -np.log(-np.log(uniform))
+
+
+def _search(model: Lattice, texts: Sequence[str], seeds: Sequence[int], k: int) -> list[list[tuple[np.ndarray, float, float]]]:
+    """For each normalised text, not empty, up to k (ids of its edges, log probability, inclusion score)."""
+    words, counts = [], []
+    for text in texts:
+        found = re.findall(f"{SPACE_MARK}+[^{SPACE_MARK}]*|[^{SPACE_MARK}]+", text)
+        words += found
+        counts.append(len(found))
+    distinct = list(dict.fromkeys(words))
+    made = _Words(model, distinct)
+    number = dict(zip(distinct, made.rank.tolist()))
+    word = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    length = made.length[word]
+    word_place, word_at = made.base[length] + word, np.cumsum(length) - length
+    word_text = np.repeat(np.arange(len(texts)), counts)
+    chars = np.fromiter(map(len, texts), np.int64, len(texts))
+    begin = np.append(0, np.cumsum(chars))
+    count = (np.arange(begin[-1]) - np.repeat(begin[:-1], chars) + 1).astype(np.uint64)
+    state = np.repeat(np.array(seeds, np.uint64), chars) + count * _HASH
+
+    def uniform(lane: int, at: np.ndarray) -> np.ndarray:
+        """A number for characters of the texts; lanes lie 2**32 counts apart."""
+        return _uniform(state[at] + np.uint64((lane << 32) * int(_HASH) % 2**64))
+
+    # Open groups of each text, best first: (falling score, order, the sample that begins so, where it is left, the
+    # edges not to be taken there).
+    groups = [[(-score, 0, 0, at, ())] for score, at in zip(_gumbel(uniform(0, begin[:-1])).tolist(), begin.tolist())]
+    orders, taken, done, limits = [0] * len(texts), [], [[] for _ in texts], [-math.inf] * len(texts)
+    for n in range(k + 1):
+        best = {i: groups[i].pop(0) for i in range(len(texts)) if groups[i]}
+        if n == k or not best:
+            for i, group in best.items():
+                limits[i] = -group[0]
+            break
+        edge_at = np.full(int(begin[-1]), -1, np.int64)  # the edge that begins at a character
+        from_word, ats, places, left = np.full(len(texts), len(word)), [], [], {}
+        for i, (_, _, like, at, barred) in best.items():
+            if not barred:
+                from_word[i] = 0
+                continue
+            from_word[i] = np.searchsorted(word_at, at, "right")
+            edge_at[begin[i] : at] = taken[like][begin[i] : at]
+            step, left[i] = made.drawn_but(barred, float(uniform(2 * n + 1, np.array([at]))[0]))
+            edge_at[at] = step
+            ats.append(at + int(made.span[step]))
+            places.append(int(made.next[step]))
+        fresh = np.flatnonzero(np.arange(len(word)) >= from_word[word_text])
+        at = np.append(word_at[fresh], np.array(ats, np.int64))
+        place = np.append(word_place[fresh], np.array(places, np.int64))
+        while True:
+            on = place >= made.count
+            at, place = at[on], place[on]
+            if not len(at):
                 break
-            draw = iter(noise.random(len(marked) + 1).tolist()).__next__
-            w = bisect(starts, at) - 1
-            steps, starts = like[:at], starts[: w + 1]
-            step, left = _drawn(left, draw())
-            steps.append(step)
-            append, place = steps.append, step[0]
-            while True:
-                while place is not _END:
-                    _, bounds, edges = place
-                    step = edges[bisect(bounds, draw())] if bounds else edges[0]
-                    append(step)
-                    place = step[0]
-                w += 1
-                if w == len(words):
-                    break
-                starts.append(len(steps))
-                place = words[w]
-            own = steps[at:]
-            others = np.array([step[3] for step in own])
-            others[0] = sum(step[2] for step in left)
-            with np.errstate(divide="ignore"):  # no other edge: -inf
-                others = np.log(others)
-            masses = mass + np.cumsum(np.log([1.0] + [step[2] for step in own]))
-            done.append((steps, float(masses[-1])))
-            # The best of each smaller group, given that the best of all has ``score``.
-            best = -np.logaddexp(-score, -noise.gumbel(size=len(own)) - masses[:-1] - others)
-            room = k + 1 - len(done)
-            for i in np.argsort(-best, kind="stable")[:room].tolist():
-                if best[i] == -math.inf:
-                    break
-                order += 1
-                if i:
-                    w = bisect(starts, at + i) - 1
-                    place = own[i - 1][0] if at + i > starts[w] else words[w]
-                    instead = tuple(edge for edge in place[2] if edge is not own[i])
-                else:
-                    instead = left
-                groups.append((-float(best[i]), order, float(masses[i]), steps, starts, at + i, instead))
-            groups = sorted(groups, key=lambda group: group[:2])[:room]
-        return [([i for step in steps for i in step[1]], mass, _passes(mass - limit)) for steps, mass in done]
+            edge = made.drawn(place, uniform(2 * n + 1, at))
+            edge_at[at] = edge
+            at, place = at + made.span[edge], made.next[edge]
+        taken.append(edge_at)
 
+        ats = np.flatnonzero(edge_at >= 0)
+        steps, cuts = edge_at[ats], np.searchsorted(ats, begin).tolist()
+        log_chance, before = made.log_chance[steps], np.zeros(len(steps))
+        room, first, near = k - n, {}, {}
+        for i, group in best.items():
+            a, b = cuts[i], cuts[i + 1]
+            np.cumsum(log_chance[a : b - 1], out=before[a + 1 : b])
+            done[i].append((steps[a:b], float(before[b - 1] + log_chance[b - 1])))
+            first[i] = a + int(np.searchsorted(ats[a:b], group[3])) if i in left else a
+            near[i] = first[i] + int(np.searchsorted(-before[first[i] : b], NEAR))
 
-def _drawn(edges: tuple, draw: float) -> tuple[tuple, tuple]:
-    """One of the edges by its chance among them, and the others."""
-    bounds = list(accumulate(edge[2] for edge in edges))
-    i = min(bisect(bounds, draw * bounds[-1]), len(edges) - 1)
-    return edges[i], edges[:i] + edges[i + 1 :]
+        def falls(chosen: np.ndarray) -> np.ndarray:
+            """Of the smaller groups the noise less the log mass: the larger it is, the lower the best score."""
+            noise = _gumbel(uniform(2 * n + 2, ats[chosen]))
+            with np.errstate(divide="ignore"):  # no other edge: -inf
+                others = np.log(made.others[steps[chosen]])
+            for i, at in zip(split, np.searchsorted(chosen, [first[i] for i in split])):
+                others[at] = math.log(left[i]) if left[i] else -math.inf
+            return -noise - before[chosen] - others
+
+        split = list(left)
+        fall = falls(np.concatenate([np.arange(first[i], near[i]) for i in best]))
+        end = 0
+        for i, group in best.items():
+            a, b = first[i], near[i]
+            end += b - a
+            found = fall[end - b + a : end]
+            if b < cuts[i + 1] and (b - a < room or np.partition(found, room - 1)[room - 1] > NEAR - LEAST_FALL):
+                b, split = cuts[i + 1], [i] if i in left else []
+                found = falls(np.arange(a, b))
+            top = np.argpartition(found, room - 1)[:room] if room < b - a else np.arange(b - a)
+            for j in top[np.lexsort((top, found[top]))].tolist():
+                if found[j] == math.inf:
+                    break
+                orders[i] += 1
+                barred = (int(steps[a + j]), *(group[4] if j == 0 else ()))
+                # Its best score, given that the best of all has the score of this one.
+                falling = float(np.logaddexp(group[0], found[j]))
+                groups[i].append((falling, orders[i], n, int(ats[a + j]), barred))
+            groups[i] = sorted(groups[i], key=lambda group: group[:2])[:room]
+    return [
+        [(made.id[steps], mass, _passes(mass - limit)) for steps, mass in samples] for samples, limit in zip(done, limits)
+    ]
 
 
 def _passes(margin: float) -> float:
@@ -199,19 +385,52 @@ def row_seed(key: str, seed: int = SEED) -> int:
     return xxhash.xxh64_intdigest(key.encode(), seed)
 
 
+def _groups(model: Lattice, batch: pa.RecordBatch) -> Iterator[list[tuple[str, str]]]:
+    """Rows (key, marked text) that have a text, about ``GROUP_CHARS`` characters at a time."""
+    group, chars = [], 0
+    for start in range(0, batch.num_rows, 500):
+        part = batch.slice(start, 500)
+        for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            marked = model.normalise(text)
+            if not marked:
+                continue
+            if group and chars + len(marked) > GROUP_CHARS:
+                yield group
+                group, chars = [], 0
+            group.append((key, marked))
+            chars += len(marked)
+    if group:
+        yield group
+
+
+def _rows(model: Lattice, group: list[tuple[str, str]], k: int, seed: int) -> pa.RecordBatch:
+    keys, texts = zip(*group)
+    found = _search(model, texts, [row_seed(key, seed) for key in keys], k)
+    samples = [sample for of_text in found for sample in of_text]
+    ids, many = model.ids(np.concatenate([edge_ids for edge_ids, _, _ in samples]))
+    edges = np.cumsum([len(edge_ids) for edge_ids, _, _ in samples])
+    ends = np.cumsum(many)[edges - 1]
+    first = np.append(0, ends[:-1])
+    text, text_ends = model.decode(ids, first)
+    offsets, text_offsets = (pa.array(np.append(0, e).astype(np.int32)) for e in (ends, text_ends))
+    columns = [
+        pa.array([key for key, of_text in zip(keys, found) for _ in of_text], pa.string()),
+        pa.array([rank for of_text in found for rank in range(len(of_text))], pa.int32()),
+        pa.array(np.diff(np.append(0, ends)), pa.int64()),
+        pa.array([mass for _, mass, _ in samples], pa.float64()),
+        pa.array([chance for _, _, chance in samples], pa.float64()),
+        pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))),
+        pa.StringArray.from_buffers(len(samples), text_offsets.buffers()[1], pa.py_buffer(text)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SCHEMA.split(",")])
+
+
 def _sampled(name: str, sharpness: float, k: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattice(name, sharpness)
-        types = [pa.string(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.string()]
-        names = [f.split()[0] for f in SCHEMA.split(",")]
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part, rows = batch.slice(start, 500), []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for rank, (ids, mass, chance) in enumerate(model.sample(text, k, row_seed(key, seed))):
-                        rows.append((key, rank, len(ids), mass, chance, ids, model.decode(ids)))
-                columns = list(zip(*rows)) or [()] * len(types)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            for group in _groups(model, batch):
+                yield _rows(model, group, k, seed)
 
     return run
 

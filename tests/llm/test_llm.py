@@ -838,6 +838,17 @@ def test_all_segmentations_come_out_when_k_is_large():
     assert len({tuple(x) for x, *_ in got}) == wanted and all(q == 1.0 for *_, q in got)
 
 
+def test_texts_searched_together_give_what_each_gives_alone(monkeypatch):
+    model, rng = segmentation.lattice(), random.Random(3)
+    texts = [" ".join(str(rng.random()) for _ in range(n)) for n in (1, 9, 70)] + ["a", "is is", "一二三 😀 ﬁ K", "x" * 500]
+    alone = [model.sample(text, 6, seed) for seed, text in enumerate(texts)]
+    together = segmentation._search(model, [model.normalise(t) for t in texts], range(len(texts)), 6)
+    assert [[(model.ids(e)[0].tolist(), mass, chance) for e, mass, chance in found] for found in together] == alone
+    # Groups that begin too improbably to be searched are none of the best.
+    monkeypatch.setattr(segmentation, "NEAR", math.inf)
+    assert [model.sample(text, 6, seed) for seed, text in enumerate(texts)] == alone
+
+
 def test_segmentations_of_odd_texts(llm, odd, plain, empty):
     found = segmentation.sampled_segmentations(odd.where("n_chars < 5000"), ["doc_id"], k=2)
     again = segmentation.sampled_segmentations(odd.where("n_chars < 5000").repartition(3), ["doc_id"], k=2)
