@@ -10,10 +10,11 @@ which is a sample without replacement.  As every open group stands for one segme
 its score, the k + 1 best are all that is kept.  A segmentation's inclusion score is the chance that
 its perturbed score passes the (k + 1)-th one; it is 1 where all are emitted.
 
-Pieces never go on after a blank, so the lattices of words are apart, and the distinct words of a group of texts
-are built together, place by place from their ends, in arrays; the texts are searched in step, and all their
-draws of one length are one array.  A character outside the vocabulary is spelled in bytes.  Every number drawn is
-SplitMix64 of the row's seed at a count of its own, so a row's samples do not depend on its neighbours.
+No piece goes on between two characters that stand together in none, so a text falls apart there into words, whose
+lattices are apart.  The new words of a group of texts are built together, place by place from their ends, in arrays,
+and held for the groups after; the texts are searched in step, and all their draws of one length are one array.  A
+character outside the vocabulary is spelled in bytes.  Every number drawn is SplitMix64 of the row's seed at a count
+of its own, so a row's samples do not depend on its neighbours.
 
 Defined results: a NULL or empty text gives no rows; rows of equal key and text give
 equal samples each; a text with fewer than k segmentations gives them all.
@@ -22,8 +23,7 @@ equal samples each; a text with fewer than k segmentations gives them all.
 from __future__ import annotations
 
 import math
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +37,7 @@ from strata.llm.common import text_or_empty
 MODEL, SAMPLES, SHARPNESS, SEED = "piece_bpe_32k.model", 4, 1.0, 17
 SPACE_MARK = "▁"
 GROUP_CHARS = 200_000  # of texts searched in step; a longer text goes alone
+HELD_EDGES = 2_000_000  # of words held for the groups after; beyond that they are built anew
 # No noise is above LEAST_FALL: where a beginning's log mass is lower by that than a group's best score, no
 # smaller group that begins so is better.  Noise is drawn for log masses down to -NEAR first.
 LEAST_FALL, NEAR = 37.0, 60.0
@@ -65,6 +66,8 @@ class Lattice:
         weights = {self.pieces[i]: (i, -sharpness * math.log(r + 2)) for r, i in enumerate(by_score)}
         self.of_byte = -sharpness * math.log(len(ids) + 2)
         self._beginnings(weights)
+        self._pairs(weights)
+        self.held = _Held(self)
         # Bytes of every piece as they are decoded.
         spelled = [s.replace(SPACE_MARK.encode(), b" ") for s in self.spelled]
         self.text = np.frombuffer(b"".join(spelled), np.uint8)
@@ -79,7 +82,7 @@ class Lattice:
                 states.setdefault(piece[:n], len(states))
         chars = sorted({c for p in weights for c in p})
         self.kinds = len(chars) + 1
-        self.kind = np.zeros(0x110000, np.int64)  # of a character; 0: in no piece
+        self.kind = np.zeros(0x110000, np.int32)  # of a character; 0: in no piece
         self.kind[[ord(c) for c in chars]] = np.arange(1, self.kinds)
         self.piece = np.full(len(states) + 1, -1, np.int64)  # the last: of no beginning
         self.weight = np.zeros(len(states) + 1)
@@ -99,6 +102,21 @@ class Lattice:
             left[free[which]] = False
             keys, state, slots = keys[left], state[left], (slots[left] + 1) % len(self.slot_key)
 
+    def _pairs(self, pieces: Iterable[str]) -> None:
+        """Marks the kinds of two characters that follow each other in a piece."""
+        self.together = np.zeros(self.kinds * self.kinds, bool)
+        pairs = {p[n : n + 2] for p in pieces for n in range(len(p) - 1)}
+        before, after = np.array([(ord(a), ord(b)) for a, b in pairs], np.int64).reshape(-1, 2).T
+        self.together[self.kind[before].astype(np.int64) * self.kinds + self.kind[after]] = True
+
+    def word_starts(self, code: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Where words begin in texts that stand one after the other, each from its ``begin``."""
+        kind = self.kind.take(code)
+        starts = np.empty(len(code), bool)
+        np.logical_not(self.together.take(kind[:-1].astype(np.int64) * self.kinds + kind[1:]), out=starts[1:])
+        starts[begin] = True
+        return np.flatnonzero(starts)
+
     @staticmethod
     def _slots(keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * _HASH) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
@@ -121,11 +139,11 @@ class Lattice:
     def word(self, word: str) -> tuple:
         """The lattice of one word as nested places: log of the weight of all ways to spell what is left, its
         length, and the edges (next place, ids, conditional probability, that of the other edges)."""
-        made, places = _Words(self, [word]), {0: (0.0, 0, ())}
+        made, places = _Words(self, [_codes([word]).tobytes()]), {0: (0.0, 0, ())}
         for n in range(1, len(word) + 1):
             edges = range(made.first[n], made.first[n + 1])
             found = ((places[made.next[e]], tuple(self.ids(made.id[e : e + 1])[0].tolist()), made.chance[e], made.others[e]) for e in edges)
-            places[n] = (made.mass[n], n, tuple(found))
+            places[n] = (float(made.mass[n]), n, tuple(found))
         return places[len(word)]
 
     def ids(self, edge_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,28 +182,31 @@ class Lattice:
         return [(self.ids(edge_ids)[0].tolist(), mass, chance) for edge_ids, mass, chance in found]
 
 
+def _codes(texts: Sequence[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 class _Words:
-    """Lattices of distinct words in arrays.  A place has a word, by falling length, and a distance from its end;
-    places are numbered by distance, then word, so those of one distance follow each other.  Place w is the end of
-    word w.  The edges of a place lie from ``first`` of the place to that of the next one."""
+    """Lattices of distinct words, in UTF-32, in arrays.  A place has a word, by falling length, and a distance from
+    its end; places are numbered by distance, then word, so those of one distance follow each other.  Place 0 is the
+    end of every word.  The edges of a place lie from ``first`` of the place to that of the next one."""
 
-    def __init__(self, model: Lattice, words: Sequence[str]):
-        length = np.fromiter(map(len, words), np.int64, len(words))
+    def __init__(self, model: Lattice, words: Sequence[bytes]):
+        length = np.fromiter(map(len, words), np.int64, len(words)) // 4
         order = np.argsort(-length, kind="stable")
-        self.count = len(words)
-        self.rank = np.empty(self.count, np.int64)
-        self.rank[order] = np.arange(self.count)
-        self.length = length[order]
-        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        kind, end = model.kind[code], np.cumsum(length)[order]
-        longest = int(self.length[0])
-        at_distance = np.bincount(self.length, minlength=longest + 1)[::-1].cumsum()[::-1]
-        self.base = np.append(0, np.cumsum(at_distance))
-        places = int(self.base[-1])
-
-        place = np.arange(self.count, places)
+        code = np.frombuffer(b"".join(words), np.uint32).astype(np.int64)
+        kind, end = model.kind[code].astype(np.int64), np.cumsum(length)[order]
+        longest = int(length[order[0]])
+        at_distance = np.bincount(length, minlength=longest + 1)[::-1].cumsum()[::-1]
+        at_distance[0] = 1
+        base = np.append(0, np.cumsum(at_distance))
+        places = int(base[-1])
+        self.start = np.empty(len(words), np.int64)  # places where words begin
+        self.start[order] = base[length[order]] + np.arange(len(words))
+
+        place = np.arange(1, places)
         distance = np.repeat(np.arange(1, longest + 1), at_distance[1:])
-        word = place - self.base[distance]
+        word = place - base[distance]
         at = end[word] - distance
         state, made, n = model.longer(np.zeros(len(at), np.int64), kind[at]), [], 1
         while len(place):
@@ -197,22 +218,23 @@ class _Words:
                 ids[odd] = len(model.pieces) + char
                 weight[odd] = model.of_byte * (1 + (char > 0x7F) + (char > 0x7FF) + (char > 0xFFFF))
                 known[:] = True
-            onward = self.base[distance[known] - n] + word[known]
-            made.append((*(c.astype(np.int32) for c in (place[known], onward, ids[known])), weight[known], np.full(len(onward), n, np.int8)))
+            ahead = distance[known] - n
+            onward = np.where(ahead > 0, base[ahead] + word[known], 0)
+            made.append((place[known], onward, ids[known].astype(np.int32), weight[known], np.full(len(onward), n, np.int8)))
             more = np.flatnonzero((state >= 0) & (distance > n))
             state = model.longer(state[more], kind[at[more] + n])
             more, state = more[state >= 0], state[state >= 0]
             place, distance, word, at, n = place[more], distance[more], word[more], at[more], n + 1
         place, onward, ids, weight, span = (np.concatenate(column) for column in zip(*reversed(made)))
         by_place = np.argsort(place, kind="stable")
-        self.place, self.next, self.id, weight, self.span = (c[by_place] for c in (place, onward, ids, weight, span))
-        many = np.bincount(self.place, minlength=places)
+        place, self.next, self.id, weight, self.span = (c[by_place] for c in (place, onward, ids, weight, span))
+        many = np.bincount(place, minlength=places)
         self.first = np.append(0, np.cumsum(many))
 
         self.mass = np.zeros(places)
         share, total = np.empty(len(weight)), np.ones(places)
         for d in range(1, longest + 1):
-            a, b = self.base[d], self.base[d + 1]
+            a, b = base[d], base[d + 1]
             i, j = self.first[a], self.first[b]
             log = weight[i:j] + self.mass[self.next[i:j]]
             parts = self.first[a:b] - i
@@ -220,154 +242,256 @@ class _Words:
             share[i:j] = np.exp(log - np.repeat(top, many[a:b]))
             total[a:b] = np.add.reduceat(share[i:j], parts)
             self.mass[a:b] = top + np.log(total[a:b])
-        whole = total[self.place]
+        whole = total[place]
         others = whole - share
         most = others < 1e-3 * whole  # without the digits lost; at most one edge of a place
-        rest = np.add.reduceat(np.where(most, 0.0, share), self.first[self.count : -1])
-        others[most] = rest[self.place[most] - self.count]
+        rest = np.add.reduceat(np.where(most, 0.0, share), self.first[1:-1])
+        others[most] = rest[place[most] - 1]
         self.chance, self.others = share / whole, others / whole
         self.pass_by = self.chance.copy()  # draws from here on go on to the next edge
-        self.pass_by[self.first[self.count + 1 :] - 1] = math.inf
+        self.pass_by[self.first[2:] - 1] = math.inf
         self.log_chance = np.log(self.chance)
 
+
+class _Held(dict):
+    """Numbers of the words held, in UTF-32, and their lattices, one behind the other with one place 0."""
+
+    columns = {"next": np.int64, "id": np.int32, "span": np.int8} | dict.fromkeys(("chance", "others", "pass_by", "log_chance"), np.float64)
+
+    def __init__(self, model: Lattice):
+        super().__init__()
+        self.model, self.next = model, ()
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.new, self.edges, self.places = [], 0, 1
+        if not HELD_EDGES <= len(self.next) <= 2 * HELD_EDGES:
+            for column, kind in self.columns.items():
+                setattr(self, column, np.empty(HELD_EDGES * 5 // 4, kind))
+            self.start, self.first = np.empty(HELD_EDGES // 16, np.int64), np.empty(HELD_EDGES // 2 + 2, np.int64)
+        self.first[:2] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
+
+    def _put(self, column: str, used: int, values: np.ndarray) -> None:
+        array = getattr(self, column)
+        if used + len(values) > len(array):
+            array = np.concatenate([array[:used], np.empty(max(used, len(values)), array.dtype)])
+            setattr(self, column, array)
+        array[used : used + len(values)] = values
+
+    def starts(self, code: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """The places where words begin that stand one after the other, each from its ``begin``."""
+        if self.edges > HELD_EDGES:
+            self._empty()
+        parted = np.full(len(code) + len(begin), 0xFFFFFFFF, np.uint32)  # of no character
+        words = np.zeros(len(code), np.int64)
+        words[begin] = 1
+        parted[np.arange(len(code)) + np.cumsum(words)] = code
+        parts = parted[1:].tobytes().split(b"\xff\xff\xff\xff")
+        held = len(self)
+        try:
+            numbers = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
+            if self.new:
+                self._add(_Words(self.model, self.new), held)
+                self.new = []
+        except BaseException:
+            self._empty()
+            raise
+        return self.start.take(numbers)
+
+    def _add(self, made: _Words, held: int) -> None:
+        shift = self.places - 1
+        self._put("start", held, made.start + shift)
+        self._put("first", self.places, made.first[1:] + self.edges)
+        made.next[made.next > 0] += shift
+        for column in self.columns:
+            self._put(column, self.edges, getattr(made, column))
+        self.edges += len(made.next)
+        self.places += len(made.first) - 2
+
     def drawn(self, place: np.ndarray, draw: np.ndarray) -> np.ndarray:
         """One edge of every place by its chance."""
-        edge = self.first[place]
-        by = self.pass_by[edge]
+        edge = self.first.take(place)
+        by = self.pass_by.take(edge)
         at = np.flatnonzero(draw >= by)
-        left, by = draw[at], by[at]
+        left, by = draw.take(at), by.take(at)
+        on = edge.take(at)
         while len(at):
             left = left - by
-            edge[at] += 1
-            by = self.pass_by[edge[at]]
-            on = np.flatnonzero(left >= by)
-            at, left, by = at[on], left[on], by[on]
+            on += 1
+            edge[at] = on
+            by = self.pass_by.take(on)
+            more = np.flatnonzero(left >= by)
+            at, on, left, by = at.take(more), on.take(more), left.take(more), by.take(more)
         return edge
 
-    def drawn_but(self, barred: tuple[int, ...], draw: float) -> tuple[int, float]:
-        """One of the other edges of the place of ``barred`` by its chance among them, and the chance of those left."""
-        place = self.place[barred[0]]
-        first = int(self.first[place])
-        chance = self.chance[first : self.first[place + 1]].copy()
-        chance[[e - first for e in barred]] = 0.0
-        bounds = np.cumsum(chance)
-        i = min(int(np.searchsorted(bounds, draw * bounds[-1], "right")), int(np.flatnonzero(chance)[-1]))
-        chance[i] = 0.0
-        return first + i, float(chance.sum())
+    def drawn_but(self, barred: Sequence[tuple[int, ...]], draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the place of each tuple of edges another edge by its chance among them, and the chance of those left."""
+        rows = np.arange(len(barred))
+        place = np.searchsorted(self.first[: self.places + 1], [edges[0] for edges in barred], "right") - 1
+        first, many = self.first[place], self.first[place + 1] - self.first[place]
+        nth = np.arange(many.max())
+        chance = self.chance[np.minimum(first[:, None] + nth, self.edges - 1)]
+        chance[nth >= many[:, None]] = 0.0
+        of = np.repeat(rows, [len(edges) for edges in barred])
+        chance[of, np.array([e for edges in barred for e in edges]) - first[of]] = 0.0
+        bounds = np.cumsum(chance, axis=1)
+        last = len(nth) - 1 - np.argmax(chance[:, ::-1] > 0, axis=1)
+        i = np.minimum((bounds <= (draw * bounds[:, -1])[:, None]).sum(axis=1), last)
+        chance[rows, i] = 0.0
+        return first + i, np.cumsum(chance, axis=1)[:, -1]  # in order, so that no row's width changes another's sum
 
 
 def _uniform(z: np.ndarray) -> np.ndarray:
     """What SplitMix64 makes of these states, as numbers between 0 and 1, neither included."""
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    z ^= z >> np.uint64(30)
+    z *= np.uint64(0xBF58476D1CE4E5B9)
+    z ^= z >> np.uint64(27)
+    z *= np.uint64(0x94D049BB133111EB)
     z ^= z >> np.uint64(31)
-    return ((z >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
+    z >>= np.uint64(12)
+    made = z.astype(np.float64)
+    made += 0.5
+    made *= 2.0**-52
+    return made
 
 
 def _gumbel(uniform: np.ndarray) -> np.ndarray:
     return -np.log(-np.log(uniform))
 
 
+def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers from each begin to its end, the range of each, and where ranges begin."""
+    many = end - begin
+    starts = np.cumsum(many) - many
+    of = np.repeat(np.arange(len(many)), many)
+    return np.arange(len(of)) + (begin - starts)[of], of, starts
+
+
 def _search(model: Lattice, texts: Sequence[str], seeds: Sequence[int], k: int) -> list[list[tuple[np.ndarray, float, float]]]:
     """For each normalised text, not empty, up to k (ids of its edges, log probability, inclusion score)."""
-    words, counts = [], []
-    for text in texts:
-        found = re.findall(f"{SPACE_MARK}+[^{SPACE_MARK}]*|[^{SPACE_MARK}]+", text)
-        words += found
-        counts.append(len(found))
-    distinct = list(dict.fromkeys(words))
-    made = _Words(model, distinct)
-    number = dict(zip(distinct, made.rank.tolist()))
-    word = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-    length = made.length[word]
-    word_place, word_at = made.base[length] + word, np.cumsum(length) - length
-    word_text = np.repeat(np.arange(len(texts)), counts)
-    chars = np.fromiter(map(len, texts), np.int64, len(texts))
+    code, held, every = _codes(texts), model.held, len(texts)
+    chars = np.fromiter(map(len, texts), np.int64, every)
     begin = np.append(0, np.cumsum(chars))
+    word_at = model.word_starts(code, begin[:-1])
+    word_place = held.starts(code, word_at)
+    words = np.searchsorted(word_at, begin)
     count = (np.arange(begin[-1]) - np.repeat(begin[:-1], chars) + 1).astype(np.uint64)
     state = np.repeat(np.array(seeds, np.uint64), chars) + count * _HASH
 
     def uniform(lane: int, at: np.ndarray) -> np.ndarray:
         """A number for characters of the texts; lanes lie 2**32 counts apart."""
-        return _uniform(state[at] + np.uint64((lane << 32) * int(_HASH) % 2**64))
-
-    # Open groups of each text, best first: (falling score, order, the sample that begins so, where it is left, the
-    # edges not to be taken there).
-    groups = [[(-score, 0, 0, at, ())] for score, at in zip(_gumbel(uniform(0, begin[:-1])).tolist(), begin.tolist())]
-    orders, taken, done, limits = [0] * len(texts), [], [[] for _ in texts], [-math.inf] * len(texts)
+        z = state.take(at)
+        z += np.uint64((lane << 32) * int(_HASH) % 2**64)
+        return _uniform(z)
+
+    # Open groups of each text, best first: falling score (infinite: no group), the sample that begins so, where it is
+    # left, the edge not to be taken there, and those before it that are not to be either.
+    scores = -_gumbel(uniform(0, begin[:-1]))[:, None]
+    likes, ats_left, barred = np.zeros((every, 1), np.int64), begin[:-1, None], np.full((every, 1), -1)
+    more = np.full((every, 1), None)
+    taken, done, limits = [], [[] for _ in texts], np.full(every, -math.inf)
     for n in range(k + 1):
-        best = {i: groups[i].pop(0) for i in range(len(texts)) if groups[i]}
-        if n == k or not best:
-            for i, group in best.items():
-                limits[i] = -group[0]
+        live = np.flatnonzero(scores[:, 0] < math.inf) if scores.shape[1] else np.zeros(0, np.int64)
+        if n == k or not len(live):
+            limits[live] = -scores[live, 0]
             break
+        best, like, left_at, bar, bars = (c[live, 0] for c in (scores, likes, ats_left, barred, more))
         edge_at = np.full(int(begin[-1]), -1, np.int64)  # the edge that begins at a character
-        from_word, ats, places, left = np.full(len(texts), len(word)), [], [], {}
-        for i, (_, _, like, at, barred) in best.items():
-            if not barred:
-                from_word[i] = 0
-                continue
-            from_word[i] = np.searchsorted(word_at, at, "right")
-            edge_at[begin[i] : at] = taken[like][begin[i] : at]
-            step, left[i] = made.drawn_but(barred, float(uniform(2 * n + 1, np.array([at]))[0]))
-            edge_at[at] = step
-            ats.append(at + int(made.span[step]))
-            places.append(int(made.next[step]))
-        fresh = np.flatnonzero(np.arange(len(word)) >= from_word[word_text])
-        at = np.append(word_at[fresh], np.array(ats, np.int64))
-        place = np.append(word_place[fresh], np.array(places, np.int64))
+        split = np.flatnonzero(bar >= 0)
+        at, place = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        from_word, left = words[live], np.zeros(0)
+        if len(split):
+            split_at = left_at[split]
+            for a, b, i in zip(begin[live[split]].tolist(), split_at.tolist(), like[split].tolist()):
+                edge_at[a:b] = taken[i][a:b]
+            not_these = [(e, *(others or ())) for e, others in zip(bar[split].tolist(), bars[split])]
+            step, left = held.drawn_but(not_these, uniform(2 * n + 1, split_at))
+            edge_at[split_at] = step
+            at, place = split_at + held.span[step], held.next[step]
+            from_word[split] = np.searchsorted(word_at, split_at, "right")
+        fresh = _ranges(from_word, words[live + 1])[0]
+        at, place = np.append(word_at[fresh], at), np.append(word_place[fresh], place)
         while True:
-            on = place >= made.count
-            at, place = at[on], place[on]
-            if not len(at):
+            on = np.flatnonzero(place)
+            if not len(on):
                 break
-            edge = made.drawn(place, uniform(2 * n + 1, at))
+            if len(on) < len(place):
+                at, place = at.take(on), place.take(on)
+            edge = held.drawn(place, uniform(2 * n + 1, at))
             edge_at[at] = edge
-            at, place = at + made.span[edge], made.next[edge]
+            at, place = at + held.span.take(edge), held.next.take(edge)
         taken.append(edge_at)
 
         ats = np.flatnonzero(edge_at >= 0)
-        steps, cuts = edge_at[ats], np.searchsorted(ats, begin).tolist()
-        log_chance, before = made.log_chance[steps], np.zeros(len(steps))
-        room, first, near = k - n, {}, {}
-        for i, group in best.items():
-            a, b = cuts[i], cuts[i + 1]
-            np.cumsum(log_chance[a : b - 1], out=before[a + 1 : b])
-            done[i].append((steps[a:b], float(before[b - 1] + log_chance[b - 1])))
-            first[i] = a + int(np.searchsorted(ats[a:b], group[3])) if i in left else a
-            near[i] = first[i] + int(np.searchsorted(-before[first[i] : b], NEAR))
-
-        def falls(chosen: np.ndarray) -> np.ndarray:
-            """Of the smaller groups the noise less the log mass: the larger it is, the lower the best score."""
+        steps, cuts = edge_at.take(ats), np.searchsorted(ats, begin)
+        log_chance, before = held.log_chance.take(steps), np.zeros(len(steps))
+        a, b = cuts[live], cuts[live + 1]
+        for i, j in zip(a.tolist(), b.tolist()):
+            np.add.accumulate(log_chance[i : j - 1], out=before[i + 1 : j])
+        ids = held.id.take(steps)
+        for text, i, j, mass in zip(live.tolist(), a.tolist(), b.tolist(), (before[b - 1] + log_chance[b - 1]).tolist()):
+            done[text].append((ids[i:j], mass))
+        first = a.copy()
+        first[split] = np.searchsorted(ats, left_at[split])
+        near = np.maximum(first, a + np.add.reduceat((before > -NEAR).astype(np.int64), a))
+        room = k - n
+        left_of = np.full(len(live), -1.0)
+        left_of[split] = left
+
+        def falls(which: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+            """Of the smaller groups the noise less the log mass: the larger it is, the lower the best score.  The
+            least of each text, their steps, texts and ranks, and whether there are as many as there is room for."""
+            chosen, of, starts = _ranges(first[which], end)
             noise = _gumbel(uniform(2 * n + 2, ats[chosen]))
+            others = held.others[steps[chosen]]
+            firsts = starts[(left_of[which] >= 0) & (end > first[which])]
+            others[firsts] = left_of[which[of[firsts]]]
             with np.errstate(divide="ignore"):  # no other edge: -inf
-                others = np.log(made.others[steps[chosen]])
-            for i, at in zip(split, np.searchsorted(chosen, [first[i] for i in split])):
-                others[at] = math.log(left[i]) if left[i] else -math.inf
-            return -noise - before[chosen] - others
-
-        split = list(left)
-        fall = falls(np.concatenate([np.arange(first[i], near[i]) for i in best]))
-        end = 0
-        for i, group in best.items():
-            a, b = first[i], near[i]
-            end += b - a
-            found = fall[end - b + a : end]
-            if b < cuts[i + 1] and (b - a < room or np.partition(found, room - 1)[room - 1] > NEAR - LEAST_FALL):
-                b, split = cuts[i + 1], [i] if i in left else []
-                found = falls(np.arange(a, b))
-            top = np.argpartition(found, room - 1)[:room] if room < b - a else np.arange(b - a)
-            for j in top[np.lexsort((top, found[top]))].tolist():
-                if found[j] == math.inf:
-                    break
-                orders[i] += 1
-                barred = (int(steps[a + j]), *(group[4] if j == 0 else ()))
-                # Its best score, given that the best of all has the score of this one.
-                falling = float(np.logaddexp(group[0], found[j]))
-                groups[i].append((falling, orders[i], n, int(ats[a + j]), barred))
-            groups[i] = sorted(groups[i], key=lambda group: group[:2])[:room]
+                fall = -noise - before[chosen] - np.log(others)
+            # Where parts of a text have their least, no score above as many of these as there is room for is kept.
+            many, parts = end - first[which], 8 * room
+            begins = starts[:, None] + many[:, None] * np.arange(parts) // parts
+            least = np.minimum.reduceat(np.append(fall, math.inf), begins.ravel()).reshape(-1, parts)
+            bound = np.partition(least, room - 1, axis=1)[:, room - 1]
+            bound[many < parts] = math.inf
+            low = np.flatnonzero(fall <= bound[of])
+            order = low[np.lexsort((fall[low], of[low]))]
+            of = of[order]
+            rank = np.arange(len(of)) - np.searchsorted(of, of)
+            order, of, rank = (c[rank < room] for c in (order, of, rank))
+            fall = fall[order]
+            full = np.bincount(of[(rank == room - 1) & (fall <= NEAR - LEAST_FALL)], minlength=len(which)) > 0
+            return fall, chosen[order], which[of], rank, full
+
+        fall, chosen, of, rank, full = falls(np.arange(len(live)), near)
+        short = (near < b) & ~full
+        if short.any():
+            least = falls(np.flatnonzero(short), b[short])
+            kept = ~short[of]
+            fall, chosen, of, rank = (np.append(c[kept], d) for c, d in zip((fall, chosen, of, rank), least))
+        held_up = np.flatnonzero(fall < math.inf)
+        fall, chosen, of, rank = (c[held_up] for c in (fall, chosen, of, rank))
+        new = live[of], rank
+        falling = np.full((every, room), math.inf)
+        # Its best score, given that the best of all has the score of this one.
+        falling[new] = np.logaddexp(best[of], fall)
+        left_there, barred_there, more_there = np.zeros((every, room), np.int64), np.full((every, room), -1), np.full((every, room), None)
+        left_there[new], barred_there[new] = ats[chosen], steps[chosen]
+        for i in np.flatnonzero((chosen == first[of]) & (bar[of] >= 0)).tolist():
+            more_there[new[0][i], rank[i]] = (int(bar[of[i]]), *(bars[of[i]] or ()))
+        scores = np.append(scores[:, 1:], falling, axis=1)
+        order = np.argsort(scores, axis=1, kind="stable")[:, :room]
+        scores = np.take_along_axis(scores, order, axis=1)
+        pairs = ((likes, np.full((every, room), n)), (ats_left, left_there), (barred, barred_there), (more, more_there))
+        likes, ats_left, barred, more = (np.take_along_axis(np.append(c[:, 1:], d, axis=1), order, axis=1) for c, d in pairs)
     return [
-        [(made.id[steps], mass, _passes(mass - limit)) for steps, mass in samples] for samples, limit in zip(done, limits)
+        [(ids, mass, _passes(mass - limit)) for ids, mass in samples] for samples, limit in zip(done, limits.tolist())
     ]
 
 

@@ -849,6 +849,33 @@ def test_texts_searched_together_give_what_each_gives_alone(monkeypatch):
     assert [model.sample(text, 6, seed) for seed, text in enumerate(texts)] == alone
 
 
+def test_texts_fall_apart_where_no_piece_goes_on():
+    model = segmentation.Lattice(segmentation.MODEL, 0.3)
+    whole = all_segmentations(model, "▁is,\n\nab▁é")
+    got = model.sample("is,\n\nab é", len(whole) + 1, 5)
+    assert {tuple(ids) for ids, *_ in got} == set(whole) and len(got) == len(whole)
+    assert all(abs(whole[tuple(ids)] - log_prob) < 1e-9 for ids, log_prob, _ in got)
+
+
+def test_words_met_before_are_not_built_again(monkeypatch):
+    built, make = [], segmentation._Words.__init__
+
+    def counted(self, model, words):
+        built.extend(words)
+        make(self, model, words)
+
+    monkeypatch.setattr(segmentation._Words, "__init__", counted)
+    texts = ["one two three", "three, two\none.", "one é two é three", "x" * 300 + " one"]
+    model = segmentation.Lattice(segmentation.MODEL, 1.0)
+    held = [model.sample(text, 4, seed) for seed, text in enumerate(texts)]
+    assert len(built) == len(set(built)) < 15
+    # What is held is bounded, and samples do not depend on it.
+    monkeypatch.setattr(segmentation, "HELD_EDGES", 1)
+    model = segmentation.Lattice(segmentation.MODEL, 1.0)
+    assert [model.sample(text, 4, seed) for seed, text in enumerate(texts)] == held
+    assert len(built) > len(set(built)) and len(model.held) < 5
+
+
 def test_segmentations_of_odd_texts(llm, odd, plain, empty):
     found = segmentation.sampled_segmentations(odd.where("n_chars < 5000"), ["doc_id"], k=2)
     again = segmentation.sampled_segmentations(odd.where("n_chars < 5000").repartition(3), ["doc_id"], k=2)
