@@ -37,7 +37,8 @@ from strata.llm.common import text_or_empty
 MODEL, SAMPLES, SHARPNESS, SEED = "piece_bpe_32k.model", 4, 1.0, 17
 SPACE_MARK = "▁"
 GROUP_CHARS = 200_000  # of texts searched in step; a longer text goes alone
-HELD_EDGES = 2_000_000  # of words held for the groups after; beyond that they are built anew
+BLOCK = 8192  # pieces decoded at a time
+HELD_EDGES = 4_000_000  # of words held for the groups after; beyond that they are built anew
 # No noise is above LEAST_FALL: where a beginning's log mass is lower by that than a group's best score, no
 # smaller group that begins so is better.  Noise is drawn for log masses down to -NEAR first.
 LEAST_FALL, NEAR = 37.0, 60.0
@@ -165,13 +166,20 @@ class Lattice:
     def decode(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 of segmentations that stand one after the other in ``ids``, each from its ``first``, and where each
         ends; the mark put in front of each is taken off."""
-        start, length = self.text_start[ids], self.text_length[ids]
+        start, length = self.text_start.take(ids), self.text_length.take(ids)
         start[first] += 1
         length[first] -= 1
         ends = np.cumsum(length)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - length), length)
+        shift, text = start - (ends - length), np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+        begin = 0
+        for i in range(0, len(ids), BLOCK):  # small arrays stay in the processor's caches
+            end = int(ends[min(i + BLOCK, len(ids)) - 1])
+            at = np.repeat(shift[i : i + BLOCK], length[i : i + BLOCK])
+            at += np.arange(begin, end)
+            text[begin:end] = self.text.take(at)
+            begin = end
         last = np.append(first[1:], len(ids)) - 1
-        return self.text[at], ends[last]
+        return text, ends[last]
 
     def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
         """Up to k (ids, log probability, inclusion score), highest perturbed score first."""
@@ -201,13 +209,11 @@ class _Words:
         at_distance[0] = 1
         base = np.append(0, np.cumsum(at_distance))
         places = int(base[-1])
-        self.start = np.empty(len(words), np.int64)  # places where words begin
-        self.start[order] = base[length[order]] + np.arange(len(words))
-
         place = np.arange(1, places)
         distance = np.repeat(np.arange(1, longest + 1), at_distance[1:])
         word = place - base[distance]
-        at = end[word] - distance
+        at = self.at = end[word] - distance  # of all places but 0, in the words one behind the other
+        self.start = np.cumsum(length) - length
         state, made, n = model.longer(np.zeros(len(at), np.int64), kind[at]), [], 1
         while len(place):
             ids, weight = model.piece[state], model.weight[state]
@@ -250,27 +256,27 @@ class _Words:
         self.chance, self.others = share / whole, others / whole
         self.pass_by = self.chance.copy()  # draws from here on go on to the next edge
         self.pass_by[self.first[2:] - 1] = math.inf
-        self.log_chance = np.log(self.chance)
 
 
 class _Held(dict):
-    """Numbers of the words held, in UTF-32, and their lattices, one behind the other with one place 0."""
+    """Numbers of the words held, in UTF-32, and their lattices: edges of places of one word stand together, a place is
+    its first edge, and ``ahead`` is 256 times the next place, 0 at the end of a word, and the characters to there."""
 
-    columns = {"next": np.int64, "id": np.int32, "span": np.int8} | dict.fromkeys(("chance", "others", "pass_by", "log_chance"), np.float64)
+    columns = {"ahead": np.int64, "id": np.int32} | dict.fromkeys(("chance", "others", "pass_by"), np.float64)
 
     def __init__(self, model: Lattice):
         super().__init__()
-        self.model, self.next = model, ()
+        self.model, self.ahead = model, ()
         self._empty()
 
     def _empty(self) -> None:
         self.clear()
-        self.new, self.edges, self.places = [], 0, 1
-        if not HELD_EDGES <= len(self.next) <= 2 * HELD_EDGES:
+        self.new, self.edges, self.places = [], 1, 1
+        if not HELD_EDGES <= len(self.ahead) <= 2 * HELD_EDGES:
             for column, kind in self.columns.items():
-                setattr(self, column, np.empty(HELD_EDGES * 5 // 4, kind))
-            self.start, self.first = np.empty(HELD_EDGES // 16, np.int64), np.empty(HELD_EDGES // 2 + 2, np.int64)
-        self.first[:2] = 0
+                setattr(self, column, np.empty(HELD_EDGES * 5 // 4 + 1, kind))
+            self.start, self.first = np.empty(HELD_EDGES // 16, np.int64), np.empty(HELD_EDGES // 2 + 1, np.int64)
+        self.first[0] = 1  # of the places in their order, and the end of the last
 
     def __missing__(self, word: bytes) -> int:
         self.new.append(word)
@@ -305,18 +311,26 @@ class _Held(dict):
         return self.start.take(numbers)
 
     def _add(self, made: _Words, held: int) -> None:
-        shift = self.places - 1
-        self._put("start", held, made.start + shift)
-        self._put("first", self.places, made.first[1:] + self.edges)
-        made.next[made.next > 0] += shift
+        many = np.empty(len(made.at), np.int64)
+        many[made.at] = np.diff(made.first[1:])
+        first = np.cumsum(many)
+        self._put("first", self.places, first + self.edges)
+        first += self.edges - many
+        self._put("start", held, first[made.start])
+        place = np.append(0, first[made.at])  # by the number it has in ``made``
+        edge = np.arange(len(made.next)) + np.repeat(place[1:] - made.first[1:-1] - self.edges, np.diff(made.first[1:]))
+        made.ahead = place[made.next] * 256 + made.span
         for column in self.columns:
-            self._put(column, self.edges, getattr(made, column))
-        self.edges += len(made.next)
-        self.places += len(made.first) - 2
+            values = getattr(made, column)
+            ordered = np.empty_like(values)
+            ordered[edge] = values
+            self._put(column, self.edges, ordered)
+        self.edges += len(edge)
+        self.places += len(many)
 
     def drawn(self, place: np.ndarray, draw: np.ndarray) -> np.ndarray:
         """One edge of every place by its chance."""
-        edge = self.first.take(place)
+        edge = place.copy()
         by = self.pass_by.take(edge)
         at = np.flatnonzero(draw >= by)
         left, by = draw.take(at), by.take(at)
@@ -333,7 +347,7 @@ class _Held(dict):
     def drawn_but(self, barred: Sequence[tuple[int, ...]], draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the place of each tuple of edges another edge by its chance among them, and the chance of those left."""
         rows = np.arange(len(barred))
-        place = np.searchsorted(self.first[: self.places + 1], [edges[0] for edges in barred], "right") - 1
+        place = np.searchsorted(self.first[: self.places], [edges[0] for edges in barred], "right") - 1
         first, many = self.first[place], self.first[place + 1] - self.first[place]
         nth = np.arange(many.max())
         chance = self.chance[np.minimum(first[:, None] + nth, self.edges - 1)]
@@ -413,7 +427,8 @@ def _search(model: Lattice, texts: Sequence[str], seeds: Sequence[int], k: int)
             not_these = [(e, *(others or ())) for e, others in zip(bar[split].tolist(), bars[split])]
             step, left = held.drawn_but(not_these, uniform(2 * n + 1, split_at))
             edge_at[split_at] = step
-            at, place = split_at + held.span[step], held.next[step]
+            ahead = held.ahead[step]
+            at, place = split_at + (ahead & 255), ahead >> 8
             from_word[split] = np.searchsorted(word_at, split_at, "right")
         fresh = _ranges(from_word, words[live + 1])[0]
         at, place = np.append(word_at[fresh], at), np.append(word_place[fresh], place)
@@ -425,12 +440,13 @@ def _search(model: Lattice, texts: Sequence[str], seeds: Sequence[int], k: int)
                 at, place = at.take(on), place.take(on)
             edge = held.drawn(place, uniform(2 * n + 1, at))
             edge_at[at] = edge
-            at, place = at + held.span.take(edge), held.next.take(edge)
+            ahead = held.ahead.take(edge)
+            at, place = at + (ahead & 255), ahead >> 8
         taken.append(edge_at)
 
         ats = np.flatnonzero(edge_at >= 0)
         steps, cuts = edge_at.take(ats), np.searchsorted(ats, begin)
-        log_chance, before = held.log_chance.take(steps), np.zeros(len(steps))
+        log_chance, before = np.log(held.chance.take(steps)), np.zeros(len(steps))
         a, b = cuts[live], cuts[live + 1]
         for i, j in zip(a.tolist(), b.tolist()):
             np.add.accumulate(log_chance[i : j - 1], out=before[i + 1 : j])
