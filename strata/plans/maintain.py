@@ -16,6 +16,8 @@ carry a part, a hash of the value, so that no artist and no recording has to fit
 A batch is applied once, whenever the driver is lost: each step first writes the new rows of every key it
 touches (``_after``), with what the next step needs, and only then replaces them in the table.  Replacing
 twice changes nothing, and a finished step of an earlier attempt is taken up as it was written.
+Of the tables of children and support, the largest, the whole of the hit buckets is written first, so that they are
+shuffled once and replacing them is a copy.
 Batches are to be maintained in the order they were loaded.  A NULL artist, group, date or country is a
 value like any other, except that no artist metrics exist for a NULL artist.
 """
@@ -29,13 +31,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.stamp import stamp_batch
 from strata.operators.deltas import signed, signed_sum
 from strata.plans.config import CURATED, Entity, Run
 from strata.schemas import columns
 from strata.session import discard, file_system
-from strata.sinks.store import Store, TableDef
+from strata.sinks.store import BUCKET, Store, TableDef
 from strata.sources.tables import of_batches
 
 PARTS = 8
@@ -110,13 +113,39 @@ class _Step:
         """Rows of the given table keys; only their buckets are read."""
         return _of_keys(self.store.rows_of_buckets(self.tables[name], keys), keys)
 
+    def settle_buckets(self, name: str, new: DataFrame, how) -> DataFrame:
+        """All rows of the buckets of the given table that ``new`` hits, as ``how(both)`` leaves them, written once.
+        ``both`` has the held rows and the new ones, marked as ``_new``, dealt by the table's key.  Rows that
+        ``how`` marks as ``_new`` are those the batch brought or changed."""
+        table, path = self.tables[name], f"{self.root}/{name}"
+        names = table.columns.fieldNames()
+
+        def dealt(held: DataFrame, sent: DataFrame, tasks: int) -> DataFrame:
+            both = held.select(*names, F.lit(False).alias("_new")).unionByName(sent.select(*names, F.lit(True).alias("_new")))
+            rows = how(both.repartition(tasks, *table.key))
+            return rows.select(*table.declared(rows), "_new")
+
+        mark, files = file_system(self.store.spark, f"{path}/_SUCCESS")
+        if not files.exists(mark):
+            self.store.prepare_buckets(table, new, dealt, path)
+        columns = [*table.columns, T.StructField("_new", T.BooleanType()), T.StructField(BUCKET, T.IntegerType())]
+        return self.store.spark.read.schema(T.StructType(columns)).parquet(path)
+
+    def now(self, name: str, settled: DataFrame, keys: DataFrame) -> DataFrame:
+        """Rows of the buckets of all parts of the given keys as the batch leaves them: ``settled`` has those of the
+        buckets it hits, the table those of the others."""
+        table = self.tables[name]
+        hit, wanted = self.store.buckets_of(f"{self.root}/{name}"), self.store.hit(table, _all_parts(keys))
+        others = self.store.rows_of(table, sorted(set(wanted) - set(hit))).withColumn("_new", F.lit(False))
+        return settled.where(F.col(BUCKET).isin(wanted)).drop(BUCKET).unionByName(others)
+
     def held_parts(self, name: str, keys: DataFrame) -> DataFrame:
         """Rows of all parts of the given keys; only their buckets are read."""
         return _of_keys(self.store.rows_of_buckets(self.tables[name], _all_parts(keys)), keys)
 
-    def put(self, name: str, after: DataFrame, keep: Column, by: Sequence[str] = ()) -> None:
-        """Replace the rows of all keys in ``after`` (``by``: of all values of these columns, the key among them)
-        by those of its rows that ``keep`` holds for.  Held and new rows are shuffled together, once."""
+    def put(self, name: str, after: DataFrame, keep: Column) -> None:
+        """Replace the rows of all keys in ``after`` by those of its rows that ``keep`` holds for.  Held and new
+        rows are shuffled together, once."""
         table = self.tables[name]
         rows = after.withColumn("_keep", keep)
         names = table.columns.fieldNames()
@@ -125,7 +154,7 @@ class _Step:
             was = held.select(*names, F.lit(False).alias("_new"), F.lit(True).alias("_keep"))
             both = was.unionByName(new.select(*names, F.lit(True).alias("_new"), "_keep"))
             both = both.repartition(table.tasks(held, new), *table.key)
-            hit = F.max("_new").over(Window.partitionBy(*(by or table.key)))
+            hit = F.max("_new").over(Window.partitionBy(*table.key))
             return both.withColumn("_hit", hit).where("_keep AND (_new OR NOT _hit)").select(*names)
 
         self.store.merge(table, rows, how)
@@ -147,12 +176,18 @@ def _appearances(children: DataFrame, releases: DataFrame) -> DataFrame:
 
 
 def _new_children(step: _Step, recordings: DataFrame, urls: DataFrame) -> DataFrame:
-    """Children that their release did not have before."""
+    """Children of the buckets that the batch hits; ``_new`` are those that their release did not have before."""
     sent = recordings.select("release_id", F.lit("recording").alias("kind"), F.col("recording_id").alias("child_id"))
     sent = sent.unionByName(urls.select("release_id", F.lit("url").alias("kind"), F.col("url_id").alias("child_id")))
     sent = sent.select("release_id", _part("child_id"), "kind", "child_id")
-    held = step.store.rows_of_buckets(step.tables["release_children"], sent)
-    return sent.distinct().join(held, ["release_id", "part", "kind", "child_id"], "left_anti")
+    names = sent.columns
+
+    def once(both: DataFrame) -> DataFrame:
+        rows = both.groupBy(*names).agg(F.max("_new").alias("_sent"), (~F.min("_new")).alias("_held"))
+        unknown = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in names))  # never the same as a held one
+        return rows.select(*names, (F.col("_sent") & (~F.col("_held") | unknown)).alias("_new"))
+
+    return step.settle_buckets("release_children", sent, once)
 
 
 def _releases_after(step: _Step, releases: DataFrame, children: DataFrame) -> DataFrame:
@@ -183,12 +218,14 @@ def _releases_after(step: _Step, releases: DataFrame, children: DataFrame) -> Da
 
 
 def _support_after(step: _Step, name: str, delta: DataFrame, sums: Sequence[str]) -> DataFrame:
-    """All support rows of the table keys the delta touches; a row whose counts are zero stands
-    for a value that nothing speaks for any more."""
-    table = step.tables[name]
-    values = [c for c in table.columns.fieldNames() if c not in sums]
-    held = step.held(name, delta.select(*table.key))
-    return signed_sum(held.unionByName(delta.select(*held.columns)), values, sums, keep_zero=True)
+    """All support rows of the buckets the delta touches, those it changes marked as ``_new``; a row whose counts
+    are zero stands for a value that nothing speaks for any more."""
+    values = [c for c in step.tables[name].columns.fieldNames() if c not in sums]
+
+    def added(both: DataFrame) -> DataFrame:
+        return both.groupBy(*values).agg(*(F.sum(c).alias(c) for c in sums), F.max("_new").alias("_new"))
+
+    return step.settle_buckets(name, delta, added)
 
 
 def _artist_rows(artists: DataFrame, support: DataFrame) -> DataFrame:
@@ -227,7 +264,8 @@ def maintain(store: Store, entities: dict[str, Entity], run: Run, buckets: int,
     )
 
     # Releases and their children.
-    children = step.settle("children", lambda: _new_children(step, recordings, urls))
+    all_children = _new_children(step, recordings, urls)
+    children = all_children.where("_new").drop("_new", BUCKET)
     pairs = step.settle("releases", lambda: _releases_after(step, releases, children))
     now, was = pairs.select("now.*"), pairs.where(F.col("was").isNotNull()).select("was.*")
 
@@ -247,33 +285,24 @@ def maintain(store: Store, entities: dict[str, Entity], run: Run, buckets: int,
 
     # Support, and what is read out of it.
     artist_support, recording_support = _together(
-        lambda: step.settle("artist_support", lambda: _support_after(step, "artist_support", artist_delta, ("n", "songs"))),
-        lambda: step.settle("recording_support", lambda: _support_after(step, "recording_support", recording_delta, ("n",))),
+        lambda: _support_after(step, "artist_support", artist_delta, ("n", "songs")),
+        lambda: _support_after(step, "recording_support", recording_delta, ("n",)),
     )
 
     def artist_rows() -> DataFrame:
-        """Of whole artists: parts of the support that changed as they are now, the others as held."""
+        """Of whole artists, out of their support as it is now."""
         touched = artist_delta.select("artist_id").union(artists.select("artist_id")).where(F.col("artist_id").isNotNull())
         known = store.rows_of_buckets(entities["artists"].sanitised, touched).select("artist_id", "name", "country")
-        parts = artist_support.select("artist_id", "part")
-        rest = step.held_parts("artist_support", touched).join(parts, ["artist_id", "part"], "left_anti")
-        return _artist_rows(_of_keys(known, touched), rest.unionByName(artist_support.where("n <> 0")))
+        support = step.now("artist_support", artist_support, touched).where("n <> 0").drop("_new")
+        return _artist_rows(_of_keys(known, touched), _of_keys(support, touched))
 
     def recording_rows() -> DataFrame:
-        """Of whole recordings likewise, out of the counts of each part as held and as it is now."""
-        touched = recording_support.select("recording_id")
-        held = store.rows_of_buckets(tables["recording_support"], _all_parts(touched))
-        both = held.withColumn("new", F.lit(False)).unionByName(recording_support.withColumn("new", F.lit(True)))
-        artist = (F.col("n") != 0) & F.col("artist_id").isNotNull()
-
-        def of(state: Column, name: str) -> tuple[Column, Column]:
-            return F.sum(F.when(state, F.col("n")).otherwise(0)).alias(f"n_{name}"), F.count_if(artist & state).alias(f"artists_{name}")
-
-        new = F.col("new")
-        parts = both.groupBy("recording_id", "part").agg(F.max("new").alias("new"), *of(new, "now"), *of(~new, "held"))
-        n, artists = (F.when(new, F.col(f"{c}_now")).otherwise(F.col(f"{c}_held")) for c in ("n", "artists"))
-        rows = parts.groupBy("recording_id").agg(
-            F.sum(n).alias("release_count"), F.sum(artists).alias("artist_count"), F.max("new").alias("hit")
+        """Of whole recordings likewise."""
+        support = step.now("recording_support", recording_support, recording_delta.select("recording_id"))
+        rows = support.groupBy("recording_id").agg(
+            F.sum("n").alias("release_count"),
+            F.count_if((F.col("n") != 0) & F.col("artist_id").isNotNull()).alias("artist_count"),
+            F.max("_new").alias("hit"),
         )
         return rows.where("hit").drop("hit")
 
@@ -299,18 +328,16 @@ def maintain(store: Store, entities: dict[str, Entity], run: Run, buckets: int,
     everything, batch = F.lit(True), run.etl_batch_id
     per_release = now.withColumn("release_year", F.year("release_date"))
     replaced = {
-        # Only added: a child that an earlier attempt has put there already is replaced by itself.
-        "release_children": (children, everything, tables["release_children"].columns.fieldNames()),
         "release_state": (now, everything),
-        "artist_support": (artist_support, F.col("n") != 0),
-        "recording_support": (recording_support, F.col("n") != 0),
         "release_metrics": (stamp_batch(per_release, batch), F.col("known")),
         "artist_metrics": (stamp_batch(artist_now, batch), everything),
         "artist_discography": (stamp_batch(artist_now, batch), everything),
         "recording_metrics": (stamp_batch(recording_now, batch), F.col("release_count") > 0),
         "country_metrics": (stamp_batch(country_now, batch), F.col("artist_count") > 0),
     }
-    _together(*(lambda name=name, rows=rows: step.put(name, *rows) for name, rows in replaced.items()))
+    settled = {"release_children": all_children, "artist_support": artist_support.where("n <> 0"), "recording_support": recording_support.where("n <> 0")}
+    copied = (lambda name=name, rows=rows: store.replace_buckets(tables[name], f"{step.root}/{name}", rows) for name, rows in settled.items())
+    _together(*copied, *(lambda name=name, rows=rows: step.put(name, *rows) for name, rows in replaced.items()))
     finish(step)
     return tables
 

@@ -52,10 +52,11 @@ class TableDef:
         """Equal to the partition that ``repartition(buckets, *key)`` deals a row to."""
         return F.pmod(F.hash(*(F.col(k).cast(self.columns[k].dataType) for k in self.key)), F.lit(self.buckets))
 
-    def sizes(self, *frames: DataFrame) -> dict[int, float]:
+    def sizes(self, *frames: DataFrame, held: dict[int, int] | None = None) -> dict[int, float]:
         """Bytes, about, of the rows that the frames have in each bucket, at most ``buckets`` numbers.
 
-        The texts of the last frame are measured; rows of the others count as its average.
+        The texts of the last frame are measured; rows of the others count as its average, as do those of
+        ``held``, counted already.
         """
         texts = [f.name for f in self.columns if isinstance(f.dataType, T.StringType) and f.name in frames[-1].columns]
         row = F.lit(16.0 * len(self.columns))
@@ -65,7 +66,8 @@ class TableDef:
         found = reduce(DataFrame.unionByName, each).groupBy("_b").agg(F.count(F.lit(1)).alias("n"), F.avg("_row").alias("row"))
         rows = found.collect()
         most = max((r.row for r in rows if r.row is not None), default=0.0)
-        return {r["_b"]: r.n * (most if r.row is None else r.row) for r in rows}
+        counted = held or {}
+        return {r["_b"]: r.n * (most if r.row is None else r.row) + counted.get(r["_b"], 0) * most for r in rows}
 
     def tasks(self, *frames: DataFrame) -> int:
         """How many partitions to deal the frames to by key, so that none has much more than ``TASK_BYTES``
@@ -149,10 +151,41 @@ class Store:
             self._put(table, how(held.drop(BUCKET), incoming))
         return hit
 
+    def hit(self, table: TableDef, keys: DataFrame) -> list[int]:
+        """The buckets that ``keys`` hits, at most ``buckets`` numbers."""
+        return sorted(r[0] for r in keys.select(table.bucket()).distinct().collect())
+
+    def rows_of(self, table: TableDef, buckets: list[int]) -> DataFrame:
+        """The current rows of some buckets; no other bucket is read."""
+        return self._bucketed(table).where(F.col(BUCKET).isin(buckets)).drop(BUCKET)
+
     def rows_of_buckets(self, table: TableDef, keys: DataFrame) -> DataFrame:
         """The current rows of the buckets that ``keys`` hits; no other bucket is read."""
-        hit = [r[0] for r in keys.select(table.bucket()).distinct().collect()]  # at most ``buckets`` numbers
-        return self._bucketed(table).where(F.col(BUCKET).isin(hit)).drop(BUCKET)
+        return self.rows_of(table, self.hit(table, keys))
+
+    def prepare_buckets(
+        self, table: TableDef, incoming: DataFrame, how: Callable[[DataFrame, DataFrame, int], DataFrame], path: str
+    ) -> None:
+        """Write ``how(held, incoming, tasks)`` to ``path``, by bucket, for ``replace_buckets``; the table is left as it
+        is.  ``held`` are the rows of the buckets that ``incoming`` hits, ``tasks`` the partitions to deal both to by key."""
+        counts = self._bucketed(table).groupBy(BUCKET).count().collect()  # at most ``buckets`` numbers
+        sizes = table.sizes(incoming, held={r[BUCKET]: r["count"] for r in counts})
+        rows = how(self.rows_of(table, list(sizes)), incoming, table.parts(sizes))
+        rows.withColumn(BUCKET, table.bucket()).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+    def replace_buckets(self, table: TableDef, path: str, prepared: DataFrame) -> None:
+        """Overwrite the buckets written to ``path`` by their rows of ``prepared``, read from there; nothing is
+        shuffled.  A bucket none of whose rows stay is emptied."""
+        stay = {r[0] for r in prepared.select(BUCKET).distinct().collect()}  # at most ``buckets`` numbers
+        rows = prepared.select(*table.declared(prepared), BUCKET)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.folder(table))
+        for bucket in set(self.buckets_of(path)) - stay:
+            discard(self.spark, f"{self.folder(table)}/{BUCKET}={bucket}")
+
+    def buckets_of(self, path: str) -> list[int]:
+        """The buckets that a folder written by bucket has."""
+        names, files = file_system(self.spark, f"{path}/{BUCKET}=*")
+        return sorted(int(s.getPath().getName().split("=")[1]) for s in files.globStatus(names) or [])
 
     def append(self, table: TableDef, df: DataFrame, key: str | None = None) -> None:
         """Add rows to a log, in a folder of their own.  Rows given under a ``key`` take the

@@ -157,6 +157,58 @@ def test_held_and_new_rows_are_shuffled_together_once(spark, tmp_path, monkeypat
     assert sorted((r.release_id, r.country) for r in plans[0].collect()) == [("r0", "x"), ("r2", None), ("r3", None), ("r4", None)]
 
 
+def test_children_and_support_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """Whole buckets are written where their new rows are worked out; putting them in place is a copy."""
+    store, entities = fresh(spark, tmp_path)
+    plans, copied, prepare = {}, [], Store.prepare_buckets
+    children = [{"recording_id": f"s{n % 3}", "release_id": f"r{n}"} for n in range(5)]
+
+    def watched(self, table, incoming, how, path):
+        def seen(held, sent, tasks):
+            rows = how(held, sent, tasks)
+            plans[table.table_name] = rows._jdf.queryExecution().executedPlan().toString()
+            return rows
+
+        prepare(self, table, incoming, seen, path)
+
+    monkeypatch.setattr(Store, "prepare_buckets", watched, raising=False)
+    monkeypatch.setattr(Store, "merge", lambda self, table, *how, whole=Store.merge: copied.append(table.table_name) or whole(self, table, *how))
+    for batch in ("b0", "b1"):
+        put(store, entities, "releases", batch, [{"release_id": f"r{n}", "artist_id": f"a{n}{batch}"} for n in range(5)])
+        put(store, entities, "recordings", batch, children)
+        made = M.maintain(store, entities, Run(batch, "2026-05-01 00:00:00", ""), BUCKETS)
+    check(store, entities, made)
+    assert plans.keys() == {"release_children", "artist_support", "recording_support"} and not plans.keys() & set(copied)
+    for plan in plans.values():
+        assert plan.count("Exchange") == 1 and "Join" not in plan and "Window" not in plan
+
+
+def test_support_of_nothing_leaves_its_bucket(spark, tmp_path):
+    """A bucket whose last support row goes is emptied, so that a later batch does not count it again."""
+    store, entities = fresh(spark, tmp_path)
+    for n, artist in enumerate(("a1", "a2", "a1")):
+        put(store, entities, "artists", f"b{n}", [{"artist_id": a, "name": a, "country": "c"} for a in ("a1", "a2")])
+        put(store, entities, "releases", f"b{n}", [{"release_id": "r", "artist_id": artist, "group_id": "g"}])
+        put(store, entities, "recordings", f"b{n}", [{"recording_id": "s", "release_id": "r"}])
+        made = M.maintain(store, entities, Run(f"b{n}", "2026-05-01 00:00:00", ""), 64)
+        check(store, entities, made)
+        assert [(r.artist_id, r.n) for r in store.read(made["recording_support"]).collect()] == [(artist, 1)]
+
+
+def test_children_of_no_release_are_new_each_time(spark, tmp_path):
+    store, entities = fresh(spark, tmp_path)
+    made = M.maintain(store, entities, Run("b0", "2026-05-01 00:00:00", ""), BUCKETS)
+    recordings = spark.createDataFrame([("s", None), ("s", None), ("s", "r"), ("s", "r")], "recording_id string, release_id string")
+    urls = spark.createDataFrame([("u", "r")], "url_id string, release_id string")
+    for n, new in (("b1", [("recording", "r"), ("recording", None), ("url", "r")]), ("b2", [("recording", None)])):
+        step = M._Step(store, made, Run(n, "2026-05-01 00:00:00", ""))
+        rows = M._new_children(step, recordings, urls)
+        assert sorted(((r.kind, r.release_id) for r in rows.where("_new").collect()), key=str) == sorted(new, key=str)
+        assert rows.count() == 3
+        store.replace_buckets(made["release_children"], f"{step.root}/release_children", rows)
+    assert store.read(made["release_children"]).count() == 3
+
+
 def test_signed_differences(spark):
     old = spark.createDataFrame([("a", 2), ("b", 1), (None, 3)], "k string, n long")
     new = spark.createDataFrame([("a", 2), ("c", 4), (None, 1)], "k string, n long")
