@@ -291,10 +291,11 @@ def maintain(store: Store, entities: dict[str, Entity], run: Run, buckets: int,
 
     def artist_rows() -> DataFrame:
         """Of whole artists, out of their support as it is now."""
-        touched = artist_delta.select("artist_id").union(artists.select("artist_id")).where(F.col("artist_id").isNotNull())
+        touched = artist_delta.select("artist_id").union(artists.select("artist_id")).where(F.col("artist_id").isNotNull()).distinct()
         known = store.rows_of_buckets(entities["artists"].sanitised, touched).select("artist_id", "name", "country")
         support = step.now("artist_support", artist_support, touched).where("n <> 0").drop("_new")
-        return _artist_rows(_of_keys(known, touched), _of_keys(support, touched))
+        # No NULL is among the touched, so plain joins do, and what follows is grouped as they deal it.
+        return _artist_rows(known.join(touched, "artist_id", "left_semi"), support.join(touched, "artist_id", "left_semi"))
 
     def recording_rows() -> DataFrame:
         """Of whole recordings likewise."""
